@@ -137,9 +137,10 @@ def what_if_scenarios(inputs: DataFrame, *, location: str = CITY) -> DataFrame:
     )
 
 
-def report_events(items: DataFrame, *, source: str) -> DataFrame:
+def report_events(items: DataFrame, *, source: str, keep=()) -> DataFrame:
     """Feed item -> flat report event (time, title, link, constant source)."""
     return items.select(
+        *keep,
         F.date_format("polled_at", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
         F.col("title").alias("judul"),
         F.col("link"),

@@ -98,3 +98,279 @@ FROM ({_RAW_FLAT}) r""")
 def weather_defaults(spark, sf_dir):
     """Missing fields take the reader's defaults."""
     return ingest.with_defaults(ingest.normalize_weather(TB.raw_weather_responses(spark, sf_dir)))
+
+
+# ------------------------------------------------- what-if, KPIs, ranking ---
+
+from tidewatch.operators import kpi, ranking, report  # noqa: E402
+
+_RISK = Q.risk(Q.scored(Q.live_proxies(Q.SCENARIOS), DASHBOARD))
+_BATCH = Q.batch_result(Q.scored(Q.SCENARIOS, BATCH))
+
+
+def event_risk(spark, sf_dir, colocate: bool = False) -> DataFrame:
+    sc = event_scenarios(spark, sf_dir)
+    if colocate:
+        sc = ranking.colocate_scenarios(sc)
+    return SP.dashboard_risk(spark, sc)
+
+
+@register("what_if_grid", Q.dashboard_result(Q.risk(Q.scored(Q.WHAT_IF, DASHBOARD))))
+def what_if_grid(spark, sf_dir):
+    """P8 manual mode: one what-if scenario per event, all inputs supplied."""
+    sc = ingest.what_if_scenarios(TB.what_if_inputs(spark, sf_dir))
+    return SP.dashboard_scores(spark, sc)
+
+
+_BANDS_SQL = ", ".join(
+    f"{Q.band(c, hi, lo, worse)} AS {name}_band"
+    for name, (c, hi, lo, worse) in kpi.METRIC_BANDS.items())
+
+
+@register("severity_bands", f"SELECT scenario_id, district, {_BANDS_SQL} FROM ({_RISK}) r")
+def severity_bands(spark, sf_dir):
+    """Per-metric severity band of every result row."""
+    return kpi.severity_bands(event_risk(spark, sf_dir))
+
+
+@register("kpi_cards", f"""
+SELECT *, CASE WHEN critical_count > 0 THEN 'danger' ELSE 'safe' END AS critical_band,
+          CASE WHEN watch_count > 0 THEN 'warn' ELSE 'safe' END AS watch_band,
+          {Q.band('total_people', 5000, 1000)} AS people_band,
+          {Q.band('min_lead_time_h', 3, 6, False)} AS lead_band
+FROM (SELECT scenario_id, count(*) AS districts,
+        count(*) FILTER (WHERE probability > 70.0::DOUBLE) AS critical_count,
+        count(*) FILTER (WHERE probability > 40.0::DOUBLE AND probability <= 70.0::DOUBLE) AS watch_count,
+        CAST(sum(people_affected) AS BIGINT) AS total_people,
+        min(lead_time_h) AS min_lead_time_h
+      FROM ({_RISK}) r GROUP BY scenario_id) k""")
+def kpi_cards(spark, sf_dir):
+    """KPI cards per scenario."""
+    return kpi.kpi_cards(event_risk(spark, sf_dir))
+
+
+@register("archive_summary", f"""
+SELECT count(*) AS records, arg_max(curah_hujan_mm, event_time) AS curah_hujan_mm,
+       arg_max(kelembaban_pct, event_time) AS kelembaban_pct, arg_max(suhu_c, event_time) AS suhu_c,
+       arg_max(kecepatan_angin_ms, event_time) AS kecepatan_angin_ms,
+       arg_max("timestamp", event_time) AS "timestamp"
+FROM ({Q.WEATHER}) w""")
+def archive_summary(spark, sf_dir):
+    """A1 + O1 in one pass over the archive."""
+    return kpi.archive_summary(TB.weather_events(spark, sf_dir), "event_time",
+                               ["curah_hujan_mm", "kelembaban_pct", "suhu_c",
+                                "kecepatan_angin_ms", "timestamp"])
+
+
+@register("sorted_by_probability", f"""
+SELECT scenario_id, "Kecamatan", "Probabilitas",
+  CAST(row_number() OVER (PARTITION BY scenario_id ORDER BY "Probabilitas" DESC, "Kecamatan") AS INTEGER) AS rank
+FROM ({_BATCH}) b""")
+def sorted_by_probability(spark, sf_dir):
+    """O2: batch result order (rounded probability descending, then name)."""
+    sc = ranking.colocate_scenarios(event_scenarios(spark, sf_dir))
+    res = SP.batch_scores(spark, sc).select("scenario_id", "Kecamatan", "Probabilitas")
+    return ranking.rank_within(res, ["scenario_id"],
+                               [F.col("Probabilitas").desc(), F.col("Kecamatan").asc()])
+
+
+_SERIES = {"probability": "probability", "depth": "depth_m", "people": "people_affected",
+           "lead_time": "lead_time_h", "pct_area": "pct_area_r1", "risk_score": "risk_score"}
+_SERIES_SQL = " UNION ALL ".join(
+    f"SELECT scenario_id, district, '{s}' AS series, CAST({c} AS DOUBLE) AS value FROM r"
+    for s, c in _SERIES.items())
+
+
+@register("metric_series", f"""
+WITH r AS ({_RISK})
+SELECT scenario_id, district, series, value,
+  CAST(row_number() OVER (PARTITION BY scenario_id, series ORDER BY value, district) AS INTEGER) AS position
+FROM ({_SERIES_SQL}) s""")
+def metric_series(spark, sf_dir):
+    """O3: ascending chart order of six metrics per scenario."""
+    return ranking.metric_series(event_risk(spark, sf_dir, colocate=True), _SERIES)
+
+
+_PRIO = "risk_score DESC, probability DESC, district"
+
+
+@register("top5_priority", f"""
+SELECT scenario_id, rank, 6 - rank AS chart_position, district, risk_score,
+  printf('%s jiwa | %s%% wilayah | %d jam', {Q.thousands('people_affected')},
+         {Q.fixed('pct_area_r1', 0)}, lead_time_h) AS note
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY scenario_id ORDER BY {_PRIO}) AS INTEGER) AS rank
+      FROM ({_RISK}) r) t WHERE rank <= 5""")
+def top5_priority(spark, sf_dir):
+    """Top five by composite score with the bar annotation."""
+    return report.top5_priority(event_risk(spark, sf_dir, colocate=True))
+
+
+@register("top3_recommendations", f"""
+SELECT scenario_id, string_agg(line, {Q.sq(report.LINE_SEPARATOR)} ORDER BY rank) AS recommendation
+FROM (SELECT scenario_id, rank,
+        printf({Q.sq(report.RECOMMENDATION_TEMPLATE)}, rank, district, {Q.fixed('risk_score', 1)},
+               priority, {Q.fixed('depth_m', 2)}, {Q.fixed('pct_area_r1', 0)},
+               {Q.thousands('people_affected')}, lead_time_h) AS line
+      FROM (SELECT *, CAST(row_number() OVER (PARTITION BY scenario_id ORDER BY {_PRIO}) AS INTEGER) AS rank
+            FROM ({_RISK}) r) t WHERE rank <= 3) l
+GROUP BY scenario_id""")
+def top3_recommendations(spark, sf_dir):
+    """Numbered recommendation text per scenario."""
+    return report.top3_recommendations(event_risk(spark, sf_dir, colocate=True))
+
+
+_DISPLAY_SQL = ", ".join(
+    (f"printf('%d{unit}', \"{c}\") AS \"{c}\"" if places is None else
+     f"printf('%.{places}f{unit.replace('%', '%%')}', {Q.rnd(chr(34) + c + chr(34), places)}) AS \"{c}\"")
+    for c, (places, unit) in report.DISPLAY_UNITS.items())
+
+
+@register("display_table", f"""
+SELECT scenario_id, "Kecamatan", {_DISPLAY_SQL}
+FROM ({Q.dashboard_result(_RISK)}) d""")
+def display_table(spark, sf_dir):
+    """detail table rendered with display units."""
+    return report.display_table(SP.dashboard_scores(spark, event_scenarios(spark, sf_dir)))
+
+
+# ------------------------------------------------------- feed and topics ---
+
+from tidewatch.operators import feed as FD  # noqa: E402
+from tidewatch.sources import archive as AR  # noqa: E402
+from tidewatch.sources import publish as PB  # noqa: E402
+
+_FEED = f"""
+SELECT page_id, CAST(floor(page_id / 10) AS BIGINT) AS poll_id, CAST(page_id % 10 AS INTEGER) AS position,
+  TIMESTAMP '2024-01-01 00:00:00' + to_seconds(CAST(floor(page_id / 10) AS BIGINT) * 300) AS polled_at,
+  regexp_extract(html, '<title>(.*?)</title>', 1) AS title,
+  regexp_extract(url, '^https?://([^/?#]+)', 1) AS link
+FROM pages"""
+_REPORT_COLS = f"""strftime(polled_at, '%Y-%m-%dT%H:%M:%S') AS "timestamp", title AS judul, link,
+  '{TB.REPORT_SOURCE}' AS sumber, md5(link) AS link_md5"""
+
+
+def _report_events(df: DataFrame) -> DataFrame:
+    return ingest.report_events(df, source=TB.REPORT_SOURCE, keep=("poll_id", "position")) \
+        .withColumn("link_md5", F.md5("link"))
+
+
+@register("feed_top5", f"""
+SELECT poll_id, position, rank, title, link, md5(link) AS link_md5 FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY poll_id ORDER BY position) AS INTEGER) AS rank
+  FROM ({_FEED}) f) t WHERE rank <= 5""")
+def feed_top5(spark, sf_dir):
+    """First five items of every poll."""
+    top = FD.first_items_per_poll(TB.feed_items(spark, sf_dir))
+    return FD.with_link_hash(top).select("poll_id", "position", "rank", "title", "link", "link_md5")
+
+
+@register("feed_dedup", f"""
+SELECT poll_id, position, {_REPORT_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY md5(link) ORDER BY poll_id, position) AS k
+  FROM ({_FEED}) f) t WHERE k = 1""")
+def feed_dedup(spark, sf_dir):
+    """Every link once, at its first position in the feed."""
+    return _report_events(FD.first_sighting(FD.with_link_hash(TB.feed_items(spark, sf_dir))))
+
+
+@register("feed_new_only", f"""
+SELECT poll_id, position, {_REPORT_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY md5(link) ORDER BY poll_id, position) AS k
+  FROM (SELECT * FROM (
+          SELECT *, row_number() OVER (PARTITION BY poll_id ORDER BY position) AS r FROM ({_FEED}) f)
+        WHERE r <= 5) c) t WHERE k = 1""")
+def feed_new_only(spark, sf_dir):
+    """O6 + J3 + A12: what the producer publishes over the whole feed history."""
+    return _report_events(FD.new_reports(TB.feed_items(spark, sf_dir)))
+
+
+def _event_records(spark, sf_dir) -> DataFrame:
+    """Topic records bound from ``events`` (topic = prefix + event type)."""
+    ev = TB.table(spark, sf_dir, "events")
+    topic = F.concat(F.lit("smartflood-"), F.col("event_type"))
+    return ev.select("event_id", "ts", topic.alias("topic"),
+                     F.col("event_id").cast("string").alias("key"),
+                     F.to_json(F.struct("event_id", "user_id", "value", "props")).alias("value"))
+
+
+@register("topic_route", """
+SELECT event_id, 'smartflood-' || event_type AS topic, event_type AS dataset,
+       CAST(event_id AS VARCHAR) AS key
+FROM events""")
+def topic_route(spark, sf_dir):
+    """Route every record to the dataset named by its topic."""
+    return PB.with_dataset(_event_records(spark, sf_dir)).select("event_id", "topic", "dataset", "key")
+
+
+@register("latest_per_topic", """
+SELECT 'smartflood-' || event_type AS topic, event_type AS dataset,
+       strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS event_time,
+       CAST(arg_max(event_id, ts) AS VARCHAR) AS key
+FROM events GROUP BY event_type""")
+def latest_per_topic(spark, sf_dir):
+    """Newest record of every topic (snapshot contents)."""
+    latest = PB.latest_per_topic(_event_records(spark, sf_dir), "ts")
+    return latest.select("topic", "dataset",
+                         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_time"), "key")
+
+
+@register("report_flatten", f"""
+SELECT doc_id, 'ID-' || doc_id || '-' || i AS pkey,
+  strftime(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(doc_id), '%Y-%m-%dT%H:%M:%SZ') AS created_at,
+  source, CASE WHEN lang = 'en' THEN 'confirmed' ELSE 'pending' END AS status,
+  CAST(length(line) % 100 AS BIGINT) AS flood_depth,
+  {Q.district_name_by_index('(doc_id + i) % 15 + 1')} AS kecamatan,
+  line AS text,
+  {Q.D(112.6)} + (doc_id % 100) / 1000 AS lon,
+  {Q.D(-7.2)} - (i % 100) / 1000 AS lat
+FROM (SELECT doc_id, source, lang, UNNEST(string_split(text, chr(10))) AS line,
+             generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents) t""")
+def report_flatten(spark, sf_dir):
+    """Parse nested report documents and flatten every report."""
+    docs = AR.parse_report_documents(TB.report_documents(spark, sf_dir), "json")
+    return ingest.flatten_reports(docs.drop("json"), doc_col="doc")
+
+
+_DOC_SQL = f"""
+SELECT scenario_id, CAST(row_number() OVER (PARTITION BY scenario_id ORDER BY probability_r1 DESC, district) AS INTEGER) AS position,
+  observed_text AS waktu, rain_mm AS curah_hujan, temp_c AS suhu, wind_ms AS angin,
+  district AS "Kecamatan", status AS "Status", probability_r1 AS "Probabilitas",
+  depth_m AS "Tinggi_Genangan_m", people_affected AS "Penduduk_Terdampak", lead_time_h AS "Lead_Time_jam"
+FROM (SELECT *, {Q.rnd('probability', 1)} AS probability_r1 FROM ({Q.scored(Q.SCENARIOS, BATCH)}) s) t"""
+
+
+@register("result_document", _DOC_SQL)
+def result_document(spark, sf_dir):
+    """Nested result document per scenario, rendered to JSON
+    and parsed back into rows."""
+    from tidewatch import schemas as S
+    from tidewatch.operators import scoring as SCR
+    from tidewatch.sources.districts import districts, DISTRICT_COUNT
+
+    scored = SCR.score(event_scenarios(spark, sf_dir), districts(spark), "batch",
+                       district_rows=DISTRICT_COUNT)
+    docs = report.result_documents(scored)
+    parsed = docs.select("scenario_id", F.from_json(F.to_json("document"), S.RESULT_DOCUMENT).alias("d"))
+    rows = parsed.select("scenario_id", "d.cuaca_referensi",
+                         F.posexplode("d.prediksi_kecamatan").alias("i", "p"))
+    return rows.select(
+        "scenario_id", (F.col("i") + 1).cast("int").alias("position"),
+        F.col("cuaca_referensi.waktu").alias("waktu"),
+        F.col("cuaca_referensi.curah_hujan").alias("curah_hujan"),
+        F.col("cuaca_referensi.suhu").alias("suhu"),
+        F.col("cuaca_referensi.angin").alias("angin"),
+        "p.Kecamatan", "p.Status", "p.Probabilitas", "p.Tinggi_Genangan_m",
+        "p.Penduduk_Terdampak", "p.Lead_Time_jam")
+
+
+@register("result_roundtrip", _BATCH)
+def result_roundtrip(spark, sf_dir):
+    """Batch results written as JSON lines (replace) and read back."""
+    from tidewatch import schemas as S
+    from tidewatch.session import scratch_path
+    from pyspark.sql import types as T
+
+    path = scratch_path(spark, "results")
+    SP.batch_scores(spark, event_scenarios(spark, sf_dir)).write.mode("overwrite").json(path)
+    schema = T.StructType([T.StructField("scenario_id", T.LongType())] + S.BATCH_RESULT.fields)
+    return spark.read.schema(schema).json(path)

@@ -151,3 +151,37 @@ def live_proxies(scenarios_sql: str) -> str:
 SELECT * REPLACE (COALESCE(rain_3day_mm, rain_mm * {D(1.5)} + {D(20.0)}) AS rain_3day_mm,
                   COALESCE(sunshine_h, CASE WHEN rain_mm > {D(10.0)} THEN {D(4.0)} ELSE {D(8.0)} END) AS sunshine_h)
 FROM ({scenarios_sql}) s"""
+
+
+def band(x: str, hi, lo, higher_is_worse: bool = True) -> str:
+    if higher_is_worse:
+        return (f"CASE WHEN {x} > {hi} THEN 'danger' WHEN {x} > {lo} THEN 'warn' "
+                f"ELSE 'safe' END")
+    return f"CASE WHEN {x} <= {hi} THEN 'danger' WHEN {x} <= {lo} THEN 'warn' ELSE 'safe' END"
+
+
+def fixed(x: str, places: int) -> str:
+    return f"printf('%.{places}f', {rnd(x, places)})"
+
+
+def thousands(x: str) -> str:
+    return f"format('{{:,}}', CAST({x} AS BIGINT))"
+
+
+# What-if scenarios bound from `events` (mirrors testbind.what_if_inputs).
+WHAT_IF = f"""
+SELECT event_id AS scenario_id, 'Surabaya' AS location, 'Mode Simulasi Manual' AS observed_text,
+  CAST(CAST(trunc(value) AS BIGINT) % 201 AS DOUBLE) AS rain_mm,
+  CAST(55 + event_id % 46 AS BIGINT) AS humidity_pct,
+  24 + (user_id % 121) / 10 AS temp_c,
+  1 + (event_id % 291) / 10 AS wind_ms,
+  CAST(1 + user_id % 12 AS INTEGER) AS month,
+  CAST((user_id * 7 + event_id) % 301 AS DOUBLE) AS rain_3day_mm,
+  (event_id % 121) / 10 AS sunshine_h
+FROM events"""
+
+
+def district_name_by_index(expr: str) -> str:
+    from tidewatch.sources.districts import DISTRICT_ROWS
+    arr = ", ".join(sq(r[0]) for r in DISTRICT_ROWS)
+    return f"([{arr}])[{expr}]"

@@ -59,11 +59,13 @@ def district_codes(names=None) -> dict[str, int]:
 
 
 def districts(spark: SparkSession, location: str = CITY) -> DataFrame:
-    """The district dimension as a small local DataFrame."""
+    """The district dimension as an inline (JVM-side) VALUES relation."""
     codes = district_codes()
-    rows = [(location, n, e, c, a, p, k, s, f, codes[n])
-            for (n, e, c, a, p, k, s, f) in DISTRICT_ROWS]
-    return spark.createDataFrame(rows, DISTRICT_SCHEMA)
+    rows = ", ".join(
+        f"('{location}', '{n}', {e!r}D, {c!r}D, {a!r}D, {p}L, {k!r}D, {s!r}D, {f}L, {codes[n]})"
+        for (n, e, c, a, p, k, s, f) in DISTRICT_ROWS)
+    cols = ", ".join(f.name for f in DISTRICT_SCHEMA.fields)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS d({cols})")
 
 
 def districts_sql_values(location: str = CITY) -> str:

@@ -131,3 +131,59 @@ def classifier_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(1) - F.col("quality")).cast("int").alias("y"),
         ((F.col("n_chars") % 101) / F.lit(100)).alias("score"),
     )
+
+
+def what_if_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manual what-if inputs, one per event, spanning the dashboard's input
+    ranges (rain 0-200, 3-day rain 0-300, humidity 55-100, temperature
+    24-36, wind 1-30, sunshine 0-12, any month)."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select(
+        F.col("event_id").alias("scenario_id"),
+        (F.col("value").cast("bigint") % 201).cast("double").alias("rain_mm"),
+        (F.lit(55) + F.col("event_id") % 46).alias("humidity_pct"),
+        (F.lit(24) + (F.col("user_id") % 121) / F.lit(10)).alias("temp_c"),
+        (F.lit(1) + (F.col("event_id") % 291) / F.lit(10)).alias("wind_ms"),
+        (F.lit(1) + F.col("user_id") % 12).cast("int").alias("month"),
+        ((F.col("user_id") * 7 + F.col("event_id")) % 301).cast("double").alias("rain_3day_mm"),
+        ((F.col("event_id") % 121) / F.lit(10)).alias("sunshine_h"),
+    )
+
+
+REPORT_EPOCH = dt.datetime(2024, 1, 1)
+
+
+def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested report documents (disaster-map shape) built from ``documents``:
+    one document per text, one report per line of the whole text."""
+    from tidewatch.sources.districts import DISTRICT_ROWS
+
+    docs = table(spark, sf_dir, "documents")
+    names = F.array(*[F.lit(r[0]) for r in DISTRICT_ROWS])
+    created = F.date_format(F.timestamp_add("MINUTE", F.col("doc_id"), F.lit(REPORT_EPOCH)),
+                            "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+    def geometry(line, i):
+        n = i + 1
+        return F.struct(
+            F.struct(
+                F.concat(F.lit("ID-"), F.col("doc_id").cast("string"), F.lit("-"),
+                         n.cast("string")).alias("pkey"),
+                created.alias("created_at"),
+                F.col("source").alias("source"),
+                F.when(F.col("lang") == "en", F.lit("confirmed")).otherwise(F.lit("pending"))
+                .alias("status"),
+                F.struct((F.length(line) % 100).cast("bigint").alias("flood_depth"),
+                         F.element_at(names, ((F.col("doc_id") + n) % len(DISTRICT_ROWS) + 1)
+                                      .cast("int")).alias("kecamatan")).alias("tags"),
+                line.alias("text"),
+            ).alias("properties"),
+            F.struct(F.array(dbl(112.6) + (F.col("doc_id") % 100) / F.lit(1000),
+                             dbl(-7.2) - (n % 100) / F.lit(1000)).alias("coordinates"))
+            .alias("geometry"),
+        )
+
+    geoms = F.transform(F.split(F.col("text"), "\n"), geometry)
+    doc = F.struct(F.struct(F.struct(F.struct(geoms.alias("geometries")).alias("output"))
+                            .alias("objects")).alias("result"))
+    return docs.select("doc_id", F.to_json(doc).alias("json"))
