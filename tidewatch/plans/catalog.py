@@ -374,3 +374,199 @@ def result_roundtrip(spark, sf_dir):
     SP.batch_scores(spark, event_scenarios(spark, sf_dir)).write.mode("overwrite").json(path)
     schema = T.StructType([T.StructField("scenario_id", T.LongType())] + S.BATCH_RESULT.fields)
     return spark.read.schema(schema).json(path)
+
+
+# -------------------------------------------- history, labels, training ---
+
+from tidewatch.operators import evaluation as EV  # noqa: E402
+from tidewatch.operators import timeseries as TS  # noqa: E402
+from tidewatch.plans import training as TR  # noqa: E402
+
+
+def _day(c: str = "date"):
+    return F.date_format(c, "yyyy-MM-dd").alias(c)
+
+
+def _sday(c: str = "date") -> str:
+    return f"strftime({c}, '%Y-%m-%d') AS {c}"
+
+
+def labelled(spark, sf_dir) -> DataFrame:
+    return TS.labelled_days(TB.daily_weather(spark, sf_dir), TB.confirmed_flood_dates(spark, sf_dir),
+                            TB.FLOOD_DATE_COUNT)
+
+
+def matrix(spark, sf_dir) -> DataFrame:
+    return TR.training_matrix(spark, TB.daily_weather(spark, sf_dir),
+                              TB.confirmed_flood_dates(spark, sf_dir),
+                              flood_dates_rows=TB.FLOOD_DATE_COUNT)
+
+
+@register("rain_3day", f"SELECT location, {_sday()}, rain_mm, rain_3day_mm FROM ({Q.RAIN3}) r")
+def rain_3day(spark, sf_dir):
+    """Trailing three-calendar-day rain total per location."""
+    d = TS.rolling_sum_days(TB.daily_weather(spark, sf_dir), "rain_mm", "rain_3day_mm")
+    return d.select("location", _day(), "rain_mm", "rain_3day_mm")
+
+
+@register("flood_label", f"""
+SELECT location, {_sday()}, rain_mm, rain_3day_mm, confirmed, flood, month, wet_season
+FROM ({Q.LABELLED}) l""")
+def flood_label(spark, sf_dir):
+    """Daily flood label (3-day rain > 80 mm or confirmed)."""
+    return labelled(spark, sf_dir).select("location", _day(), "rain_mm", "rain_3day_mm",
+                                          "confirmed", "flood", "month", "wet_season")
+
+
+@register("dataset_profile", f"""
+SELECT count(*) AS days, count(*) FILTER (WHERE rain_mm > 0) AS rainy_days, max(rain_mm) AS max_rain_mm,
+       strftime(min(date), '%Y-%m-%d') AS first_date, strftime(max(date), '%Y-%m-%d') AS last_date,
+       CAST(sum(flood) AS BIGINT) AS flood_days
+FROM ({Q.LABELLED}) l""")
+def dataset_profile(spark, sf_dir):
+    """Days, rainy days, max rain, flood days, date range."""
+    p = kpi.dataset_profile(None, labelled(spark, sf_dir))
+    return p.withColumns({"first_date": F.date_format("first_date", "yyyy-MM-dd"),
+                          "last_date": F.date_format("last_date", "yyyy-MM-dd")})
+
+
+_MATRIX_COLS = ["district", *TR.FEATURES, "label"]
+
+
+@register("training_matrix", f"SELECT {_sday()}, {', '.join(_MATRIX_COLS)} FROM ({Q.MATRIX}) m")
+def training_matrix(spark, sf_dir):
+    """Labelled days x districts with the ordered features."""
+    return matrix(spark, sf_dir).select(_day(), *_MATRIX_COLS)
+
+
+@register("time_split", f"""
+SELECT {_sday()}, CASE WHEN row_number() OVER (ORDER BY date)
+    > count(*) OVER () - CAST(ceil(count(*) OVER () * 0.2::DOUBLE) AS BIGINT) THEN 'test' ELSE 'train' END AS role
+FROM (SELECT DISTINCT date FROM ({Q.DAILY}) d) x""")
+def time_split(spark, sf_dir):
+    """Chronological hold-out, last 20 % of the dates."""
+    return TS.chronological_split(TB.daily_weather(spark, sf_dir).select("date")).select(_day(), "role")
+
+
+@register("time_folds", f"""
+SELECT {_sday()}, tile, CAST(fold AS INTEGER) AS fold,
+       CASE WHEN fold = tile - 1 THEN 'test' ELSE 'train' END AS role
+FROM ({Q.tiles(Q.DAILY, 6)}) t, range(1, 6) r(fold) WHERE fold >= tile - 1""")
+def time_folds(spark, sf_dir):
+    """Expanding five-fold time-series split on dates."""
+    f = TS.time_series_folds(TB.daily_weather(spark, sf_dir).select("date"))
+    return f.select(_day(), "tile", "fold", "role")
+
+
+_CLS = """
+SELECT l.doc_id, CAST(1 - quality AS INTEGER) AS y, (n_chars % 101) / 100 AS score
+FROM labels l JOIN documents d ON l.doc_id = d.doc_id"""
+
+
+def _ratio(a: str, b: str) -> str:
+    return f"COALESCE(CAST({a} AS DOUBLE) / NULLIF(CAST({b} AS DOUBLE), 0.0), 0.0)"
+
+
+_CC = f"""
+SELECT count(*) FILTER (WHERE y = 1 AND pred = 1) AS tp, count(*) FILTER (WHERE y = 0 AND pred = 1) AS fp,
+       count(*) FILTER (WHERE y = 1 AND pred = 0) AS fn, count(*) FILTER (WHERE y = 0 AND pred = 0) AS tn
+FROM (SELECT y, CAST(score >= {Q.D(EV.DECISION_THRESHOLD)} AS INTEGER) AS pred FROM ({_CLS}) c) p"""
+
+
+def _cls_row(label: int, hit: str, fpos: str, miss: str) -> str:
+    p, r = _ratio(hit, f"{hit} + {fpos}"), _ratio(hit, f"{hit} + {miss}")
+    return (f"SELECT {label} AS class, '{EV.CLASS_NAMES[label]}' AS name, {p} AS precision, {r} AS recall, "
+            f"{_ratio(f'2.0::DOUBLE * ({p}) * ({r})', f'({p}) + ({r})')} AS f1, "
+            f"{hit} + {miss} AS support, {hit} AS correct FROM cc")
+
+
+_REPORT = f"WITH cc AS ({_CC}) {_cls_row(0, 'tn', 'fn', 'fp')} UNION ALL {_cls_row(1, 'tp', 'fp', 'fn')}"
+
+
+@register("confusion_report", _REPORT)
+def confusion_report(spark, sf_dir):
+    """Per-class precision / recall / F1 / support at threshold 0.465."""
+    return EV.class_report(EV.predict(TB.classifier_scores(spark, sf_dir)))
+
+
+def _avg_rows() -> str:
+    w = lambda m: f"({m}0 * s0 + {m}1 * s1) / CAST(total AS DOUBLE)"
+    mc = lambda m: f"({m}0 + {m}1) / 2.0::DOUBLE"
+    return f"""
+WITH r AS ({_REPORT}),
+a AS (SELECT CAST(sum(support) AS BIGINT) AS total, sum(correct) AS correct,
+  {', '.join(f'sum(CASE WHEN class = {k} THEN {m} END) AS {m}{k}' for m in ('precision', 'recall', 'f1') for k in (0, 1))},
+  {', '.join(f'sum(CASE WHEN class = {k} THEN support END) AS s{k}' for k in (0, 1))}
+  FROM r)
+SELECT 'accuracy' AS average, CAST(NULL AS DOUBLE) AS precision, CAST(NULL AS DOUBLE) AS recall,
+       CAST(correct AS DOUBLE) / CAST(total AS DOUBLE) AS f1, total AS support FROM a
+UNION ALL SELECT 'macro avg', {mc('precision')}, {mc('recall')}, {mc('f1')}, total FROM a
+UNION ALL SELECT 'weighted avg', {w('precision')}, {w('recall')}, {w('f1')}, total FROM a"""
+
+
+@register("report_averages", _avg_rows())
+def report_averages(spark, sf_dir):
+    """Accuracy, macro and weighted averages of the class report."""
+    return EV.report_averages(EV.class_report(EV.predict(TB.classifier_scores(spark, sf_dir))))
+
+
+@register("auc_rank_sum", Q.auc_sql(_CLS))
+def auc_rank_sum(spark, sf_dir):
+    """Exact ROC AUC (rank sum with mid-ranks)."""
+    return EV.auc(TB.classifier_scores(spark, sf_dir))
+
+
+_ROC = f"""
+SELECT score AS threshold, "P" - pos_below AS tp, "N" - neg_below AS fp,
+  {_ratio('"P" - pos_below', '"P"')} AS tpr, {_ratio('"N" - neg_below', '"N"')} AS fpr
+FROM ({Q.score_counts_sql(_CLS)}) c"""
+
+
+@register("roc_curve", _ROC)
+def roc_curve(spark, sf_dir):
+    """Cumulative true / false positives per threshold."""
+    return EV.roc_curve(TB.classifier_scores(spark, sf_dir))
+
+
+_FB = f"""
+SELECT threshold, fbeta, precision, recall FROM (
+  SELECT *, {_ratio('(1.0::DOUBLE + 2.25::DOUBLE) * precision * recall', '2.25::DOUBLE * precision + recall')} AS fbeta
+  FROM (SELECT *, {_ratio('tp', 'tp + fp')} AS precision, tpr AS recall FROM ({_ROC}) r) x) y
+ORDER BY fbeta DESC, threshold ASC LIMIT 1"""
+
+
+@register("best_fbeta", _FB)
+def best_fbeta(spark, sf_dir):
+    """Threshold maximising F-beta (beta = 1.5)."""
+    return EV.best_threshold(EV.roc_curve(TB.classifier_scores(spark, sf_dir)))
+
+
+_FOLD_TEST = f"""
+SELECT m.*, label AS y, t.tile - 1 AS fold FROM ({Q.index_score(Q.MATRIX)}) m
+JOIN ({Q.tiles(Q.DAILY, 6)}) t ON m.date = t.date WHERE t.tile >= 2"""
+
+_FOLD_METRICS = f"""
+WITH a AS ({Q.auc_sql(_FOLD_TEST, 'fold')}),
+cc AS (SELECT fold, count(*) FILTER (WHERE y = 1 AND pred = 1) AS tp, count(*) FILTER (WHERE y = 0 AND pred = 1) AS fp,
+        count(*) FILTER (WHERE y = 1 AND pred = 0) AS fn, count(*) FILTER (WHERE y = 0 AND pred = 0) AS tn
+       FROM (SELECT fold, y, CAST(score >= {Q.D(EV.DECISION_THRESHOLD)} AS INTEGER) AS pred FROM ({_FOLD_TEST}) f) p
+       GROUP BY fold),
+m AS (SELECT fold, {_ratio('tp + tn', 'tp + fp + fn + tn')} AS accuracy,
+        {_ratio('2.0::DOUBLE * (' + _ratio('tp', 'tp + fp') + ') * (' + _ratio('tp', 'tp + fn') + ')',
+                '(' + _ratio('tp', 'tp + fp') + ') + (' + _ratio('tp', 'tp + fn') + ')')} AS f1 FROM cc)
+SELECT CAST(a.fold AS INTEGER) AS fold, auc, accuracy, f1 FROM a JOIN m ON a.fold = m.fold"""
+
+
+@register("fold_metrics", _FOLD_METRICS)
+def fold_metrics(spark, sf_dir):
+    """M4 (index score): AUC, accuracy and F1 on every fold's test dates."""
+    return TR.fold_metrics(matrix(spark, sf_dir))
+
+
+@register("fold_summary", f"""
+SELECT count(*) AS folds,
+  {', '.join(f"{Q.rnd(f'avg({c})', 4)} AS {c}_mean, {Q.rnd(f'stddev_pop({c})', 4)} AS {c}_std" for c in ('auc', 'accuracy', 'f1'))}
+FROM ({_FOLD_METRICS}) f""")
+def fold_summary(spark, sf_dir):
+    """A10: fold mean and population standard deviation (4 places)."""
+    return EV.mean_std(TR.fold_metrics(matrix(spark, sf_dir)), ["auc", "accuracy", "f1"])

@@ -185,3 +185,79 @@ def district_name_by_index(expr: str) -> str:
     from tidewatch.sources.districts import DISTRICT_ROWS
     arr = ", ".join(sq(r[0]) for r in DISTRICT_ROWS)
     return f"([{arr}])[{expr}]"
+
+
+# Daily station weather bound from `lineitem` (mirrors testbind.daily_weather).
+DAILY = """
+SELECT 'Surabaya' AS location, date, GREATEST(_q % 500 - 100, 0) / 10 AS rain_mm,
+       55 + _n % 46 AS humidity_pct, 24 + (_ln % 121) / 10 AS temp_c,
+       1 + (_pk % 290) / 10 AS wind_ms, (_sk % 121) / 10 AS sunshine_h
+FROM (SELECT CAST(l_shipdate AS DATE) AS date, CAST(sum(l_quantity) AS BIGINT) AS _q,
+             count(*) AS _n, CAST(sum(l_linenumber) AS BIGINT) AS _ln,
+             CAST(sum(l_partkey) AS BIGINT) AS _pk, max(l_suppkey) AS _sk
+      FROM lineitem GROUP BY 1) li"""
+
+FLOOD_DATES = """
+SELECT date FROM (
+  SELECT CAST(o_orderdate AS DATE) AS date, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS v
+  FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1 ORDER BY v DESC, date LIMIT 30) f"""
+
+RAIN3 = f"""
+SELECT *, CAST(SUM(CAST(rain_mm AS DECIMAL(30,3))) OVER (PARTITION BY location ORDER BY date
+          RANGE BETWEEN INTERVAL 2 DAYS PRECEDING AND CURRENT ROW) AS DOUBLE) AS rain_3day_mm
+FROM ({DAILY}) d"""
+
+LABELLED = f"""
+SELECT r.*, CASE WHEN f.date IS NULL THEN 0 ELSE 1 END AS confirmed,
+       CAST(r.rain_3day_mm > 80.0::DOUBLE OR f.date IS NOT NULL AS INTEGER) AS flood,
+       CAST(month(r.date) AS INTEGER) AS month,
+       CAST(month(r.date) IN (11, 12, 1, 2, 3, 4) AS INTEGER) AS wet_season
+FROM ({RAIN3}) r LEFT JOIN ({FLOOD_DATES}) f ON r.date = f.date"""
+
+MATRIX = f"""
+SELECT date, district, rain_mm AS curah_hujan_mm, rain_3day_mm AS curah_hujan_3hari,
+  humidity_pct AS kelembaban_pct, temp_c AS suhu_c, wind_ms AS kecepatan_angin,
+  GREATEST(0, {r0(f'({D(8.0)} - sunshine_h) * LEAST(rain_mm / {D(20.0)}, {D(1.0)})')}) AS durasi_hujan_jam,
+  month AS bulan, wet_season AS musim_hujan, elevation_m AS elevasi_m, runoff_coef AS koef_limpasan,
+  flood_freq AS frekuensi_historis, district_code AS kecamatan_enc, flood AS label,
+  drainage_m3s, area_km2, population, coast_km
+FROM ({LABELLED}) l JOIN ({DISTRICTS}) d USING (location)"""
+
+
+def index_score(matrix_sql: str) -> str:
+    """Mirrors training.index_score (batch tide, river stage, excess)."""
+    rain, elev = "curah_hujan_mm", "elevasi_m"
+    tide = pos(f"{D(0.8)} - coast_km * {D(0.05)}")
+    excess = pos(f"koef_limpasan * ({rain} / {D(3600.0)}) * area_km2 * {D(1000.0)} - drainage_m3s")
+    stage = rnd(clip(f"{rain} / {D(25.0)} * ({D(1.0)} + ({D(5.0)} - {elev}) / {D(5.0)})", 0.2, 5.0), 2)
+    p = (f"LEAST({D(100.0)}, ({rain} * {D(0.25)} + {stage} * {D(0.20)} + ({D(10.0)} - {elev}) * {D(0.15)}"
+         f" + {excess} * {D(0.15)} + {tide} * {D(0.10)}) / {D(5.0)} * {D(100.0)})")
+    return f"SELECT *, {p} / {D(100.0)} AS score FROM ({matrix_sql}) m"
+
+
+def tiles(src_sql: str, n: int) -> str:
+    return f"SELECT date, CAST(ntile({n}) OVER (ORDER BY date) AS INTEGER) AS tile FROM (SELECT DISTINCT date FROM ({src_sql}) s) d"
+
+
+def score_counts_sql(scored_sql: str, by: str | None = None) -> str:
+    """Per distinct score: pos, neg and the pos/neg rows with a lower score."""
+    b = f"{by}, " if by else ""
+    part = f"PARTITION BY {by}" if by else ""
+    frame = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    return f"""
+SELECT *, COALESCE(sum(pos) OVER ({part} ORDER BY score {frame}), 0) AS pos_below,
+          COALESCE(sum(neg) OVER ({part} ORDER BY score {frame}), 0) AS neg_below,
+          sum(pos) OVER ({part}) AS "P", sum(neg) OVER ({part}) AS "N"
+FROM (SELECT {b}score, CAST(sum(y) AS BIGINT) AS pos, CAST(sum(1 - y) AS BIGINT) AS neg
+      FROM ({scored_sql}) s GROUP BY {b}score) c"""
+
+
+def auc_sql(scored_sql: str, by: str | None = None) -> str:
+    """Rank-sum AUC with mid-ranks, in integer arithmetic."""
+    b = f"{by}, " if by else ""
+    grp = f"GROUP BY {by}" if by else ""
+    return f"""
+SELECT {b}CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives,
+  CAST(sum(pos * (2 * (pos_below + neg_below) + pos + neg + 1)) - sum(pos) * (sum(pos) + 1) AS DOUBLE)
+    / (CAST(2 * sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc
+FROM ({score_counts_sql(scored_sql, by)}) r {grp}"""
