@@ -570,3 +570,68 @@ FROM ({_FOLD_METRICS}) f""")
 def fold_summary(spark, sf_dir):
     """A10: fold mean and population standard deviation (4 places)."""
     return EV.mean_std(TR.fold_metrics(matrix(spark, sf_dir)), ["auc", "accuracy", "f1"])
+
+
+# -------------------------------------------------------------- streaming ---
+
+from tidewatch.session import scratch_path  # noqa: E402
+from tidewatch.streaming import ingest as ST  # noqa: E402
+from tidewatch.streaming.scoring import score_weather_stream  # noqa: E402
+
+
+def _stream_of(spark, sf_dir, name):
+    schema = TB.table(spark, sf_dir, name).schema
+    return ST.files_stream(spark, sf_dir, schema, glob=f"{name}.parquet")
+
+
+def _event_records_stream(spark, sf_dir):
+    ev = _stream_of(spark, sf_dir, "events")
+    topic = F.concat(F.lit("smartflood-"), F.col("event_type"))
+    return ev.select("event_id", "ts", topic.alias("topic"),
+                     F.col("event_id").cast("string").alias("key"),
+                     F.to_json(F.struct("event_id", "user_id", "value", "props")).alias("value"))
+
+
+@register("stream_archive", ORACLE["topic_route"])
+def stream_archive(spark, sf_dir):
+    """Streamed topic records archived once per
+    dataset (file sink + checkpoint), read back."""
+    out, ck = scratch_path(spark, "archive"), scratch_path(spark, "archive-ck")
+    ST.run_to_end(ST.archive_records(_event_records_stream(spark, sf_dir), out, ck))
+    return spark.read.parquet(out).select("event_id", "topic", "dataset", "key")
+
+
+@register("stream_snapshot", ORACLE["latest_per_topic"])
+def stream_snapshot(spark, sf_dir):
+    """Newest record per topic kept by an idempotent foreachBatch sink."""
+    out, ck = scratch_path(spark, "snapshot"), scratch_path(spark, "snapshot-ck")
+    ST.run_to_end(ST.snapshot_latest(_event_records_stream(spark, sf_dir), out, ck, order_col="ts"))
+    snap = ST.read_snapshot(spark, out)
+    return snap.select("topic", "dataset",
+                       F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_time"), "key")
+
+
+@register("stream_dedup", """
+SELECT DISTINCT md5(regexp_extract(url, '^https?://([^/?#]+)', 1)) AS link_md5,
+       regexp_extract(url, '^https?://([^/?#]+)', 1) AS link
+FROM pages""")
+def stream_dedup(spark, sf_dir):
+    """Streamed feed items de-duplicated by link hash (state bounded
+    by a watermark on the poll time), read back."""
+    items = FD.with_link_hash(TB.pages_to_feed(_stream_of(spark, sf_dir, "pages")))
+    new = ST.dedup_keys(items, "link_md5", event_time="polled_at", horizon="3650 days")
+    out, ck = scratch_path(spark, "dedup"), scratch_path(spark, "dedup-ck")
+    ST.run_to_end(ST.start(new.select("link_md5", "link", "poll_id", "position"),
+                           sink="parquet", path=out, checkpoint=ck))
+    return spark.read.parquet(out).select("link_md5", "link")
+
+
+@register("stream_scores", ORACLE["batch_scores"])
+def stream_scores(spark, sf_dir):
+    """Every streamed weather event scored against all districts
+    (stream-static broadcast join), read back."""
+    weather = TB.events_to_weather(_stream_of(spark, sf_dir, "events"))
+    scored = score_weather_stream(spark, weather, month_col="month")
+    out, ck = scratch_path(spark, "scores"), scratch_path(spark, "scores-ck")
+    ST.run_to_end(ST.start(scored, sink="parquet", path=out, checkpoint=ck))
+    return spark.read.parquet(out)

@@ -35,7 +35,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def weather_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat weather events (reference event schema) plus ``event_id``,
     ``event_time`` and a ``month`` spread over the year."""
-    ev = table(spark, sf_dir, "events")
+    return events_to_weather(table(spark, sf_dir, "events"))
+
+
+def events_to_weather(ev: DataFrame) -> DataFrame:
+    """The weather binding as a DataFrame transform (static or streaming)."""
     return ev.select(
         F.col("event_id"),
         F.col("ts").alias("event_time"),
@@ -72,7 +76,11 @@ def raw_weather_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """News-feed items: each page is an item of a poll of 10 (feed order =
     page id); the link is the page's host so that links repeat."""
-    pages = table(spark, sf_dir, "pages")
+    return pages_to_feed(table(spark, sf_dir, "pages"))
+
+
+def pages_to_feed(pages: DataFrame) -> DataFrame:
+    """The feed binding as a DataFrame transform (static or streaming)."""
     poll = F.floor(F.col("page_id") / FEED_ITEMS_PER_POLL).cast("bigint")
     return pages.select(
         "page_id",
