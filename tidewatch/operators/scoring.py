@@ -55,12 +55,15 @@ def fill_live_proxies(scenarios: DataFrame) -> DataFrame:
 
 
 def score(scenarios: DataFrame, districts: DataFrame, variant: str | H.Variant = "batch", *,
-          probability: str | None = None, district_rows: int | None = DISTRICT_COUNT) -> DataFrame:
+          probability: str | None = None, district_rows: int | None = DISTRICT_COUNT,
+          probability_fn=None) -> DataFrame:
     """Score every scenario against every district of its location.
 
     ``probability``: name of a column (0-100) supplied by a model; when None
-    the index probability H14 is the provider.  ``district_rows`` is the known
-    size of the dimension (None: checked at run time before broadcasting).
+    the index probability H14 is the provider.  ``probability_fn`` is a
+    DataFrame -> DataFrame step (a fitted model, H15) that adds that column
+    to the scored rows.  ``district_rows`` is the known size of the dimension
+    (None: checked at run time before broadcasting).
     """
     v = H.VARIANTS[variant] if isinstance(variant, str) else variant
     rows = attach_dimension(scenarios, districts, "location", known_rows=district_rows,
@@ -71,6 +74,8 @@ def score(scenarios: DataFrame, districts: DataFrame, variant: str | H.Variant =
             "wet_season": H.wet_season(F.col("month")),
             "rain_duration_h": H.rain_duration(F.col("sunshine_h"), F.col("rain_mm")),
         })
+    if probability_fn is not None:
+        rows = probability_fn(rows)
     prob = F.col(probability) if probability else F.col("index_prob")
     rows = rows.withColumn("probability", prob)
     return rows.withColumn("status", status_label(F.col("probability")))

@@ -635,3 +635,65 @@ def stream_scores(spark, sf_dir):
     out, ck = scratch_path(spark, "scores"), scratch_path(spark, "scores-ck")
     ST.run_to_end(ST.start(scored, sink="parquet", path=out, checkpoint=ck))
     return spark.read.parquet(out)
+
+
+# ----------------------------------------------------------- Spark ML model ---
+
+_MODELS: dict = {}
+
+
+def trained_forest(spark, sf_dir):
+    """M3 + M7: fit the forest on the chronological training dates, save the
+    pipeline under the shared folder and load it back (cached per session)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        split = TS.chronological_split(matrix(spark, sf_dir))
+        model = TR.fit_forest(split.where(F.col("role") == "train").drop("role"))
+        path = scratch_path(spark, "forest")
+        TR.save_model(model, path)
+        _MODELS[key] = TR.load_model(path)
+    return _MODELS[key]
+
+
+@register("rf_scores")
+def rf_scores(spark, sf_dir):
+    """M2, M3, M6, M7: forest probability and 0.465 decision on the test dates."""
+    split = TS.chronological_split(matrix(spark, sf_dir))
+    test = split.where(F.col("role") == "test").drop("role")
+    scored = TR.model_probability(trained_forest(spark, sf_dir), test)
+    out = EV.predict(scored.withColumn("p", F.col("model_prob") / 100.0), score="p")
+    return out.select(_day(), "district", "label", "model_prob", "pred")
+
+
+@register("rf_evaluation")
+def rf_evaluation(spark, sf_dir):
+    """M2 + A7 on the hold-out dates: class report of the forest decisions."""
+    sc = rf_scores(spark, sf_dir).select(F.col("label").alias("y"), "pred")
+    return EV.class_report(sc)
+
+
+@register("rf_auc")
+def rf_auc(spark, sf_dir):
+    """A9 on the hold-out dates: AUC of the forest probabilities."""
+    sc = rf_scores(spark, sf_dir).select(F.col("label").alias("y"),
+                                         (F.col("model_prob") / 100.0).alias("score"))
+    return EV.auc(sc)
+
+
+@register("rf_importance")
+def rf_importance(spark, sf_dir):
+    """M5: feature importance ranking of the fitted forest (12 rows)."""
+    from pyspark.sql import types as T
+    imp = TR.feature_importance(trained_forest(spark, sf_dir))
+    rows = [(i + 1, f, float(v)) for i, (f, v) in enumerate(imp)]
+    return spark.createDataFrame(rows, T.StructType([
+        T.StructField("rank", T.IntegerType()), T.StructField("feature", T.StringType()),
+        T.StructField("importance", T.DoubleType())]))
+
+
+@register("model_dashboard_scores")
+def model_dashboard_scores(spark, sf_dir):
+    """H15 + E3: dashboard scoring of every weather event with the forest."""
+    risk = SP.model_dashboard_risk(spark, event_scenarios(spark, sf_dir), trained_forest(spark, sf_dir))
+    from tidewatch.operators import scoring as SCR
+    return SCR.dashboard_result(risk)

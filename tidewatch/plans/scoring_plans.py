@@ -30,11 +30,26 @@ def dashboard_scores(spark: SparkSession, scenarios: DataFrame, dims: DataFrame
 
 
 def dashboard_risk(spark: SparkSession, scenarios: DataFrame, dims: DataFrame | None = None,
-                   probability: str | None = None, district_rows: int | None = None) -> DataFrame:
+                   probability: str | None = None, district_rows: int | None = None,
+                   probability_fn=None) -> DataFrame:
     dims, n = (districts(spark), len(_rows())) if dims is None else (dims, district_rows)
     sc = scoring.fill_live_proxies(scenarios)
     return scoring.add_risk_score(
-        scoring.score(sc, dims, "dashboard", probability=probability, district_rows=n))
+        scoring.score(sc, dims, "dashboard", probability=probability, district_rows=n,
+                      probability_fn=probability_fn))
+
+
+def model_dashboard_risk(spark: SparkSession, scenarios: DataFrame, model,
+                         dims: DataFrame | None = None, district_rows: int | None = None) -> DataFrame:
+    """E3 with the classifier as the probability provider (H15, M2): the
+    fitted pipeline scores every scenario x district row in one transform."""
+    from tidewatch.plans import training as TR
+
+    def apply(rows: DataFrame) -> DataFrame:
+        return TR.model_probability(model, TR.dashboard_features(rows))
+
+    return dashboard_risk(spark, scenarios, dims, probability="model_prob",
+                          district_rows=district_rows, probability_fn=apply)
 
 
 def latest_batch_job(spark: SparkSession, weather: DataFrame, order_col: str = "timestamp",
