@@ -15,8 +15,13 @@ from tidewatch.functions.numeric import ColumnOrName, col_, rnd
 
 
 def fixed(x: ColumnOrName, places: int) -> Column:
-    """``f"{x:.{places}f}"`` with half-to-even rounding."""
-    return F.format_string(f"%.{places}f", rnd(x, places))
+    """``f"{x:.{places}f}"`` with half-to-even rounding.
+
+    The value is rounded with ``rint`` and rendered through a DECIMAL of the
+    same scale, which stays in generated code (``format_string`` calls
+    ``java.util.Formatter`` per row).  For non-negative values the text is
+    the same as ``%.Nf``."""
+    return rnd(x, places).cast(f"decimal(38,{places})").cast("string")
 
 
 def thousands(x: ColumnOrName) -> Column:

@@ -19,6 +19,21 @@ BROADCAST_MAX_ROWS = 200_000
 SALT_BUCKETS = 64
 
 
+def spread_for_fanout(facts: DataFrame) -> DataFrame:
+    """Make sure a fan-out join (every fact row -> one row per district) runs
+    on at least the cluster's parallelism.  Large inputs already arrive in
+    many scan partitions and are left alone (no shuffle); a small input that
+    would otherwise expand inside a handful of tasks is spread round-robin.
+    Round-robin assignment is deterministic per input partition, so a retried
+    task rebuilds the same rows."""
+    if facts.isStreaming:
+        return facts
+    dp = facts.sparkSession.sparkContext.defaultParallelism
+    if facts.rdd.getNumPartitions() >= dp:
+        return facts
+    return facts.repartition(dp)
+
+
 def bounded_rows(df: DataFrame, max_rows: int) -> int:
     """Row count of ``df`` if it is at most ``max_rows``, else ``max_rows + 1``."""
     return df.limit(max_rows + 1).count()
@@ -28,9 +43,12 @@ def attach_dimension(facts: DataFrame, dim: DataFrame, on: str | list[str], *,
                      known_rows: int | None = None,
                      max_rows: int = BROADCAST_MAX_ROWS,
                      salt_key: str | None = None,
-                     salt_buckets: int = SALT_BUCKETS) -> DataFrame:
-    """Inner equi-join of a fact table with a (usually small) dimension."""
+                     salt_buckets: int = SALT_BUCKETS, spread: bool = False) -> DataFrame:
+    """Inner equi-join of a fact table with a (usually small) dimension.
+    ``spread``: the join multiplies rows (``spread_for_fanout``)."""
     keys = [on] if isinstance(on, str) else list(on)
+    if spread:
+        facts = spread_for_fanout(facts)
     n = known_rows if known_rows is not None else bounded_rows(dim, max_rows)
     if n <= max_rows:
         return facts.join(F.broadcast(dim), keys, "inner")

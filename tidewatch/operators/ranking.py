@@ -17,8 +17,15 @@ from pyspark.sql import functions as F
 
 def colocate_scenarios(scenarios: DataFrame, key: str = "scenario_id") -> DataFrame:
     """Hash-partition scenario rows once so later per-scenario windows and
-    aggregates over the scored rows reuse this partitioning."""
-    return scenarios.repartition(key)
+    aggregates over the scored rows reuse this partitioning.  The partition
+    count is explicit (never below the cluster's parallelism), so adaptive
+    execution does not coalesce the narrow scenario rows into a few tasks
+    that would then carry the 15x larger scored rows."""
+    if scenarios.isStreaming:
+        return scenarios
+    n = max(scenarios.rdd.getNumPartitions(),
+            scenarios.sparkSession.sparkContext.defaultParallelism)
+    return scenarios.repartition(n, key)
 
 
 def rank_within(df: DataFrame, by, order: list[Column], name: str = "rank") -> DataFrame:
@@ -42,14 +49,18 @@ def sorted_by(df: DataFrame, by, value: str, *, descending: bool, tie: str = "di
 
 def metric_series(risk: DataFrame, metrics: dict[str, str], by=("scenario_id",)) -> DataFrame:
     """O3: the ascending chart order of every metric, long format
-    ``(scenario, series, position, district, value)``."""
+    ``(scenario, series, position, district, value)``.  Window keys are
+    integers (series index, alphabetical district code) so the sort stays on
+    fixed-width prefixes; names are attached after ranking."""
+    names = list(metrics)
     stacked = risk.select(
-        *by, "district",
-        F.explode(F.array(*[F.struct(F.lit(s).alias("series"), F.col(c).cast("double").alias("value"))
-                            for s, c in metrics.items()])).alias("m"))
-    stacked = stacked.select(*by, "district", "m.series", "m.value")
-    return rank_within(stacked, [*by, "series"], [F.col("value").asc(), F.col("district").asc()],
-                       "position")
+        *by, "district", "district_code",
+        F.posexplode(F.array(*[F.col(c).cast("double") for c in metrics.values()]))
+        .alias("series_no", "value"))
+    ranked = rank_within(stacked, [*by, "series_no"],
+                         [F.col("value").asc(), F.col("district_code").asc()], "position")
+    series = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("series_no") + 1)
+    return ranked.select(*by, "district", series.alias("series"), "value", "position")
 
 
 def latest_by(df: DataFrame, order_col: str, tie_col: str | None = None) -> DataFrame:

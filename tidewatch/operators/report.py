@@ -48,7 +48,9 @@ def top5_note() -> F.Column:
 
 
 def priority_order():
-    return [F.col("risk_score").desc(), F.col("probability").desc(), F.col("district").asc()]
+    """Composite score descending; ties by probability, then district name
+    (``district_code`` is the alphabetical code, an integer sort key)."""
+    return [F.col("risk_score").desc(), F.col("probability").desc(), F.col("district_code").asc()]
 
 
 def top5_priority(risk: DataFrame, by=("scenario_id",), k: int = 5) -> DataFrame:
@@ -74,12 +76,9 @@ def display_table(result: DataFrame, keep=("scenario_id", "Kecamatan")) -> DataF
     """the detail table as display strings with units."""
     cols = []
     for c, (places, unit) in DISPLAY_UNITS.items():
-        if places is None:
-            txt = F.format_string("%d" + unit, F.col(f"`{c}`"))
-        else:
-            txt = F.format_string(f"%.{places}f" + unit.replace("%", "%%"),
-                                  F.rint(F.col(f"`{c}`") * F.lit(float(10 ** places))) / F.lit(float(10 ** places)))
-        cols.append(txt.alias(c))
+        num = (F.col(f"`{c}`").cast("string") if places is None
+               else fixed(F.col(f"`{c}`"), places))
+        cols.append(F.concat(num, F.lit(unit)).alias(c))
     return result.select(*keep, *cols)
 
 

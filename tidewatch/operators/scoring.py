@@ -67,7 +67,7 @@ def score(scenarios: DataFrame, districts: DataFrame, variant: str | H.Variant =
     """
     v = H.VARIANTS[variant] if isinstance(variant, str) else variant
     rows = attach_dimension(scenarios, districts, "location", known_rows=district_rows,
-                            salt_key="scenario_id")
+                            salt_key="scenario_id", spread=True)
     rows = H.add_hydrology(rows, v)
     if v.seasonal_tide:
         rows = rows.withColumns({

@@ -347,8 +347,8 @@ def result_document(spark, sf_dir):
     from tidewatch.operators import scoring as SCR
     from tidewatch.sources.districts import districts, DISTRICT_COUNT
 
-    scored = SCR.score(event_scenarios(spark, sf_dir), districts(spark), "batch",
-                       district_rows=DISTRICT_COUNT)
+    scored = SCR.score(ranking.colocate_scenarios(event_scenarios(spark, sf_dir)),
+                       districts(spark), "batch", district_rows=DISTRICT_COUNT)
     docs = report.result_documents(scored)
     parsed = docs.select("scenario_id", F.from_json(F.to_json("document"), S.RESULT_DOCUMENT).alias("d"))
     rows = parsed.select("scenario_id", "d.cuaca_referensi",
