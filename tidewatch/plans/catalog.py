@@ -631,7 +631,8 @@ def stream_scores(spark, sf_dir):
     """Every streamed weather event scored against all districts
     (stream-static broadcast join), read back."""
     weather = TB.events_to_weather(_stream_of(spark, sf_dir, "events"))
-    scored = score_weather_stream(spark, weather, month_col="month")
+    scored = score_weather_stream(spark, weather, month_col="month",
+                                  partitions=spark.sparkContext.defaultParallelism)
     out, ck = scratch_path(spark, "scores"), scratch_path(spark, "scores-ck")
     ST.run_to_end(ST.start(scored, sink="parquet", path=out, checkpoint=ck))
     return spark.read.parquet(out)

@@ -28,16 +28,11 @@ def read_tolerant(spark: SparkSession, path: str, schema: T.StructType, *,
                   multiline: bool = False) -> DataFrame:
     """Absent or malformed input is "no data", not a failure.
 
-    Malformed records land in ``_corrupt_record`` and are filtered out; a
+    Malformed records are dropped by the JSON reader (``DROPMALFORMED``); a
     missing path yields an empty DataFrame with the schema."""
-    full = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     try:
-        df = (spark.read.schema(full).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT)
+        df = (spark.read.schema(schema).option("mode", "DROPMALFORMED")
               .option("multiLine", multiline).json(path))
-        # Spark refuses a query that only references the corrupt column of a
-        # raw JSON scan unless the parsed rows are materialised first.
-        df = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
         df.schema  # noqa: B018  (resolve now: a missing path raises here)
         return df
     except Exception as e:  # noqa: BLE001
@@ -46,6 +41,14 @@ def read_tolerant(spark: SparkSession, path: str, schema: T.StructType, *,
         raise
 
 
+def read_rejects(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The malformed records of a JSON input, for a reject report."""
+    full = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+    df = (spark.read.schema(full).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", CORRUPT).json(path))
+    return df.where(F.col(CORRUPT).isNotNull()).select(*schema.fieldNames(), CORRUPT)
+
+
 def read_weather_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """S3: newest weather snapshot (0 or 1 row)."""
     return read_tolerant(spark, path, S.WEATHER_EVENT)

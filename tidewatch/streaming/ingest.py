@@ -40,9 +40,11 @@ def kafka_stream(spark: SparkSession, servers: str, topics: list[str],
 
 def files_stream(spark: SparkSession, directory: str, schema: T.StructType, *,
                  glob: str | None = None, fmt: str = "parquet",
-                 max_files_per_trigger: int | None = None) -> DataFrame:
+                 max_files_per_trigger: int | None = None, recursive: bool = False) -> DataFrame:
     """A file-backed stream with an explicit schema (tests and replays)."""
     r = spark.readStream.schema(schema).format(fmt)
+    if recursive:
+        r = r.option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:
