@@ -698,3 +698,91 @@ def model_dashboard_scores(spark, sf_dir):
     risk = SP.model_dashboard_risk(spark, event_scenarios(spark, sf_dir), trained_forest(spark, sf_dir))
     from tidewatch.operators import scoring as SCR
     return SCR.dashboard_result(risk)
+
+
+# ------------------------------------------------ archive scan and publish ---
+
+_WEATHER_COLS = ["timestamp", "suhu_c", "kelembaban_pct", "curah_hujan_mm", "kecepatan_angin_ms", "lokasi"]
+
+
+@register("archive_sql_latest", f"""
+SELECT curah_hujan_mm, kelembaban_pct, suhu_c, kecepatan_angin_ms, "timestamp"
+FROM ({Q.WEATHER}) w ORDER BY "timestamp" DESC, event_id DESC LIMIT 1""")
+def archive_sql_latest(spark, sf_dir):
+    """Weather events archived as JSON files, scanned back by
+    glob with an explicit schema, registered as a view and queried with SQL
+    (newest by the event's own time text, ties by event id)."""
+    from pyspark.sql import types as T
+    from tidewatch import schemas as S
+    path = scratch_path(spark, "weather-archive")
+    TB.weather_events(spark, sf_dir).select("event_id", *_WEATHER_COLS).write.json(path)
+    schema = T.StructType([T.StructField("event_id", T.LongType())] + S.WEATHER_EVENT.fields)
+    view = "cuaca_archive"
+    spark.read.schema(schema).json(f"{path}/*.json").createOrReplaceTempView(view)
+    return spark.sql(f"""
+        SELECT curah_hujan_mm, kelembaban_pct, suhu_c, kecepatan_angin_ms, timestamp
+        FROM {view} ORDER BY timestamp DESC, event_id DESC LIMIT 1""")
+
+
+def _published(spark, records: DataFrame, value_schema) -> DataFrame:
+    """Write topic records with the file sink and parse them back."""
+    path = scratch_path(spark, "topic")
+    PB.write_topic(records, fmt="json", path=path)
+    back = spark.read.schema("topic string, key string, value string").json(path)
+    return back.select("topic", "key", F.from_json("value", value_schema).alias("v")).select(
+        "topic", "key", "v.*")
+
+
+@register("publish_weather", f"""
+SELECT 'smartflood-cuaca' AS topic, 'SBY' AS key, "timestamp", suhu_c, kelembaban_pct, curah_hujan_mm,
+       kecepatan_angin_ms, lokasi FROM ({Q.WEATHER}) w""")
+def publish_weather(spark, sf_dir):
+    """Every weather event published with the constant station key."""
+    from tidewatch import schemas as S
+    rec = PB.weather_records(TB.weather_events(spark, sf_dir), TB.WEATHER_TOPIC)
+    return _published(spark, rec, S.WEATHER_EVENT)
+
+
+@register("publish_reports", f"""
+SELECT 'smartflood-laporan' AS topic, link_md5 AS key, "timestamp", judul, link, sumber
+FROM ({ORACLE['feed_new_only']}) n""")
+def publish_reports(spark, sf_dir):
+    """New reports published keyed by the MD5 of their link."""
+    from tidewatch import schemas as S
+    rec = PB.report_records(_report_events(FD.new_reports(TB.feed_items(spark, sf_dir))),
+                            TB.REPORT_TOPIC)
+    return _published(spark, rec, S.REPORT_EVENT)
+
+
+@register("report_districts", f"""
+SELECT f.doc_id, f.pkey, f.kecamatan, d.district_code
+FROM ({ORACLE['report_flatten']}) f LEFT JOIN ({Q.DISTRICTS}) d ON f.kecamatan = d.district""")
+def report_districts(spark, sf_dir):
+    """District code of every flattened report (broadcast lookup)."""
+    from tidewatch.operators.joins import lookup_code
+    from tidewatch.sources.districts import DISTRICT_COUNT, districts
+    rep = report_flatten(spark, sf_dir).select("doc_id", "pkey", "kecamatan")
+    return lookup_code(rep, districts(spark), "kecamatan", known_rows=DISTRICT_COUNT)
+
+
+@register("rf_cv")
+def rf_cv(spark, sf_dir):
+    """M4 with the forest: five expanding time-series folds, one fit per fold
+    (fewer trees than the final model), AUC / accuracy / F1 per fold plus
+    mean and population std."""
+    m = matrix(spark, sf_dir)
+    folds = TS.time_series_folds(m)
+    parts = []
+    for k in range(1, TS.CV_FOLDS + 1):
+        f = folds.where(F.col("fold") == k)
+        model = TR.fit_forest(f.where(F.col("role") == "train").drop("tile", "fold", "role"),
+                              num_trees=30)
+        test = TR.model_probability(model, f.where(F.col("role") == "test").drop("tile", "fold", "role"))
+        sc = test.select(F.col("label").alias("y"), (F.col("model_prob") / 100.0).alias("score"))
+        sc = EV.predict(sc).withColumn("fold", F.lit(k))
+        parts.append(EV.auc(sc, by=["fold"]).join(EV.accuracy_f1(sc, by=["fold"]), "fold")
+                     .select("fold", "auc", "accuracy", "f1"))
+    per_fold = parts[0]
+    for p in parts[1:]:
+        per_fold = per_fold.unionByName(p)
+    return per_fold
