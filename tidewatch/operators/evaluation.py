@@ -192,3 +192,31 @@ def mean_std(metrics: DataFrame, cols, by=(), places: int = 4) -> DataFrame:
     return out.select(*by, "folds", *[
         (F.rint(F.col(f"{c}_{k}") * F.lit(s)) / F.lit(s)).alias(f"{c}_{k}")
         for c in cols for k in ("mean", "std")])
+
+
+def auc_and_decision(scored: DataFrame, by=(), threshold: float = DECISION_THRESHOLD,
+                     y: str = "y", score: str = "score") -> DataFrame:
+    """AUC, accuracy and positive-class F1 at ``threshold`` from one pass:
+    the per-score counts already hold the confusion counts of any threshold
+    (``score >= threshold`` is positive)."""
+    by = list(by)
+    c = score_counts(scored, by, y, score)
+    below = F.col("pos_below") + F.col("neg_below")
+    n = F.col("pos") + F.col("neg")
+    dec = "decimal(38,0)"
+    hit = F.col("score") >= F.lit(float(threshold))
+    agg = c.groupBy(*by).agg(
+        F.sum((F.col("pos").cast(dec) * (F.lit(2) * below + n + F.lit(1)).cast(dec))).alias("_s"),
+        F.sum("pos").alias("P"), F.sum("neg").alias("N"),
+        F.sum(F.when(hit, F.col("pos")).otherwise(F.lit(0))).alias("tp"),
+        F.sum(F.when(hit, F.col("neg")).otherwise(F.lit(0))).alias("fp"))
+    p, q = F.col("P"), F.col("N")
+    tp, fp = F.col("tp"), F.col("fp")
+    fn, tn = p - tp, q - fp
+    u2 = F.col("_s") - p.cast(dec) * (p + F.lit(1)).cast(dec)
+    prec, rec = _ratio(tp, tp + fp), _ratio(tp, tp + fn)
+    return agg.select(
+        *by,
+        F.try_divide(u2.cast("double"), (F.lit(2) * p).cast("double") * q.cast("double")).alias("auc"),
+        _ratio(tp + tn, tp + fp + fn + tn).alias("accuracy"),
+        _ratio(F.lit(2.0) * prec * rec, prec + rec).alias("f1"))

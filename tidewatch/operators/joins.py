@@ -19,6 +19,18 @@ BROADCAST_MAX_ROWS = 200_000
 SALT_BUCKETS = 64
 
 
+def scan_partitions(df: DataFrame) -> int | None:
+    """Partition count of a plan that has no exchange (a scan and narrow
+    operators), read without running a job; None when it would take one
+    (an adaptive plan materialises its shuffle stages to report partitions)."""
+    if df.isStreaming:
+        return None
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan:
+        return None
+    return df.rdd.getNumPartitions()
+
+
 def spread_for_fanout(facts: DataFrame) -> DataFrame:
     """Make sure a fan-out join (every fact row -> one row per district) runs
     on at least the cluster's parallelism.  Large inputs already arrive in
@@ -26,10 +38,9 @@ def spread_for_fanout(facts: DataFrame) -> DataFrame:
     would otherwise expand inside a handful of tasks is spread round-robin.
     Round-robin assignment is deterministic per input partition, so a retried
     task rebuilds the same rows."""
-    if facts.isStreaming:
-        return facts
+    n = scan_partitions(facts)
     dp = facts.sparkSession.sparkContext.defaultParallelism
-    if facts.rdd.getNumPartitions() >= dp:
+    if n is None or n >= dp:
         return facts
     return facts.repartition(dp)
 

@@ -23,8 +23,10 @@ def colocate_scenarios(scenarios: DataFrame, key: str = "scenario_id") -> DataFr
     that would then carry the 15x larger scored rows."""
     if scenarios.isStreaming:
         return scenarios
-    n = max(scenarios.rdd.getNumPartitions(),
-            scenarios.sparkSession.sparkContext.defaultParallelism)
+    from tidewatch.operators.joins import scan_partitions
+    dp = scenarios.sparkSession.sparkContext.defaultParallelism
+    n = max(scan_partitions(scenarios) or 0, dp,
+            int(scenarios.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return scenarios.repartition(n, key)
 
 

@@ -74,10 +74,10 @@ def fold_metrics(matrix: DataFrame, folds: int = TS.CV_FOLDS,
                  threshold: float = EV.DECISION_THRESHOLD) -> DataFrame:
     """M4 with the index score: AUC, accuracy and F1 on each fold's test part."""
     scored = index_score(matrix).withColumnRenamed(LABEL, "y")
-    test = TS.time_series_folds(scored, folds).where(F.col("role") == "test")
-    a = EV.auc(test, by=["fold"])
-    af = EV.accuracy_f1(EV.predict(test, threshold), by=["fold"])
-    return a.join(af, "fold").select("fold", "auc", "accuracy", "f1")
+    test = TS.time_series_folds(scored.select("date", "y", "score"), folds) \
+        .where(F.col("role") == "test")
+    return EV.auc_and_decision(test, by=["fold"], threshold=threshold) \
+        .select("fold", "auc", "accuracy", "f1")
 
 
 def forest_pipeline(num_trees: int = 100, max_depth: int = 8, seed: int = 42) -> Pipeline:
