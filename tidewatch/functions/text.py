@@ -24,6 +24,23 @@ def fixed(x: ColumnOrName, places: int) -> Column:
     return rnd(x, places).cast(f"decimal(38,{places})").cast("string")
 
 
+def template(fmt: str, *args: Column) -> Column:
+    """A ``%s`` / ``%d`` text template filled with Column values by ``concat``
+    (stays in generated code; ``format_string`` runs java.util.Formatter per
+    row).  Integral arguments render as with ``%d``; ``%%`` is a literal %."""
+    import re
+    pieces = re.split(r"%[sd]", fmt)
+    if len(pieces) != len(args) + 1:
+        raise ValueError("template arity mismatch")
+    parts: list[Column] = []
+    for i, piece in enumerate(pieces):
+        if piece:
+            parts.append(F.lit(piece.replace("%%", "%")))
+        if i < len(args):
+            parts.append(args[i].cast("string"))
+    return F.concat(*parts)
+
+
 def thousands(x: ColumnOrName) -> Column:
     """``f"{n:,}"`` for an integral value."""
     return F.format_number(col_(x).cast("bigint"), 0)

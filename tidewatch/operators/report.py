@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.numeric import r1
-from tidewatch.functions.text import fixed, thousands
+from tidewatch.functions.text import fixed, template, thousands
 from tidewatch.operators.ranking import top_k
 
 # ---- fixed values: text templates and display units of the reference ------
@@ -35,7 +35,7 @@ DISPLAY_UNITS = {
 
 def recommendation_line(rank="rank") -> F.Column:
     """one recommendation line of a ranked result row."""
-    return F.format_string(
+    return template(
         RECOMMENDATION_TEMPLATE, F.col(rank), F.col("district"), fixed("risk_score", 1),
         F.col("priority"), fixed("depth_m", 2), fixed("pct_area_r1", 0),
         thousands("people_affected"), F.col("lead_time_h"))
@@ -43,8 +43,8 @@ def recommendation_line(rank="rank") -> F.Column:
 
 def top5_note() -> F.Column:
     """the annotation next to each top-5 bar."""
-    return F.format_string(TOP5_NOTE_TEMPLATE, thousands("people_affected"),
-                           fixed("pct_area_r1", 0), F.col("lead_time_h"))
+    return template(TOP5_NOTE_TEMPLATE, thousands("people_affected"),
+                    fixed("pct_area_r1", 0), F.col("lead_time_h"))
 
 
 def priority_order():
