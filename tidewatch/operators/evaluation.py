@@ -4,10 +4,13 @@ Input: a table of ``(y, score)`` rows (optionally grouped, e.g. by fold).
 
 Rank-based metrics need, for every distinct score, the number of rows with
 a lower score.  Instead of one global sort, scores are first collapsed to
-distinct values with per-value counts (partial aggregation), then cut into
-fixed-width score buckets: bucket totals (at most ``buckets`` rows per group)
-give each bucket's offset, and a window *inside* each bucket gives the rest.
-All counts are integers, so AUC is an exact rational U / (P*N).
+distinct values with per-value counts (partial aggregation, so a score held
+by most rows is one row after the map side), then cut into 65,536
+fixed-width score buckets: bucket totals (at most one row per bucket and
+group, broadcast when that table is bounded) give each bucket's offset, and a
+window *inside* each bucket orders only the distinct scores of a 1/65,536-wide
+score interval.  All counts are integers, so AUC is an exact rational
+U / (P*N).
 """
 
 from __future__ import annotations
@@ -21,7 +24,8 @@ F_BETA = 1.5
 CLASS_NAMES = {0: "Tidak Banjir", 1: "Banjir"}
 # ---------------------------------------------------------------------------
 
-SCORE_BUCKETS = 1024
+SCORE_BUCKETS = 65_536
+OFFSET_BROADCAST_MAX_ROWS = 1_000_000
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -30,10 +34,12 @@ def _ratio(a: Column, b: Column) -> Column:
 
 
 def score_counts(scored: DataFrame, by=(), y: str = "y", score: str = "score",
-                 buckets: int = SCORE_BUCKETS) -> DataFrame:
+                 buckets: int = SCORE_BUCKETS, groups_bound: int | None = None) -> DataFrame:
     """Per distinct score: positives, negatives, and the number of positive
     and negative rows with a strictly lower score (``pos_below``,
-    ``neg_below``).  Scores must lie in [0, 1] (probabilities)."""
+    ``neg_below``).  Scores must lie in [0, 1] (probabilities).
+    ``groups_bound``: known upper bound on the number of ``by`` groups (the
+    offset table is then broadcast without a check)."""
     by = list(by)
     g = scored.groupBy(*by, F.col(score).alias("score")).agg(
         F.sum(F.col(y).cast("bigint")).alias("pos"),
@@ -50,19 +56,25 @@ def score_counts(scored: DataFrame, by=(), y: str = "y", score: str = "score",
     wi = Window.partitionBy(*by, "bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     g = g.select("*", F.coalesce(F.sum("pos").over(wi), F.lit(0)).alias("ipos"),
                  F.coalesce(F.sum("neg").over(wi), F.lit(0)).alias("ineg"))
-    # ``off`` has at most ``buckets`` rows per group: broadcast it.
-    g = g.join(F.broadcast(off), [*by, "bucket"], "inner")
+    # ``off`` has at most ``buckets`` rows per group.
+    n_groups = 1 if not by else groups_bound
+    if n_groups is not None and n_groups * buckets <= OFFSET_BROADCAST_MAX_ROWS:
+        off = F.broadcast(off)
+    elif off.limit(OFFSET_BROADCAST_MAX_ROWS + 1).count() <= OFFSET_BROADCAST_MAX_ROWS:
+        off = F.broadcast(off)
+    g = g.join(off, [*by, "bucket"], "inner")
     return g.select(*by, "score", "pos", "neg",
                     (F.col("opos") + F.col("ipos")).alias("pos_below"),
                     (F.col("oneg") + F.col("ineg")).alias("neg_below"), "P", "N")
 
 
-def auc(scored: DataFrame, by=(), y: str = "y", score: str = "score") -> DataFrame:
+def auc(scored: DataFrame, by=(), y: str = "y", score: str = "score",
+        groups_bound: int | None = None) -> DataFrame:
     """ROC AUC by the rank-sum formula with mid-ranks for ties (equal to
     the trapezoidal ROC area).  ``U2 = sum(pos * (2*below + n + 1)) - P*(P+1)``
     is an integer; AUC = U2 / (2*P*N)."""
     by = list(by)
-    c = score_counts(scored, by, y, score)
+    c = score_counts(scored, by, y, score, groups_bound=groups_bound)
     below = F.col("pos_below") + F.col("neg_below")
     n = F.col("pos") + F.col("neg")
     dec = "decimal(38,0)"
@@ -76,11 +88,12 @@ def auc(scored: DataFrame, by=(), y: str = "y", score: str = "score") -> DataFra
                                    (F.lit(2) * p).cast("double") * q.cast("double")).alias("auc"))
 
 
-def roc_curve(scored: DataFrame, by=(), y: str = "y", score: str = "score") -> DataFrame:
+def roc_curve(scored: DataFrame, by=(), y: str = "y", score: str = "score",
+              groups_bound: int | None = None) -> DataFrame:
     """For every distinct score used as threshold (score >= t is
     positive): cumulative true / false positives and their rates."""
     by = list(by)
-    c = score_counts(scored, by, y, score)
+    c = score_counts(scored, by, y, score, groups_bound=groups_bound)
     tp = F.col("P") - F.col("pos_below")
     fp = F.col("N") - F.col("neg_below")
     return c.select(*by, F.col("score").alias("threshold"), tp.alias("tp"), fp.alias("fp"),
@@ -195,12 +208,12 @@ def mean_std(metrics: DataFrame, cols, by=(), places: int = 4) -> DataFrame:
 
 
 def auc_and_decision(scored: DataFrame, by=(), threshold: float = DECISION_THRESHOLD,
-                     y: str = "y", score: str = "score") -> DataFrame:
+                     y: str = "y", score: str = "score", groups_bound: int | None = None) -> DataFrame:
     """AUC, accuracy and positive-class F1 at ``threshold`` from one pass:
     the per-score counts already hold the confusion counts of any threshold
     (``score >= threshold`` is positive)."""
     by = list(by)
-    c = score_counts(scored, by, y, score)
+    c = score_counts(scored, by, y, score, groups_bound=groups_bound)
     below = F.col("pos_below") + F.col("neg_below")
     n = F.col("pos") + F.col("neg")
     dec = "decimal(38,0)"

@@ -780,7 +780,7 @@ def rf_cv(spark, sf_dir):
         test = TR.model_probability(model, f.where(F.col("role") == "test").drop("tile", "fold", "role"))
         sc = test.select(F.col("label").alias("y"), (F.col("model_prob") / 100.0).alias("score"))
         sc = EV.predict(sc).withColumn("fold", F.lit(k))
-        parts.append(EV.auc(sc, by=["fold"]).join(EV.accuracy_f1(sc, by=["fold"]), "fold")
+        parts.append(EV.auc_and_decision(sc, by=["fold"], groups_bound=1)
                      .select("fold", "auc", "accuracy", "f1"))
     per_fold = parts[0]
     for p in parts[1:]:

@@ -76,7 +76,7 @@ def fold_metrics(matrix: DataFrame, folds: int = TS.CV_FOLDS,
     scored = index_score(matrix).withColumnRenamed(LABEL, "y")
     test = TS.time_series_folds(scored.select("date", "y", "score"), folds) \
         .where(F.col("role") == "test")
-    return EV.auc_and_decision(test, by=["fold"], threshold=threshold) \
+    return EV.auc_and_decision(test, by=["fold"], threshold=threshold, groups_bound=folds) \
         .select("fold", "auc", "accuracy", "f1")
 
 
