@@ -786,3 +786,15 @@ def rf_cv(spark, sf_dir):
     for p in parts[1:]:
         per_fold = per_fold.unionByName(p)
     return per_fold
+
+
+@register("dashboard_latest", f"""
+SELECT "Kecamatan", "Status", "Probabilitas (%)", "Tinggi Genangan (m)", "Luas Terdampak (km2)",
+       "% Luas Terdampak", "Penduduk Terdampak", "Lead Time (jam)", "Flood Risk Score", "Prioritas Evakuasi"
+FROM ({Q.dashboard_result(Q.risk(Q.scored(Q.live_proxies(Q.SCENARIOS.replace(
+    'FROM (' + Q.WEATHER + ') w', 'FROM (SELECT * FROM (' + Q.WEATHER + ') w0 ORDER BY event_time DESC LIMIT 1) w')),
+    DASHBOARD)))}) d""")
+def dashboard_latest(spark, sf_dir):
+    """E3 (live mode): newest weather event scored with the dashboard formulas."""
+    return SP.live_dashboard(spark, TB.weather_events(spark, sf_dir), order_col="event_time",
+                             month_col="month")["results"]

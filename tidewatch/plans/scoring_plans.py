@@ -68,3 +68,30 @@ def latest_batch_job(spark: SparkSession, weather: DataFrame, order_col: str = "
 def _rows():
     from tidewatch.sources.districts import DISTRICT_ROWS
     return DISTRICT_ROWS
+
+
+def live_dashboard(spark: SparkSession, weather: DataFrame, *, order_col: str = "timestamp",
+                   month_col: str | None = None, model=None) -> dict[str, DataFrame]:
+    """E3 as one bundle of lazy DataFrames: the newest weather event (missing
+    fields defaulted) scored against every district, with the result table
+    ordered by probability, the KPI cards, per-metric bands and chart series,
+    the top-5 chart and the top-3 recommendation text."""
+    from tidewatch.operators import kpi, ranking, report
+
+    cols = [c for c in weather.columns]
+    newest = ingest.with_defaults(ingest.latest(weather, order_col, columns=cols))
+    sc = ingest.to_scenarios(newest.withColumn("_id", F.lit(0).cast("bigint")), id_col="_id",
+                             month_col=month_col)
+    risk = (model_dashboard_risk(spark, sc, model) if model is not None
+            else dashboard_risk(spark, sc))
+    result = scoring.dashboard_result(risk, keep=())
+    return {
+        "results": result.orderBy(F.desc("`Probabilitas (%)`"), F.asc("Kecamatan")),
+        "kpis": kpi.kpi_cards(risk).drop("scenario_id"),
+        "bands": kpi.severity_bands(risk, keep=("district",)),
+        "series": ranking.metric_series(risk, {
+            "probability": "probability", "depth": "depth_m", "people": "people_affected",
+            "lead_time": "lead_time_h", "pct_area": "pct_area_r1", "risk_score": "risk_score"}),
+        "top5": report.top5_priority(risk),
+        "recommendations": report.top3_recommendations(risk),
+    }
