@@ -619,7 +619,9 @@ def stream_dedup(spark, sf_dir):
     """Streamed feed items de-duplicated by link hash (state bounded
     by a watermark on the poll time), read back."""
     items = FD.with_link_hash(TB.pages_to_feed(_stream_of(spark, sf_dir, "pages")))
-    new = ST.dedup_keys(items, "link_md5", event_time="polled_at", horizon="3650 days")
+    # watermarks need TIMESTAMP (not TIMESTAMP_NTZ)
+    items = items.withColumn("polled_ts", F.col("polled_at").cast("timestamp"))
+    new = ST.dedup_keys(items, "link_md5", event_time="polled_ts", horizon="3650 days")
     out, ck = scratch_path(spark, "dedup"), scratch_path(spark, "dedup-ck")
     ST.run_to_end(ST.start(new.select("link_md5", "link", "poll_id", "position"),
                            sink="parquet", path=out, checkpoint=ck))

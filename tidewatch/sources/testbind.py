@@ -8,8 +8,6 @@ derives attribute values, it never filters rows.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +19,7 @@ from tidewatch.sources.districts import CITY
 WEATHER_TOPIC = "smartflood-cuaca"
 REPORT_TOPIC = "smartflood-laporan"
 REPORT_SOURCE = "Tempo RSS"
-FEED_EPOCH = dt.datetime(2024, 1, 1)
+FEED_EPOCH = "2024-01-01 00:00:00"
 FEED_POLL_SECONDS = 300          # news poll cadence
 FEED_ITEMS_PER_POLL = 10
 FLOOD_DATE_COUNT = 30            # size of the confirmed flood-date list
@@ -86,7 +84,8 @@ def pages_to_feed(pages: DataFrame) -> DataFrame:
         "page_id",
         poll.alias("poll_id"),
         (F.col("page_id") % FEED_ITEMS_PER_POLL).cast("int").alias("position"),
-        F.timestamp_add("SECOND", poll * FEED_POLL_SECONDS, F.lit(FEED_EPOCH)).alias("polled_at"),
+        F.timestamp_add("SECOND", poll * FEED_POLL_SECONDS,
+                        F.lit(FEED_EPOCH).cast("timestamp_ntz")).alias("polled_at"),
         F.regexp_extract("html", r"<title>(.*?)</title>", 1).alias("title"),
         F.regexp_extract("url", r"^https?://([^/?#]+)", 1).alias("link"),
     )
@@ -158,7 +157,7 @@ def what_if_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-REPORT_EPOCH = dt.datetime(2024, 1, 1)
+REPORT_EPOCH = "2024-01-01 00:00:00"
 
 
 def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,7 +167,8 @@ def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     names = F.array(*[F.lit(r[0]) for r in DISTRICT_ROWS])
-    created = F.date_format(F.timestamp_add("MINUTE", F.col("doc_id"), F.lit(REPORT_EPOCH)),
+    created = F.date_format(F.timestamp_add("MINUTE", F.col("doc_id"),
+                                            F.lit(REPORT_EPOCH).cast("timestamp_ntz")),
                             "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
     def geometry(line, i):
