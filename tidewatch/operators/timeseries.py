@@ -7,7 +7,10 @@ partial aggregation, no single-task partition, exact RANGE semantics on
 calendar days (missing days contribute nothing).
 
 Date-based splits rank the *distinct dates* (a calendar-bounded set, one row
-per day) and attach the result back with a broadcast join.
+per day) and join the result back.  That small table is produced by a
+shuffle stage, so adaptive execution knows its exact size when it plans the
+join and turns it into a broadcast join from the measured size; no extra
+counting job is run up front.
 """
 
 from __future__ import annotations
@@ -18,7 +21,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.operators import hydrology as H
-from tidewatch.operators.joins import attach_dimension
 
 # ---- fixed values: labelling rule of the reference -------------------------
 FLOOD_RAIN_3DAY_MM = 80.0
@@ -100,7 +102,7 @@ def chronological_split(df: DataFrame, test_fraction: float = TEST_FRACTION,
         "role", F.when(F.col("date_no") > F.col("n_dates")
                        - F.ceil(F.col("n_dates") * F.lit(test_fraction)), F.lit("test"))
         .otherwise(F.lit("train")))
-    return attach_dimension(df, idx.select(date_col, "role"), date_col, max_rows=DATE_DIM_MAX)
+    return df.join(idx.select(date_col, "role"), date_col, "inner")
 
 
 def date_tiles(df: DataFrame, tiles: int, date_col: str = "date") -> DataFrame:
@@ -116,7 +118,7 @@ def time_series_folds(df: DataFrame, folds: int = CV_FOLDS, date_col: str = "dat
     fold k trains on tiles 1..k and tests on tile k+1.  Every row is emitted
     once per fold it belongs to (no join of folds with rows)."""
     tiles = date_tiles(df, folds + 1, date_col)
-    rows = attach_dimension(df, tiles, date_col, max_rows=DATE_DIM_MAX)
+    rows = df.join(tiles, date_col, "inner")
     t = F.col("tile")
     rows = rows.withColumn("fold", F.explode(F.sequence(F.greatest(t - 1, F.lit(1)), F.lit(folds))))
     return rows.withColumn("role", F.when(F.col("fold") == t - 1, F.lit("test"))
