@@ -27,7 +27,7 @@ def test_snapshot_is_incremental_and_idempotent(spark, tmp_path):
 
     def run():
         s = ST.files_stream(spark, src, schema, glob="*.parquet", recursive=True)
-        s = s.select("event_id", "ts", F.concat(F.lit("smartflood-"), F.col("event_type")).alias("topic"),
+        s = s.select("event_id", "ts", F.concat(F.lit("tidewatch-"), F.col("event_type")).alias("topic"),
                      F.col("event_id").cast("string").alias("key"), F.lit("{}").alias("value"))
         ST.run_to_end(ST.snapshot_latest(s, out, ck, order_col="ts"))
 
@@ -71,7 +71,7 @@ def test_archive_restart_is_exactly_once(spark, tmp_path):
 
     def run():
         s = ST.files_stream(spark, src, ev.schema, glob="*.parquet", recursive=True)
-        rec = s.select("event_id", F.concat(F.lit("smartflood-"), F.col("event_type")).alias("topic"),
+        rec = s.select("event_id", F.concat(F.lit("tidewatch-"), F.col("event_type")).alias("topic"),
                        F.col("event_id").cast("string").alias("key"), F.lit("{}").alias("value"))
         ST.run_to_end(ST.archive_records(rec, out, ck))
         return spark.read.parquet(out).count()

@@ -287,14 +287,14 @@ def feed_new_only(spark, sf_dir):
 def _event_records(spark, sf_dir) -> DataFrame:
     """Topic records bound from ``events`` (topic = prefix + event type)."""
     ev = TB.table(spark, sf_dir, "events")
-    topic = F.concat(F.lit("smartflood-"), F.col("event_type"))
+    topic = F.concat(F.lit("tidewatch-"), F.col("event_type"))
     return ev.select("event_id", "ts", topic.alias("topic"),
                      F.col("event_id").cast("string").alias("key"),
                      F.to_json(F.struct("event_id", "user_id", "value", "props")).alias("value"))
 
 
 @register("topic_route", """
-SELECT event_id, 'smartflood-' || event_type AS topic, event_type AS dataset,
+SELECT event_id, 'tidewatch-' || event_type AS topic, event_type AS dataset,
        CAST(event_id AS VARCHAR) AS key
 FROM events""")
 def topic_route(spark, sf_dir):
@@ -303,7 +303,7 @@ def topic_route(spark, sf_dir):
 
 
 @register("latest_per_topic", """
-SELECT 'smartflood-' || event_type AS topic, event_type AS dataset,
+SELECT 'tidewatch-' || event_type AS topic, event_type AS dataset,
        strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS event_time,
        CAST(arg_max(event_id, ts) AS VARCHAR) AS key
 FROM events GROUP BY event_type""")
@@ -586,7 +586,7 @@ def _stream_of(spark, sf_dir, name):
 
 def _event_records_stream(spark, sf_dir):
     ev = _stream_of(spark, sf_dir, "events")
-    topic = F.concat(F.lit("smartflood-"), F.col("event_type"))
+    topic = F.concat(F.lit("tidewatch-"), F.col("event_type"))
     return ev.select("event_id", "ts", topic.alias("topic"),
                      F.col("event_id").cast("string").alias("key"),
                      F.to_json(F.struct("event_id", "user_id", "value", "props")).alias("value"))
@@ -736,7 +736,7 @@ def _published(spark, records: DataFrame, value_schema) -> DataFrame:
 
 
 @register("publish_weather", f"""
-SELECT 'smartflood-cuaca' AS topic, 'SBY' AS key, "timestamp", suhu_c, kelembaban_pct, curah_hujan_mm,
+SELECT 'tidewatch-cuaca' AS topic, 'SBY' AS key, "timestamp", suhu_c, kelembaban_pct, curah_hujan_mm,
        kecepatan_angin_ms, lokasi FROM ({Q.WEATHER}) w""")
 def publish_weather(spark, sf_dir):
     """Every weather event published with the constant station key."""
@@ -746,7 +746,7 @@ def publish_weather(spark, sf_dir):
 
 
 @register("publish_reports", f"""
-SELECT 'smartflood-laporan' AS topic, link_md5 AS key, "timestamp", judul, link, sumber
+SELECT 'tidewatch-laporan' AS topic, link_md5 AS key, "timestamp", judul, link, sumber
 FROM ({ORACLE['feed_new_only']}) n""")
 def publish_reports(spark, sf_dir):
     """New reports published keyed by the MD5 of their link."""

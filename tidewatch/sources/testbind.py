@@ -16,8 +16,8 @@ from tidewatch.functions.text import minute_text
 from tidewatch.sources.districts import CITY
 
 # ---- fixed values: binding parameters ---------------------------------------
-WEATHER_TOPIC = "smartflood-cuaca"
-REPORT_TOPIC = "smartflood-laporan"
+WEATHER_TOPIC = "tidewatch-cuaca"
+REPORT_TOPIC = "tidewatch-laporan"
 REPORT_SOURCE = "Tempo RSS"
 FEED_EPOCH = "2024-01-01 00:00:00"
 FEED_POLL_SECONDS = 300          # news poll cadence
