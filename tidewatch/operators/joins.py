@@ -31,18 +31,32 @@ def scan_partitions(df: DataFrame) -> int | None:
     return df.rdd.getNumPartitions()
 
 
-def spread_for_fanout(facts: DataFrame) -> DataFrame:
-    """Make sure a fan-out join (every fact row -> one row per district) runs
-    on at least the cluster's parallelism.  Large inputs already arrive in
-    many scan partitions and are left alone (no shuffle); a small input that
-    would otherwise expand inside a handful of tasks is spread round-robin.
-    Round-robin assignment is deterministic per input partition, so a retried
-    task rebuilds the same rows."""
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a plan (file sizes for scans)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+# Smallest output worth a task of its own when spreading a fan-out input.
+FANOUT_TASK_BYTES = 4 << 20
+
+
+def spread_for_fanout(facts: DataFrame, fanout: int = 15) -> DataFrame:
+    """Give a fan-out join (every fact row -> ``fanout`` rows) enough tasks.
+
+    Large inputs already arrive in many scan partitions and are left alone
+    (no shuffle).  A small input that would expand inside a handful of tasks
+    is spread round-robin over ``min(parallelism, estimated output / 4 MB)``
+    partitions, so a one-row live scenario stays one task while a history
+    file fills the cluster.  Round-robin repartitioning sorts rows first, so
+    a retried task rebuilds the same partition."""
     n = scan_partitions(facts)
+    if n is None:
+        return facts
     dp = facts.sparkSession.sparkContext.defaultParallelism
-    if n is None or n >= dp:
+    want = min(dp, max(1, estimated_bytes(facts) * fanout // FANOUT_TASK_BYTES))
+    if n >= want:
         return facts
-    return facts.repartition(dp)
+    return facts.repartition(int(want))
 
 
 def bounded_rows(df: DataFrame, max_rows: int) -> int:
