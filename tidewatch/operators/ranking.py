@@ -15,19 +15,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def colocate_scenarios(scenarios: DataFrame, key: str = "scenario_id") -> DataFrame:
+def colocate_scenarios(scenarios: DataFrame, key: str = "scenario_id", fanout: int = 15) -> DataFrame:
     """Hash-partition scenario rows once so later per-scenario windows and
-    aggregates over the scored rows reuse this partitioning.  The partition
-    count is explicit (never below the cluster's parallelism), so adaptive
-    execution does not coalesce the narrow scenario rows into a few tasks
-    that would then carry the 15x larger scored rows."""
+    aggregates over the scored rows reuse this partitioning.
+
+    The partition count is explicit, so adaptive execution does not coalesce
+    the narrow scenario rows into a few tasks that would then carry the
+    ``fanout`` times larger scored rows; it is sized from the estimated scored
+    output (one partition per ~4 MB), never above the larger of the input's
+    scan partitions, the cluster parallelism and the shuffle partitions."""
     if scenarios.isStreaming:
         return scenarios
-    from tidewatch.operators.joins import scan_partitions
-    dp = scenarios.sparkSession.sparkContext.defaultParallelism
-    n = max(scan_partitions(scenarios) or 0, dp,
-            int(scenarios.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return scenarios.repartition(n, key)
+    from tidewatch.operators.joins import FANOUT_TASK_BYTES, estimated_bytes, scan_partitions
+    spark = scenarios.sparkSession
+    cap = max(scan_partitions(scenarios) or 0, spark.sparkContext.defaultParallelism,
+              int(spark.conf.get("spark.sql.shuffle.partitions")))
+    want = max(1, min(cap, estimated_bytes(scenarios) * fanout // FANOUT_TASK_BYTES))
+    return scenarios.repartition(int(want), key)
 
 
 def rank_within(df: DataFrame, by, order: list[Column], name: str = "rank") -> DataFrame:
