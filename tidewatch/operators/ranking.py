@@ -28,9 +28,12 @@ def colocate_scenarios(scenarios: DataFrame, key: str = "scenario_id", fanout: i
         return scenarios
     from tidewatch.operators.joins import FANOUT_TASK_BYTES, estimated_bytes, scan_partitions
     spark = scenarios.sparkSession
-    cap = max(scan_partitions(scenarios) or 0, spark.sparkContext.defaultParallelism,
+    dp = spark.sparkContext.defaultParallelism
+    cap = max(scan_partitions(scenarios) or 0, dp,
               int(spark.conf.get("spark.sql.shuffle.partitions")))
     want = max(1, min(cap, estimated_bytes(scenarios) * fanout // FANOUT_TASK_BYTES))
+    if want > 1:  # whole waves of tasks: no straggler wave of a few partitions
+        want = min(cap, -(-want // dp) * dp)
     return scenarios.repartition(int(want), key)
 
 
