@@ -800,3 +800,32 @@ def dashboard_latest(spark, sf_dir):
     """E3 (live mode): newest weather event scored with the dashboard formulas."""
     return SP.live_dashboard(spark, TB.weather_events(spark, sf_dir), order_col="event_time",
                              month_col="month")["results"]
+
+
+@register("stream_two_topics", f"""
+SELECT 'tidewatch-cuaca' AS topic, 'cuaca' AS dataset, 'SBY' AS key, "timestamp" FROM ({Q.WEATHER}) w
+UNION ALL
+SELECT 'tidewatch-laporan' AS topic, 'laporan' AS dataset, link_md5 AS key, "timestamp"
+FROM ({ORACLE['feed_new_only']}) n""")
+def stream_two_topics(spark, sf_dir):
+    """Weather and report records published as JSON to two
+    topics (a file-backed broker here), consumed as one two-topic stream,
+    routed by topic and archived per dataset, read back."""
+    broker = scratch_path(spark, "broker")
+    PB.write_topic(PB.weather_records(TB.weather_events(spark, sf_dir), TB.WEATHER_TOPIC),
+                   fmt="json", path=broker)
+    PB.write_topic(PB.report_records(_report_events(FD.new_reports(TB.feed_items(spark, sf_dir))),
+                                     TB.REPORT_TOPIC), fmt="json", path=broker)
+    stream = ST.files_stream(spark, broker, _TOPIC_RECORD, fmt="json")
+    routed = stream.select("topic", "key", F.get_json_object("value", "$.timestamp").alias("timestamp"),
+                           "value")
+    out, ck = scratch_path(spark, "two-topics"), scratch_path(spark, "two-topics-ck")
+    ST.run_to_end(ST.archive_records(routed, out, ck))
+    return spark.read.parquet(out).select("topic", "dataset", "key", "timestamp")
+
+
+from pyspark.sql import types as _T  # noqa: E402
+
+_TOPIC_RECORD = _T.StructType([_T.StructField("topic", _T.StringType()),
+                               _T.StructField("key", _T.StringType()),
+                               _T.StructField("value", _T.StringType())])
