@@ -230,3 +230,16 @@ def test_kpi_cards(spark):
     assert (r.critical_count, r.watch_count, r.total_people, r.min_lead_time_h) == (1, 1, 5100, 2)
     assert (r.critical_band, r.watch_band, r.people_band, r.lead_band) == ("danger", "warn", "danger", "danger")
     assert got[2].people_band == "safe" and got[2].lead_band == "safe"
+
+
+def test_text_patterns_and_triggers(spark):
+    from tidewatch.streaming import ingest as ST
+    df = spark.createDataFrame([("2026-06-18 00:30:05",)], "t string") \
+        .select(F.col("t").cast("timestamp_ntz").alias("t"))
+    r = df.select(TX.minute_text("t").alias("a"), TX.second_text("t").alias("b"),
+                  TX.archive_stamp_text("t").alias("c"), TX.iso_text("t").alias("d"),
+                  TX.dataset_of_topic(F.lit("tidewatch-cuaca")).alias("e")).collect()[0]
+    assert (r.a, r.b, r.c, r.d, r.e) == ("2026-06-18T00:30", "2026-06-18 00:30:05",
+                                         "2026-06-18_00-30-05", "2026-06-18T00:30:05.000000", "cuaca")
+    assert ST.WEATHER_TRIGGER == {"processingTime": "60 seconds"}
+    assert ST.RESCORE_TRIGGER == {"processingTime": "20 seconds"}

@@ -71,6 +71,11 @@ def second_text(ts: ColumnOrName) -> Column:
     return F.date_format(col_(ts), "yyyy-MM-dd HH:mm:ss")
 
 
+def archive_stamp_text(ts: ColumnOrName) -> Column:
+    """``yyyy-MM-dd_HH-mm-ss`` (archive object names)."""
+    return F.date_format(col_(ts), "yyyy-MM-dd_HH-mm-ss")
+
+
 def iso_text(ts: ColumnOrName) -> Column:
     """ISO-8601 local time with microseconds."""
     return F.date_format(col_(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")

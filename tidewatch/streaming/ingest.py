@@ -26,6 +26,17 @@ RESCORE_S = 20
 # -----------------------------------------------------------------------------
 
 
+def cadence_trigger(seconds: int) -> dict:
+    """A processing-time trigger for a polling cadence."""
+    return {"processingTime": f"{int(seconds)} seconds"}
+
+
+# service triggers: weather every 60 s, reports every 300 s, rescoring every 20 s
+WEATHER_TRIGGER = cadence_trigger(WEATHER_POLL_S)
+REPORT_TRIGGER = cadence_trigger(REPORT_POLL_S)
+RESCORE_TRIGGER = cadence_trigger(RESCORE_S)
+
+
 def kafka_stream(spark: SparkSession, servers: str, topics: list[str],
                  starting: str = "latest") -> DataFrame:
     """S6 + T1: subscribe to several topics; (topic, key, value, offset, ts)."""
