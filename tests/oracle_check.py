@@ -37,6 +37,21 @@ def _norm(df: pd.DataFrame) -> pd.DataFrame:
     return df
 
 
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "BOOLEAN": "boolean", "DATE": "date", "TIMESTAMP": "timestamp_ntz",
+                 "FLOAT": "float", "SMALLINT": "smallint", "TINYINT": "tinyint"}
+
+
+def type_mismatches(spark_dtypes: dict, con, sql: str) -> list:
+    rel = con.sql(sql)
+    out = []
+    for name, t in zip(rel.columns, rel.types):
+        st = DUCK_TO_SPARK.get(str(t), str(t))
+        if spark_dtypes.get(name) != st:
+            out.append((name, spark_dtypes.get(name), str(t)))
+    return out
+
+
 def compare(spark_pdf: pd.DataFrame, duck_pdf: pd.DataFrame) -> str | None:
     if sorted(spark_pdf.columns) != sorted(duck_pdf.columns):
         return f"columns differ: {sorted(spark_pdf.columns)} vs {sorted(duck_pdf.columns)}"
@@ -86,6 +101,9 @@ def main(argv):
             continue
         err = compare(spdf, dpdf)
         stypes = dict(sdf.dtypes)
+        tm = type_mismatches(stypes, con, oracle[name])
+        if tm and not err:
+            err = f"type mismatch {tm}"
         if err:
             bad += 1
             print(f"FAIL {name}: {err}")

@@ -4,7 +4,7 @@
 import pytest
 
 import __spark_entry__ as E
-from tests.oracle_check import compare, duck
+from tests.oracle_check import compare, duck, type_mismatches
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,9 +16,11 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
-    got = E.queries()[name](spark, SF).toPandas()
+    df = E.queries()[name](spark, SF)
+    got = df.toPandas()
     exp = con.execute(E.oracle_sql()[name]).df()
     assert compare(got, exp) is None
+    assert type_mismatches(dict(df.dtypes), con, E.oracle_sql()[name]) == []
 
 
 def test_every_query_runs(spark):

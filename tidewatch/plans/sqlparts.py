@@ -245,9 +245,9 @@ def score_counts_sql(scored_sql: str, by: str | None = None) -> str:
     part = f"PARTITION BY {by}" if by else ""
     frame = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     return f"""
-SELECT *, COALESCE(sum(pos) OVER ({part} ORDER BY score {frame}), 0) AS pos_below,
-          COALESCE(sum(neg) OVER ({part} ORDER BY score {frame}), 0) AS neg_below,
-          sum(pos) OVER ({part}) AS "P", sum(neg) OVER ({part}) AS "N"
+SELECT *, CAST(COALESCE(sum(pos) OVER ({part} ORDER BY score {frame}), 0) AS BIGINT) AS pos_below,
+          CAST(COALESCE(sum(neg) OVER ({part} ORDER BY score {frame}), 0) AS BIGINT) AS neg_below,
+          CAST(sum(pos) OVER ({part}) AS BIGINT) AS "P", CAST(sum(neg) OVER ({part}) AS BIGINT) AS "N"
 FROM (SELECT {b}score, CAST(sum(y) AS BIGINT) AS pos, CAST(sum(1 - y) AS BIGINT) AS neg
       FROM ({scored_sql}) s GROUP BY {b}score) c"""
 
