@@ -650,7 +650,8 @@ def trained_forest(spark, sf_dir):
     pipeline under the shared folder and load it back (cached per session)."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
-        split = TS.chronological_split(matrix(spark, sf_dir))
+        from tidewatch.session import materialize
+        split = materialize(TS.chronological_split(matrix(spark, sf_dir)))
         model = TR.fit_forest(split.where(F.col("role") == "train").drop("role"))
         path = scratch_path(spark, "forest")
         TR.save_model(model, path)
@@ -772,8 +773,9 @@ def rf_cv(spark, sf_dir):
     """M4 with the forest: five expanding time-series folds, one fit per fold
     (fewer trees than the final model), AUC / accuracy / F1 per fold plus
     mean and population std."""
-    m = matrix(spark, sf_dir)
-    folds = TS.time_series_folds(m)
+    from tidewatch.session import materialize
+    # the five fits reuse one checkpointed fold table instead of recomputing it
+    folds = materialize(TS.time_series_folds(matrix(spark, sf_dir)))
     parts = []
     for k in range(1, TS.CV_FOLDS + 1):
         f = folds.where(F.col("fold") == k)

@@ -88,3 +88,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path under the shared folder."""
     base = shared_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df):
+    """Cut lineage: a reliable checkpoint in the shared folder (never a
+    local checkpoint), for inputs that several jobs reuse (model fits, folds).
+    Lost executors then recompute nothing upstream of it."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
