@@ -88,6 +88,8 @@ def test_tolerant_read(spark, tmp_path):
     assert df.count() == 1
     missing = AR.read_weather_snapshot(spark, str(tmp_path / "nope.json"))
     assert missing.count() == 0 and missing.schema == S.WEATHER_EVENT
+    rej = AR.read_rejects(spark, str(good), S.WEATHER_EVENT).cache()
+    assert [r._corrupt_record for r in rej.collect()] == ["{broken"]
 
 
 NESTED = {"result": {"objects": {"output": {"geometries": [{
