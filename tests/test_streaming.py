@@ -23,13 +23,14 @@ def test_snapshot_is_incremental_and_idempotent(spark, tmp_path):
     cut = ev.approxQuantile("event_id", [0.5], 0.0)[0]
     ev.where(F.col("event_id") <= cut).write.parquet(src + "/a")
     schema = ev.schema
-    out, ck = str(tmp_path / "snap"), str(tmp_path / "ck")
+    out, ck, live = str(tmp_path / "snap"), str(tmp_path / "ck"), str(tmp_path / "live")
 
     def run():
         s = ST.files_stream(spark, src, schema, glob="*.parquet", recursive=True)
         s = s.select("event_id", "ts", F.concat(F.lit("tidewatch-"), F.col("event_type")).alias("topic"),
-                     F.col("event_id").cast("string").alias("key"), F.lit("{}").alias("value"))
-        ST.run_to_end(ST.snapshot_latest(s, out, ck, order_col="ts"))
+                     F.col("event_id").cast("string").alias("key"),
+                     F.to_json(F.struct("event_id")).alias("value"))
+        ST.run_to_end(ST.snapshot_latest(s, out, ck, order_col="ts", live_path=live))
 
     run()
     first = {r.topic: r.key for r in ST.read_snapshot(spark, out).collect()}
@@ -42,6 +43,11 @@ def test_snapshot_is_incremental_and_idempotent(spark, tmp_path):
     # re-running with nothing new leaves the snapshot unchanged
     run()
     assert {r.topic: r.key for r in ST.read_snapshot(spark, out).collect()} == exp
+    # the live files hold one JSON value per dataset: the newest event
+    import json
+    livevals = {r.dataset: json.loads(r.value)["event_id"]
+                for r in spark.read.text(live).collect()}
+    assert {f"tidewatch-{k}": str(v) for k, v in livevals.items()} == exp
 
 
 def test_stream_dedup_keys(spark):

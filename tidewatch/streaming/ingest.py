@@ -92,13 +92,15 @@ def archive_records(records: DataFrame, path: str, checkpoint: str, *, fmt: str
 
 
 def snapshot_latest(records: DataFrame, path: str, checkpoint: str, *, order_col: str,
-                    trigger: dict | None = None):
+                    trigger: dict | None = None, live_path: str | None = None):
     """S9 + T4: newest record per topic.
 
     Each micro-batch merges its own newest records with the previous snapshot
     version and writes version ``batch_id``.  A replayed batch rewrites the
     same version with the same content, so the sink is idempotent; readers
-    take the highest version (``read_snapshot``)."""
+    take the highest version (``read_snapshot``).  ``live_path``: also
+    replace one plain JSON value per dataset there (``dataset=<name>/``), the
+    newest-event files a dashboard reads."""
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         cur = PB.latest_per_topic(batch, order_col)
@@ -110,6 +112,8 @@ def snapshot_latest(records: DataFrame, path: str, checkpoint: str, *, order_col
                         F.max(order_col).alias(order_col))
                    .select("topic", "dataset", order_col, "_l.key", "_l.value"))
         cur.coalesce(1).write.mode("overwrite").parquet(f"{path}/v={batch_id}")
+        if live_path:
+            PB.write_snapshots(spark.read.parquet(f"{path}/v={batch_id}"), live_path)
 
     return (records.writeStream.foreachBatch(merge)
             .option("checkpointLocation", checkpoint)
