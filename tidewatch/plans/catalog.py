@@ -11,12 +11,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from tidewatch.operators import ingest
+from pyspark.sql import types as T
+
+from tidewatch import schemas as S
+from tidewatch.operators import evaluation as EV
+from tidewatch.operators import feed as FD
+from tidewatch.operators import ingest, kpi, ranking, report
+from tidewatch.operators import timeseries as TS
+from tidewatch.operators import scoring as SCR
+from tidewatch.operators.hydrology import BATCH, DASHBOARD
+from tidewatch.operators.joins import lookup_code
 from tidewatch.plans import scoring_plans as SP
 from tidewatch.plans import sqlparts as Q
-from tidewatch.operators.hydrology import BATCH, DASHBOARD
+from tidewatch.plans import training as TR
+from tidewatch.session import materialize, scratch_path
+from tidewatch.sources import archive as AR
+from tidewatch.sources import publish as PB
 from tidewatch.sources import testbind as TB
+from tidewatch.sources.districts import DISTRICT_COUNT, districts
+from tidewatch.streaming import ingest as ST
+from tidewatch.streaming.scoring import score_weather_stream
+
+# (topic, key, value) records as read back from a JSON topic sink
+_TOPIC_RECORD = T.StructType([T.StructField("topic", T.StringType()),
+                              T.StructField("key", T.StringType()),
+                              T.StructField("value", T.StringType())])
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -102,7 +121,6 @@ def weather_defaults(spark, sf_dir):
 
 # ------------------------------------------------- what-if, KPIs, ranking ---
 
-from tidewatch.operators import kpi, ranking, report  # noqa: E402
 
 _RISK = Q.risk(Q.scored(Q.live_proxies(Q.SCENARIOS), DASHBOARD))
 _BATCH = Q.batch_result(Q.scored(Q.SCENARIOS, BATCH))
@@ -235,9 +253,6 @@ def display_table(spark, sf_dir):
 
 # ------------------------------------------------------- feed and topics ---
 
-from tidewatch.operators import feed as FD  # noqa: E402
-from tidewatch.sources import archive as AR  # noqa: E402
-from tidewatch.sources import publish as PB  # noqa: E402
 
 _FEED = f"""
 SELECT page_id, CAST(floor(page_id / 10) AS BIGINT) AS poll_id, CAST(page_id % 10 AS INTEGER) AS position,
@@ -343,9 +358,6 @@ FROM (SELECT *, {Q.rnd('probability', 1)} AS probability_r1 FROM ({Q.scored(Q.SC
 def result_document(spark, sf_dir):
     """Nested result document per scenario, rendered to JSON
     and parsed back into rows."""
-    from tidewatch import schemas as S
-    from tidewatch.operators import scoring as SCR
-    from tidewatch.sources.districts import districts, DISTRICT_COUNT
 
     scored = SCR.score(ranking.colocate_scenarios(event_scenarios(spark, sf_dir)),
                        districts(spark), "batch", district_rows=DISTRICT_COUNT)
@@ -366,9 +378,6 @@ def result_document(spark, sf_dir):
 @register("result_roundtrip", _BATCH)
 def result_roundtrip(spark, sf_dir):
     """Batch results written as JSON lines (replace) and read back."""
-    from tidewatch import schemas as S
-    from tidewatch.session import scratch_path
-    from pyspark.sql import types as T
 
     path = scratch_path(spark, "results")
     SP.batch_scores(spark, event_scenarios(spark, sf_dir)).write.mode("overwrite").json(path)
@@ -378,10 +387,6 @@ def result_roundtrip(spark, sf_dir):
 
 # -------------------------------------------- history, labels, training ---
 
-from tidewatch.operators import evaluation as EV  # noqa: E402
-from tidewatch.operators import timeseries as TS  # noqa: E402
-from tidewatch.plans import training as TR  # noqa: E402
-
 
 def _day(c: str = "date"):
     return F.date_format(c, "yyyy-MM-dd").alias(c)
@@ -574,10 +579,6 @@ def fold_summary(spark, sf_dir):
 
 # -------------------------------------------------------------- streaming ---
 
-from tidewatch.session import scratch_path  # noqa: E402
-from tidewatch.streaming import ingest as ST  # noqa: E402
-from tidewatch.streaming.scoring import score_weather_stream  # noqa: E402
-
 
 def _stream_of(spark, sf_dir, name):
     schema = TB.table(spark, sf_dir, name).schema
@@ -650,7 +651,6 @@ def trained_forest(spark, sf_dir):
     pipeline under the shared folder and load it back (cached per session)."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
-        from tidewatch.session import materialize
         split = materialize(TS.chronological_split(matrix(spark, sf_dir)))
         model = TR.fit_forest(split.where(F.col("role") == "train").drop("role"))
         path = scratch_path(spark, "forest")
@@ -687,7 +687,6 @@ def rf_auc(spark, sf_dir):
 @register("rf_importance")
 def rf_importance(spark, sf_dir):
     """M5: feature importance ranking of the fitted forest (12 rows)."""
-    from pyspark.sql import types as T
     imp = TR.feature_importance(trained_forest(spark, sf_dir))
     rows = [(i + 1, f, float(v)) for i, (f, v) in enumerate(imp)]
     return spark.createDataFrame(rows, T.StructType([
@@ -699,7 +698,6 @@ def rf_importance(spark, sf_dir):
 def model_dashboard_scores(spark, sf_dir):
     """H15 + E3: dashboard scoring of every weather event with the forest."""
     risk = SP.model_dashboard_risk(spark, event_scenarios(spark, sf_dir), trained_forest(spark, sf_dir))
-    from tidewatch.operators import scoring as SCR
     return SCR.dashboard_result(risk)
 
 
@@ -715,8 +713,6 @@ def archive_sql_latest(spark, sf_dir):
     """Weather events archived as JSON files, scanned back by
     glob with an explicit schema, registered as a view and queried with SQL
     (newest by the event's own time text, ties by event id)."""
-    from pyspark.sql import types as T
-    from tidewatch import schemas as S
     path = scratch_path(spark, "weather-archive")
     TB.weather_events(spark, sf_dir).select("event_id", *_WEATHER_COLS).write.json(path)
     schema = T.StructType([T.StructField("event_id", T.LongType())] + S.WEATHER_EVENT.fields)
@@ -741,7 +737,6 @@ SELECT 'tidewatch-cuaca' AS topic, 'SBY' AS key, "timestamp", suhu_c, kelembaban
        kecepatan_angin_ms, lokasi FROM ({Q.WEATHER}) w""")
 def publish_weather(spark, sf_dir):
     """Every weather event published with the constant station key."""
-    from tidewatch import schemas as S
     rec = PB.weather_records(TB.weather_events(spark, sf_dir), TB.WEATHER_TOPIC)
     return _published(spark, rec, S.WEATHER_EVENT)
 
@@ -751,7 +746,6 @@ SELECT 'tidewatch-laporan' AS topic, link_md5 AS key, "timestamp", judul, link,
 FROM ({ORACLE['feed_new_only']}) n""")
 def publish_reports(spark, sf_dir):
     """New reports published keyed by the MD5 of their link."""
-    from tidewatch import schemas as S
     rec = PB.report_records(_report_events(FD.new_reports(TB.feed_items(spark, sf_dir))),
                             TB.REPORT_TOPIC)
     return _published(spark, rec, S.REPORT_EVENT)
@@ -762,8 +756,6 @@ SELECT f.doc_id, f.pkey, f.kecamatan, d.district_code
 FROM ({ORACLE['report_flatten']}) f LEFT JOIN ({Q.DISTRICTS}) d ON f.kecamatan = d.district""")
 def report_districts(spark, sf_dir):
     """District code of every flattened report (broadcast lookup)."""
-    from tidewatch.operators.joins import lookup_code
-    from tidewatch.sources.districts import DISTRICT_COUNT, districts
     rep = report_flatten(spark, sf_dir).select("doc_id", "pkey", "kecamatan")
     return lookup_code(rep, districts(spark), "kecamatan", known_rows=DISTRICT_COUNT)
 
@@ -773,7 +765,6 @@ def rf_cv(spark, sf_dir):
     """M4 with the forest: five expanding time-series folds, one fit per fold
     (fewer trees than the final model), AUC / accuracy / F1 per fold plus
     mean and population std."""
-    from tidewatch.session import materialize
     # the five fits reuse one checkpointed fold table instead of recomputing it
     folds = materialize(TS.time_series_folds(matrix(spark, sf_dir)))
     parts = []
@@ -826,8 +817,3 @@ def stream_two_topics(spark, sf_dir):
     return spark.read.parquet(out).select("topic", "dataset", "key", "timestamp")
 
 
-from pyspark.sql import types as _T  # noqa: E402
-
-_TOPIC_RECORD = _T.StructType([_T.StructField("topic", _T.StringType()),
-                               _T.StructField("key", _T.StringType()),
-                               _T.StructField("value", _T.StringType())])
