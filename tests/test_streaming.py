@@ -86,3 +86,22 @@ def test_archive_restart_is_exactly_once(spark, tmp_path):
     assert run() == first
     ev.where(F.col("event_id") % 2 == 1).write.parquet(src + "/b")
     assert run() == ev.count()
+
+
+def test_publish_latest_scores(spark, tmp_path):
+    """Each micro-batch publishes the scores of its newest weather event."""
+    import json
+    from tidewatch import schemas as S
+    from tidewatch.streaming.scoring import publish_latest_scores
+    src = tmp_path / "w"
+    src.mkdir()
+    rows = [("2026-06-18T00:30", 27.9, 70, 0.0, 2.5833333333333335, "Surabaya"),
+            ("2026-06-18T00:00", 27.0, 80, 90.0, 3.0, "Surabaya")]
+    (src / "a.json").write_text("\n".join(json.dumps(dict(zip(S.WEATHER_EVENT.fieldNames(), r)))
+                                          for r in rows))
+    stream = ST.files_stream(spark, str(src), S.WEATHER_EVENT, fmt="json")
+    out, ck = str(tmp_path / "pub"), str(tmp_path / "ck")
+    ST.run_to_end(publish_latest_scores(spark, stream, out, ck))
+    got = spark.read.json(out + "/v=0").orderBy(F.desc("Probabilitas"), "Kecamatan").collect()
+    assert [r.Kecamatan for r in got][:3] == ["Bulak", "Kenjeran", "Semampir"]
+    assert len(got) == 15 and got[0].Probabilitas == 24.8   # newest event: rain 0.0
