@@ -15,6 +15,7 @@ U / (P*N).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +47,10 @@ def score_counts(scored: DataFrame, by=(), y: str = "y", score: str = "score",
         F.sum((F.lit(1) - F.col(y)).cast("bigint")).alias("neg"))
     g = g.withColumn("bucket", F.least(F.floor(F.col("score") * buckets).cast("int"),
                                        F.lit(buckets - 1)))
+    # ``g`` (one row per distinct score) feeds both the bucket offsets and
+    # the in-bucket windows; keep it instead of re-reading the input twice
+    # (a lost cached block is recomputed from lineage).
+    g = g.persist(StorageLevel.MEMORY_AND_DISK)
     tot = g.groupBy(*by, "bucket").agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"))
     wb = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     wall = Window.partitionBy(*by)

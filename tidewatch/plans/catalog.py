@@ -402,9 +402,10 @@ def labelled(spark, sf_dir) -> DataFrame:
 
 
 def matrix(spark, sf_dir) -> DataFrame:
-    return TR.training_matrix(spark, TB.daily_weather(spark, sf_dir),
-                              TB.confirmed_flood_dates(spark, sf_dir),
-                              flood_dates_rows=TB.FLOOD_DATE_COUNT)
+    """Training matrix over a checkpointed labelled history: the small daily
+    table (one row per day) is built from the large tables once, then reused
+    by the date index, the folds and the model fits."""
+    return TR.training_matrix(spark, days=materialize(labelled(spark, sf_dir)))
 
 
 @register("rain_3day", f"SELECT location, {_sday()}, rain_mm, rain_3day_mm FROM ({Q.RAIN3}) r")
@@ -450,7 +451,8 @@ SELECT {_sday()}, CASE WHEN row_number() OVER (ORDER BY date)
 FROM (SELECT DISTINCT date FROM ({Q.DAILY}) d) x""")
 def time_split(spark, sf_dir):
     """Chronological hold-out, last 20 % of the dates."""
-    return TS.chronological_split(TB.daily_weather(spark, sf_dir).select("date")).select(_day(), "role")
+    days = materialize(TB.daily_weather(spark, sf_dir).select("date"))
+    return TS.chronological_split(days).select(_day(), "role")
 
 
 @register("time_folds", f"""
@@ -459,8 +461,8 @@ SELECT {_sday()}, tile, CAST(fold AS INTEGER) AS fold,
 FROM ({Q.tiles(Q.DAILY, 6)}) t, range(1, 6) r(fold) WHERE fold >= tile - 1""")
 def time_folds(spark, sf_dir):
     """Expanding five-fold time-series split on dates."""
-    f = TS.time_series_folds(TB.daily_weather(spark, sf_dir).select("date"))
-    return f.select(_day(), "tile", "fold", "role")
+    days = materialize(TB.daily_weather(spark, sf_dir).select("date"))
+    return TS.time_series_folds(days).select(_day(), "tile", "fold", "role")
 
 
 _CLS = """

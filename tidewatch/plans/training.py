@@ -30,14 +30,18 @@ FEATURES = ["curah_hujan_mm", "curah_hujan_3hari", "kelembaban_pct", "suhu_c",
 LABEL = "label"
 
 
-def training_matrix(spark: SparkSession, daily: DataFrame, flood_dates: DataFrame,
+def training_matrix(spark: SparkSession, daily: DataFrame | None = None,
+                    flood_dates: DataFrame | None = None,
                     dims: DataFrame | None = None, *, flood_dates_rows: int | None = None,
-                    district_rows: int | None = None) -> DataFrame:
+                    district_rows: int | None = None, days: DataFrame | None = None) -> DataFrame:
     """J4 + P10: labelled days x districts with the 12 ordered features.
-    ``kecamatan_enc`` is the dimension's alphabetical code (M1)."""
+    ``kecamatan_enc`` is the dimension's alphabetical code (M1).  ``days``:
+    already labelled daily history (e.g. a checkpointed table reused by
+    several plans) instead of ``daily`` + ``flood_dates``."""
     if dims is None:
         dims, district_rows = districts(spark), DISTRICT_COUNT
-    days = TS.labelled_days(daily, flood_dates, flood_dates_rows)
+    if days is None:
+        days = TS.labelled_days(daily, flood_dates, flood_dates_rows)
     rows = attach_dimension(days, dims, "location", known_rows=district_rows)
     return rows.select(
         "date", "district",
