@@ -245,3 +245,21 @@ def test_text_patterns_and_triggers(spark):
                                          "2026-06-18_00-30-05", "2026-06-18T00:30:05.000000", "cuaca")
     assert ST.WEATHER_TRIGGER == {"processingTime": "60 seconds"}
     assert ST.RESCORE_TRIGGER == {"processingTime": "20 seconds"}
+
+
+def test_multi_city_scoring_joins_by_location(spark):
+    """Several cities in one job: every scenario meets only its own city's
+    districts (equi-join on location, broadcast hash join)."""
+    from tidewatch.operators import scoring
+    a = districts(spark, "Surabaya")
+    b = districts(spark, "Sidoarjo").where(F.col("district_code") < 4)
+    dims = a.unionByName(b)
+    sc = spark.createDataFrame(
+        [(i, "Surabaya" if i % 3 else "Sidoarjo", "t", float(i), 80, 28.0, 3.0, 1, None, None)
+         for i in range(30)],
+        "scenario_id long, location string, observed_text string, rain_mm double, humidity_pct long, "
+        "temp_c double, wind_ms double, month int, rain_3day_mm double, sunshine_h double")
+    out = scoring.score(sc, dims, "batch", district_rows=None)
+    counts = {r.scenario_id: r["count"] for r in out.groupBy("scenario_id").count().collect()}
+    assert all(counts[i] == (15 if i % 3 else 4) for i in range(30))
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
