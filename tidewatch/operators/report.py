@@ -95,16 +95,19 @@ def result_documents(scored: DataFrame, *, by: str = "scenario_id", analysed_at=
         prob.alias("Probabilitas"), F.col("depth_m").alias("Tinggi_Genangan_m"),
         F.col("people_affected").alias("Penduduk_Terdampak"),
         F.col("lead_time_h").alias("Lead_Time_jam"))
-    weather = ["observed_text", "rain_mm", "temp_c", "wind_ms"]
-    per = scored.groupBy(by, *weather).agg(F.array_sort(F.collect_list(entry)).alias("_rows"))
+    weather = F.struct(F.col("observed_text").alias("waktu"),
+                       F.col("rain_mm").cast("double").alias("curah_hujan"),
+                       F.col("temp_c").cast("double").alias("suhu"),
+                       F.col("wind_ms").cast("double").alias("angin"))
+    # the weather is the same on all rows of a scenario: carry it with
+    # any_value instead of widening the grouping key
+    per = scored.groupBy(by).agg(F.any_value(weather).alias("_w"),
+                                 F.array_sort(F.collect_list(entry)).alias("_rows"))
     ts = analysed_at if analysed_at is not None else F.current_timestamp()
     return per.select(
         by,
         F.struct(
             F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias("timestamp_analisis"),
-            F.struct(F.col("observed_text").alias("waktu"),
-                     F.col("rain_mm").cast("double").alias("curah_hujan"),
-                     F.col("temp_c").cast("double").alias("suhu"),
-                     F.col("wind_ms").cast("double").alias("angin")).alias("cuaca_referensi"),
+            F.col("_w").alias("cuaca_referensi"),
             F.transform("_rows", lambda r: r.dropFields("_k1", "_k2")).alias("prediksi_kecamatan"),
         ).alias("document"))
