@@ -12,7 +12,6 @@ import math
 from tidewatch.operators import hydrology as H
 from tidewatch.operators import scoring as SC
 from tidewatch.sources.districts import CITY, districts_sql_values
-from tidewatch.sources import testbind as TB
 
 
 def D(x: float) -> str:
