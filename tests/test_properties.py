@@ -36,8 +36,10 @@ def test_auc_property(spark, rows):
     data = [(y, s / 20) for y, s in rows]
     df = spark.createDataFrame(data, "y int, score double")
     got = EV.auc(df).collect()[0].auc
+    got_ranges = EV.auc(df, rows_per_bucket=3).collect()[0].auc
     pos = [s for y, s in data if y == 1]
     neg = [s for y, s in data if y == 0]
     exp = sum(1.0 if p > q else 0.5 if p == q else 0.0
               for p, q in itertools.product(pos, neg)) / (len(pos) * len(neg))
     assert math.isclose(got, exp, rel_tol=1e-12)
+    assert math.isclose(got_ranges, exp, rel_tol=1e-12)

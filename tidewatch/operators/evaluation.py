@@ -5,12 +5,14 @@ Input: a table of ``(y, score)`` rows (optionally grouped, e.g. by fold).
 Rank-based metrics need, for every distinct score, the number of rows with
 a lower score.  Instead of one global sort, scores are first collapsed to
 distinct values with per-value counts (partial aggregation, so a score held
-by most rows is one row after the map side), then cut into 65,536
-fixed-width score buckets: bucket totals (at most one row per bucket and
-group, broadcast when that table is bounded) give each bucket's offset, and a
-window *inside* each bucket orders only the distinct scores of a 1/65,536-wide
-score interval.  All counts are integers, so AUC is an exact rational
-U / (P*N).
+by most rows is one row after the map side).  The distinct scores are then
+cut into contiguous score ranges holding about ``rows_per_bucket`` distinct
+values each: the number of ranges comes from the distinct count, the cut
+points from approximate quantiles, and Spark ML's ``Bucketizer`` assigns
+them (binary search).  Range totals (one row per range and group, broadcast
+when bounded) give each range's offset, and a window *inside* each range
+orders at most about ``rows_per_bucket`` scores, however the scores are
+distributed.  All counts are integers, so AUC is an exact rational U / (P*N).
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ F_BETA = 1.5
 CLASS_NAMES = {0: "Tidak Banjir", 1: "Banjir"}
 # ---------------------------------------------------------------------------
 
-SCORE_BUCKETS = 65_536
+ROWS_PER_BUCKET = 4_000_000
 OFFSET_BROADCAST_MAX_ROWS = 1_000_000
 
 
@@ -34,23 +36,38 @@ def _ratio(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
 
 
+def _score_ranges(g: DataFrame, rows_per_bucket: int) -> tuple[DataFrame, int]:
+    """Contiguous score ranges of about ``rows_per_bucket`` distinct scores
+    each; returns ``g`` with an integer ``bucket`` and the range count."""
+    n = g.count()
+    b = max(1, -(-n // rows_per_bucket))
+    if b == 1:
+        return g.withColumn("bucket", F.lit(0)), 1
+    from pyspark.ml.feature import Bucketizer
+
+    cuts = g.approxQuantile("score", [i / b for i in range(1, b)], 1.0 / (4 * b))
+    splits = [-float("inf")] + sorted(set(cuts)) + [float("inf")]
+    out = Bucketizer(splits=splits, inputCol="score", outputCol="_bucket").transform(g)
+    return out.withColumn("bucket", F.col("_bucket").cast("int")).drop("_bucket"), len(splits) - 1
+
+
 def score_counts(scored: DataFrame, by=(), y: str = "y", score: str = "score",
-                 buckets: int = SCORE_BUCKETS, groups_bound: int | None = None) -> DataFrame:
+                 rows_per_bucket: int = ROWS_PER_BUCKET,
+                 groups_bound: int | None = None) -> DataFrame:
     """Per distinct score: positives, negatives, and the number of positive
     and negative rows with a strictly lower score (``pos_below``,
-    ``neg_below``).  Scores must lie in [0, 1] (probabilities).
+    ``neg_below``), plus the group totals ``P`` and ``N``.
     ``groups_bound``: known upper bound on the number of ``by`` groups (the
-    offset table is then broadcast without a check)."""
+    range-offset table is then broadcast without a check)."""
     by = list(by)
     g = scored.groupBy(*by, F.col(score).alias("score")).agg(
         F.sum(F.col(y).cast("bigint")).alias("pos"),
         F.sum((F.lit(1) - F.col(y)).cast("bigint")).alias("neg"))
-    g = g.withColumn("bucket", F.least(F.floor(F.col("score") * buckets).cast("int"),
-                                       F.lit(buckets - 1)))
-    # ``g`` (one row per distinct score) feeds both the bucket offsets and
-    # the in-bucket windows; keep it instead of re-reading the input twice
-    # (a lost cached block is recomputed from lineage).
+    # ``g`` (one row per distinct score) is read by the range cut, the range
+    # offsets and the in-range windows; keep it instead of re-reading the
+    # input (a lost cached block is recomputed from lineage).
     g = g.persist(StorageLevel.MEMORY_AND_DISK)
+    g, buckets = _score_ranges(g, rows_per_bucket)
     tot = g.groupBy(*by, "bucket").agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"))
     wb = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     wall = Window.partitionBy(*by)
@@ -74,12 +91,13 @@ def score_counts(scored: DataFrame, by=(), y: str = "y", score: str = "score",
 
 
 def auc(scored: DataFrame, by=(), y: str = "y", score: str = "score",
-        groups_bound: int | None = None) -> DataFrame:
+        groups_bound: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """ROC AUC by the rank-sum formula with mid-ranks for ties (equal to
     the trapezoidal ROC area).  ``U2 = sum(pos * (2*below + n + 1)) - P*(P+1)``
     is an integer; AUC = U2 / (2*P*N)."""
     by = list(by)
-    c = score_counts(scored, by, y, score, groups_bound=groups_bound)
+    c = score_counts(scored, by, y, score, groups_bound=groups_bound,
+                     rows_per_bucket=rows_per_bucket)
     below = F.col("pos_below") + F.col("neg_below")
     n = F.col("pos") + F.col("neg")
     dec = "decimal(38,0)"
@@ -94,11 +112,12 @@ def auc(scored: DataFrame, by=(), y: str = "y", score: str = "score",
 
 
 def roc_curve(scored: DataFrame, by=(), y: str = "y", score: str = "score",
-              groups_bound: int | None = None) -> DataFrame:
+              groups_bound: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """For every distinct score used as threshold (score >= t is
     positive): cumulative true / false positives and their rates."""
     by = list(by)
-    c = score_counts(scored, by, y, score, groups_bound=groups_bound)
+    c = score_counts(scored, by, y, score, groups_bound=groups_bound,
+                     rows_per_bucket=rows_per_bucket)
     tp = F.col("P") - F.col("pos_below")
     fp = F.col("N") - F.col("neg_below")
     return c.select(*by, F.col("score").alias("threshold"), tp.alias("tp"), fp.alias("fp"),
@@ -213,12 +232,14 @@ def mean_std(metrics: DataFrame, cols, by=(), places: int = 4) -> DataFrame:
 
 
 def auc_and_decision(scored: DataFrame, by=(), threshold: float = DECISION_THRESHOLD,
-                     y: str = "y", score: str = "score", groups_bound: int | None = None) -> DataFrame:
+                     y: str = "y", score: str = "score", groups_bound: int | None = None,
+                     rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """AUC, accuracy and positive-class F1 at ``threshold`` from one pass:
     the per-score counts already hold the confusion counts of any threshold
     (``score >= threshold`` is positive)."""
     by = list(by)
-    c = score_counts(scored, by, y, score, groups_bound=groups_bound)
+    c = score_counts(scored, by, y, score, groups_bound=groups_bound,
+                     rows_per_bucket=rows_per_bucket)
     below = F.col("pos_below") + F.col("neg_below")
     n = F.col("pos") + F.col("neg")
     dec = "decimal(38,0)"
