@@ -165,7 +165,11 @@ def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     one document per text, one report per line of the whole text."""
     from tidewatch.sources.districts import DISTRICT_ROWS
 
-    docs = table(spark, sf_dir, "documents")
+    from tidewatch.operators.joins import spread_for_fanout
+
+    # one report per line of every text: spread the texts before the fan-out
+    docs = spread_for_fanout(table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang", "source"), fanout=2)
     names = F.array(*[F.lit(r[0]) for r in DISTRICT_ROWS])
     created = F.date_format(F.timestamp_add("MINUTE", F.col("doc_id"),
                                             F.lit(REPORT_EPOCH).cast("timestamp_ntz")),
