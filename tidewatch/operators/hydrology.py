@@ -1,4 +1,10 @@
-"""Hydrology formulas as Column expressions.
+"""Hydrology formulas.
+
+Each formula is written once, as a Spark SQL expression built from the SQL
+expressions of its inputs (column names by default), and becomes a ``Column``
+through ``F.expr``.  Building a formula is then one parse in the JVM instead
+of hundreds of Python-to-JVM calls per Column operator, and the plan is the
+same whole-stage-codegen projection.
 
 Input columns (scenario x district row):
   rain_mm, month, sunshine_h, rain_3day_mm            (scenario)
@@ -6,7 +12,8 @@ Input columns (scenario x district row):
   runoff_coef, coast_km                               (district)
 
 The operand order of every expression follows the reference formulas so that
-double arithmetic is bit-identical to it and to the SQL oracle.
+double arithmetic is bit-identical to it and to the SQL oracle.  Every
+literal is a DOUBLE (``D`` suffix); rounding is ``rint`` (SURVEY N1, N2).
 """
 
 from __future__ import annotations
@@ -17,8 +24,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.numeric import clip, dbl, pos, r0, r2, trunc_long
-
 
 @dataclass(frozen=True)
 class Variant:
@@ -40,99 +45,129 @@ WET_SEASON_MONTHS = [11, 12, 1, 2, 3, 4]
 VARIANTS = {v.name: v for v in (BATCH, DASHBOARD)}
 
 
-def rain_3day_proxy(rain: Column) -> Column:
+# ---- SQL expression helpers -------------------------------------------------
+
+def d(x: float) -> str:
+    """A DOUBLE literal."""
+    return f"{float(x)!r}D"
+
+
+def clip(x: str, lo: str, hi: str) -> str:
+    return f"least(greatest({x}, {lo}), {hi})"
+
+
+def pos(x: str) -> str:
+    return f"greatest({d(0.0)}, {x})"
+
+
+def rnd(x: str, places: int) -> str:
+    s = d(10 ** places)
+    return f"(rint(({x}) * {s}) / {s})"
+
+
+def r0(x: str) -> str:
+    return f"CAST(rint({x}) AS INT)"
+
+
+# ---- formulas (SQL text) -----------------------------------------------------
+
+def rain_3day_proxy(rain: str = "rain_mm") -> str:
     """H1: live 3-day rain proxy ``rr*1.5 + 20``."""
-    return rain * dbl(1.5) + dbl(20.0)
+    return f"({rain} * {d(1.5)} + {d(20.0)})"
 
 
-def sunshine_proxy(rain: Column) -> Column:
+def sunshine_proxy(rain: str = "rain_mm") -> str:
     """H2: live sunshine proxy, 4 h when ``rr > 10`` else 8 h."""
-    return F.when(rain > dbl(10.0), dbl(4.0)).otherwise(dbl(8.0))
+    return f"(CASE WHEN {rain} > {d(10.0)} THEN {d(4.0)} ELSE {d(8.0)} END)"
 
 
-def wet_season(month: Column) -> Column:
+def wet_season(month: str = "month") -> str:
     """H3: 1 in the wet-season months."""
-    return month.isin(WET_SEASON_MONTHS).cast("int")
+    return f"CAST({month} IN ({', '.join(str(m) for m in WET_SEASON_MONTHS)}) AS INT)"
 
 
-def rain_duration(sunshine: Column, rain: Column) -> Column:
+def rain_duration(sunshine: str = "sunshine_h", rain: str = "rain_mm") -> str:
     """H4: ``max(0, round((8 - ss) * min(rr/20, 1)))``."""
-    return F.greatest(F.lit(0), r0((dbl(8.0) - sunshine) * F.least(rain / dbl(20.0), dbl(1.0))))
+    return f"greatest(0, {r0(f'({d(8.0)} - {sunshine}) * least({rain} / {d(20.0)}, {d(1.0)})')})"
 
 
-def tide_base(variant: Variant, month: Column | None = None) -> Column:
+def tide_base(variant: Variant, month: str = "month") -> str:
     """H5: 0.8 m, or ``0.8 + 0.4*sin(2*pi*month/12)`` in the dashboard."""
     if not variant.seasonal_tide:
-        return dbl(TIDE_BASE_M)
-    return dbl(TIDE_BASE_M) + dbl(TIDE_AMPLITUDE_M) * F.sin(dbl(2 * math.pi) * month / dbl(12.0))
+        return d(TIDE_BASE_M)
+    return f"({d(TIDE_BASE_M)} + {d(TIDE_AMPLITUDE_M)} * sin({d(2 * math.pi)} * {month} / {d(12.0)}))"
 
 
-def tide_at(base: Column, coast_km: Column) -> Column:
+def tide_at(base: str, coast_km: str = "coast_km") -> str:
     """H6: ``max(0, base - 0.05*coast_km)``."""
-    return pos(base - coast_km * dbl(0.05))
+    return pos(f"{base} - {coast_km} * {d(0.05)}")
 
 
-def runoff(coef: Column, rain: Column, area: Column) -> Column:
+def runoff(coef: str = "runoff_coef", rain: str = "rain_mm", area: str = "area_km2") -> str:
     """H7: ``k * (rr/3600) * a * 1000`` in m3/s."""
-    return coef * (rain / dbl(3600.0)) * area * dbl(1000.0)
+    return f"({coef} * ({rain} / {d(3600.0)}) * {area} * {d(1000.0)})"
 
 
-def drainage_excess(runoff_m3s: Column, capacity: Column) -> Column:
+def drainage_excess(runoff_m3s: str = "runoff_m3s", capacity: str = "drainage_m3s") -> str:
     """H8: ``max(0, runoff - capacity)``."""
-    return pos(runoff_m3s - capacity)
+    return pos(f"{runoff_m3s} - {capacity}")
 
 
-def river_stage(rain: Column, elevation: Column) -> Column:
+def river_stage(rain: str = "rain_mm", elevation: str = "elevation_m") -> str:
     """H9: ``r2(clip(rr/25*(1+(5-e)/5), 0.2, 5))``."""
-    return r2(clip(rain / dbl(25.0) * (dbl(1.0) + (dbl(5.0) - elevation) / dbl(5.0)), 0.2, 5.0))
+    raw = f"{rain} / {d(25.0)} * ({d(1.0)} + ({d(5.0)} - {elevation}) / {d(5.0)})"
+    return rnd(clip(raw, d(0.2), d(5.0)), 2)
 
 
-def flood_depth(excess: Column, capacity: Column, tide: Column, elevation: Column,
-                floor: float) -> Column:
+def flood_depth(excess: str, capacity: str, tide: str, elevation: str, floor: float) -> str:
     """``r2(clip(excess/c*0.5 + tide*0.3 + (5-e)*0.1, floor, 3))``."""
-    raw = (excess / capacity) * dbl(0.5) + tide * dbl(0.3) + (dbl(5.0) - elevation) * dbl(0.1)
-    return r2(clip(raw, floor, 3.0))
+    raw = (f"({excess} / {capacity}) * {d(0.5)} + {tide} * {d(0.3)}"
+           f" + ({d(5.0)} - {elevation}) * {d(0.1)}")
+    return rnd(clip(raw, d(floor), d(3.0)), 2)
 
 
-def flooded_area(area: Column, depth: Column, floor: float) -> Column:
+def flooded_area(area: str, depth: str, floor: float) -> str:
     """``r2(clip(a*(depth/2)*0.6, floor, a))``."""
-    return r2(clip(area * (depth / dbl(2.0)) * dbl(0.6), dbl(floor), area))
+    return rnd(clip(f"{area} * ({depth} / {d(2.0)}) * {d(0.6)}", d(floor), area), 2)
 
 
-def people_affected(population: Column, area: Column, flooded: Column) -> Column:
+def people_affected(population: str, area: str, flooded: str) -> str:
     """``int((pop/a) * flooded)``."""
-    return trunc_long((population / area) * flooded)
+    return f"CAST(({population} / {area}) * {flooded} AS BIGINT)"
 
 
-def lead_time(rain: Column, elevation: Column) -> Column:
+def lead_time(rain: str = "rain_mm", elevation: str = "elevation_m") -> str:
     """``max(1, round(12 - rr/20 - (5-e)*0.5))`` hours."""
-    return F.greatest(F.lit(1), r0(dbl(12.0) - rain / dbl(20.0) - (dbl(5.0) - elevation) * dbl(0.5)))
+    return f"greatest(1, {r0(f'{d(12.0)} - {rain} / {d(20.0)} - ({d(5.0)} - {elevation}) * {d(0.5)}')})"
 
 
-def index_probability(rain: Column, stage: Column, elevation: Column, excess: Column,
-                      tide: Column) -> Column:
+def index_probability(rain: str, stage: str, elevation: str, excess: str, tide: str) -> str:
     """Index probability in %, capped at 100 (unrounded)."""
-    idx = (rain * dbl(0.25) + stage * dbl(0.20) + (dbl(10.0) - elevation) * dbl(0.15)
-           + excess * dbl(0.15) + tide * dbl(0.10))
-    return F.least(dbl(100.0), idx / dbl(5.0) * dbl(100.0))
+    idx = (f"{rain} * {d(0.25)} + {stage} * {d(0.20)} + ({d(10.0)} - {elevation}) * {d(0.15)}"
+           f" + {excess} * {d(0.15)} + {tide} * {d(0.10)}")
+    return f"least({d(100.0)}, ({idx}) / {d(5.0)} * {d(100.0)})"
+
+
+def col(sql: str) -> Column:
+    """A formula as a Column."""
+    return F.expr(sql)
 
 
 def add_hydrology(df: DataFrame, variant: Variant) -> DataFrame:
-    """Add H5-H14 columns to scenario x district rows (one projection)."""
-    rain, elev = F.col("rain_mm"), F.col("elevation_m")
-    base = tide_base(variant, F.col("month") if variant.seasonal_tide else None)
+    """Add H5-H14 columns to scenario x district rows (a few projections; each
+    intermediate is computed once and referenced by name)."""
     df = df.withColumns({
-        "tide_m": tide_at(base, F.col("coast_km")),
-        "runoff_m3s": runoff(F.col("runoff_coef"), rain, F.col("area_km2")),
-        "river_stage_m": river_stage(rain, elev),
-        "lead_time_h": lead_time(rain, elev),
+        "tide_m": col(tide_at(tide_base(variant))),
+        "runoff_m3s": col(runoff()),
+        "river_stage_m": col(river_stage()),
+        "lead_time_h": col(lead_time()),
+    })
+    df = df.withColumn("excess_m3s", col(drainage_excess()))
+    df = df.withColumn("depth_m", col(flood_depth("excess_m3s", "drainage_m3s", "tide_m",
+                                                  "elevation_m", variant.depth_floor)))
+    df = df.withColumn("flooded_km2", col(flooded_area("area_km2", "depth_m", variant.area_floor)))
+    return df.withColumns({
+        "people_affected": col(people_affected("population", "area_km2", "flooded_km2")),
+        "index_prob": col(index_probability("rain_mm", "river_stage_m", "elevation_m",
+                                            "excess_m3s", "tide_m")),
     })
-    df = df.withColumn("excess_m3s", drainage_excess(F.col("runoff_m3s"), F.col("drainage_m3s")))
-    df = df.withColumn("depth_m", flood_depth(F.col("excess_m3s"), F.col("drainage_m3s"),
-                                              F.col("tide_m"), elev, variant.depth_floor))
-    df = df.withColumn("flooded_km2", flooded_area(F.col("area_km2"), F.col("depth_m"),
-                                                   variant.area_floor))
-    df = df.withColumn("people_affected", people_affected(F.col("population"), F.col("area_km2"),
-                                                          F.col("flooded_km2")))
-    return df.withColumn("index_prob", index_probability(
-        rain, F.col("river_stage_m"), elev, F.col("excess_m3s"), F.col("tide_m")))

@@ -106,19 +106,19 @@ def to_scenarios(weather: DataFrame, *, id_col: str = "event_id", month_col: str
                  ts_col: str = "timestamp") -> DataFrame:
     """P8 (live mode): flat weather events -> scenario rows.  The month is the
     event's own (N5), taken from ``month_col`` or parsed from the event time."""
-    month = (F.col(month_col) if month_col
-             else F.month(F.try_to_timestamp(F.col(ts_col), F.lit("yyyy-MM-dd'T'HH:mm"))))
-    return weather.select(
-        F.col(id_col).alias("scenario_id"),
-        F.col("lokasi").alias("location"),
-        F.col(ts_col).alias("observed_text"),
-        F.col("curah_hujan_mm").alias("rain_mm"),
-        F.col("kelembaban_pct").alias("humidity_pct"),
-        F.col("suhu_c").alias("temp_c"),
-        F.col("kecepatan_angin_ms").alias("wind_ms"),
-        month.cast("int").alias("month"),
-        F.lit(None).cast("double").alias("rain_3day_mm"),
-        F.lit(None).cast("double").alias("sunshine_h"),
+    month = (f"`{month_col}`" if month_col
+             else f"""month(try_to_timestamp(`{ts_col}`, "yyyy-MM-dd'T'HH:mm"))""")
+    return weather.selectExpr(
+        f"`{id_col}` AS scenario_id",
+        "lokasi AS location",
+        f"`{ts_col}` AS observed_text",
+        "curah_hujan_mm AS rain_mm",
+        "kelembaban_pct AS humidity_pct",
+        "suhu_c AS temp_c",
+        "kecepatan_angin_ms AS wind_ms",
+        f"CAST({month} AS INT) AS month",
+        "CAST(NULL AS DOUBLE) AS rain_3day_mm",
+        "CAST(NULL AS DOUBLE) AS sunshine_h",
     )
 
 

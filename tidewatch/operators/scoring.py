@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.numeric import clip, dbl, r1
+from tidewatch.functions.numeric import r1
 from tidewatch.operators import hydrology as H
 from tidewatch.operators.joins import attach_dimension
 from tidewatch.sources.districts import DISTRICT_COUNT
@@ -30,27 +30,35 @@ SCORE_WEIGHTS = (0.35, 0.20, 0.15, 0.20, 0.10)
 # ---------------------------------------------------------------------------
 
 
-def status_label(prob: Column) -> Column:
+def _three_way(x: str, high: str, medium: str, low: str) -> str:
+    return (f"CASE WHEN {x} > {H.d(CRITICAL_PCT)} THEN '{high}' "
+            f"WHEN {x} > {H.d(WATCH_PCT)} THEN '{medium}' ELSE '{low}' END")
+
+
+def status_sql(prob: str = "probability") -> str:
     """Status on the unrounded probability."""
-    return (F.when(prob > dbl(CRITICAL_PCT), F.lit(STATUS_CRITICAL))
-            .when(prob > dbl(WATCH_PCT), F.lit(STATUS_WATCH))
-            .otherwise(F.lit(STATUS_SAFE)))
+    return _three_way(prob, STATUS_CRITICAL, STATUS_WATCH, STATUS_SAFE)
 
 
-def priority_label(score: Column) -> Column:
+def priority_sql(score: str = "risk_score") -> str:
     """Evacuation priority on the rounded score."""
-    return (F.when(score > dbl(CRITICAL_PCT), F.lit(PRIORITY_HIGH))
-            .when(score > dbl(WATCH_PCT), F.lit(PRIORITY_MEDIUM))
-            .otherwise(F.lit(PRIORITY_LOW)))
+    return _three_way(score, PRIORITY_HIGH, PRIORITY_MEDIUM, PRIORITY_LOW)
+
+
+def status_label(prob: str = "probability") -> Column:
+    return F.expr(status_sql(prob))
+
+
+def priority_label(score: str = "risk_score") -> Column:
+    return F.expr(priority_sql(score))
 
 
 def fill_live_proxies(scenarios: DataFrame) -> DataFrame:
     """H1/H2: in live mode the 3-day rain and sunshine are proxies of rain;
     a what-if scenario supplies them and keeps its own values."""
-    rain = F.col("rain_mm")
     return scenarios.withColumns({
-        "rain_3day_mm": F.coalesce(F.col("rain_3day_mm"), H.rain_3day_proxy(rain)),
-        "sunshine_h": F.coalesce(F.col("sunshine_h"), H.sunshine_proxy(rain)),
+        "rain_3day_mm": F.expr(f"coalesce(rain_3day_mm, {H.rain_3day_proxy()})"),
+        "sunshine_h": F.expr(f"coalesce(sunshine_h, {H.sunshine_proxy()})"),
     })
 
 
@@ -71,30 +79,32 @@ def score(scenarios: DataFrame, districts: DataFrame, variant: str | H.Variant =
     rows = H.add_hydrology(rows, v)
     if v.seasonal_tide:
         rows = rows.withColumns({
-            "wet_season": H.wet_season(F.col("month")),
-            "rain_duration_h": H.rain_duration(F.col("sunshine_h"), F.col("rain_mm")),
+            "wet_season": H.col(H.wet_season()),
+            "rain_duration_h": H.col(H.rain_duration()),
         })
     if probability_fn is not None:
         rows = probability_fn(rows)
     prob = F.col(probability) if probability else F.col("index_prob")
     rows = rows.withColumn("probability", prob)
-    return rows.withColumn("status", status_label(F.col("probability")))
+    return rows.withColumn("status", status_label())
 
 
 def add_risk_score(scored: DataFrame) -> DataFrame:
     """Shares, normalised depth and urgency, composite score, priority."""
-    w_p, w_d, w_a, w_pp, w_u = (dbl(w) for w in SCORE_WEIGHTS)
+    d, clip = H.d, H.clip
+    zero, hundred = d(0.0), d(100.0)
     df = scored.withColumns({
-        "pct_area": clip(F.col("flooded_km2") / F.col("area_km2") * dbl(100.0), 0.0, 100.0),
-        "pct_people": clip(F.col("people_affected") / F.col("population") * dbl(100.0), 0.0, 100.0),
-        "norm_depth": clip(F.col("depth_m") / dbl(3.0) * dbl(100.0), 0.0, 100.0),
-        "norm_urgency": clip((F.lit(12) - F.col("lead_time_h")) / dbl(11.0) * dbl(100.0), 0.0, 100.0),
+        "pct_area": F.expr(clip(f"flooded_km2 / area_km2 * {hundred}", zero, hundred)),
+        "pct_people": F.expr(clip(f"people_affected / population * {hundred}", zero, hundred)),
+        "norm_depth": F.expr(clip(f"depth_m / {d(3.0)} * {hundred}", zero, hundred)),
+        "norm_urgency": F.expr(clip(f"(12 - lead_time_h) / {d(11.0)} * {hundred}", zero, hundred)),
     })
-    df = df.withColumn("risk_score", r1(
-        w_p * F.col("probability") + w_d * F.col("norm_depth") + w_a * F.col("pct_area")
-        + w_pp * F.col("pct_people") + w_u * F.col("norm_urgency")))
-    return df.withColumns({"priority": priority_label(F.col("risk_score")),
-                           "pct_area_r1": r1(F.col("pct_area"))})
+    w_p, w_d, w_a, w_pp, w_u = (d(w) for w in SCORE_WEIGHTS)
+    df = df.withColumn("risk_score", F.expr(H.rnd(
+        f"{w_p} * probability + {w_d} * norm_depth + {w_a} * pct_area"
+        f" + {w_pp} * pct_people + {w_u} * norm_urgency", 1)))
+    return df.withColumns({"priority": priority_label(),
+                           "pct_area_r1": F.expr(H.rnd("pct_area", 1))})
 
 
 def batch_result(scored: DataFrame, keep=("scenario_id",)) -> DataFrame:

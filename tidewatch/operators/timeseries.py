@@ -80,7 +80,7 @@ def labelled_days(daily: DataFrame, flood_dates: DataFrame, flood_dates_rows: in
     d = flag_dates(d, flood_dates, known_rows=flood_dates_rows)
     d = flood_label(d)
     return d.withColumns({"month": F.month("date").cast("int"),
-                          "wet_season": H.wet_season(F.month("date"))})
+                          "wet_season": H.col(H.wet_season("month(date)"))})
 
 
 def date_index(df: DataFrame, date_col: str = "date") -> DataFrame:

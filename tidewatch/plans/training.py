@@ -50,7 +50,7 @@ def training_matrix(spark: SparkSession, daily: DataFrame | None = None,
         F.col("humidity_pct").alias("kelembaban_pct"),
         F.col("temp_c").alias("suhu_c"),
         F.col("wind_ms").alias("kecepatan_angin"),
-        H.rain_duration(F.col("sunshine_h"), F.col("rain_mm")).alias("durasi_hujan_jam"),
+        H.col(H.rain_duration()).alias("durasi_hujan_jam"),
         F.col("month").alias("bulan"),
         F.col("wet_season").alias("musim_hujan"),
         F.col("elevation_m").alias("elevasi_m"),
@@ -66,12 +66,11 @@ def training_matrix(spark: SparkSession, daily: DataFrame | None = None,
 def index_score(matrix: DataFrame) -> DataFrame:
     """Batch-formula index probability of each training row, as a [0, 1]
     score (the SQL-comparable probability provider, N11)."""
-    rain, elev = F.col("curah_hujan_mm"), F.col("elevasi_m")
-    tide = H.tide_at(H.tide_base(H.BATCH), F.col("coast_km"))
-    excess = H.drainage_excess(H.runoff(F.col("koef_limpasan"), rain, F.col("area_km2")),
-                               F.col("drainage_m3s"))
+    rain, elev = "curah_hujan_mm", "elevasi_m"
+    tide = H.tide_at(H.tide_base(H.BATCH), "coast_km")
+    excess = H.drainage_excess(H.runoff("koef_limpasan", rain, "area_km2"), "drainage_m3s")
     p = H.index_probability(rain, H.river_stage(rain, elev), elev, excess, tide)
-    return matrix.withColumn("score", p / F.lit(100.0))
+    return matrix.withColumn("score", H.col(f"({p}) / {H.d(100.0)}"))
 
 
 def fold_metrics(matrix: DataFrame, folds: int = TS.CV_FOLDS,

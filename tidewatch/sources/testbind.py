@@ -38,16 +38,16 @@ def weather_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events_to_weather(ev: DataFrame) -> DataFrame:
     """The weather binding as a DataFrame transform (static or streaming)."""
-    return ev.select(
-        F.col("event_id"),
-        F.col("ts").alias("event_time"),
-        minute_text(F.col("ts")).alias("timestamp"),
-        (F.lit(24) + (F.col("event_id") % 121) / F.lit(10)).alias("suhu_c"),
-        (F.lit(55) + F.col("user_id") % 46).alias("kelembaban_pct"),
-        (F.col("value") / F.lit(10)).alias("curah_hujan_mm"),
-        ((dbl(3.6) + F.col("user_id") % 100) / dbl(3.6)).alias("kecepatan_angin_ms"),
-        F.lit(CITY).alias("lokasi"),
-        (F.lit(1) + F.col("event_id") % 12).cast("int").alias("month"),
+    return ev.selectExpr(
+        "event_id",
+        "ts AS event_time",
+        """date_format(ts, "yyyy-MM-dd'T'HH:mm") AS timestamp""",
+        "24 + (event_id % 121) / 10 AS suhu_c",
+        "55 + user_id % 46 AS kelembaban_pct",
+        "value / 10 AS curah_hujan_mm",
+        "(3.6D + user_id % 100) / 3.6D AS kecepatan_angin_ms",
+        f"'{CITY}' AS lokasi",
+        "CAST(1 + event_id % 12 AS INT) AS month",
     )
 
 
