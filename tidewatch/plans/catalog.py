@@ -401,11 +401,12 @@ def labelled(spark, sf_dir) -> DataFrame:
                             TB.FLOOD_DATE_COUNT)
 
 
-def matrix(spark, sf_dir) -> DataFrame:
-    """Training matrix over a checkpointed labelled history: the small daily
-    table (one row per day) is built from the large tables once, then reused
-    by the date index, the folds and the model fits."""
-    return TR.training_matrix(spark, days=materialize(labelled(spark, sf_dir)))
+def matrix(spark, sf_dir, reused: bool = True) -> DataFrame:
+    """Training matrix.  When the plan reads it more than once (date index,
+    folds, model fits) the small labelled daily history (one row per day) is
+    checkpointed first, so the large tables are scanned once."""
+    days = labelled(spark, sf_dir)
+    return TR.training_matrix(spark, days=materialize(days) if reused else days)
 
 
 @register("rain_3day", f"SELECT location, {_sday()}, rain_mm, rain_3day_mm FROM ({Q.RAIN3}) r")
@@ -442,7 +443,7 @@ _MATRIX_COLS = ["district", *TR.FEATURES, "label"]
 @register("training_matrix", f"SELECT {_sday()}, {', '.join(_MATRIX_COLS)} FROM ({Q.MATRIX}) m")
 def training_matrix(spark, sf_dir):
     """Labelled days x districts with the ordered features."""
-    return matrix(spark, sf_dir).select(_day(), *_MATRIX_COLS)
+    return matrix(spark, sf_dir, reused=False).select(_day(), *_MATRIX_COLS)
 
 
 @register("time_split", f"""
