@@ -25,10 +25,10 @@ def scan_partitions(df: DataFrame) -> int | None:
     (an adaptive plan materialises its shuffle stages to report partitions)."""
     if df.isStreaming:
         return None
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    if "Exchange" in plan:
+    qe = df._jdf.queryExecution()
+    if "Exchange" in qe.executedPlan().toString():
         return None
-    return df.rdd.getNumPartitions()
+    return qe.toRdd().getNumPartitions()
 
 
 def estimated_bytes(df: DataFrame) -> int:
