@@ -26,8 +26,26 @@ FLOOD_DATE_COUNT = 30            # size of the confirmed flood-date list
 # -----------------------------------------------------------------------------
 
 
+# Schemas of the driver tables this package reads (explicit, so a read plans
+# without a schema-discovery job over the file footers).
+TABLE_SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+              "value DOUBLE, props STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+                "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+                "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "pages": "page_id BIGINT, url STRING, html STRING",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = TABLE_SCHEMAS.get(name)
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 def weather_events(spark: SparkSession, sf_dir: str) -> DataFrame:
