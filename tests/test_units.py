@@ -5,11 +5,8 @@ import datetime as dt
 import itertools
 import json
 import math
-import os
-import tempfile
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +17,7 @@ from tidewatch.operators import evaluation as EV
 from tidewatch.operators import feed as FD
 from tidewatch.operators import ingest, joins, kpi, timeseries as TS
 from tidewatch.sources import archive as AR
-from tidewatch.sources.districts import DISTRICT_ROWS, district_codes, districts
+from tidewatch.sources.districts import district_codes, districts
 
 
 def test_rint_rounding_matches_numpy(spark):
