@@ -119,6 +119,14 @@ def weather_defaults(spark, sf_dir):
     return ingest.with_defaults(ingest.normalize_weather(TB.raw_weather_responses(spark, sf_dir)))
 
 
+@register("weather_rejects", """
+SELECT event_id, 500 AS status FROM events WHERE event_type = 'error'""")
+def weather_rejects(spark, sf_dir):
+    """The reject set of failed API responses (kept, not dropped)."""
+    _, rejected = ingest.split_by_status(TB.raw_weather_responses(spark, sf_dir))
+    return rejected.select("event_id", "status")
+
+
 # ------------------------------------------------- what-if, KPIs, ranking ---
 
 
