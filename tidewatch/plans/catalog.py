@@ -127,6 +127,25 @@ def weather_rejects(spark, sf_dir):
     return rejected.select("event_id", "status")
 
 
+@register("tolerant_snapshot_read", f"""
+SELECT event_id, "timestamp", suhu_c, kelembaban_pct, curah_hujan_mm, kecepatan_angin_ms, lokasi
+FROM ({Q.WEATHER}) w JOIN (SELECT event_id, event_type FROM events) e USING (event_id)
+WHERE event_type <> 'error'""")
+def tolerant_snapshot_read(spark, sf_dir):
+    """S3 + S5: weather snapshot lines read tolerantly: lines that are not
+    valid JSON (here the error events, written with a stray brace) are "no
+    data" and dropped, never a failure."""
+    w = TB.weather_events(spark, sf_dir)
+    ev = TB.table(spark, sf_dir, "events").select("event_id", "event_type")
+    body = F.to_json(F.struct("event_id", *S.WEATHER_EVENT.fieldNames()))
+    lines = w.join(ev, "event_id").select(
+        F.when(F.col("event_type") == "error", F.concat(F.lit("{"), body)).otherwise(body).alias("value"))
+    path = scratch_path(spark, "snapshots")
+    lines.write.text(path)
+    schema = T.StructType([T.StructField("event_id", T.LongType())] + S.WEATHER_EVENT.fields)
+    return AR.read_tolerant(spark, path, schema)
+
+
 # ------------------------------------------------- what-if, KPIs, ranking ---
 
 
