@@ -167,6 +167,13 @@ def what_if_grid(spark, sf_dir):
     return SP.dashboard_scores(spark, sc)
 
 
+@register("what_if_rain_month", Q.dashboard_result(Q.risk(Q.scored(Q.RAIN_MONTH_GRID, DASHBOARD))))
+def what_if_rain_month(spark, sf_dir):
+    """P8 manual mode over a rain x month grid (the distinct pairs observed)."""
+    sc = ingest.what_if_scenarios(TB.rain_month_grid(spark, sf_dir))
+    return SP.dashboard_scores(spark, sc)
+
+
 _BANDS_SQL = ", ".join(
     f"{Q.band(c, hi, lo, worse)} AS {name}_band"
     for name, (c, hi, lo, worse) in kpi.METRIC_BANDS.items())

@@ -260,3 +260,12 @@ SELECT {b}CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS neg
   CAST(sum(pos * (2 * (pos_below + neg_below) + pos + neg + 1)) - sum(pos) * (sum(pos) + 1) AS DOUBLE)
     / (CAST(2 * sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc
 FROM ({score_counts_sql(scored_sql, by)}) r {grp}"""
+
+
+# Rain x month what-if grid (mirrors testbind.rain_month_grid).
+RAIN_MONTH_GRID = f"""
+SELECT rain * 100 + month AS scenario_id, 'Surabaya' AS location, 'Mode Simulasi Manual' AS observed_text,
+  CAST(rain AS DOUBLE) AS rain_mm, CAST(80 AS BIGINT) AS humidity_pct, {D(28.0)} AS temp_c,
+  {D(3.0)} AS wind_ms, month, CAST(rain * 3 AS DOUBLE) AS rain_3day_mm, {D(0.0)} AS sunshine_h
+FROM (SELECT DISTINCT CAST(trunc(value) AS BIGINT) % 201 AS rain,
+             CAST(1 + user_id % 12 AS INTEGER) AS month FROM events) p"""

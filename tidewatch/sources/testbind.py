@@ -217,3 +217,23 @@ def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     doc = F.struct(F.struct(F.struct(F.struct(geoms.alias("geometries")).alias("output"))
                             .alias("objects")).alias("result"))
     return docs.select("doc_id", F.to_json(doc).alias("json"))
+
+
+def rain_month_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What-if grid: every distinct (rain level, month) pair seen in the
+    events (whole-mm rain 0-200, month spread over the year), one manual
+    scenario per pair with the dashboard's default humidity, temperature,
+    wind, a 3-day total of three such days and no sunshine."""
+    ev = table(spark, sf_dir, "events")
+    pairs = ev.select((F.col("value").cast("bigint") % 201).alias("rain"),
+                      (F.lit(1) + F.col("user_id") % 12).cast("int").alias("month")).distinct()
+    return pairs.select(
+        (F.col("rain") * 100 + F.col("month")).alias("scenario_id"),
+        F.col("rain").cast("double").alias("rain_mm"),
+        F.lit(80).cast("bigint").alias("humidity_pct"),
+        F.lit(28.0).alias("temp_c"),
+        F.lit(3.0).alias("wind_ms"),
+        "month",
+        (F.col("rain") * 3).cast("double").alias("rain_3day_mm"),
+        F.lit(0.0).alias("sunshine_h"),
+    )
