@@ -81,6 +81,24 @@ def latest_weather(spark, sf_dir):
     return ingest.latest(TB.weather_events(spark, sf_dir), "event_time")
 
 
+@register("latest_per_location", f"""
+SELECT lokasi, strftime(max(event_time), '%Y-%m-%d %H:%M:%S.%f') AS event_time,
+       arg_max(curah_hujan_mm, event_time) AS curah_hujan_mm,
+       arg_max(kelembaban_pct, event_time) AS kelembaban_pct,
+       arg_max(suhu_c, event_time) AS suhu_c,
+       arg_max(kecepatan_angin_ms, event_time) AS kecepatan_angin_ms,
+       arg_max("timestamp", event_time) AS "timestamp"
+FROM ({Q.WEATHER}) w GROUP BY lokasi""")
+def latest_per_location(spark, sf_dir):
+    """O1 per location: newest event of every location with ``max_by``
+    (partial aggregation keeps one row per location per task)."""
+    latest = ingest.latest_per_key(TB.weather_events(spark, sf_dir), "lokasi", "event_time",
+                                   ["curah_hujan_mm", "kelembaban_pct", "suhu_c",
+                                    "kecepatan_angin_ms", "timestamp"])
+    return latest.withColumn("event_time",
+                             F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
 @register("latest_or_default", f"""
 SELECT {_LATEST_COLS} FROM (
   SELECT {_LATEST_COLS}, 1 AS prio FROM (SELECT * FROM ({Q.WEATHER}) w ORDER BY event_time DESC LIMIT 1)
