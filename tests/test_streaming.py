@@ -105,3 +105,19 @@ def test_publish_latest_scores(spark, tmp_path):
     got = spark.read.json(out + "/v=0").orderBy(F.desc("Probabilitas"), "Kecamatan").collect()
     assert [r.Kecamatan for r in got][:3] == ["Bulak", "Kenjeran", "Semampir"]
     assert len(got) == 15 and got[0].Probabilitas == 24.8   # newest event: rain 0.0
+
+
+def test_topic_records_parse_back(spark, tmp_path):
+    """S7 + F14: weather records written to a (file) topic parse back to the
+    flat event schema."""
+    from tidewatch import schemas as S
+    from tidewatch.sources import publish as PB
+    w = TB.weather_events(spark, SF)
+    PB.write_topic(PB.weather_records(w, TB.WEATHER_TOPIC), fmt="json", path=str(tmp_path / "t"))
+    rec = spark.read.schema("topic string, key string, value string").json(str(tmp_path / "t"))
+    back = ST.parse_values(rec, S.WEATHER_EVENT)
+    assert back.columns == ["topic", "key"] + S.WEATHER_EVENT.fieldNames()
+    assert {r.key for r in back.select("key").distinct().collect()} == {"SBY"}
+    exp = w.select(*S.WEATHER_EVENT.fieldNames())
+    assert back.drop("topic", "key").exceptAll(exp).count() == 0
+    assert back.count() == exp.count()
