@@ -62,3 +62,14 @@ def test_dedup_uses_partial_min_by(spark):
 def test_documents_scan_prunes_text(spark):
     p = plan(C.QUERIES["auc_rank_sum"](spark, SF))
     assert "text" not in re.findall(r"ReadSchema: struct<[^>]*>", p)[-1]
+
+
+def test_formulas_run_in_whole_stage_codegen(spark):
+    """The join and every formula projection after it share one generated
+    stage (no interpreted fallback for the SQL-expression formulas)."""
+    df = C.QUERIES["dashboard_scores"](spark, SF)
+    df.collect()
+    p = df._jdf.queryExecution().executedPlan().toString()
+    stage_lines = [line for line in p.splitlines() if "BroadcastNestedLoopJoin" in line
+                   or "Project [scenario_id" in line]
+    assert stage_lines and all("*(" in line for line in stage_lines[:8])
