@@ -872,3 +872,25 @@ def stream_two_topics(spark, sf_dir):
     return spark.read.parquet(out).select("topic", "dataset", "key", "timestamp")
 
 
+
+
+_LATEST_SCEN = Q.SCENARIOS.replace(
+    'FROM (' + Q.WEATHER + ') w',
+    'FROM (SELECT * FROM (' + Q.WEATHER + ') w0 ORDER BY event_time DESC LIMIT 1) w')
+
+
+@register("dashboard_latest_kpis", f"""
+SELECT *, CASE WHEN critical_count > 0 THEN 'danger' ELSE 'safe' END AS critical_band,
+          CASE WHEN watch_count > 0 THEN 'warn' ELSE 'safe' END AS watch_band,
+          {Q.band('total_people', 5000, 1000)} AS people_band,
+          {Q.band('min_lead_time_h', 3, 6, False)} AS lead_band
+FROM (SELECT count(*) AS districts,
+        count(*) FILTER (WHERE probability > 70.0::DOUBLE) AS critical_count,
+        count(*) FILTER (WHERE probability > 40.0::DOUBLE AND probability <= 70.0::DOUBLE) AS watch_count,
+        CAST(sum(people_affected) AS BIGINT) AS total_people,
+        min(lead_time_h) AS min_lead_time_h
+      FROM ({Q.risk(Q.scored(Q.live_proxies(_LATEST_SCEN), DASHBOARD))}) r) k""")
+def dashboard_latest_kpis(spark, sf_dir):
+    """E3 (live mode) KPI cards of the newest weather event."""
+    return SP.live_dashboard(spark, TB.weather_events(spark, sf_dir), order_col="event_time",
+                             month_col="month")["kpis"]
