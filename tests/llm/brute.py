@@ -29,3 +29,34 @@ def repeats(rows, n):
             seen.add(k)
         out[i] = (len(w), [x for j, x in enumerate(w) if j not in gone], sorted(gone))
     return out
+
+
+def shingles(text, k):
+    w = words(text, lower=True)
+    if not w:
+        return frozenset()
+    return frozenset(tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1)))
+
+
+def jaccard_components(rows, k, num, den):
+    """{doc_id: (set size, smallest id reachable by links)}."""
+    sets = {d: shingles(t, k) for d, t in rows}
+    root = {d: d for d in sets}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    by = {}
+    for d, s in sets.items():
+        for g in s:
+            by.setdefault(g, []).append(d)
+    near = {(a, b) for own in by.values() for a in own for b in own if a < b}
+    for a, b in near:
+        both = len(sets[a] & sets[b])
+        if den * both >= num * (len(sets[a]) + len(sets[b]) - both):
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    return {d: (len(s), find(d)) for d, s in sets.items()}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import substring_dedup, suffix_dedup
+from tidewatch.llm import jaccard_join, substring_dedup, suffix_dedup
 from tidewatch.llm.frames import table
 
 
@@ -20,11 +20,16 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(suffix_dedup.remove_repeats(docs))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.components(docs, k=3, num=90, den=100)
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return _digest(substring_dedup.remove_repeats(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op8_jaccard_join, op10_substring_dedup)}
 
 ORACLE: dict[str, str] = {}
