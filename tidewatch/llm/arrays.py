@@ -16,6 +16,9 @@ SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 #: A-Z to a-z, every other byte unchanged
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+#: every ASCII byte but letters and digits
+NOT_ALNUM = np.zeros(256, dtype=bool)
+NOT_ALNUM[:128] = [not chr(c).isalnum() for c in range(128)]
 #: words hashed at once, so that the byte-wide temporaries stay small
 BLOCK_WORDS = 150_000
 
@@ -58,11 +61,12 @@ class Words:
     word (one more entry than texts); text: the text that holds each word.
     """
 
-    def __init__(self, data: np.ndarray, offs: np.ndarray, lower: bool = False):
+    def __init__(self, data: np.ndarray, offs: np.ndarray, lower: bool = False,
+                 gap: np.ndarray = SPACE):
         self.data = LOWER[data] if lower else data
         self.offs = offs
         n = len(data)
-        space = SPACE[data]
+        space = gap[data]
         edge = np.zeros(n + 1, dtype=bool)
         edge[offs] = True
         word = ~space

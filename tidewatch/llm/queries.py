@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import jaccard_join, substring_dedup, suffix_dedup
+from tidewatch.llm import decontaminate, jaccard_join, language_id, substring_dedup, suffix_dedup
 from tidewatch.llm.frames import table
 
 
@@ -20,16 +20,33 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(suffix_dedup.remove_repeats(docs))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontaminate.find_items(docs, table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", (F.size("matches") > 0).alias("contaminated"),
+                      F.size("matches").cast("long").alias("n_items"),
+                      F.col("matches.item_id").alias("item_ids"), "matches")
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard_join.components(docs, k=3, num=90, den=100)
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from three quarters of the documents, judges all of them."""
+    docs = table(spark, sf_dir, "documents")
+    rest = F.crc32(F.col("doc_id").cast("string")) % 4
+    model = language_id.learn(docs.where(rest != 2).select("text", "lang"))
+    found = language_id.identify(docs.select("doc_id", F.coalesce(rest == 2, F.lit(False)).alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return _digest(substring_dedup.remove_repeats(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op8_jaccard_join, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op3_decontaminate, op8_jaccard_join, op9_language_id, op10_substring_dedup)}
 
 ORACLE: dict[str, str] = {}
