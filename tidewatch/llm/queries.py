@@ -4,8 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import decontaminate, jaccard_join, language_id, substring_dedup, suffix_dedup
+from tidewatch.llm import decontaminate, jaccard_join, language_id, mixing, substring_dedup, suffix_dedup, url_filter
 from tidewatch.llm.frames import table
+from tidewatch.llm.sql import mixing_sql, url_filter_sql
+
+#: rules of op6: host, path, verdict
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
+             ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+#: op7: every token of the corpus handed out by these weights, in at most three epochs
+MIX = {"share": (1, 1), "max_epochs": 3, "seed": 7,
+       "weights": {"domain": {"d0": 4, "d1": 3, "d2": 2, "d3": 1}, "language": {"en": 4, "de": 2, "fr": 2, "es": 1},
+                   "origin": {"src0": 2}}}
 
 
 def _digest(out: DataFrame) -> DataFrame:
@@ -28,6 +37,15 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("matches.item_id").alias("item_ids"), "matches")
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).drop("url")
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return mixing.mix(docs, **MIX).select("doc_id", "domain", "lang", "source", "n_tokens", "epoch")
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard_join.components(docs, k=3, num=90, den=100)
@@ -47,6 +65,9 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(substring_dedup.remove_repeats(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op3_decontaminate, op8_jaccard_join, op9_language_id, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op3_decontaminate, op6_url_filter, op7_mixing, op8_jaccard_join, op9_language_id, op10_substring_dedup)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_url_filter": url_filter_sql(URL_RULES, url_filter.ORDER, url_filter.ALPHABET, url_filter.HELD_OUT),
+    "op7_mixing": mixing_sql(**MIX),
+}
