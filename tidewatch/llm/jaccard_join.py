@@ -347,6 +347,20 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
                       F.coalesce("component", "id").alias("component_id"))
 
 
+def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
+             doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """docs with one row of each group of linked documents: the smallest
+    doc_id; of rows that share a doc_id one.  Rows without doc_id or without
+    words stay."""
+    found = stored(components(docs, k, num, den, doc_id, text), "linked")
+    gone = found.where(F.col(doc_id) != F.col("component_id")).select(doc_id).distinct()
+    twice = found.where(F.col(doc_id).isNotNull()).groupBy(doc_id).count().where("count > 1")
+    if twice.head(1):
+        first = docs.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id])
+        docs = first.unionByName(docs.where(F.col(doc_id).isNull()))
+    return docs.join(_small(gone, gone.count()), doc_id, "left_anti").select(docs.columns)
+
+
 def _links(base: DataFrame, family: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Links (a, b) that join the same documents as all links within families."""
     sizes = family.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
