@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import decontaminate, jaccard_join, language_id, mixing, substring_dedup, suffix_dedup, url_filter
+from tidewatch.llm import decontaminate, jaccard_join, language_id, maxent_lm, mixing, substring_dedup, suffix_dedup, url_filter
 from tidewatch.llm.frames import table
 from tidewatch.llm.sql import mixing_sql, url_filter_sql
 
@@ -37,6 +37,14 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("matches.item_id").alias("item_ids"), "matches")
 
 
+def op5_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from nine tenths of the documents, scores all of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rest = F.crc32(F.col("doc_id").cast("string")) % 10
+    held = docs.withColumn("held_out", F.coalesce(rest == 0, F.lit(False)))
+    return maxent_lm.score(held, rest != 0).select("doc_id", "held_out", *maxent_lm.RESULT)
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).drop("url")
 
@@ -65,7 +73,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(substring_dedup.remove_repeats(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op3_decontaminate, op6_url_filter, op7_mixing, op8_jaccard_join, op9_language_id, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op3_decontaminate, op5_maxent_lm, op6_url_filter, op7_mixing, op8_jaccard_join, op9_language_id, op10_substring_dedup)}
 
 ORACLE: dict[str, str] = {
     "op6_url_filter": url_filter_sql(URL_RULES, url_filter.ORDER, url_filter.ALPHABET, url_filter.HELD_OUT),
