@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import decontaminate, jaccard_join, language_id, maxent_lm, mixing, substring_dedup, suffix_dedup, url_filter
+from tidewatch.llm import ann_tree, decontaminate, jaccard_join, language_id, maxent_lm, mixing, substring_dedup, suffix_dedup, url_filter
 from tidewatch.llm.frames import table
 from tidewatch.llm.sql import mixing_sql, url_filter_sql
 
@@ -37,6 +37,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("matches.item_id").alias("item_ids"), "matches")
 
 
+def op4_ann_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann_tree.search(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
 def op5_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learns from nine tenths of the documents, scores all of them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -73,7 +78,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(substring_dedup.remove_repeats(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op3_decontaminate, op5_maxent_lm, op6_url_filter, op7_mixing, op8_jaccard_join, op9_language_id, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op3_decontaminate, op4_ann_tree, op5_maxent_lm, op6_url_filter, op7_mixing, op8_jaccard_join, op9_language_id, op10_substring_dedup)}
 
 ORACLE: dict[str, str] = {
     "op6_url_filter": url_filter_sql(URL_RULES, url_filter.ORDER, url_filter.ALPHABET, url_filter.HELD_OUT),
