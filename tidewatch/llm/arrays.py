@@ -54,6 +54,17 @@ def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     return data, offs - offs[0]
 
 
+def slices(column, size: int = 2 << 20):
+    """(from, to) of runs of an Arrow string column's rows with about ``size``
+    bytes of text each (or one long text)."""
+    end = np.cumsum(pc.fill_null(pc.binary_length(column.cast(pa.string())), 0).to_numpy(zero_copy_only=False))
+    a = 0
+    while a < len(end):
+        b = max(a + 1, int(np.searchsorted(end, (end[a - 1] if a else 0) + size, "right")))
+        yield a, b
+        a = b
+
+
 class Words:
     """Word spans of a block of texts.
 

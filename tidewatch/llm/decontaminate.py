@@ -116,7 +116,7 @@ class Index:
             doc = doc_of[at]
             inside = at + len(mask) <= w.first[doc + 1]
             found.append(np.stack([doc, item, at - w.first[doc] - place], 1)[inside])
-        out: list[dict] = [{} for _ in range(len(w.count))]
+        out: list[dict] = [{} for _ in range(len(w.count))]     # without seeds nothing is found
         for doc, item, shift in np.unique(np.concatenate(found), axis=0).tolist():
             r = self.overlap(h[w.first[doc]:w.first[doc + 1]], item, shift)
             if r and (item not in out[doc] or r[2] > out[doc][item]["equal"]):
@@ -150,8 +150,8 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text
             index = None
             for batch in batches:
                 index = index or Index(*sent.value, window)
-                col = batch.column(body)
-                got = index.search(col.cast(pa.string())) if index.tables else [[] for _ in range(len(col))]
+                col = batch.column(body).cast(pa.string())
+                got = [m for a, b in A.slices(col) for m in index.search(col.slice(a, b - a))]
                 old = batch.column(at).to_pylist()
                 cols = batch.columns[:at] + [pa.array([(o or []) + g for o, g in zip(old, got)], arrow)]
                 yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names)

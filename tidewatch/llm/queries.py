@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import ann_tree, decontaminate, jaccard_join, language_id, maxent_lm, mixing, substring_dedup, suffix_dedup, url_filter
+from tidewatch.llm import ann_tree, decontaminate, jaccard_join, language_id, license_scan, maxent_lm, mixing, substring_dedup, suffix_dedup, url_filter
 from tidewatch.llm.frames import table
 from tidewatch.llm.sql import mixing_sql, url_filter_sql
 
@@ -29,6 +29,13 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(suffix_dedup.remove_repeats(docs))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = license_scan.scan(docs, license_scan.train(docs))
+    return found.select("doc_id", F.size("licences").cast("long").alias("n_licences"),
+                        F.array_sort(F.array_distinct("licences.family")).alias("families"), "licences")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = decontaminate.find_items(docs, table(spark, sf_dir, "benchmark"))
@@ -78,7 +85,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(substring_dedup.remove_repeats(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op3_decontaminate, op4_ann_tree, op5_maxent_lm, op6_url_filter, op7_mixing, op8_jaccard_join, op9_language_id, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_license_scan, op3_decontaminate, op4_ann_tree, op5_maxent_lm, op6_url_filter, op7_mixing, op8_jaccard_join, op9_language_id, op10_substring_dedup)}
 
 ORACLE: dict[str, str] = {
     "op6_url_filter": url_filter_sql(URL_RULES, url_filter.ORDER, url_filter.ALPHABET, url_filter.HELD_OUT),
