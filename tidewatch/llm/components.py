@@ -2,10 +2,93 @@
 
 from __future__ import annotations
 
+from math import ceil
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidewatch.llm.frames import stored
 
+#: links contracted inside one task
+TASK_LINKS = 1_000_000
+LINK = pa.schema([("u", pa.int64()), ("r", pa.int64())])
+
+
+def roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, smallest node of its component) of the links a - b, by repeated
+    minimum over links and pointer jumping."""
+    nodes, code = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = code[:len(a)], code[len(a):]
+    root = np.arange(len(nodes))
+    while True:
+        rx, ry = root[x], root[y]
+        if (rx == ry).all():
+            return nodes, nodes[root]
+        low = np.minimum(rx, ry)
+        np.minimum.at(root, rx, low)
+        np.minimum.at(root, ry, low)
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def _contract(batches):
+    """Links of a partition, in bounded portions, to (node, root) rows; a root
+    has a row of its own."""
+    held, size = [], 0
+
+    def flush():
+        u, r = roots(*np.concatenate(held, axis=1))
+        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(r)], schema=LINK)
+
+    for b in batches:
+        held.append(np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()]))
+        size += b.num_rows
+        if size >= TASK_LINKS:
+            yield flush()
+            held, size = [], 0
+    if size:
+        yield flush()
+
+
+def connected_components(links: DataFrame) -> DataFrame:
+    """(node, component) for every node of links (a, b): component is the
+    smallest node reachable, the node itself included.
+
+    Tasks contract the links of their partition to stars, without a shuffle.
+    Stars are then dealt by node to as few tasks as TASK_LINKS allows and
+    contracted again; while that takes several tasks, each node keeps its
+    smallest root, and its other roots link with that one in a smaller graph
+    of roots, which goes the same way.  A graph that does not shrink is solved
+    by alternating star steps.  Links with themselves keep a lone node in the
+    result.  Every round's graph is a table in the shared folder.
+    """
+    cur = links.select(F.col("a").alias("u"), F.col("b").alias("r"))
+    cur = stored(cur.mapInArrow(_contract, "u long, r long"), "stars")
+    size, steps = cur.count(), []
+    while True:
+        tasks = max(1, ceil(size / TASK_LINKS))
+        cur = cur.repartition(tasks, "u").mapInArrow(_contract, "u long, r long")
+        if tasks == 1:
+            steps.append(stored(cur, "roots"))
+            break
+        node = stored(cur.groupBy("u").agg(F.min("r").alias("r"), F.collect_set("r").alias("all")), "roots")
+        steps.append(node.select("u", "r"))
+        other = node.select(F.explode("all").alias("u"), "r").where("u <> r").distinct()
+        cur = stored(other, "stars")
+        left = cur.count()
+        if not left:
+            break
+        if left > size / 2:
+            steps.append(_stars(cur))
+            break
+        size = left
+    out = steps[0]
+    for more in steps[1:]:
+        out = out.join(more.select(F.col("u").alias("r"), F.col("r").alias("top")), "r", "left") \
+            .select("u", F.coalesce("top", "r").alias("r"))
+    return out.select(F.col("u").alias("node"), F.col("r").alias("component"))
+
 
 def _neighbour_min(both: DataFrame) -> DataFrame:
     """Each (u, v) with m, the smallest of u and its neighbours.  The minimum
@@ -15,17 +98,10 @@ def _neighbour_min(both: DataFrame) -> DataFrame:
     return both.join(least, "u")
 
 
-def connected_components(links: DataFrame) -> DataFrame:
-    """(node, component) for every node of links (a, b): component is the
-    smallest node reachable, the node itself included.
-
-    Alternating large-star and small-star steps, each a shuffle of the links;
-    the number of rounds grows with the logarithm of a component's diameter.
-    Each round's links are a table in the shared folder.  Self-links are
-    allowed and keep a lone node in the result.
-    """
-    nodes = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
-    cur = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+def _stars(links: DataFrame) -> DataFrame:
+    """(u, r): the smallest node reachable from each node but that node
+    itself, by alternating large-star and small-star steps."""
+    cur = links.select(F.greatest("u", "r").alias("u"), F.least("u", "r").alias("v")).where("u <> v").distinct()
     seen = None
     while True:
         both = cur.union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -36,7 +112,5 @@ def connected_components(links: DataFrame) -> DataFrame:
         cur = stored(cur, "star")
         mark = cur.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == seen:
-            break
+            return cur.select("u", F.col("v").alias("r"))
         seen = mark
-    return nodes.join(cur.select(F.col("u").alias("node"), "v"), "node", "left") \
-        .select("node", F.coalesce("v", "node").alias("component"))

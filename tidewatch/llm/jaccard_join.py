@@ -18,8 +18,8 @@ metric.  Two documents link when ``den * |A n B| >= num * |A u B|``.
 3. *Large families* are never gathered: their documents stay dealt over tasks
    of bounded size, blocks of pivots are sent to them, and each round compares
    the pivots with the whole family.  A round resolves its pivots; documents
-   outside a family's largest component become the next pivots, in blocks that
-   double, until none is left.  Documents within the link distance of a pivot
+   outside a family's largest component become the next pivots, in growing
+   blocks, until none is left.  Documents within the link distance of a pivot
    share its component, so copies of a text need one round.
 
 Exact copies of a set are collapsed to the smallest id beforehand.  There is
@@ -36,8 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidewatch.llm import arrays as A
-from tidewatch.llm.components import connected_components
-from tidewatch.llm.frames import chunk_plan, stored, text_size
+from tidewatch.llm.components import connected_components, roots
+from tidewatch.llm.frames import stored, text_size
 from tidewatch.llm.repeats import _arrow, _cut, _table
 
 #: largest family joined as a whole inside one task
@@ -46,9 +46,11 @@ FAMILY = 200
 LEAF = 12
 #: pivots of a region, and of a large family in its first round
 PIVOTS = 4
-FIRST_BLOCK = 8
+FIRST_BLOCK, GROWTH = 32, 4
 #: signatures that a task collects before it sorts and sends them
 FLUSH = 1_500_000
+#: signatures of a hash shard
+SHARD = 4_000_000
 #: rows of a table small enough to broadcast (two longs a row)
 BROADCAST_ROWS = 500_000
 
@@ -231,55 +233,56 @@ def _collect(k: int, num: int, den: int, shards: int):
         new = np.diff(s, prepend=~s[:1]) != 0
         first = d[new]
         lead = first[np.cumsum(new) - 1]
-        pairs = np.unique(np.stack([d, lead], 1)[d != lead], axis=0)
+        node, root = roots(d[d != lead], lead[d != lead])
         out = []
-        if len(pairs):
-            out.append(none | {"kind": 2, "size": len(pairs), "sigs": A.pack(pairs[:, 0].copy()),
-                               "ids": A.pack(pairs[:, 1].copy())})
+        if len(node):
+            out.append(none | {"kind": 2, "size": len(node), "sigs": A.pack(node), "ids": A.pack(root)})
         s = s[new]
         for shard, a, b in _cut(s, shards):
             out.append(none | {"kind": 1, "shard": shard, "size": b - a,
                                "sigs": A.pack_sorted(s[a:b]), "ids": A.pack(first[a:b])})
         return pa.RecordBatch.from_pylist(out, schema=schema)
 
-    def task(batches):
-        sigs, ids, held = [], [], 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            sh = Shingles(batch.column("text"), k)
-            known = batch.column("id").is_valid().to_numpy(zero_copy_only=False)
-            ident = batch.column("id").fill_null(0).to_numpy()
-            f0, f1 = sh.fingerprints()
-            rows = len(ident)
-            gap = lambda t: pa.nulls(rows, t)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(rows, np.int32)), batch.column("id"), pa.array(sh.size.astype(np.int64)),
-                 pa.array(f0.view(np.int64)), pa.array(f1.view(np.int64)),
-                 gap(pa.int32()), gap(pa.int32()), gap(pa.binary()), gap(pa.binary())], schema=schema)
-            # copies of a set inside the block send its signatures once
-            ok = np.flatnonzero(known)
-            order, lead = A.groups(f0[ok], f1[ok], ident[ok].view(np.uint64) ^ np.uint64(2**63))
-            g0, g1 = f0[ok][order], f1[ok][order]
-            lead[1:] = (g0[1:] != g0[:-1]) | (g1[1:] != g1[:-1])
-            sends = np.zeros(rows, bool)
-            sends[ok[order[lead]]] = True
-            s, d = sh.signatures(num, den)
-            use = sends[d]
+    def judge(batch, sigs, ids):
+        sh = Shingles(batch.column("text"), k)
+        known = batch.column("id").is_valid().to_numpy(zero_copy_only=False)
+        ident = batch.column("id").fill_null(0).to_numpy()
+        f0, f1 = sh.fingerprints()
+        rows = len(ident)
+        # copies of a set inside the block send its signatures once
+        ok = np.flatnonzero(known)
+        order, lead = A.groups(f0[ok], f1[ok], ident[ok].view(np.uint64) ^ np.uint64(2**63))
+        g0, g1 = f0[ok][order], f1[ok][order]
+        lead[1:] = (g0[1:] != g0[:-1]) | (g1[1:] != g1[:-1])
+        sends = np.zeros(rows, bool)
+        sends[ok[order[lead]]] = True
+        s, d = sh.signatures(num, den)
+        use = sends[d]
+        if use.any():
             sigs.append(s[use])
             ids.append(ident[d[use]])
-            held += int(use.sum())
-            if held >= FLUSH:
-                yield flush(sigs, ids)
-                sigs, ids, held = [], [], 0
-        if held:
+        gap = lambda t: pa.nulls(rows, t)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.zeros(rows, np.int32)), batch.column("id"), pa.array(sh.size.astype(np.int64)),
+             pa.array(f0.view(np.int64)), pa.array(f1.view(np.int64)),
+             gap(pa.int32()), gap(pa.int32()), gap(pa.binary()), gap(pa.binary())], schema=schema)
+
+    def task(batches):
+        sigs, ids = [], []
+        for batch in batches:
+            for a, b in A.slices(batch.column("text")):
+                yield judge(batch.slice(a, b - a), sigs, ids)
+                if sum(map(len, sigs)) >= FLUSH:
+                    yield flush(sigs, ids)
+                    sigs, ids = [], []
+        if sigs:
             yield flush(sigs, ids)
 
     return task, ddl
 
 
-def _stars(table: pa.Table) -> np.ndarray:
-    """Star links (id, smallest id) of one shard's signatures."""
+def _stars(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(id, smallest id linked through this shard's signatures)."""
     rows = table.to_pylist()
     s = np.concatenate([A.unpack_sorted(r["sigs"], r["size"], np.uint64) for r in rows])
     d = np.concatenate([A.unpack(r["ids"], r["size"], np.int64) for r in rows])
@@ -287,7 +290,7 @@ def _stars(table: pa.Table) -> np.ndarray:
     s, d = s[order], d[order]
     new = np.diff(s, prepend=~s[:1]) != 0
     lead = d[new][np.cumsum(new) - 1]
-    return np.unique(np.stack([d, lead], 1)[d != lead], axis=0)
+    return roots(d[d != lead], lead[d != lead])
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -306,7 +309,8 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     no component.  Other columns are not read.
     """
     _, size = text_size(docs, text)
-    shards = chunk_plan(size)[1]
+    # some four million signatures a shard, of about a quarter as many as words
+    shards = max(8, ceil(size / 6 / 4 / SHARD))
     base = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     task, ddl = _collect(k, num, den, shards)
     found = stored(base.mapInArrow(task, ddl), "shingles")
@@ -321,10 +325,10 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
 
     # candidate families
     pair_ddl, pair = "a long, b long", _arrow("a long, b long")
-    to_pairs = lambda p: pa.Table.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], schema=pair)
 
     def stars(key, table):
-        return to_pairs(_stars(table))
+        node, root = _stars(table)
+        return pa.Table.from_arrays([pa.array(node), pa.array(root)], schema=pair)
 
     def here(batches):
         for b in batches:
@@ -334,14 +338,13 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
 
     near = found.where("kind = 1").select("shard", "size", "sigs", "ids").groupBy("shard").applyInArrow(stars, pair_ddl) \
         .union(found.where("kind = 2").select("size", "sigs", "ids").mapInArrow(here, pair_ddl))
-    for c in ("a", "b"):
-        near = near.join(member.select(F.col("id").alias(c), "rep"), c, "left") \
-            .withColumn(c, F.coalesce("rep", c)).drop("rep")
-    family = stored(connected_components(stored(near.where("a <> b").distinct(), "candidates")), "families")
+    same = member.select(F.col("id").alias("a"), F.col("rep").alias("b"))
+    family = connected_components(near.union(same))
+    # of exact copies only the smallest id is compared
+    family = stored(family.join(same.where("a <> b").select(F.col("a").alias("node")), "node", "left_anti"), "families")
     links = _links(base, family, k, num, den)
 
-    every = links.union(member.select(F.col("id").alias("a"), F.col("rep").alias("b")))
-    comp = stored(connected_components(every), "components")
+    comp = stored(connected_components(links.union(same)), "components")
     out = rows.join(comp.withColumnRenamed("node", "id"), "id", "left")
     return out.select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"),
                       F.coalesce("component", "id").alias("component_id"))
@@ -363,7 +366,7 @@ def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
 
 def _links(base: DataFrame, family: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Links (a, b) that join the same documents as all links within families."""
-    sizes = family.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    sizes = family.groupBy("component").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     total = sizes.agg(F.sum("size").alias("n"), F.max("size").alias("top"),
                       F.sum(F.when(F.col("size") > FAMILY, F.col("size"))).alias("large")).first()
     n = int(total["n"] or 0)
@@ -440,4 +443,4 @@ def _large_links(members: DataFrame, k: int, num: int, den: int) -> DataFrame:
         new = large.groupBy("family", "part").cogroup(blob.groupBy("family", "part")).applyInArrow(block, pair_ddl)
         links = stored(new if links is None else links.union(new), "links")
         done = pivots.select("id") if done is None else stored(done.union(pivots.select("id")), "done")
-        width *= 2
+        width *= GROWTH
