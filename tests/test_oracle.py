@@ -6,6 +6,8 @@ import pytest
 import __spark_entry__ as E
 from tests.oracle_check import compare, duck, type_mismatches
 
+from tidewatch.plans.catalog import QUERIES as CATALOG
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -23,10 +25,38 @@ def test_query_matches_oracle(spark, con, name):
     assert type_mismatches(dict(df.dtypes), con, E.oracle_sql()[name]) == []
 
 
-def test_every_query_runs(spark):
-    missing = sorted(set(E.queries()) - set(E.oracle_sql()))
-    # rows-only queries: the model ones (not comparable across engines)
-    assert all(n.startswith(("rf_", "model_")) for n in missing)
+MODEL = ["model_dashboard_scores", "rf_auc", "rf_cv", "rf_cv_summary", "rf_evaluation", "rf_importance", "rf_scores", "rf_threshold"]
+
+
+def test_only_the_forest_has_no_oracle():
+    """(beside the training-data queries, which have tests of their own)"""
+    missing = set(E.queries()) - set(E.oracle_sql())
+    assert sorted(n for n in missing if n in CATALOG) == MODEL
+
+
+def test_forest_queries(spark):
+    """Every forest query runs; its results have the stated ranges."""
+    got = {n: E.queries()[n](spark, SF).collect() for n in MODEL}
+    assert all(0 <= r.model_prob <= 100 and r.pred in (0, 1) for r in got["rf_scores"])
+    cut = got["rf_threshold"][0].threshold
+    assert all(r.pred == int(r.model_prob / 100 >= cut) for r in got["rf_scores"])
+    assert abs(sum(r.importance for r in got["rf_importance"]) - 1) < 1e-9 and len(got["rf_importance"]) == 12
+    assert [r.fold for r in sorted(got["rf_cv"], key=lambda r: r.fold)] == [1, 2, 3, 4, 5]
+    folds = [r.accuracy for r in got["rf_cv"]]
+    assert got["rf_cv_summary"][0].accuracy_mean == pytest.approx(sum(folds) / 5, abs=1e-4)
+    assert sum(r.support for r in got["rf_evaluation"]) == len(got["rf_scores"])
+    assert all(0 <= r["Probabilitas (%)"] <= 100 for r in got["model_dashboard_scores"])
+
+
+def test_reloaded_forest_gives_the_same_scores(spark, tmp_path):
+    from tidewatch.plans import catalog, training
+
+    rows = catalog.matrix(spark, SF)
+    model = training.fit_forest(rows, num_trees=5)
+    training.save_model(model, str(tmp_path / "m"))
+    again = training.load_model(str(tmp_path / "m"))
+    a, b = (training.model_probability(m, rows).select("date", "district", "model_prob") for m in (model, again))
+    assert a.exceptAll(b).count() == 0 and a.count() > 0
 
 
 def test_entry_smoke(spark):

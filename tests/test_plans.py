@@ -3,6 +3,7 @@
 import re
 
 from tidewatch.plans import catalog as C
+from tidewatch.sources import testbind as TB
 
 SF = "/root/testdata/sf0.01"
 
@@ -60,7 +61,8 @@ def test_dedup_uses_partial_min_by(spark):
 
 
 def test_documents_scan_prunes_text(spark):
-    p = plan(C.QUERIES["auc_rank_sum"](spark, SF))
+    # (the metric itself reads a checkpoint of the score counts)
+    p = plan(TB.classifier_scores(spark, SF))
     assert "text" not in re.findall(r"ReadSchema: struct<[^>]*>", p)[-1]
 
 
@@ -73,3 +75,28 @@ def test_formulas_run_in_whole_stage_codegen(spark):
     stage_lines = [line for line in p.splitlines() if "BroadcastNestedLoopJoin" in line
                    or "Project [scenario_id" in line]
     assert stage_lines and all("*(" in line for line in stage_lines[:8])
+
+
+def test_several_cities_plan_an_equi_join(spark):
+    """J1 with the location from the data: hash join, no nested loop."""
+    from tidewatch.plans.catalog import QUERIES
+
+    plan = QUERIES["multi_city_scores"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_hot_keys_alone_are_salted(spark):
+    """A dimension too large to broadcast: only the key with many rows is split."""
+    from tidewatch.operators import joins
+
+    facts = spark.createDataFrame([(i, "hot" if i % 3 else f"c{i}") for i in range(300)], "scenario_id long, location string")
+    dim = spark.createDataFrame([("hot", 1), ("hot", 2)] + [(f"c{i}", 3) for i in range(300)], "location string, d int")
+    got = joins.attach_dimension(facts, dim, "location", max_bytes=0, hot_rows=50, salt_key="scenario_id")
+    want = facts.join(dim, "location")
+    assert got.columns == want.columns and got.exceptAll(want).count() == 0 and got.count() == want.count() == 500
+
+
+def test_unknown_dimension_is_measured_before_broadcast(spark):
+    from tidewatch.operators import joins
+
+    assert joins.fits_broadcast(spark.range(100)) and not joins.fits_broadcast(spark.range(1000), max_bytes=2000)

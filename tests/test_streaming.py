@@ -89,22 +89,52 @@ def test_archive_restart_is_exactly_once(spark, tmp_path):
 
 
 def test_publish_latest_scores(spark, tmp_path):
-    """Each micro-batch publishes the scores of its newest weather event."""
+    """The newest event overall is published: a late batch, an empty one
+    and one without rain leave the result as it is; old versions go."""
     import json
     from tidewatch import schemas as S
     from tidewatch.streaming.scoring import publish_latest_scores
     src = tmp_path / "w"
     src.mkdir()
-    rows = [("2026-06-18T00:30", 27.9, 70, 0.0, 2.5833333333333335, "Surabaya"),
-            ("2026-06-18T00:00", 27.0, 80, 90.0, 3.0, "Surabaya")]
-    (src / "a.json").write_text("\n".join(json.dumps(dict(zip(S.WEATHER_EVENT.fieldNames(), r)))
-                                          for r in rows))
-    stream = ST.files_stream(spark, str(src), S.WEATHER_EVENT, fmt="json")
     out, ck = str(tmp_path / "pub"), str(tmp_path / "ck")
-    ST.run_to_end(publish_latest_scores(spark, stream, out, ck))
-    got = spark.read.json(out + "/v=0").orderBy(F.desc("Probabilitas"), "Kecamatan").collect()
+
+    def arrive(name, *rows):
+        (src / name).write_text("\n".join(json.dumps(dict(zip(S.WEATHER_EVENT.fieldNames(), r))) for r in rows))
+        stream = ST.files_stream(spark, str(src), S.WEATHER_EVENT, fmt="json")
+        ST.run_to_end(publish_latest_scores(spark, stream, out, ck))
+        versions = ST._versions(spark, out + "/results")
+        return versions, spark.read.json(f"{out}/results/v={versions[-1]}").orderBy(F.desc("Probabilitas"), "Kecamatan").collect()
+
+    event = lambda t, rain: (f"2026-06-18T{t}", 27.9, 70, rain, 2.5833333333333335, "Surabaya")
+    versions, got = arrive("a.json", event("00:30", 0.0), event("00:00", 90.0))
     assert [r.Kecamatan for r in got][:3] == ["Bulak", "Kenjeran", "Semampir"]
     assert len(got) == 15 and got[0].Probabilitas == 24.8   # newest event: rain 0.0
+    assert arrive("b.json", event("00:10", 80.0)) == (versions, got)      # late
+    assert arrive("c.json", event("02:00", None)) == (versions, got)      # no rain
+    for i, t in enumerate(("03:00", "04:00", "05:00")):
+        versions, got = arrive(f"d{i}.json", event(t, 200.0))
+    assert len(versions) == 2 and got[0].Probabilitas == 100.0
+
+
+def test_dedup_forgets_keys_after_the_horizon(spark, tmp_path):
+    """A key seen again within the horizon is dropped; after the
+    watermark has passed it, its state is gone and it counts as new."""
+    src, out, ck = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")
+    schema = "k string, t timestamp"
+
+    def arrive(*rows):
+        spark.createDataFrame(list(rows), "k string, t string").select("k", F.col("t").cast("timestamp").alias("t")) \
+            .coalesce(1).write.mode("append").parquet(src)
+        stream = ST.files_stream(spark, src, schema)
+        new = ST.dedup_keys(stream, "k", event_time="t", horizon=ST.DEDUP_HORIZON)
+        ST.run_to_end(ST.start(new, sink="parquet", path=out, checkpoint=ck))
+        return sorted((r.k, str(r.t)[:10]) for r in spark.read.parquet(out).collect())
+
+    assert arrive(("a", "2024-01-01"), ("a", "2024-01-02")) == [("a", "2024-01-01")]
+    assert arrive(("a", "2024-01-05")) == [("a", "2024-01-01")]
+    assert arrive(("b", "2024-03-01")) == [("a", "2024-01-01"), ("b", "2024-03-01")]
+    assert arrive(("c", "2024-03-02")) == [("a", "2024-01-01"), ("b", "2024-03-01"), ("c", "2024-03-02")]
+    assert arrive(("a", "2024-03-03"))[-3:] == [("a", "2024-03-03"), ("b", "2024-03-01"), ("c", "2024-03-02")]
 
 
 def test_topic_records_parse_back(spark, tmp_path):

@@ -61,7 +61,7 @@ def test_salted_join_equals_broadcast(spark):
     sc = spark.createDataFrame([(i, "Surabaya") for i in range(50)], "scenario_id long, location string")
     d = districts(spark)
     a = joins.attach_dimension(sc, d, "location", known_rows=15)
-    b = joins.attach_dimension(sc, d, "location", max_rows=0, salt_key="scenario_id", salt_buckets=4)
+    b = joins.attach_dimension(sc, d, "location", max_bytes=0, salt_key="scenario_id", hot_rows=10)
     key = ["scenario_id", "district"]
     assert sorted(a.select(*key).collect()) == sorted(b.select(*key).collect())
     assert b.count() == 50 * 15
@@ -262,3 +262,18 @@ def test_multi_city_scoring_joins_by_location(spark):
     counts = {r.scenario_id: r["count"] for r in out.groupBy("scenario_id").count().collect()}
     assert all(counts[i] == (15 if i % 3 else 4) for i in range(30))
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rank_metrics_leave_out_unusable_scores(spark):
+    """NaN and NULL scores and NULL labels are rejected alike, in one score
+    range and in several."""
+    nan = float("nan")
+    rows = [(1, 0.9), (0, 0.2), (1, 0.4), (0, 0.4), (1, nan), (0, nan), (1, None), (None, 0.3), (0, 0.1), (1, 0.7)]
+    df = spark.createDataFrame(rows, "y int, score double")
+    clean = spark.createDataFrame([r for r in rows if None not in r and r[1] == r[1]], "y int, score double")
+    want = EV.auc(clean).collect()
+    assert want[0].positives == 3 and want[0].negatives == 3
+    for size in (2, 3, 1_000_000):
+        assert EV.auc(df, rows_per_bucket=size).collect() == want
+    good, bad = EV.split_scored(df)
+    assert good.count() == 6 and bad.count() == 4

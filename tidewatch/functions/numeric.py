@@ -58,14 +58,6 @@ def r2(x: ColumnOrName) -> Column:
     return rnd(x, 2)
 
 
-def trunc_long(x: ColumnOrName) -> Column:
-    """truncate toward zero (Python ``int(float)``)."""
-    return col_(x).cast("bigint")
-
-
-def safe_div(a: ColumnOrName, b: ColumnOrName) -> Column:
-    """Division that yields NULL instead of raising under ANSI mode."""
-    return F.try_divide(col_(a), col_(b))
 
 
 def band(x: ColumnOrName, hi, lo, *, higher_is_worse: bool = True,

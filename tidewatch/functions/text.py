@@ -21,7 +21,7 @@ def fixed(x: ColumnOrName, places: int) -> Column:
     same scale, which stays in generated code (``format_string`` calls
     ``java.util.Formatter`` per row).  For non-negative values the text is
     the same as ``%.Nf``."""
-    return rnd(x, places).cast(f"decimal(38,{places})").cast("string")
+    return rnd(x, places).cast(f"decimal(18,{places})").cast("string")
 
 
 def template(fmt: str, *args: Column) -> Column:

@@ -17,10 +17,11 @@ distributed.  All counts are integers, so AUC is an exact rational U / (P*N).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.session import materialize
+
 # ---- fixed values: decision rules of the reference -------------------------
 DECISION_THRESHOLD = 0.465
 F_BETA = 1.5
@@ -36,6 +37,13 @@ def _ratio(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
 
 
+def split_scored(scored: DataFrame, y: str = "y", score: str = "score") -> tuple[DataFrame, DataFrame]:
+    """Rows that rank metrics can use, and the rejects: a missing or NaN score
+    or a missing label.  Infinite scores rank first and last."""
+    good = F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(y).isNotNull()
+    return scored.where(good), scored.where(~good)
+
+
 def _score_ranges(g: DataFrame, rows_per_bucket: int) -> tuple[DataFrame, int]:
     """Contiguous score ranges of about ``rows_per_bucket`` distinct scores
     each; returns ``g`` with an integer ``bucket`` and the range count."""
@@ -60,13 +68,14 @@ def score_counts(scored: DataFrame, by=(), y: str = "y", score: str = "score",
     ``groups_bound``: known upper bound on the number of ``by`` groups (the
     range-offset table is then broadcast without a check)."""
     by = list(by)
+    scored, _ = split_scored(scored, y, score)
     g = scored.groupBy(*by, F.col(score).alias("score")).agg(
         F.sum(F.col(y).cast("bigint")).alias("pos"),
         F.sum((F.lit(1) - F.col(y)).cast("bigint")).alias("neg"))
     # ``g`` (one row per distinct score) is read by the range cut, the range
-    # offsets and the in-range windows; keep it instead of re-reading the
-    # input (a lost cached block is recomputed from lineage).
-    g = g.persist(StorageLevel.MEMORY_AND_DISK)
+    # offsets and the in-range windows: a checkpoint in the shared folder
+    # instead of re-reading the input.
+    g = materialize(g)
     g, buckets = _score_ranges(g, rows_per_bucket)
     tot = g.groupBy(*by, "bucket").agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"))
     wb = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -39,7 +39,28 @@ BATCH = Variant("batch", seasonal_tide=False, depth_floor=0.0, area_floor=0.0)
 DASHBOARD = Variant("dashboard", seasonal_tide=True, depth_floor=0.05, area_floor=0.1)
 TIDE_BASE_M = 0.8
 TIDE_AMPLITUDE_M = 0.4
+TIDE_DECAY_PER_KM = 0.05
 WET_SEASON_MONTHS = [11, 12, 1, 2, 3, 4]
+# live proxies of rain: 3-day total (factor, offset), sunshine (threshold, wet h, dry h)
+RAIN3_PROXY = (1.5, 20.0)
+SUNSHINE_PROXY = (10.0, 4.0, 8.0)
+# rain duration: daylight hours without rain, rain of a whole day
+DURATION = (8.0, 20.0)
+# runoff: seconds an hour, mm x km2 to m3
+RUNOFF = (3600.0, 1000.0)
+# elevations below this one count as low
+LOW_ELEVATION_M = 5.0
+# river stage: mm a metre, lowest and highest stage
+STAGE = (25.0, 0.2, 5.0)
+# flood depth: weight of relative excess, tide, metres below LOW_ELEVATION_M; highest depth
+DEPTH = (0.5, 0.3, 0.1, 3.0)
+# flooded area: depth that floods all of the floodable share
+AREA = (2.0, 0.6)
+# lead time: hours in dry weather, mm an hour less, hours a metre below LOW_ELEVATION_M
+LEAD = (12.0, 20.0, 0.5)
+# index: weights of rain, stage, metres below the top elevation, excess, tide; scale
+INDEX = (0.25, 0.20, 0.15, 0.15, 0.10)
+INDEX_TOP_ELEVATION_M, INDEX_SCALE = 10.0, 5.0
 # ---------------------------------------------------------------------------
 
 VARIANTS = {v.name: v for v in (BATCH, DASHBOARD)}
@@ -69,16 +90,25 @@ def r0(x: str) -> str:
     return f"CAST(rint({x}) AS INT)"
 
 
+def known(value: str, *inputs: str, nonzero: str | None = None) -> str:
+    """``value`` where every input is known, else NULL: ``greatest`` and
+    ``least`` skip NULLs and would turn missing rain into the worst case.
+    ``nonzero``: a divisor that must not be 0 either (0 gives NULL)."""
+    tests = [f"{x} IS NOT NULL" for x in inputs] + ([f"{nonzero} <> {d(0.0)}"] if nonzero else [])
+    return f"(CASE WHEN {' AND '.join(tests)} THEN {value} END)"
+
+
 # ---- formulas (SQL text) -----------------------------------------------------
 
 def rain_3day_proxy(rain: str = "rain_mm") -> str:
     """H1: live 3-day rain proxy ``rr*1.5 + 20``."""
-    return f"({rain} * {d(1.5)} + {d(20.0)})"
+    return f"({rain} * {d(RAIN3_PROXY[0])} + {d(RAIN3_PROXY[1])})"
 
 
 def sunshine_proxy(rain: str = "rain_mm") -> str:
     """H2: live sunshine proxy, 4 h when ``rr > 10`` else 8 h."""
-    return f"(CASE WHEN {rain} > {d(10.0)} THEN {d(4.0)} ELSE {d(8.0)} END)"
+    over, wet, dry = SUNSHINE_PROXY
+    return known(f"CASE WHEN {rain} > {d(over)} THEN {d(wet)} ELSE {d(dry)} END", rain)
 
 
 def wet_season(month: str = "month") -> str:
@@ -88,7 +118,9 @@ def wet_season(month: str = "month") -> str:
 
 def rain_duration(sunshine: str = "sunshine_h", rain: str = "rain_mm") -> str:
     """H4: ``max(0, round((8 - ss) * min(rr/20, 1)))``."""
-    return f"greatest(0, {r0(f'({d(8.0)} - {sunshine}) * least({rain} / {d(20.0)}, {d(1.0)})')})"
+    day, full = DURATION
+    hours = r0(f"({d(day)} - {sunshine}) * least({rain} / {d(full)}, {d(1.0)})")
+    return known(f"greatest(0, {hours})", sunshine, rain)
 
 
 def tide_base(variant: Variant, month: str = "month") -> str:
@@ -100,52 +132,59 @@ def tide_base(variant: Variant, month: str = "month") -> str:
 
 def tide_at(base: str, coast_km: str = "coast_km") -> str:
     """H6: ``max(0, base - 0.05*coast_km)``."""
-    return pos(f"{base} - {coast_km} * {d(0.05)}")
+    return known(pos(f"{base} - {coast_km} * {d(TIDE_DECAY_PER_KM)}"), base, coast_km)
 
 
 def runoff(coef: str = "runoff_coef", rain: str = "rain_mm", area: str = "area_km2") -> str:
     """H7: ``k * (rr/3600) * a * 1000`` in m3/s."""
-    return f"({coef} * ({rain} / {d(3600.0)}) * {area} * {d(1000.0)})"
+    return f"({coef} * ({rain} / {d(RUNOFF[0])}) * {area} * {d(RUNOFF[1])})"
 
 
 def drainage_excess(runoff_m3s: str = "runoff_m3s", capacity: str = "drainage_m3s") -> str:
     """H8: ``max(0, runoff - capacity)``."""
-    return pos(f"{runoff_m3s} - {capacity}")
+    return known(pos(f"{runoff_m3s} - {capacity}"), runoff_m3s, capacity)
 
 
 def river_stage(rain: str = "rain_mm", elevation: str = "elevation_m") -> str:
     """H9: ``r2(clip(rr/25*(1+(5-e)/5), 0.2, 5))``."""
-    raw = f"{rain} / {d(25.0)} * ({d(1.0)} + ({d(5.0)} - {elevation}) / {d(5.0)})"
-    return rnd(clip(raw, d(0.2), d(5.0)), 2)
+    per, low, high = STAGE
+    e = d(LOW_ELEVATION_M)
+    raw = f"{rain} / {d(per)} * ({d(1.0)} + ({e} - {elevation}) / {e})"
+    return known(rnd(clip(raw, d(low), d(high)), 2), rain, elevation)
 
 
 def flood_depth(excess: str, capacity: str, tide: str, elevation: str, floor: float) -> str:
     """``r2(clip(excess/c*0.5 + tide*0.3 + (5-e)*0.1, floor, 3))``."""
-    raw = (f"({excess} / {capacity}) * {d(0.5)} + {tide} * {d(0.3)}"
-           f" + ({d(5.0)} - {elevation}) * {d(0.1)}")
-    return rnd(clip(raw, d(floor), d(3.0)), 2)
+    w_excess, w_tide, w_low, high = DEPTH
+    raw = (f"({excess} / {capacity}) * {d(w_excess)} + {tide} * {d(w_tide)}"
+           f" + ({d(LOW_ELEVATION_M)} - {elevation}) * {d(w_low)}")
+    return known(rnd(clip(raw, d(floor), d(high)), 2), excess, tide, elevation, nonzero=capacity)
 
 
 def flooded_area(area: str, depth: str, floor: float) -> str:
     """``r2(clip(a*(depth/2)*0.6, floor, a))``."""
-    return rnd(clip(f"{area} * ({depth} / {d(2.0)}) * {d(0.6)}", d(floor), area), 2)
+    whole, share = AREA
+    return known(rnd(clip(f"{area} * ({depth} / {d(whole)}) * {d(share)}", d(floor), area), 2), area, depth)
 
 
 def people_affected(population: str, area: str, flooded: str) -> str:
     """``int((pop/a) * flooded)``."""
-    return f"CAST(({population} / {area}) * {flooded} AS BIGINT)"
+    return known(f"CAST(({population} / {area}) * {flooded} AS BIGINT)", flooded, nonzero=area)
 
 
 def lead_time(rain: str = "rain_mm", elevation: str = "elevation_m") -> str:
     """``max(1, round(12 - rr/20 - (5-e)*0.5))`` hours."""
-    return f"greatest(1, {r0(f'{d(12.0)} - {rain} / {d(20.0)} - ({d(5.0)} - {elevation}) * {d(0.5)}')})"
+    dry, per, low = LEAD
+    hours = r0(f"{d(dry)} - {rain} / {d(per)} - ({d(LOW_ELEVATION_M)} - {elevation}) * {d(low)}")
+    return known(f"greatest(1, {hours})", rain, elevation)
 
 
 def index_probability(rain: str, stage: str, elevation: str, excess: str, tide: str) -> str:
     """Index probability in %, capped at 100 (unrounded)."""
-    idx = (f"{rain} * {d(0.25)} + {stage} * {d(0.20)} + ({d(10.0)} - {elevation}) * {d(0.15)}"
-           f" + {excess} * {d(0.15)} + {tide} * {d(0.10)}")
-    return f"least({d(100.0)}, ({idx}) / {d(5.0)} * {d(100.0)})"
+    w = [d(x) for x in INDEX]
+    idx = (f"{rain} * {w[0]} + {stage} * {w[1]} + ({d(INDEX_TOP_ELEVATION_M)} - {elevation}) * {w[2]}"
+           f" + {excess} * {w[3]} + {tide} * {w[4]}")
+    return known(f"least({d(100.0)}, ({idx}) / {d(INDEX_SCALE)} * {d(100.0)})", rain, stage, elevation, excess, tide)
 
 
 def col(sql: str) -> Column:

@@ -59,8 +59,7 @@ def with_defaults(weather: DataFrame) -> DataFrame:
 
 
 def rejected_null_rain(weather: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """NULL rain would score as a dry day (greatest/least skip NULL);
-    route such rows to a side output before scoring."""
+    """Weather rows with rain, and those without, which cannot be scored."""
     has = F.col("curah_hujan_mm").isNotNull()
     return weather.where(has), weather.where(~has)
 

@@ -3,10 +3,11 @@
 The reference loops over every district for one weather state.  Here each
 scenario row carries its ``location`` and is equi-joined to the districts of
 that location, so several cities can be scored in one job and no cross join
-is planned.  The district side is broadcast only when its size is bounded:
-either known by construction or checked with a cheap ``limit(n+1).count()``.
-Above the bound the join falls back to a shuffle join salted on the scenario
-key, so one hot location cannot land in a single task.
+is planned.  The district side is broadcast only when its size in bytes is
+bounded: known by construction, or counted up to the bound.  Above the bound
+the join is a shuffle join in which only the keys measured to be hot are
+salted, so one hot location cannot land in a single task and the dimension is
+not copied for the others.
 """
 
 from __future__ import annotations
@@ -14,9 +15,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimension rows we are willing to ship to every task.
-BROADCAST_MAX_ROWS = 200_000
-SALT_BUCKETS = 64
+# Bytes of a dimension we are willing to ship to every task.
+BROADCAST_MAX_BYTES = 32 << 20
+# A key is hot when it holds more fact rows than this; each such portion of it
+# goes to a salt of its own.
+HOT_ROWS = 2_000_000
 
 
 def scan_partitions(df: DataFrame) -> int | None:
@@ -59,31 +62,40 @@ def spread_for_fanout(facts: DataFrame, fanout: int = 15) -> DataFrame:
     return facts.repartition(int(want))
 
 
-def bounded_rows(df: DataFrame, max_rows: int) -> int:
-    """Row count of ``df`` if it is at most ``max_rows``, else ``max_rows + 1``."""
-    return df.limit(max_rows + 1).count()
+def row_bytes(df: DataFrame) -> int:
+    """Catalyst's default width of a row of this schema."""
+    return int(df._jdf.schema().defaultSize()) + 8
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether df has at most ``max_bytes``: counted, up to the bound only."""
+    most = max(1, max_bytes // row_bytes(df))
+    return df.limit(most + 1).count() <= most
 
 
 def attach_dimension(facts: DataFrame, dim: DataFrame, on: str | list[str], *,
                      known_rows: int | None = None,
-                     max_rows: int = BROADCAST_MAX_ROWS,
-                     salt_key: str | None = None,
-                     salt_buckets: int = SALT_BUCKETS, spread: bool = False) -> DataFrame:
+                     max_bytes: int = BROADCAST_MAX_BYTES, hot_rows: int = HOT_ROWS,
+                     salt_key: str | None = None, spread: bool = False) -> DataFrame:
     """Inner equi-join of a fact table with a (usually small) dimension.
-    ``spread``: the join multiplies rows (``spread_for_fanout``)."""
+    ``spread``: the join multiplies rows (``spread_for_fanout``).
+    ``known_rows``: rows of a dimension whose size is fixed by construction."""
     keys = [on] if isinstance(on, str) else list(on)
     if spread:
         facts = spread_for_fanout(facts)
-    n = known_rows if known_rows is not None else bounded_rows(dim, max_rows)
-    if n <= max_rows:
+    if known_rows * row_bytes(dim) <= max_bytes if known_rows is not None else fits_broadcast(dim, max_bytes):
         return facts.join(F.broadcast(dim), keys, "inner")
-    # Large dimension: salt both sides so a hot key is spread over buckets.
-    # The salt is a hash of a fact column, never rand(), so a retried task
-    # recomputes the same assignment after an executor loss.
-    salt_src = F.col(salt_key) if salt_key else F.xxhash64(*[F.col(c) for c in facts.columns])
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(salt_src), F.lit(salt_buckets)))
-    dim_salted = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    return salted.join(dim_salted, keys + ["_salt"], "inner").drop("_salt")
+    # Large dimension: keys with many fact rows get as many salts as they hold
+    # portions of ``hot_rows``; there are at most rows / hot_rows such keys, so
+    # their list is small.  The salt is a hash of fact columns, never rand(),
+    # so a retried task recomputes the same assignment after an executor loss.
+    hot = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows) \
+        .select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
+    source = F.col(salt_key) if salt_key else F.xxhash64(*[F.col(c) for c in facts.columns])
+    salts = F.coalesce("_salts", F.lit(1))
+    salted = facts.join(hot, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(source), salts).cast("int")).drop("_salts")
+    spread_dim = dim.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    return salted.join(spread_dim, [*keys, "_salt"], "inner").drop("_salt")
 
 
 def lookup_code(df: DataFrame, dim: DataFrame, name_col: str, *,
@@ -91,7 +103,8 @@ def lookup_code(df: DataFrame, dim: DataFrame, name_col: str, *,
                 out: str = "district_code", known_rows: int | None = None) -> DataFrame:
     """Name -> category code through a bounded dimension (left join keeps
     unknown names with a NULL code)."""
-    codes = dim.select(F.col(dim_name).alias(name_col), F.col(dim_code).alias(out)).distinct()
-    n = known_rows if known_rows is not None else bounded_rows(codes, BROADCAST_MAX_ROWS)
-    right = F.broadcast(codes) if n <= BROADCAST_MAX_ROWS else codes
+    codes = dim.select(F.col(dim_name).alias(name_col), F.col(dim_code).alias(out))
+    if known_rows is None:      # a dimension of unknown origin may repeat names
+        codes = codes.distinct()
+    right = F.broadcast(codes) if known_rows is not None or fits_broadcast(codes) else codes
     return df.join(right, name_col, "left")

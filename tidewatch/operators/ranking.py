@@ -22,18 +22,20 @@ def colocate_scenarios(scenarios: DataFrame, key: str = "scenario_id", fanout: i
     The partition count is explicit, so adaptive execution does not coalesce
     the narrow scenario rows into a few tasks that would then carry the
     ``fanout`` times larger scored rows; it is sized from the estimated scored
-    output (one partition per ~4 MB), never above the larger of the input's
-    scan partitions, the cluster parallelism and the shuffle partitions."""
+    output (one partition per ~4 MB); for a plain scan never above the larger
+    of its partitions, the cluster parallelism and the shuffle partitions (an
+    input behind a shuffle has no such measure, and no cap)."""
     if scenarios.isStreaming:
         return scenarios
     from tidewatch.operators.joins import FANOUT_TASK_BYTES, estimated_bytes, scan_partitions
     spark = scenarios.sparkSession
     dp = spark.sparkContext.defaultParallelism
-    cap = max(scan_partitions(scenarios) or 0, dp,
-              int(spark.conf.get("spark.sql.shuffle.partitions")))
-    want = max(1, min(cap, estimated_bytes(scenarios) * fanout // FANOUT_TASK_BYTES))
+    want = max(1, estimated_bytes(scenarios) * fanout // FANOUT_TASK_BYTES)
+    scanned = scan_partitions(scenarios)
+    if scanned is not None:
+        want = min(want, max(scanned, dp, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     if want > 1:  # whole waves of tasks: no straggler wave of a few partitions
-        want = min(cap, -(-want // dp) * dp)
+        want = -(-want // dp) * dp
     return scenarios.repartition(int(want), key)
 
 
@@ -70,9 +72,3 @@ def metric_series(risk: DataFrame, metrics: dict[str, str], by=("scenario_id",))
                          [F.col("value").asc(), F.col("district_code").asc()], "position")
     series = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("series_no") + 1)
     return ranked.select(*by, "district", series.alias("series"), "value", "position")
-
-
-def latest_by(df: DataFrame, order_col: str, tie_col: str | None = None) -> DataFrame:
-    """O1: newest row (TakeOrderedAndProject)."""
-    order = [F.col(order_col).desc()] + ([F.col(tie_col).desc()] if tie_col else [])
-    return df.orderBy(*order).limit(1)

@@ -1,8 +1,7 @@
 """Report text and result documents.
 
 Numbers are rounded with ``rint`` before formatting (N4), then placed in a
-single ``format_string`` template per line, so a row's text is built by one
-JVM expression.
+template per line by ``concat``, which stays in generated code.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.numeric import r1
 from tidewatch.functions.text import fixed, template, thousands
-from tidewatch.operators.ranking import top_k
+from tidewatch.operators.ranking import rank_within, top_k
 
 # ---- fixed values: text templates and display units of the reference ------
 RECOMMENDATION_TEMPLATE = (
@@ -30,6 +29,9 @@ DISPLAY_UNITS = {
     "Penduduk Terdampak": (None, " jiwa"),
     "Flood Risk Score": (1, ""),
 }
+# columns of the detail table, in order
+DISPLAY_COLUMNS = ["Kecamatan", "Status", "Probabilitas (%)", "Tinggi Genangan (m)", "Luas Terdampak (km2)",
+                   "% Luas Terdampak", "Penduduk Terdampak", "Lead Time (jam)", "Flood Risk Score", "Prioritas Evakuasi"]
 # ---------------------------------------------------------------------------
 
 
@@ -72,14 +74,19 @@ def top3_recommendations(risk: DataFrame, by=("scenario_id",), k: int = 3) -> Da
                                         LINE_SEPARATOR).alias("recommendation"))
 
 
-def display_table(result: DataFrame, keep=("scenario_id", "Kecamatan")) -> DataFrame:
-    """the detail table as display strings with units."""
-    cols = []
-    for c, (places, unit) in DISPLAY_UNITS.items():
-        num = (F.col(f"`{c}`").cast("string") if places is None
-               else fixed(F.col(f"`{c}`"), places))
-        cols.append(F.concat(num, F.lit(unit)).alias(c))
-    return result.select(*keep, *cols)
+def display_table(result: DataFrame, by=("scenario_id",)) -> DataFrame:
+    """the whole detail table, numbers as display strings with units,
+    with its ``position`` (from 1): highest probability first, then by name."""
+    def cell(c):
+        if c not in DISPLAY_UNITS:
+            return F.col(f"`{c}`")
+        places, unit = DISPLAY_UNITS[c]
+        num = F.col(f"`{c}`").cast("string") if places is None else fixed(F.col(f"`{c}`"), places)
+        return F.concat(num, F.lit(unit)).alias(c)
+
+    order = [F.col("`Probabilitas (%)`").desc_nulls_last(), F.col("Kecamatan").asc()]
+    return rank_within(result, list(by), order, name="position").select(
+        *by, "position", *[cell(c) for c in DISPLAY_COLUMNS])
 
 
 def result_documents(scored: DataFrame, *, by: str = "scenario_id", analysed_at=None) -> DataFrame:

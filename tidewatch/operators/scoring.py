@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from tidewatch.functions.numeric import r1
 from tidewatch.operators import hydrology as H
 from tidewatch.operators.joins import attach_dimension
-from tidewatch.sources.districts import DISTRICT_COUNT
 
 # ---- fixed values: status and priority labels of the reference ------------
 STATUS_CRITICAL = "🔴 KRITIS"
@@ -32,7 +31,7 @@ SCORE_WEIGHTS = (0.35, 0.20, 0.15, 0.20, 0.10)
 
 def _three_way(x: str, high: str, medium: str, low: str) -> str:
     return (f"CASE WHEN {x} > {H.d(CRITICAL_PCT)} THEN '{high}' "
-            f"WHEN {x} > {H.d(WATCH_PCT)} THEN '{medium}' ELSE '{low}' END")
+            f"WHEN {x} > {H.d(WATCH_PCT)} THEN '{medium}' WHEN {x} IS NOT NULL THEN '{low}' END")
 
 
 def status_sql(prob: str = "probability") -> str:
@@ -62,8 +61,25 @@ def fill_live_proxies(scenarios: DataFrame) -> DataFrame:
     })
 
 
+def split_scorable(scenarios: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Scenarios that can be scored, and the rejects with a ``reason``
+    (no rain, no location); nothing is lost between the two."""
+    reason = (F.when(F.col("rain_mm").isNull() | F.isnan("rain_mm"), "missing rain")
+              .when(F.col("location").isNull(), "missing location"))
+    marked = scenarios.withColumn("reason", reason)
+    return marked.where("reason IS NULL").drop("reason"), marked.where("reason IS NOT NULL")
+
+
+def split_dimension(districts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """District rows whose formulas are defined, and the rejects with a
+    ``reason`` (a capacity, area or population that is missing or not positive)."""
+    bad = [F.when(~F.coalesce(F.col(c) > 0, F.lit(False)), F.lit(c)) for c in ("drainage_m3s", "area_km2", "population")]
+    marked = districts.withColumn("reason", F.concat_ws(", ", *bad))
+    return marked.where("reason = ''").drop("reason"), marked.where("reason <> ''")
+
+
 def score(scenarios: DataFrame, districts: DataFrame, variant: str | H.Variant = "batch", *,
-          probability: str | None = None, district_rows: int | None = DISTRICT_COUNT,
+          probability: str | None = None, district_rows: int | None = None,
           probability_fn=None) -> DataFrame:
     """Score every scenario against every district of its location.
 
@@ -71,9 +87,12 @@ def score(scenarios: DataFrame, districts: DataFrame, variant: str | H.Variant =
     the index probability H14 is the provider.  ``probability_fn`` is a
     DataFrame -> DataFrame step (a fitted model, H15) that adds that column
     to the scored rows.  ``district_rows`` is the known size of the dimension
-    (None: checked at run time before broadcasting).
+    (None: its size is checked before broadcasting).
+    Scenarios without rain or location are left out (``split_scorable`` returns
+    them); a district with an unusable divisor gets NULL where it is needed.
     """
     v = H.VARIANTS[variant] if isinstance(variant, str) else variant
+    scenarios, _ = split_scorable(scenarios)
     rows = attach_dimension(scenarios, districts, "location", known_rows=district_rows,
                             salt_key="scenario_id", spread=True)
     rows = H.add_hydrology(rows, v)
@@ -94,10 +113,10 @@ def add_risk_score(scored: DataFrame) -> DataFrame:
     d, clip = H.d, H.clip
     zero, hundred = d(0.0), d(100.0)
     df = scored.withColumns({
-        "pct_area": F.expr(clip(f"flooded_km2 / area_km2 * {hundred}", zero, hundred)),
-        "pct_people": F.expr(clip(f"people_affected / population * {hundred}", zero, hundred)),
-        "norm_depth": F.expr(clip(f"depth_m / {d(3.0)} * {hundred}", zero, hundred)),
-        "norm_urgency": F.expr(clip(f"(12 - lead_time_h) / {d(11.0)} * {hundred}", zero, hundred)),
+        "pct_area": F.expr(H.known(clip(f"flooded_km2 / area_km2 * {hundred}", zero, hundred), "flooded_km2", nonzero="area_km2")),
+        "pct_people": F.expr(H.known(clip(f"people_affected / population * {hundred}", zero, hundred), "people_affected", nonzero="population")),
+        "norm_depth": F.expr(H.known(clip(f"depth_m / {d(3.0)} * {hundred}", zero, hundred), "depth_m")),
+        "norm_urgency": F.expr(H.known(clip(f"(12 - lead_time_h) / {d(11.0)} * {hundred}", zero, hundred), "lead_time_h")),
     })
     w_p, w_d, w_a, w_pp, w_u = (d(w) for w in SCORE_WEIGHTS)
     df = df.withColumn("risk_score", F.expr(H.rnd(

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.operators import hydrology as H
+from tidewatch.operators.joins import fits_broadcast
 
 # ---- fixed values: labelling rule of the reference -------------------------
 FLOOD_RAIN_3DAY_MM = 80.0
@@ -29,7 +30,6 @@ TEST_FRACTION = 0.2
 CV_FOLDS = 5
 # ---------------------------------------------------------------------------
 
-DATE_DIM_MAX = 1_000_000   # distinct days we accept to broadcast (2,700 years)
 
 
 def rolling_sum_days(daily: DataFrame, value: str, out: str, *, days: int = RAIN_WINDOW_DAYS,
@@ -61,8 +61,7 @@ def flag_dates(daily: DataFrame, dates: DataFrame, out: str = "confirmed",
                date_col: str = "date", known_rows: int | None = None) -> DataFrame:
     """1 for days on a (small) list of dates, else 0 (left join)."""
     flags = dates.select(F.col(date_col)).distinct().withColumn("_hit", F.lit(1))
-    n = known_rows if known_rows is not None else flags.limit(DATE_DIM_MAX + 1).count()
-    right = F.broadcast(flags) if n <= DATE_DIM_MAX else flags
+    right = F.broadcast(flags) if known_rows is not None or fits_broadcast(flags) else flags
     return daily.join(right, date_col, "left").withColumn(
         out, F.coalesce(F.col("_hit"), F.lit(0))).drop("_hit")
 
@@ -123,7 +122,3 @@ def time_series_folds(df: DataFrame, folds: int = CV_FOLDS, date_col: str = "dat
     rows = rows.withColumn("fold", F.explode(F.sequence(F.greatest(t - 1, F.lit(1)), F.lit(folds))))
     return rows.withColumn("role", F.when(F.col("fold") == t - 1, F.lit("test"))
                            .otherwise(F.lit("train")))
-
-
-def ceil_fraction(n: int, fraction: float) -> int:
-    return math.ceil(n * fraction)

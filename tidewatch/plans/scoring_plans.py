@@ -55,8 +55,10 @@ def model_dashboard_risk(spark: SparkSession, scenarios: DataFrame, model,
 def latest_batch_job(spark: SparkSession, weather: DataFrame, order_col: str = "timestamp",
                      tie_col: str | None = None) -> DataFrame:
     """E1 exactly as the reference runs it: newest archived weather (or the
-    default row) scored against every district, ordered by probability."""
-    w = ingest.latest_or_default(spark, weather, order_col, tie_col=tie_col)
+    default row) scored against every district, ordered by probability.  Events
+    without rain are passed over (``ingest.rejected_null_rain`` returns them)."""
+    usable, _ = ingest.rejected_null_rain(weather)
+    w = ingest.latest_or_default(spark, usable, order_col, tie_col=tie_col)
     w = w.withColumns({"lokasi": F.lit("Surabaya"), "_id": F.lit(0).cast("bigint")})
     sc = ingest.to_scenarios(w, id_col="_id")
     # The reference reads its month from the clock only in the dashboard; the

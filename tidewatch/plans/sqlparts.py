@@ -2,7 +2,9 @@
 
 These restate the Column expressions of ``tidewatch.operators`` in ANSI SQL
 with DuckDB spellings (``round_even`` for ``rint``, explicit DOUBLE literals,
-``trunc`` before BIGINT casts).  They exist only to check the Spark plans.
+``trunc`` before BIGINT casts).  They exist only to check the Spark plans, and
+state labels, bands, weights, thresholds and display formats as literals of
+their own: a changed constant in the package then fails the comparison.
 """
 
 from __future__ import annotations
@@ -10,7 +12,6 @@ from __future__ import annotations
 import math
 
 from tidewatch.operators import hydrology as H
-from tidewatch.operators import scoring as SC
 from tidewatch.sources.districts import CITY, districts_sql_values
 
 
@@ -73,14 +74,15 @@ FROM ({WEATHER}) w"""
 
 def tide_base(variant: H.Variant) -> str:
     if not variant.seasonal_tide:
-        return D(H.TIDE_BASE_M)
-    return f"({D(H.TIDE_BASE_M)} + {D(H.TIDE_AMPLITUDE_M)} * sin({D(2 * math.pi)} * month / {D(12.0)}))"
+        return D(0.8)
+    return f"({D(0.8)} + {D(0.4)} * sin({D(2 * math.pi)} * month / {D(12.0)}))"
 
 
-def scored(scenarios_sql: str, variant: H.Variant, probability: str | None = None) -> str:
+def scored(scenarios_sql: str, variant: H.Variant, probability: str | None = None, districts: str = DISTRICTS) -> str:
     """Scenario x district rows with every hydrology column (mirrors scoring.score)."""
     tb = tide_base(variant)
-    wet = ", ".join(str(m) for m in H.WET_SEASON_MONTHS)
+    wet = "11, 12, 1, 2, 3, 4"
+    depth_floor, area_floor = (0.05, 0.1) if variant.seasonal_tide else (0.0, 0.0)
     extra = ""
     if variant.seasonal_tide:
         extra = (f", CAST(month IN ({wet}) AS INTEGER) AS wet_season"
@@ -88,7 +90,7 @@ def scored(scenarios_sql: str, variant: H.Variant, probability: str | None = Non
                  f" AS rain_duration_h")
     prob = probability or "index_prob"
     return f"""
-WITH sd AS (SELECT s.*, d.* EXCLUDE (location) FROM ({scenarios_sql}) s JOIN ({DISTRICTS}) d USING (location)),
+WITH sd AS (SELECT s.*, d.* EXCLUDE (location) FROM ({scenarios_sql}) s JOIN ({districts}) d USING (location)),
 h1 AS (SELECT *,
   {pos(f'{tb} - coast_km * {D(0.05)}')} AS tide_m,
   runoff_coef * (rain_mm / {D(3600.0)}) * area_km2 * {D(1000.0)} AS runoff_m3s,
@@ -96,22 +98,22 @@ h1 AS (SELECT *,
   GREATEST(1, {r0(f'{D(12.0)} - rain_mm / {D(20.0)} - ({D(5.0)} - elevation_m) * {D(0.5)}')}) AS lead_time_h
   FROM sd),
 h2 AS (SELECT *, {pos('runoff_m3s - drainage_m3s')} AS excess_m3s FROM h1),
-h3 AS (SELECT *, {rnd(clip(f'(excess_m3s / drainage_m3s) * {D(0.5)} + tide_m * {D(0.3)} + ({D(5.0)} - elevation_m) * {D(0.1)}', variant.depth_floor, 3.0), 2)} AS depth_m FROM h2),
-h4 AS (SELECT *, {rnd(clip(f'area_km2 * (depth_m / {D(2.0)}) * {D(0.6)}', variant.area_floor, 'area_km2'), 2)} AS flooded_km2 FROM h3),
+h3 AS (SELECT *, {rnd(clip(f'(excess_m3s / drainage_m3s) * {D(0.5)} + tide_m * {D(0.3)} + ({D(5.0)} - elevation_m) * {D(0.1)}', depth_floor, 3.0), 2)} AS depth_m FROM h2),
+h4 AS (SELECT *, {rnd(clip(f'area_km2 * (depth_m / {D(2.0)}) * {D(0.6)}', area_floor, 'area_km2'), 2)} AS flooded_km2 FROM h3),
 h5 AS (SELECT *, {trunc_long('(population / area_km2) * flooded_km2')} AS people_affected,
   LEAST({D(100.0)}, (rain_mm * {D(0.25)} + river_stage_m * {D(0.20)} + ({D(10.0)} - elevation_m) * {D(0.15)}
       + excess_m3s * {D(0.15)} + tide_m * {D(0.10)}) / {D(5.0)} * {D(100.0)}) AS index_prob{extra}
   FROM h4),
 h6 AS (SELECT *, {prob} AS probability FROM h5)
-SELECT *, CASE WHEN probability > {D(SC.CRITICAL_PCT)} THEN {sq(SC.STATUS_CRITICAL)}
-               WHEN probability > {D(SC.WATCH_PCT)} THEN {sq(SC.STATUS_WATCH)}
-               ELSE {sq(SC.STATUS_SAFE)} END AS status
+SELECT *, CASE WHEN probability > {D(70.0)} THEN '🔴 KRITIS'
+               WHEN probability > {D(40.0)} THEN '🟡 WASPADA'
+               ELSE '🟢 AMAN' END AS status
 FROM h6"""
 
 
 def risk(scored_sql: str) -> str:
     """Mirrors scoring.add_risk_score."""
-    w = [D(x) for x in SC.SCORE_WEIGHTS]
+    w = [D(x) for x in (0.35, 0.20, 0.15, 0.20, 0.10)]
     return f"""
 WITH r1 AS (SELECT *,
   {clip(f'flooded_km2 / area_km2 * {D(100.0)}', 0.0, 100.0)} AS pct_area,
@@ -120,9 +122,9 @@ WITH r1 AS (SELECT *,
   {clip(f'(12 - lead_time_h) / {D(11.0)} * {D(100.0)}', 0.0, 100.0)} AS norm_urgency
   FROM ({scored_sql}) x),
 r2 AS (SELECT *, {rnd(f'{w[0]} * probability + {w[1]} * norm_depth + {w[2]} * pct_area + {w[3]} * pct_people + {w[4]} * norm_urgency', 1)} AS risk_score FROM r1)
-SELECT *, CASE WHEN risk_score > {D(SC.CRITICAL_PCT)} THEN {sq(SC.PRIORITY_HIGH)}
-               WHEN risk_score > {D(SC.WATCH_PCT)} THEN {sq(SC.PRIORITY_MEDIUM)}
-               ELSE {sq(SC.PRIORITY_LOW)} END AS priority,
+SELECT *, CASE WHEN risk_score > {D(70.0)} THEN '🔴 PRIORITAS UTAMA'
+               WHEN risk_score > {D(40.0)} THEN '🟡 PRIORITAS SEDANG'
+               ELSE '🟢 PRIORITAS RENDAH' END AS priority,
        {rnd('pct_area', 1)} AS pct_area_r1
 FROM r2"""
 
@@ -262,6 +264,33 @@ SELECT {b}CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS neg
 FROM ({score_counts_sql(scored_sql, by)}) r {grp}"""
 
 
+# Weather of several cities and the dimension of each (mirrors testbind.city_weather).
+CITY_SCENARIOS = SCENARIOS.replace("lokasi AS location", "city AS location").replace(
+    "FROM (" + WEATHER + ") w", "FROM (" + WEATHER.replace(" FROM events", "").replace(
+        "\nFROM events", ", 'Kota ' || user_id % 4 AS city\nFROM events") + ") w")
+CITY_DISTRICTS = " UNION ALL ".join(districts_sql_values(f"Kota {i}") for i in range(4))
+
+# The detail table: ten columns, numbers with their units.
+DISPLAY = """
+SELECT scenario_id, CAST(row_number() OVER (PARTITION BY scenario_id ORDER BY "Probabilitas (%)" DESC, "Kecamatan") AS INTEGER) AS position,
+  "Kecamatan", "Status", printf('%.2f %%', round_even("Probabilitas (%)" * 100.0::DOUBLE, 0) / 100.0::DOUBLE) AS "Probabilitas (%)",
+  printf('%.2f m', "Tinggi Genangan (m)") AS "Tinggi Genangan (m)", printf('%.2f km²', "Luas Terdampak (km2)") AS "Luas Terdampak (km2)",
+  printf('%.1f %%', "% Luas Terdampak") AS "% Luas Terdampak", printf('%d jiwa', "Penduduk Terdampak") AS "Penduduk Terdampak",
+  "Lead Time (jam)", printf('%.1f', "Flood Risk Score") AS "Flood Risk Score", "Prioritas Evakuasi"
+FROM ({0}) d"""
+
+# Severity bands: column, danger above, warn above (lead time: at or below).
+BANDS = {"probability": ("probability", 70.0, 40.0, True), "depth": ("depth_m", 1.0, 0.5, True),
+         "people": ("people_affected", 5000, 1000, True), "lead_time": ("lead_time_h", 3, 6, False),
+         "pct_area": ("pct_area_r1", 50.0, 25.0, True), "risk_score": ("risk_score", 70.0, 40.0, True)}
+
+# Recommendation text of the three districts with the highest score.
+RECOMMENDATION = ("**%d. %s** — Flood Risk Score `%s` (%s)  \n"
+                  "Genangan estimasi **%s m**, **%s%%** luas wilayah terendam, "
+                  "**%s jiwa** terdampak, lead time peringatan **%d jam**.")
+CLASS_NAMES = ("Tidak Banjir", "Banjir")
+THRESHOLD = 0.465
+
 # Rain x month what-if grid (mirrors testbind.rain_month_grid).
 RAIN_MONTH_GRID = f"""
 SELECT rain * 100 + month AS scenario_id, 'Surabaya' AS location, 'Mode Simulasi Manual' AS observed_text,

@@ -83,6 +83,20 @@ def fold_metrics(matrix: DataFrame, folds: int = TS.CV_FOLDS,
         .select("fold", "auc", "accuracy", "f1")
 
 
+def cv_test_scores(folds: DataFrame, n_folds: int = TS.CV_FOLDS, **kw) -> DataFrame:
+    """M4: (fold, y, score) of every fold's test rows under a forest fitted on
+    that fold's training rows, with the final model's settings.  ``folds``:
+    matrix rows with tile, fold and role, stored (each fit reads it)."""
+    out = None
+    for k in range(1, n_folds + 1):
+        own = folds.where(F.col("fold") == k)
+        model = fit_forest(own.where(F.col("role") == "train").drop("tile", "fold", "role"), **kw)
+        test = model_probability(model, own.where(F.col("role") == "test").drop("tile", "fold", "role"))
+        test = test.select(F.lit(k).alias("fold"), F.col(LABEL).alias("y"), (F.col("model_prob") / 100.0).alias("score"))
+        out = test if out is None else out.unionByName(test)
+    return out
+
+
 def forest_pipeline(num_trees: int = 100, max_depth: int = 8, seed: int = 42) -> Pipeline:
     """M1 + P10 + M3: label-encode the district, assemble the 12 features in
     order, fit a random forest (sqrt feature subsets, unscaled features)."""
@@ -122,6 +136,15 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def live_features(spark: SparkSession, scenarios: DataFrame) -> DataFrame:
+    """P10 for scoring: the 12 ordered features of every scenario and district."""
+    from tidewatch.operators import scoring
+
+    rows = scoring.score(scoring.fill_live_proxies(scenarios), districts(spark), "dashboard", district_rows=DISTRICT_COUNT)
+    named = dashboard_features(rows).withColumn("kecamatan_enc", F.col("district_code"))
+    return named.select("scenario_id", "district", *FEATURES)
+
+
 def dashboard_features(risk_rows: DataFrame) -> DataFrame:
     """P10 on scored dashboard rows: the model's feature columns under their
     reference names (the district code is re-derived by the pipeline)."""

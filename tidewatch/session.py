@@ -2,12 +2,15 @@
 
 On a cluster the shared folder is whatever ``spark.checkpoint.dir`` names
 (a distributed file system path every executor can reach).  Only when it is
-unset, as in local tests, do we create one under ``/tmp``.
+unset and the master is a single local process, as in tests, do we create one
+under ``/tmp`` and remove it at exit; elsewhere an unset folder is an error.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -77,9 +80,12 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(d)
         return sc.getCheckpointDir() or d
-    if not sc.master.startswith("local"):
+    if not sc.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    # one process holds driver and executors: a folder of its own is shared,
+    # and goes with it
     d = tempfile.mkdtemp(prefix="tidewatch-ckpt-", dir="/tmp")
+    atexit.register(shutil.rmtree, d, ignore_errors=True)
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 

@@ -6,6 +6,7 @@ archive and drifts between long and double.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,10 +16,12 @@ from tidewatch import schemas as S
 CORRUPT = "_corrupt_record"
 
 
-def read_weather_archive(spark: SparkSession, path_glob: str, view: str | None = None) -> DataFrame:
+def read_weather_archive(spark: SparkSession, path_glob: str, view: str | None = None,
+                         schema: T.StructType | None = None) -> DataFrame:
     """S1 + S2: every archived weather JSON file under a glob, optionally
-    registered as a SQL view."""
-    df = spark.read.schema(S.WEATHER_EVENT).json(path_glob)
+    registered as a SQL view.  An absent archive has no rows (P7), malformed
+    records are left out."""
+    df = read_tolerant(spark, path_glob, schema or S.WEATHER_EVENT)
     if view:
         df.createOrReplaceTempView(view)
     return df
@@ -28,25 +31,31 @@ def read_tolerant(spark: SparkSession, path: str, schema: T.StructType, *,
                   multiline: bool = False) -> DataFrame:
     """Absent or malformed input is "no data", not a failure.
 
-    Malformed records are dropped by the JSON reader (``DROPMALFORMED``); a
+    Malformed records are left out (``read_split`` returns them too); a
     missing path yields an empty DataFrame with the schema."""
+    return read_split(spark, path, schema, multiline=multiline)[0]
+
+
+def read_split(spark: SparkSession, path: str, schema: T.StructType, *,
+               multiline: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Rows and malformed records (schema plus the raw text) of one permissive
+    read; both are empty when the path is absent."""
+    full = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     try:
-        df = (spark.read.schema(schema).option("mode", "DROPMALFORMED")
-              .option("multiLine", multiline).json(path))
-        df.schema  # noqa: B018  (resolve now: a missing path raises here)
-        return df
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+        text = spark.read.text(path, wholetext=multiline)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        text = spark.createDataFrame([], "value string")
+    parsed = F.from_json("value", full, {"columnNameOfCorruptRecord": CORRUPT})
+    df = text.where(F.trim("value") != "").select(parsed.alias("r")).select("r.*")
+    good = F.col(CORRUPT).isNull()
+    return df.where(good).drop(CORRUPT), df.where(~good)
 
 
 def read_rejects(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The malformed records of a JSON input, for a reject report."""
-    full = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    df = (spark.read.schema(full).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT).json(path))
-    return df.where(F.col(CORRUPT).isNotNull()).select(*schema.fieldNames(), CORRUPT)
+    return read_split(spark, path, schema)[1]
 
 
 def read_weather_snapshot(spark: SparkSession, path: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch import schemas as S
 from tidewatch.functions.text import dataset_of_topic, link_hash
@@ -27,10 +28,12 @@ def topic_records(df: DataFrame, topic: str | Column, key: Column, value_cols=No
                      F.to_json(F.struct(*[F.col(c) for c in cols])).alias("value"))
 
 
-def weather_records(weather: DataFrame, topic: str) -> DataFrame:
-    """Weather events keyed by a constant station key."""
+def weather_records(weather: DataFrame, topic: str, key_col: str | None = None) -> DataFrame:
+    """Weather events keyed by a constant station key, as the reference
+    does; with ``key_col`` by that column, so that a topic's partitions share
+    the load."""
     cols = [f.name for f in S.WEATHER_EVENT.fields]
-    return topic_records(weather, topic, F.lit(WEATHER_KEY), cols)
+    return topic_records(weather, topic, F.col(key_col) if key_col else F.lit(WEATHER_KEY), cols)
 
 
 def report_records(reports: DataFrame, topic: str) -> DataFrame:
@@ -81,10 +84,20 @@ def write_results(result: DataFrame, path: str) -> None:
     result.write.mode("overwrite").json(path)
 
 
-def read_results(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(S.BATCH_RESULT).json(path)
+def read_results(spark: SparkSession, path: str, keep: str = "") -> DataFrame:
+    """``keep``: DDL of key columns written before the result's own."""
+    schema = T.StructType((T.StructType.fromDDL(keep).fields if keep else []) + S.BATCH_RESULT.fields)
+    return spark.read.schema(schema).json(path)
 
 
-def write_documents(docs: DataFrame, path: str, doc_col: str = "document") -> None:
-    """One JSON document per line (per scenario)."""
-    docs.select(F.to_json(F.col(doc_col)).alias("value")).write.mode("overwrite").text(path)
+def write_documents(docs: DataFrame, path: str, doc_col: str = "document", key: str | None = None) -> None:
+    """One JSON document per line (per scenario); with ``key`` that
+    column becomes a first field of the document."""
+    doc = F.struct(F.col(key), F.col(f"{doc_col}.*")) if key else F.col(doc_col)
+    docs.select(F.to_json(doc).alias("value")).write.mode("overwrite").text(path)
+
+
+def read_documents(spark: SparkSession, path: str, keep: str = "") -> DataFrame:
+    """Documents read back with their schema (``keep``: DDL of the key)."""
+    schema = T.StructType((T.StructType.fromDDL(keep).fields if keep else []) + S.RESULT_DOCUMENT.fields)
+    return spark.read.schema(schema).json(path)

@@ -23,6 +23,7 @@ FEED_EPOCH = "2024-01-01 00:00:00"
 FEED_POLL_SECONDS = 300          # news poll cadence
 FEED_ITEMS_PER_POLL = 10
 FLOOD_DATE_COUNT = 30            # size of the confirmed flood-date list
+CITY_COUNT = 4                   # cities of the several-city binding
 # -----------------------------------------------------------------------------
 
 
@@ -54,9 +55,28 @@ def weather_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_to_weather(table(spark, sf_dir, "events"))
 
 
-def events_to_weather(ev: DataFrame) -> DataFrame:
-    """The weather binding as a DataFrame transform (static or streaming)."""
+def city_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather events of several cities: the location comes from the data."""
+    ev = table(spark, sf_dir, "events")
+    return events_to_weather(ev, "user_id").withColumn(
+        "lokasi", F.concat(F.lit("Kota "), (F.col("user_id") % CITY_COUNT).cast("string"))).drop("user_id")
+
+
+def city_districts(spark: SparkSession) -> DataFrame:
+    """The district dimension once for each city of ``city_weather``."""
+    from tidewatch.sources.districts import districts
+
+    rows = districts(spark, "Kota 0")
+    for i in range(1, CITY_COUNT):
+        rows = rows.unionByName(districts(spark, f"Kota {i}"))
+    return rows
+
+
+def events_to_weather(ev: DataFrame, *keep: str) -> DataFrame:
+    """The weather binding as a DataFrame transform (static or streaming);
+    ``keep``: columns of the events carried along."""
     return ev.selectExpr(
+        *keep,
         "event_id",
         "ts AS event_time",
         """date_format(ts, "yyyy-MM-dd'T'HH:mm") AS timestamp""",
@@ -135,15 +155,15 @@ def daily_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def confirmed_flood_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The confirmed flood-date list: the 30 order dates with the largest
-    urgent-order value (ties by date).  A top-k report, bounded at 30 rows."""
+def confirmed_flood_dates(spark: SparkSession, sf_dir: str, count: int = FLOOD_DATE_COUNT) -> DataFrame:
+    """The confirmed flood-date list: the ``count`` order dates with the
+    largest urgent-order value (ties by date), 30 as in the reference's list."""
     orders = table(spark, sf_dir, "orders")
     per_day = (orders.where(F.col("o_orderpriority") == "1-URGENT")
                .groupBy(F.to_date("o_orderdate").alias("date"))
                .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("urgent_value")))
     return (per_day.orderBy(F.desc("urgent_value"), F.asc("date"))
-            .limit(FLOOD_DATE_COUNT).select("date"))
+            .limit(count).select("date"))
 
 
 def classifier_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,7 +98,8 @@ def snapshot_latest(records: DataFrame, path: str, checkpoint: str, *, order_col
     Each micro-batch merges its own newest records with the previous snapshot
     version and writes version ``batch_id``.  A replayed batch rewrites the
     same version with the same content, so the sink is idempotent; readers
-    take the highest version (``read_snapshot``).  ``live_path``: also
+    take the highest version (``read_snapshot``).  All but the last two versions
+    are removed on each trigger, so neither the folder nor its listing grows.  ``live_path``: also
     replace one plain JSON value per dataset there (``dataset=<name>/``), the
     newest-event files a dashboard reads."""
     def merge(batch: DataFrame, batch_id: int) -> None:
@@ -112,6 +113,7 @@ def snapshot_latest(records: DataFrame, path: str, checkpoint: str, *, order_col
                         F.max(order_col).alias(order_col))
                    .select("topic", "dataset", order_col, "_l.key", "_l.value"))
         cur.coalesce(1).write.mode("overwrite").parquet(f"{path}/v={batch_id}")
+        prune_versions(spark, path)
         if live_path:
             PB.write_snapshots(spark.read.parquet(f"{path}/v={batch_id}"), live_path)
 
@@ -135,6 +137,17 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(out)
 
 
+def prune_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Remove all complete versions but the newest ``keep``."""
+    for v in _versions(spark, path)[:-keep]:
+        remove_version(spark, path, v)
+
+
+def remove_version(spark: SparkSession, path: str, version: int) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/v={version}")
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _read_versions(spark: SparkSession, path: str, schema: T.StructType, before: int):
     vs = [v for v in _versions(spark, path) if v < before]
     return spark.read.schema(schema).parquet(f"{path}/v={vs[-1]}") if vs else None
@@ -148,6 +161,10 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/v={vs[-1]}")
 
 
+#: how long a link stays known to the de-duplicating stream
+DEDUP_HORIZON = "7 days"
+
+
 def dedup_keys(stream: DataFrame, key: str, *, event_time: str | None = None,
                horizon: str | None = None) -> DataFrame:
     """First row per key.  Without a horizon the key set lives as long as
