@@ -173,6 +173,15 @@ def _excerpts(rng: np.random.Generator) -> list[tuple[str, int]]:
     return out
 
 
+def _split(batches):
+    """Lines to their paragraphs, as words joined by one space."""
+    for batch in batches:
+        for a, b in A.slices(batch.column(0)):
+            p = Paragraphs(batch.column(0).slice(a, b - a))
+            texts = [b" ".join(p.tokens(i)).decode("utf-8", "replace") for i in range(len(p.start))]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["line"])
+
+
 def train(docs: DataFrame, text: str = "text", seed: int = 0) -> Model:
     """The classifier and its bars.  Corpus paragraphs that a template confirms
     are left out of the negatives; an empty corpus leaves the excerpts' own
@@ -182,13 +191,10 @@ def train(docs: DataFrame, text: str = "text", seed: int = 0) -> Model:
         .withColumn("h", F.xxhash64("line"))
     total = lines.count()
     cut = int(min(1.0, NEGATIVES / max(total, 1)) * (1 << 30))
-    some = lines.where(F.pmod("h", F.lit(1 << 30)) <= cut).select(F.substring("line", 1, 2000).alias("line")) \
-        .distinct().orderBy(F.xxhash64("line", F.lit(1)), "line").limit(2 * NEGATIVES)
-    negatives = []
-    for r in some.collect():
-        p = Paragraphs(pa.array([r["line"]]))
-        if len(p.start) and max(similarity(p.tokens(i), f) for i in range(len(p.start)) for f in FAMILIES) < CONFIRM:
-            negatives.append(r["line"])
+    some = lines.where(F.pmod("h", F.lit(1 << 30)) <= cut).select("line").distinct() \
+        .mapInArrow(_split, "line string").distinct().orderBy(F.xxhash64("line", F.lit(1)), "line").limit(2 * NEGATIVES)
+    negatives = [r["line"] for r in some.collect()
+                 if max(similarity(r["line"].encode().split(), f) for f in FAMILIES) < CONFIRM]
     if not negatives:
         negatives = ["lorem ipsum dolor sit amet", "no terms are stated here"]
     rows = _excerpts(np.random.default_rng(seed)) + [(t, len(FAMILIES)) for t in negatives]
