@@ -49,4 +49,4 @@ def test_odd_rows_pass_every_stage(spark):
     got = docs.collect()
     assert sorted({r.doc_id or 0 for r in got}) == [0, 1, 5]
     assert {r.spans for r in got if r.doc_id == 1} == {"x"}
-    assert {r.text for r in got if r.doc_id == 5} == {" ".join(["wort"] * 20)}
+    assert {r.text for r in got if r.doc_id == 5} == {"wort"}
