@@ -10,8 +10,9 @@ SF01 = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tidewatch.session import build_session
-    s = build_session(master="local[4]", shuffle_partitions=8)
+    shared = str(tmp_path_factory.mktemp("shared"))
+    s = build_session(master="local[4]", shuffle_partitions=8, extra={"spark.checkpoint.dir": shared})
     yield s
     s.stop()
