@@ -51,7 +51,7 @@ def _contract(batches):
         yield flush()
 
 
-def connected_components(links: DataFrame) -> DataFrame:
+def connected_components(links: DataFrame, store=stored) -> DataFrame:
     """(node, component) for every node of links (a, b): component is the
     smallest node reachable, the node itself included.
 
@@ -61,26 +61,27 @@ def connected_components(links: DataFrame) -> DataFrame:
     smallest root, and its other roots link with that one in a smaller graph
     of roots, which goes the same way.  A graph that does not shrink is solved
     by alternating star steps.  Links with themselves keep a lone node in the
-    result.  Every round's graph is a table in the shared folder.
+    result.  Every round's graph is a table in the shared folder, made by
+    ``store``.
     """
     cur = links.select(F.col("a").alias("u"), F.col("b").alias("r"))
-    cur = stored(cur.mapInArrow(_contract, "u long, r long"), "stars")
+    cur = store(cur.mapInArrow(_contract, "u long, r long"), "stars")
     size, steps = cur.count(), []
     while True:
         tasks = max(1, ceil(size / TASK_LINKS))
         cur = cur.repartition(tasks, "u").mapInArrow(_contract, "u long, r long")
         if tasks == 1:
-            steps.append(stored(cur, "roots"))
+            steps.append(store(cur, "roots"))
             break
-        node = stored(cur.groupBy("u").agg(F.min("r").alias("r"), F.collect_set("r").alias("all")), "roots")
+        node = store(cur.groupBy("u").agg(F.min("r").alias("r"), F.collect_set("r").alias("all")), "roots")
         steps.append(node.select("u", "r"))
         other = node.select(F.explode("all").alias("u"), "r").where("u <> r").distinct()
-        cur = stored(other, "stars")
+        cur = store(other, "stars")
         left = cur.count()
         if not left:
             break
         if left > size / 2:
-            steps.append(_stars(cur))
+            steps.append(_stars(cur, store))
             break
         size = left
     out = steps[0]
@@ -98,7 +99,7 @@ def _neighbour_min(both: DataFrame) -> DataFrame:
     return both.join(least, "u")
 
 
-def _stars(links: DataFrame) -> DataFrame:
+def _stars(links: DataFrame, store) -> DataFrame:
     """(u, r): the smallest node reachable from each node but that node
     itself, by alternating large-star and small-star steps."""
     cur = links.select(F.greatest("u", "r").alias("u"), F.least("u", "r").alias("v")).where("u <> v").distinct()
@@ -109,7 +110,7 @@ def _stars(links: DataFrame) -> DataFrame:
         small = _neighbour_min(large)
         cur = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")) \
             .union(small.where("u <> m").select("u", F.col("m").alias("v"))).distinct()
-        cur = stored(cur, "star")
+        cur = store(cur, "star")
         mark = cur.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == seen:
             return cur.select("u", F.col("v").alias("r"))

@@ -25,6 +25,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Stored tables that an operator needs only while it runs."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        self.paths.append(path)
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        """Remove the tables; nothing that is still lazy may read them."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        for path in self.paths:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
+
+
 def text_size(docs: DataFrame, text: str = "text") -> tuple[int, int]:
     """Rows and UTF-8 bytes of the texts (one column scan)."""
     r = docs.agg(F.count(F.lit(1)).alias("n"),

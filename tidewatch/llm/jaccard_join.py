@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidewatch.llm import arrays as A
 from tidewatch.llm.components import connected_components, roots
-from tidewatch.llm.frames import stored, text_size
+from tidewatch.llm.frames import Scratch, stored, text_size
 from tidewatch.llm.repeats import _arrow, _cut, _table
 
 #: largest family joined as a whole inside one task
@@ -47,6 +47,8 @@ LEAF = 12
 #: pivots of a region, and of a large family in its first round
 PIVOTS = 4
 FIRST_BLOCK, GROWTH = 32, 4
+#: pivots that travel together
+PACK = 128
 #: signatures that a task collects before it sorts and sends them
 FLUSH = 1_500_000
 #: signatures of a hash shard
@@ -306,14 +308,20 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     fewer than k words has its whole word sequence as its one shingle; null
     and empty texts have none and link with nothing.  Rows that share a
     doc_id are one document.  Rows without doc_id link with nothing and have
-    no component.  Other columns are not read.
+    no component.  Other columns are not read.  The result is a stored table;
+    the intermediate ones are removed.
     """
     _, size = text_size(docs, text)
     # some four million signatures a shard, of about a quarter as many as words
     shards = max(8, ceil(size / 6 / 4 / SHARD))
     base = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    with Scratch(docs.sparkSession) as scratch:
+        return stored(_components(base, k, num, den, shards, doc_id, scratch.stored), "linked")
+
+
+def _components(base: DataFrame, k: int, num: int, den: int, shards: int, doc_id: str, store) -> DataFrame:
     task, ddl = _collect(k, num, den, shards)
-    found = stored(base.mapInArrow(task, ddl), "shingles")
+    found = store(base.mapInArrow(task, ddl), "shingles")
     rows = found.where("kind = 0").select("id", "n", "fp0", "fp1")
 
     # exact copies of a set: the smallest id stands for the class
@@ -321,7 +329,7 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
         F.min("id").alias("rep"), F.max("id").alias("last"))
     member = rows.where("n > 0 and id is not null").join(
         lead.where("rep <> last").drop("last"), ["fp0", "fp1"]).select("id", "rep").distinct()
-    member = stored(member, "copies")
+    member = store(member, "copies")
 
     # candidate families
     pair_ddl, pair = "a long, b long", _arrow("a long, b long")
@@ -339,12 +347,12 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     near = found.where("kind = 1").select("shard", "size", "sigs", "ids").groupBy("shard").applyInArrow(stars, pair_ddl) \
         .union(found.where("kind = 2").select("size", "sigs", "ids").mapInArrow(here, pair_ddl))
     same = member.select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    family = connected_components(near.union(same))
+    family = connected_components(near.union(same), store)
     # of exact copies only the smallest id is compared
-    family = stored(family.join(same.where("a <> b").select(F.col("a").alias("node")), "node", "left_anti"), "families")
-    links = _links(base, family, k, num, den)
+    family = store(family.join(same.where("a <> b").select(F.col("a").alias("node")), "node", "left_anti"), "families")
+    links = _links(base, family, k, num, den, store)
 
-    comp = stored(connected_components(links.union(same)), "components")
+    comp = store(connected_components(links.union(same), store), "components")
     out = rows.join(comp.withColumnRenamed("node", "id"), "id", "left")
     return out.select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"),
                       F.coalesce("component", "id").alias("component_id"))
@@ -355,7 +363,7 @@ def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     """docs with one row of each group of linked documents: the smallest
     doc_id; of rows that share a doc_id one.  Rows without doc_id or without
     words stay."""
-    found = stored(components(docs, k, num, den, doc_id, text), "linked")
+    found = components(docs, k, num, den, doc_id, text)
     gone = found.where(F.col(doc_id) != F.col("component_id")).select(doc_id).distinct()
     twice = found.where(F.col(doc_id).isNotNull()).groupBy(doc_id).count().where("count > 1")
     if twice.head(1):
@@ -364,7 +372,7 @@ def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     return docs.join(_small(gone, gone.count()), doc_id, "left_anti").select(docs.columns)
 
 
-def _links(base: DataFrame, family: DataFrame, k: int, num: int, den: int) -> DataFrame:
+def _links(base: DataFrame, family: DataFrame, k: int, num: int, den: int, store) -> DataFrame:
     """Links (a, b) that join the same documents as all links within families."""
     sizes = family.groupBy("component").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     total = sizes.agg(F.sum("size").alias("n"), F.max("size").alias("top"),
@@ -385,19 +393,19 @@ def _links(base: DataFrame, family: DataFrame, k: int, num: int, den: int) -> Da
         for a, b in zip(cut, np.append(cut[1:], len(fam))):
             out += [(ids[a + i], ids[a + j]) for i, j in region_links([sh.set(x) for x in range(a, b)], num, den)]
         p = np.array(out, np.int64).reshape(-1, 2)
-        return pa.Table.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], schema=pair)
+        return pa.Table.from_arrays([pa.array(x) for x in roots(p[:, 0], p[:, 1])], schema=pair)
 
     bins = max(1, ceil(n / (4 * FAMILY)))
     if total["large"]:
-        texts = stored(texts, "members")
+        texts = store(texts, "members")
     small = texts.where(F.col("size") <= FAMILY).withColumn("bin", F.pmod(F.xxhash64("family"), F.lit(bins)))
-    links = stored(small.select("bin", "family", "id", "text").groupBy("bin").applyInArrow(inside, pair_ddl), "links")
+    links = store(small.select("bin", "family", "id", "text").groupBy("bin").applyInArrow(inside, pair_ddl), "links")
     if total["large"]:
-        links = links.union(_large_links(texts.where(F.col("size") > FAMILY), k, num, den))
+        links = links.union(_large_links(texts.where(F.col("size") > FAMILY), k, num, den, store))
     return links
 
 
-def _large_links(members: DataFrame, k: int, num: int, den: int) -> DataFrame:
+def _large_links(members: DataFrame, k: int, num: int, den: int, store) -> DataFrame:
     """Links within families too large for a task, by blocks of pivots."""
     pair_ddl, pair = "a long, b long", _arrow("a long, b long")
     large = members.select("family", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / FAMILY)).cast("int").alias("part"),
@@ -408,8 +416,9 @@ def _large_links(members: DataFrame, k: int, num: int, den: int) -> DataFrame:
     def block(key, table, pivots):
         if not table.num_rows or not pivots.num_rows:
             return pair.empty_table()
-        sh, ps = Shingles(table.column("text"), k), Shingles(pivots.column("text"), k)
-        ids, pid = table.column("id").to_numpy(), pivots.column("id").to_numpy()
+        own = pa.concat_arrays([c.flatten() for c in pivots.column("own").chunks])
+        sh, ps = Shingles(table.column("text"), k), Shingles(own.field("text"), k)
+        ids, pid = table.column("id").to_numpy(), own.field("id").to_numpy()
         region = Region([sh.set(i) for i in range(len(ids))], num, den)
         a, b = [], []
         for j in range(len(pid)):
@@ -418,29 +427,32 @@ def _large_links(members: DataFrame, k: int, num: int, den: int) -> DataFrame:
             hit = ids[region.against(region.common(at[region.universe[at] == s]), len(s))[1]]
             a.append(hit)
             b.append(np.full(len(hit), pid[j]))
-        return pa.Table.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], schema=pair)
+        # a star for each component of these links
+        return pa.Table.from_arrays([pa.array(x) for x in roots(np.concatenate(a), np.concatenate(b))], schema=pair)
 
     links, done, width = None, None, FIRST_BLOCK
     while True:
         open_ = who
         if links is not None:   # documents outside the largest component of their family
-            comp = connected_components(links).withColumnRenamed("node", "id")
-            part = stored(who.join(comp, "id", "left").select("id", "family", F.coalesce("component", "id").alias("c")), "parts")
+            comp = connected_components(links, store).withColumnRenamed("node", "id")
+            part = store(who.join(comp, "id", "left").select("id", "family", F.coalesce("component", "id").alias("c")), "parts")
             most = part.groupBy("family", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("family") \
                 .agg(F.max(F.struct("n", "c")).alias("most")).select("family", F.col("most.c").alias("c"))
             open_ = part.join(most, ["family", "c"], "left_anti").select("id", "family").join(done, "id", "left_anti")
-        open_ = stored(open_, "open")
+        open_ = store(open_, "open")
         count = open_.groupBy("family").agg(F.count(F.lit(1)).alias("n"))
         if not count.head(1):
             return links
-        # about `width` pivots of each family: a cut by hash, so that no task sorts a family
+        # about `width` pivots of each family: a cut by hash, so that no task
+        # sorts a family; they travel in packs
         hash_ = F.pmod(F.xxhash64("id", F.lit(width)), F.lit(1 << 30))
-        pivots = stored(open_.join(count, "family").where(hash_ * F.col("n") <= F.lit(width << 30))
-                        .select("id", "family"), "pivots")
-        blob = pivots.select("id").join(large.select("id", "text"), "id").join(pivots, "id") \
-            .join(parts, "family") \
-            .select("family", "part", "id", "text").toDF("family", "part", "id", "text")
+        packs = F.ceil(F.least(F.col("n"), F.lit(width)) / PACK).cast("int")
+        pivots = store(open_.join(count, "family").where(hash_ * F.col("n") <= F.lit(width << 30))
+                        .select("id", "family", F.pmod(F.xxhash64("id"), packs).cast("int").alias("pack")), "pivots")
+        blob = large.select("id", "text").join(pivots, "id").groupBy("family", "pack") \
+            .agg(F.collect_list(F.struct("id", "text")).alias("own")).join(parts, "family") \
+            .select("family", "part", "own").toDF("family", "part", "own")
         new = large.groupBy("family", "part").cogroup(blob.groupBy("family", "part")).applyInArrow(block, pair_ddl)
-        links = stored(new if links is None else links.union(new), "links")
-        done = pivots.select("id") if done is None else stored(done.union(pivots.select("id")), "done")
+        links = store(new if links is None else links.union(new), "links")
+        done = pivots.select("id") if done is None else store(done.union(pivots.select("id")), "done")
         width *= GROWTH
