@@ -41,9 +41,11 @@ def copies(seed, base_words, copies_of, edits):
 
 
 @pytest.mark.parametrize("k,num", [(3, 90), (5, 80)])
-@pytest.mark.parametrize("family", [200, 6])
-def test_edited_copies(spark, monkeypatch, k, num, family):
+@pytest.mark.parametrize("family,here", [(200, 4), (6, 1)])
+def test_edited_copies(spark, monkeypatch, k, num, family, here):
+    """Large families in blocks, and hardly any shingle that is not common."""
     monkeypatch.setattr(jaccard_join, "FAMILY", family)
+    monkeypatch.setattr(jaccard_join, "COMMON_HERE", here)
     rows = copies(k, [1, 2, 3, 5, 8, 12, 20, 40, 90, 200, 400], 25, 6)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
     got = check(df, rows, k=k, num=num, den=100)

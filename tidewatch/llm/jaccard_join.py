@@ -47,6 +47,8 @@ LEAF = 12
 #: pivots of a region, and of a large family in its first round
 PIVOTS = 4
 FIRST_BLOCK, GROWTH = 32, 4
+#: shingles that count as common, and in how many documents of a task
+COMMON, COMMON_HERE = 300_000, 4
 #: pivots that travel together
 PACK = 128
 #: signatures that a task collects before it sorts and sends them
@@ -126,9 +128,15 @@ class Shingles:
             out.append(sums)
         return out[0], out[1]
 
-    def signatures(self, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    def signatures(self, num: int, den: int, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(signature, text): one for each class a set has in the schemes of
-        its own band and of the band below."""
+        its own band and of the band below.
+
+        A class is weak when it is empty or holds common shingles only.  Of
+        at least classes - tau equal ones, a linked pair has a strong one if
+        either set has fewer weak classes than that; only sets with as many
+        send their weak classes too.  No link is lost, whatever counts as
+        common, and texts that merely share a passage do not meet."""
         low, tau, classes = bands(num, den, max(int(self.size.max(initial=1)), 1) * 2)
         own = np.searchsorted(low, self.size, side="right") - 1
         sigs, docs = [], []
@@ -143,12 +151,14 @@ class Shingles:
             cls = A.mix(v + b * np.uint64(0x9E3779B97F4A7C15)) % count[d].astype(np.uint64)
             sums = np.zeros(base[-1], np.uint64)
             np.add.at(sums, base[d] + cls.astype(np.int64), A.mix(v ^ np.uint64(0x5DEECE66D)))
+            rare = ~np.isin(v, common, kind="sort") if len(common) else np.ones(len(v), bool)
+            strong = np.zeros(base[-1], bool)
+            strong[(base[d] + cls.astype(np.int64))[rare]] = True
             owner = np.repeat(np.arange(len(count)), count)
             place = np.arange(base[-1]) - base[owner]
             band_of = band[owner]
-            empty = sums == 0
-            lack = np.bincount(owner[empty], minlength=len(count))
-            send = ~empty | (lack >= count - tau[np.maximum(band, 0)])[owner]
+            weak = np.bincount(owner[~strong], minlength=len(count))
+            send = strong | (weak >= count - tau[np.maximum(band, 0)])[owner]
             tag = (band_of.astype(np.uint64) << np.uint64(40)) + place.astype(np.uint64)
             sigs.append(A.mix(sums + A.mix(tag + np.uint64(7)))[send])
             docs.append(owner[send])
@@ -219,7 +229,34 @@ def region_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int,
 
 
 # ----------------------------------------------------------------- the join
-def _collect(k: int, num: int, den: int, shards: int):
+def common_shingles(base: DataFrame, k: int) -> np.ndarray:
+    """Hashes of at most COMMON shingles that several documents of a task
+    hold, those of most documents first.  Tasks count whole partitions and
+    send what occurs in COMMON_HERE documents of theirs or more; the sums are
+    added up by Spark.  (Which shingles are listed affects the work, not the
+    links.)"""
+    ddl = "s long, n long"
+    schema = _arrow(ddl)
+
+    def count(batches):
+        keys, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        for batch in batches:
+            for a, b in A.slices(batch.column("text")):
+                u, c = np.unique(Shingles(batch.column("text").slice(a, b - a), k).value, return_counts=True)
+                c = c[(many := c > 1)]
+                every, more = np.concatenate([keys, u[many]]), np.concatenate([n, c])
+                order, new = A.groups(every)
+                keys = every[order][new]
+                n = np.add.reduceat(more[order], np.flatnonzero(new)) if len(every) else more
+        use = n >= COMMON_HERE
+        yield pa.RecordBatch.from_arrays([pa.array(keys[use].view(np.int64)), pa.array(n[use])], schema=schema)
+
+    top = base.select("text").mapInArrow(count, ddl).groupBy("s").agg(F.sum("n").alias("n")) \
+        .orderBy(F.desc("n"), "s").limit(COMMON).select("s").toArrow()
+    return np.sort(top.column("s").to_numpy().view(np.uint64))
+
+
+def _collect(k: int, num: int, den: int, shards: int, common):
     """Task body of the first pass: one row a document, packed signatures by
     shard, and star links of documents whose signatures meet in the task."""
     ddl = ("kind int, id long, n long, fp0 long, fp1 long, "
@@ -258,7 +295,7 @@ def _collect(k: int, num: int, den: int, shards: int):
         lead[1:] = (g0[1:] != g0[:-1]) | (g1[1:] != g1[:-1])
         sends = np.zeros(rows, bool)
         sends[ok[order[lead]]] = True
-        s, d = sh.signatures(num, den)
+        s, d = sh.signatures(num, den, common.value)
         use = sends[d]
         if use.any():
             sigs.append(s[use])
@@ -320,7 +357,9 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
 
 
 def _components(base: DataFrame, k: int, num: int, den: int, shards: int, doc_id: str, store) -> DataFrame:
-    task, ddl = _collect(k, num, den, shards)
+    # a bounded list: a few megabytes at most
+    common = base.sparkSession.sparkContext.broadcast(common_shingles(base, k))
+    task, ddl = _collect(k, num, den, shards, common)
     found = store(base.mapInArrow(task, ddl), "shingles")
     rows = found.where("kind = 0").select("id", "n", "fp0", "fp1")
 
