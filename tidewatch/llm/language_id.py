@@ -24,7 +24,9 @@ from tidewatch.llm.repeats import _arrow
 
 BUCKETS = 1 << 16
 #: letters handled at once
-BLOCK_CHARS = 1_000_000
+BLOCK_CHARS = 500_000
+#: bytes of text whose words advance together through the Viterbi pass
+VITERBI_BYTES = 8 << 20
 #: log-probability lost at a change of language between two words
 SWITCH = 8.0
 #: added to each trigram count
@@ -225,11 +227,13 @@ def identify(docs: DataFrame, model: Model, text: str = "text", switch: float =
     def task(batches):
         m = sent.value
         for batch in batches:
-            texts = [t or "" for t in batch.column(at).cast(pa.string()).to_pylist()]
-            parts = [_judge(Letters(texts[a:b]), m) for a, b in _blocks(texts)]
-            yield pa.RecordBatch.from_arrays(
-                batch.columns[:len(names)] + _result(parts, _blocks(texts), m, switch, span_type, len(texts)),
-                names=[*names, "lang_pred", "score", "spans"])
+            for a, b in A.slices(batch.column(at), VITERBI_BYTES):
+                part = batch.slice(a, b - a)
+                texts = [t or "" for t in part.column(at).cast(pa.string()).to_pylist()]
+                words = [_judge(Letters(texts[c:d]), m) for c, d in _blocks(texts)]
+                yield pa.RecordBatch.from_arrays(
+                    part.columns + _result(words, _blocks(texts), m, switch, span_type, len(texts)),
+                    names=[*names, "lang_pred", "score", "spans"])
 
     return docs.mapInArrow(task, out.schema)
 
@@ -239,16 +243,16 @@ def _judge(w: Letters, m: Model):
     letters, first and last character."""
     n = len(w.first)
     if not n or not m.langs:
-        return np.zeros((0, len(m.langs)), np.float32), *(np.zeros(0, np.int64) for _ in range(4))
+        return np.zeros((0, len(m.langs)), np.float32), *(np.zeros(0, np.int32) for _ in range(4))
     score = np.add.reduceat(m.score[w.trigrams()], w.first, axis=0)
     score[~m.usable[w.script]] = -1e4
-    return score, w.doc, w.length, w.start, w.start + w.length
+    return score, *(x.astype(np.int32) for x in (w.doc, w.length, w.start, w.start + w.length))
 
 
 def _result(parts, blocks, m: Model, switch: float, span_type, rows: int) -> list:
     first_text = [a for a, _ in blocks]
     score = np.concatenate([p[0] for p in parts]) if parts else np.zeros((0, len(m.langs)))
-    doc = np.concatenate([p[1] + a for p, a in zip(parts, first_text)]) if parts else np.zeros(0, np.int64)
+    doc = np.concatenate([p[1] + np.int32(a) for p, a in zip(parts, first_text)]) if parts else np.zeros(0, np.int32)
     size, start, end = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in (2, 3, 4))
     first = np.searchsorted(doc, np.arange(rows + 1))
     label = viterbi(score, first, switch).astype(np.int64)
