@@ -68,7 +68,8 @@ def _share(nodes: DataFrame, parent: list[str], name: str) -> DataFrame:
 
 
 def budgets(leaves: DataFrame, total: Column, weights: dict[str, dict[str, int]], max_epochs: int) -> DataFrame:
-    """leaves (domain, language, origin, tokens) with ``budget`` tokens."""
+    """leaves (domain, language, origin, tokens) with ``budget`` tokens; total:
+    the whole budget, in terms of ``every`` (the tokens of all leaves)."""
     cap = F.col("tokens") * max_epochs
     for level in LEVELS:
         leaves = leaves.withColumn(f"w_{level}", _weight(F.col(level), weights.get(level, {})))
@@ -77,10 +78,9 @@ def budgets(leaves: DataFrame, total: Column, weights: dict[str, dict[str, int]]
     out = None
     for depth in range(3):
         keys, level = LEVELS[:depth + 1], LEVELS[depth]
-        nodes = leaves.groupBy(*keys).agg(F.sum("cap").alias("cap"), F.max(f"w_{level}").alias("weight"))
+        nodes = leaves.groupBy(*keys).agg(F.sum("cap").alias("cap"), F.max(f"w_{level}").alias("weight"), F.sum("tokens").alias("tokens"))
         if out is None:
-            everything = leaves.agg(total.alias("total"))
-            nodes = nodes.withColumn("one", F.lit(1)).join(everything.withColumn("one", F.lit(1)), "one").drop("one")
+            nodes = nodes.withColumn("every", F.sum("tokens").over(Window.partitionBy(F.lit(0)))).withColumn("total", total)
         else:
             nodes = nodes.join(out.withColumnRenamed("budget", "total"), keys[:-1])
         out = _share(nodes, keys[:-1], level).select(*keys, "budget")
@@ -106,7 +106,7 @@ def mix(docs: DataFrame, share: tuple[int, int] = (1, 1), weights: dict[str, dic
     tree = [domain(F.col(source)).alias("domain"), name(lang).alias("language"), name(source).alias("origin")]
     narrow = stored(docs.select(F.col(doc_id).alias("id"), *tree, n_words(F.col(text).cast("string")).alias("n")), "tokens")
     leaves = stored(narrow.groupBy(*LEVELS).agg(F.sum("n").alias("tokens")), "leaves")
-    total = F.floor(F.coalesce(F.sum("tokens"), F.lit(0)).cast("double") * share[0] / share[1]).cast("long")
+    total = F.floor(F.col("every").cast("double") * share[0] / share[1]).cast("long")
     plan = budgets(leaves, total, weights or {}, max_epochs) \
         .withColumn("whole", F.when(F.col("tokens") > 0, F.expr("budget div nullif(tokens, 0)")).otherwise(0).cast("int")) \
         .withColumn("rest", F.when(F.col("tokens") > 0, F.col("budget") % F.expr("nullif(tokens, 0)")).otherwise(0))
@@ -122,7 +122,8 @@ def mix(docs: DataFrame, share: tuple[int, int] = (1, 1), weights: dict[str, dic
     # the first range that does not fit; all before it do
     ends = sums.where("upto > rest").groupBy(*LEVELS).agg(
         F.min("range").alias("cut_range"), F.min(F.col("upto") - F.col("n")).alias("before"))
-    inside = last.join(ends, LEVELS).where("range = cut_range")
+    # joined by source and range, so that the rows of one source go to many tasks
+    inside = last.join(ends.withColumnRenamed("cut_range", "range"), [*LEVELS, "range"])
     reach = Window.partitionBy(*LEVELS, "range").orderBy("key")
     cut = inside.withColumn("reach", F.col("before") + F.sum("n").over(reach)).where("reach <= rest") \
         .groupBy(*LEVELS).agg(F.max("key").alias("cut_key"))
