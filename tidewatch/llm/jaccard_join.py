@@ -46,13 +46,13 @@ FAMILY = 200
 LEAF = 12
 #: pivots of a region, and of a large family in its first round
 PIVOTS = 4
-FIRST_BLOCK, GROWTH = 32, 4
+FIRST_BLOCK, GROWTH, LARGEST_BLOCK = 32, 4, 2048
 #: shingles that count as common, and in how many documents of a task
 COMMON, COMMON_HERE = 300_000, 4
 #: pivots that travel together
 PACK = 128
 #: signatures that a task collects before it sorts and sends them
-FLUSH = 1_500_000
+FLUSH = 600_000
 #: signatures of a hash shard
 SHARD = 4_000_000
 #: rows of a table small enough to broadcast (two longs a row)
@@ -455,18 +455,20 @@ def _large_links(members: DataFrame, k: int, num: int, den: int, store) -> DataF
     def block(key, table, pivots):
         if not table.num_rows or not pivots.num_rows:
             return pair.empty_table()
-        own = pa.concat_arrays([c.flatten() for c in pivots.column("own").chunks])
-        sh, ps = Shingles(table.column("text"), k), Shingles(own.field("text"), k)
-        ids, pid = table.column("id").to_numpy(), own.field("id").to_numpy()
+        sh, ids = Shingles(table.column("text"), k), table.column("id").to_numpy()
         region = Region([sh.set(i) for i in range(len(ids))], num, den)
         a, b = [], []
-        for j in range(len(pid)):
-            s = ps.set(j)
-            at = np.minimum(np.searchsorted(region.universe, s), len(region.universe) - 1)
-            hit = ids[region.against(region.common(at[region.universe[at] == s]), len(s))[1]]
-            a.append(hit)
-            b.append(np.full(len(hit), pid[j]))
-        # a star for each component of these links
+        for pack in (c[i].values for c in pivots.column("own").chunks for i in range(len(c))):
+            ps, pid = Shingles(pack.field("text"), k), pack.field("id").to_numpy()
+            hits = []
+            for j in range(len(pid)):
+                s = ps.set(j)
+                at = np.minimum(np.searchsorted(region.universe, s), len(region.universe) - 1)
+                hits.append(ids[region.against(region.common(at[region.universe[at] == s]), len(s))[1]])
+            # a star for each component of these links
+            node, root = roots(np.concatenate(hits), np.repeat(pid, [len(h) for h in hits]))
+            a.append(node)
+            b.append(root)
         return pa.Table.from_arrays([pa.array(x) for x in roots(np.concatenate(a), np.concatenate(b))], schema=pair)
 
     links, done, width = None, None, FIRST_BLOCK
@@ -494,4 +496,4 @@ def _large_links(members: DataFrame, k: int, num: int, den: int, store) -> DataF
         new = large.groupBy("family", "part").cogroup(blob.groupBy("family", "part")).applyInArrow(block, pair_ddl)
         links = store(new if links is None else links.union(new), "links")
         done = pivots.select("id") if done is None else store(done.union(pivots.select("id")), "done")
-        width *= GROWTH
+        width = min(width * GROWTH, LARGEST_BLOCK)
