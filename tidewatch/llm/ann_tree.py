@@ -29,10 +29,11 @@ from tidewatch.llm.repeats import _arrow
 
 SAMPLE = 32_768
 BRANCH = 16
-#: sample vectors and (while the sample allows) vectors of a leaf
-LEAF_SAMPLE, LEAF = 16, 256
+#: fewest sample vectors of a leaf; a leaf holds some LEAF_ROOT times the root
+#: of the number of vectors, so that visits a query grow with the root too
+LEAF_SAMPLE, LEAF_MIN, LEAF_ROOT = 16, 256, 4
 CALIBRATION = 128
-RECALL = 0.97
+RECALL = 0.95
 #: vectors, and queries, of a cell
 CELL_MIN, CELL_MAX = 256, 4096
 
@@ -168,7 +169,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, recall: float =
     cut = lambda salt, part: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(1 << 30)) < int(part * (1 << 30))
     picked = _matrix(base.where(cut(1, share)).select("v").limit(2 * SAMPLE).toArrow().column("v")) if rows > SAMPLE \
         else _matrix(base.orderBy("id").select("v").toArrow().column("v"))
-    tree = Tree(picked, min(ceil(rows / LEAF), max(1, len(picked) // LEAF_SAMPLE)), longest)
+    leaf = max(LEAF_MIN, LEAF_ROOT * rows ** 0.5)
+    tree = Tree(picked, min(ceil(rows / leaf), max(1, len(picked) // LEAF_SAMPLE)), longest)
     sent = spark.sparkContext.broadcast(tree)
 
     placed_ddl = f"leaf int, id long, v array<{'float' if 'float' in base.schema['v'].dataType.simpleString() else 'double'}>"
