@@ -61,3 +61,7 @@ def test_small_and_empty_tables(spark):
     assert got == [(0, 1, 20, 9.0), (0, 2, 1, 4.0), (20, 1, 0, 9.0), (20, 2, 1, 9.0)]
     assert ann_tree.search(df.limit(0), df).collect() == []
     assert ann_tree.search(df.limit(1), df.limit(1)).collect() == []
+
+
+def test_recall_target_is_not_lowered():
+    assert ann_tree.RECALL == 0.97

@@ -33,7 +33,7 @@ BRANCH = 16
 #: of the number of vectors, so that visits a query grow with the root too
 LEAF_SAMPLE, LEAF_MIN, LEAF_ROOT = 16, 256, 4
 CALIBRATION = 128
-RECALL = 0.95
+RECALL = 0.97
 #: vectors, and queries, of a cell
 CELL_MIN, CELL_MAX = 256, 4096
 
