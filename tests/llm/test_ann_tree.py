@@ -65,3 +65,18 @@ def test_small_and_empty_tables(spark):
 
 def test_recall_target_is_not_lowered():
     assert ann_tree.RECALL == 0.97
+
+
+def test_walk_goes_on_to_k_candidates(spark):
+    """Tight clusters of ten: one leaf has all close neighbours, but not k."""
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(200, 8))
+    x = np.repeat(base / np.linalg.norm(base, axis=1)[:, None], 10, axis=0) + rng.normal(size=(2000, 8)) * 1e-4
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(40, x[40].tolist())] * 30
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for recall in (0.01, 0.97):
+        got = ann_tree.search(df, df.where("vec_id % 20 = 0"), k=20, recall=recall).groupBy("query_id").count().collect()
+        assert {r.query_id: r["count"] for r in got} == {i: 20 for i in range(0, 2000, 20)}
+    tree = ann_tree.Tree(x, 200, 2.0)
+    tree.held = np.bincount(tree.assign(x), minlength=tree.leaves)
+    assert all(tree.held[tree.visit(q, 1)].sum() < 21 <= tree.held[tree.visit(q, 1, 21)].sum() for q in x[:50])

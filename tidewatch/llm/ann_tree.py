@@ -8,7 +8,8 @@ assigned to a leaf.  Inner products become distances by one more coordinate,
 queue of cells by distance to their centres and visits the first leaves it
 meets.  How many is calibrated: for CALIBRATION vectors that are not queries
 the exact neighbours are found among all rows, and the visits are widened until
-the mean share of neighbours inside the visited leaves reaches the target.
+the mean share of neighbours inside the visited leaves reaches the target.  A
+walk goes on until its leaves hold k vectors besides the query's own.
 
 Leaves are searched exactly, in double precision, in cells of at most some
 thousand vectors, so that a leaf full of copies is spread over tasks; queries
@@ -43,7 +44,7 @@ class Tree:
     leaf[i]: number of the leaf, or -1."""
 
     def __init__(self, points: np.ndarray, leaves: int, longest: float, seed: int = 0):
-        self.longest = longest
+        self.longest, self.held = longest, None
         rng = np.random.default_rng(seed)
         x = self.lift(points)
         size = max(LEAF_SAMPLE, ceil(len(x) / max(leaves, 1)))
@@ -94,15 +95,17 @@ class Tree:
             todo += [(kid, rows[near == i]) for i, kid in enumerate(kids) if (near == i).any()]
         return out
 
-    def visit(self, q: np.ndarray, most: int) -> list[int]:
-        """The first leaves of a best-bin-first walk."""
+    def visit(self, q: np.ndarray, most: int, least: int = 0) -> list[int]:
+        """The first leaves of a best-bin-first walk: ``most`` of them, and on
+        until they hold ``least`` vectors."""
         q = np.append(q, 0.0)
-        queue, found = [(0.0, 0)], []
-        while queue and len(found) < most:
+        queue, found, vectors = [(0.0, 0)], [], 0
+        while queue and (len(found) < most or vectors < least):
             _, node = heapq.heappop(queue)
             kids = self.children[node]
             if not kids:
                 found.append(self.leaf[node])
+                vectors += int(self.held[self.leaf[node]]) if least else 0
                 continue
             d = ((self.centre[kids] - q) ** 2).sum(axis=1)
             for x in zip(d.tolist(), kids):
@@ -184,12 +187,20 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, recall: float =
 
     placed = stored(base.mapInArrow(place, placed_ddl), "placed")
     visits = _calibrate(placed, ask, tree, k, recall, rows)
+    # a bounded number of leaves; sent with the tree
+    tree.held = np.zeros(tree.leaves, np.int64)
+    for r in placed.groupBy("leaf").count().collect():
+        tree.held[r["leaf"]] = r["count"]
+    sent = spark.sparkContext.broadcast(tree)
+    # a query's own rows are no candidates, so its leaves hold k vectors besides
+    own = placed.groupBy("id").agg(F.count(F.lit(1)).alias("own")).where("own > 1")
+    ask = ask.join(own, "id", "left").select("id", "v", F.coalesce("own", F.lit(1)).alias("own"))
 
     def walk(batches):
         for b in batches:
             if not b.num_rows:
                 continue
-            seen = [sent.value.visit(q, visits) for q in _matrix(b.column("v"))]
+            seen = [sent.value.visit(q, visits, k + own) for q, own in zip(_matrix(b.column("v")), b.column("own").to_pylist())]
             at = pa.array(np.repeat(np.arange(len(seen)), [len(s) for s in seen]))
             leaf = pa.array(np.concatenate(seen).astype(np.int32))
             yield pa.RecordBatch.from_arrays([leaf, b.column("id").take(at), b.column("v").take(at)], schema=placed_schema)
