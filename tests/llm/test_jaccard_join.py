@@ -81,3 +81,15 @@ def test_odd_rows(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string, id string")
     assert jaccard_join.components(df).collect() == []
+
+
+def test_keep_one_keeps_different_texts_of_a_doc_id(spark):
+    text = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(40)]
+    rows = [(7, t, 1) for t in text] + [(7, text[0], 2), (9, text[3], 1), (3, text[5], 1), (8, "other words " * 20, 1),
+                                        (None, text[0], 1), (7, None, 1), (9, "", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, x int").repartition(6)
+    got = [jaccard_join.keep_one(d).collect() for d in (df, df.repartition(3))]
+    assert sorted(map(tuple, got[0]), key=repr) == sorted(map(tuple, got[1]), key=repr)
+    kept = [(r.doc_id, r.text) for r in got[0]]
+    want = [(7, t) for t in text if t != text[5]] + [(3, text[5]), (8, "other words " * 20), (None, text[0]), (7, None), (9, "")]
+    assert sorted(kept, key=repr) == sorted(want, key=repr)

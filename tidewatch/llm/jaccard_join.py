@@ -400,15 +400,26 @@ def _components(base: DataFrame, k: int, num: int, den: int, shards: int, doc_id
 def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
              doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with one row of each group of linked documents: the smallest
-    doc_id; of rows that share a doc_id one.  Rows without doc_id or without
-    words stay."""
-    found = components(docs, k, num, den, doc_id, text)
-    gone = found.where(F.col(doc_id) != F.col("component_id")).select(doc_id).distinct()
-    twice = found.where(F.col(doc_id).isNotNull()).groupBy(doc_id).count().where("count > 1")
-    if twice.head(1):
-        first = docs.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id])
-        docs = first.unionByName(docs.where(F.col(doc_id).isNull()))
-    return docs.join(_small(gone, gone.count()), doc_id, "left_anti").select(docs.columns)
+    doc_id.  Rows equal in doc_id and text count once (kept: the row whose
+    other columns have the smallest hash); rows that share a doc_id but hold
+    different texts are documents of their own.  Rows without doc_id or
+    without words stay."""
+    known = docs.where(F.col(doc_id).isNotNull())
+    if not known.groupBy(doc_id).count().where("count > 1").head(1):
+        return _without_linked(docs, components(docs, k, num, den, doc_id, text), doc_id).select(docs.columns)
+    # the stage is keyed by the row's place in the order of (doc_id, text)
+    others = [c for c in docs.columns if c not in (doc_id, text)]
+    hashes = [F.xxhash64(*others), F.xxhash64(F.reverse(F.to_json(F.struct(*others))))] if others else [F.lit(0)]
+    one = known.groupBy(doc_id, text).agg(F.min_by(F.struct(*docs.columns), F.struct(*hashes)).alias("__kept"))
+    rows = one.select("__kept.*").orderBy(doc_id, F.xxhash64(text), text).withColumn("__row", F.monotonically_increasing_id())
+    rows = stored(rows, "rows")
+    left = _without_linked(rows, components(rows, k, num, den, "__row", text), "__row").select(docs.columns)
+    return left.unionByName(docs.where(F.col(doc_id).isNull()))
+
+
+def _without_linked(docs: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    gone = found.where(F.col(key) != F.col("component_id")).select(key).distinct()
+    return docs.join(_small(gone, gone.count()), key, "left_anti")
 
 
 def _links(base: DataFrame, family: DataFrame, k: int, num: int, den: int, store) -> DataFrame:
