@@ -64,3 +64,19 @@ def test_training_on_an_empty_table(spark):
     m = S.train(none)
     p = S.Paragraphs(pa.array(["Released under the MIT License."]))
     assert m.classes[int(m.probabilities(p)[0].argmax())] == "MIT"
+
+
+def test_short_notices_inside_long_lines(spark, model):
+    """One-sentence grants in the middle of prose without line breaks."""
+    prose = [w for (t,) in duckdb.sql(f"select text from '{SF}/documents.parquet' order by doc_id limit 60").fetchall()
+             for w in t.split() if not any(x in t.lower() for x in ("licen", "copyright", "rights reserved"))]
+    notices = [("MIT", "Released under the MIT License."), ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+               ("BSD", "Licensed under the BSD 3-Clause License."), ("GPL", "Licensed under the GPL v3."), ("CC-BY", "Licensed under CC BY 4.0.")]
+    rows = [(f, " ".join(prose[97 * i:97 * i + 70 + i] + [t] + prose[97 * i + 1000:97 * i + 1075]))
+            for i in range(20) for f, t in [notices[i % 5]]]
+    got = S.scan(spark.createDataFrame(rows, "want string, text string").coalesce(1), model).collect()
+    hits = sum(r.want in {x.family for x in r.licences} for r in got)
+    assert len(prose) > 3000 and hits >= 18, hits
+    assert all(len([x for x in r.licences if x.family == r.want]) <= 1 for r in got)
+    plain = [(" ".join(prose[50 * i:50 * i + 150]),) for i in range(40)]
+    assert sum(bool(r.licences) for r in S.scan(spark.createDataFrame(plain, "text string").coalesce(1), model).collect()) <= 2

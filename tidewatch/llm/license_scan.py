@@ -1,10 +1,13 @@
 """Licence scan: a trained paragraph classifier confirmed by templates.
 
 Paragraphs are lines; of lines over LONG words every window of LONG words,
-half a window apart, is one.  Sparse counts of word 1-, 2- and 3-grams, hashed
+half a window apart, is one.  Of lines over two SHORT windows every window of
+SHORT words, STEP words apart, is one too, so that prose around a short notice
+does not outvote it.  Sparse counts of word 1-, 2- and 3-grams, hashed
 and scaled by the root of the paragraph's length, go into a multinomial
 logistic regression over licence families and ``none``, trained with Spark ML
-on random excerpts of the templates below and on paragraphs of the corpus.
+on random excerpts of the templates below, alone and inside prose of the
+corpus, and on paragraphs of the corpus.
 
 The training sample is bounded: VARIANTS excerpts a template and at most about
 NEGATIVES paragraphs, taken by hash.  On the held-out half of it two bars are
@@ -31,6 +34,8 @@ from tidewatch.llm.repeats import _arrow
 
 BUCKETS = 1 << 14
 LONG = 48
+#: words of a short window of a long line, and words between two of them
+SHORT, STEP = 12, 4
 VARIANTS, NEGATIVES = 40, 6000
 QUIET, KEEP = 0.001, 0.98
 #: share of a template excerpt's word pairs, or of the paragraph's, that confirms
@@ -85,11 +90,15 @@ class Paragraphs:
         new[1:] = (np.diff(line) != 0) | (np.diff(w.text) != 0)
         first = np.flatnonzero(new)
         size = np.diff(np.append(first, len(w)))
-        n = np.where(size > LONG, -(-(size - LONG) // (LONG // 2)) + 1, 1)
+        end = first + size
+        long_ = np.where(size > LONG, -(-(size - LONG) // (LONG // 2)) + 1, 1)
+        short = np.where(size > 2 * SHORT, -(-(size - SHORT) // STEP) + 1, 0)
+        n = long_ + short                            # a line's long windows, then its short ones
         own = np.repeat(np.arange(len(first)), n)
         step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        self.start = first[own] + step * (LONG // 2)
-        self.end = np.minimum(self.start + LONG, (first + size)[own])
+        small = step >= long_[own]
+        self.start = first[own] + np.where(small, (step - long_[own]) * STEP, step * (LONG // 2))
+        self.end = np.minimum(self.start + np.where(small, SHORT, LONG), end[own])
         self.text = w.text[self.start] if len(first) else np.zeros(0, np.int64)
         self.grams = [(A.windows(h, k, 60 + k) & np.uint64(BUCKETS - 1)).astype(np.int64) for k in (1, 2, 3)]
 
@@ -106,7 +115,7 @@ class Paragraphs:
         step = 50_000                                # paragraphs at once
         for a in range(0, len(out), step):
             s, e = self.start[a:a + step], self.end[a:a + step]
-            lo, hi = s[0], e.max()
+            lo, hi = s.min(), e.max()
             for k, g in enumerate(self.grams):
                 part = weights[g[lo:max(lo, hi - k)]]
                 cum = np.zeros((hi - lo + 1, len(bias)))
@@ -173,6 +182,22 @@ def _excerpts(rng: np.random.Generator) -> list[tuple[str, int]]:
     return out
 
 
+def _embedded(excerpts: list[tuple[str, int]], prose: list[str], rng: np.random.Generator) -> list[tuple[str, int]]:
+    """Short windows that hold an excerpt, or SHORT - STEP words of it at
+    least, and words of the corpus around it."""
+    out = []
+    for text, y in excerpts[::2]:
+        words, around = text.split(), prose[rng.integers(len(prose))].split() or ["a"]
+        if len(words) > SHORT - STEP:
+            at = rng.integers(0, len(words) - (SHORT - STEP) + 1)
+            words = words[at:at + int(rng.integers(SHORT - STEP, SHORT + 1))]
+        gap = max(SHORT - len(words), 0)
+        at, before = rng.integers(len(around)), int(rng.integers(0, gap + 1))
+        fill = [around[(at + i) % len(around)] for i in range(gap)]
+        out.append((" ".join(fill[:before] + words + fill[before:]), y))
+    return out
+
+
 def _split(batches):
     """Lines to their paragraphs, as words joined by one space."""
     for batch in batches:
@@ -197,11 +222,13 @@ def train(docs: DataFrame, text: str = "text", seed: int = 0) -> Model:
                  if max(similarity(r["line"].encode().split(), f) for f in FAMILIES) < CONFIRM]
     if not negatives:
         negatives = ["lorem ipsum dolor sit amet", "no terms are stated here"]
-    rows = _excerpts(np.random.default_rng(seed)) + [(t, len(FAMILIES)) for t in negatives]
+    alone = _excerpts(np.random.default_rng(seed))
+    rows = alone + _embedded(alone, negatives, np.random.default_rng(seed + 2)) + [(t, len(FAMILIES)) for t in negatives]
     feats = []
     for t, y in rows:
         p = Paragraphs(pa.array([t.replace("\n", " ")]))
-        feats += [(float(y), p.counts(i)) for i in range(len(p.start))]
+        # of a corpus line only itself: its windows are among the sampled paragraphs
+        feats += [(float(y), p.counts(i)) for i in range(len(p.start) if y < len(FAMILIES) else min(len(p.start), 1))]
     half = np.random.default_rng(seed + 1).random(len(feats)) < 0.5
     frame = spark.createDataFrame([(y, Vectors.sparse(BUCKETS, at.tolist(), n.tolist()))
                                    for (y, (at, n)), h in zip(feats, half) if h], ["label", "features"])
@@ -232,7 +259,8 @@ FOUND = "array<struct<family:string,start:int,end:int,probability:double,similar
 
 def scan(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """docs with ``licences``: for each licence paragraph its family or
-    ``unknown``, its words (from, to), probability and template similarity.
+    ``unknown``, its words (from, to), probability and template similarity;
+    overlapping windows of a family are one.
     Null and empty texts have none; each row is judged on its own; an input
     column named licences is replaced."""
     docs = docs.drop("licences")
@@ -253,6 +281,22 @@ def scan(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return docs.mapInArrow(task, out.schema)
 
 
+def _merged(found: list[dict]) -> list[dict]:
+    """One entry for overlapping windows of a family; an unknown one only
+    where no family was found."""
+    out: list[dict] = []
+    for x in sorted(found, key=lambda x: (x["family"] == UNKNOWN, x["family"], x["start"])):
+        last = out[-1] if out and out[-1]["family"] == x["family"] else None
+        if x["family"] == UNKNOWN and any(y["family"] != UNKNOWN and y["start"] < x["end"] and x["start"] < y["end"] for y in out):
+            continue
+        if last and x["start"] < last["end"]:
+            last |= {"end": max(last["end"], x["end"]), "probability": max(last["probability"], x["probability"]),
+                     "similarity": max(last["similarity"], x["similarity"])}
+        else:
+            out.append(dict(x))
+    return sorted(out, key=lambda x: (x["start"], x["end"], x["family"]))
+
+
 def _judge(p: Paragraphs, m: Model, rows: int) -> list[list]:
     out: list[list] = [[] for _ in range(rows)]
     prob = m.probabilities(p)
@@ -270,4 +314,4 @@ def _judge(p: Paragraphs, m: Model, rows: int) -> list[list]:
         first = int(p.words.first[p.text[i]])
         out[p.text[i]].append({"family": family, "start": int(p.start[i]) - first, "end": int(p.end[i]) - first,
                                "probability": chance, "similarity": float(alike)})
-    return out
+    return [_merged(x) if len(x) > 1 else x for x in out]
