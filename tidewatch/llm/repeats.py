@@ -119,14 +119,13 @@ class CountMin:
 
 
 class SparseSuffixes:
-    """Sparse suffix array prefilter.
+    """Seed prefilter in place of a sparse suffix array.
 
     Of the ``n - seed + 1`` positions at which ``seed`` words of a window can
     begin, the one with the smallest hash is kept (a content-selected
-    minimiser, so equal windows keep the same suffix).  Shards sort the kept
-    suffixes of all chunks by their first ``seed`` words and compare
-    neighbours; equal neighbours make the windows around both candidates, to
-    be extended left and right over the whole window in the exact pass.
+    minimiser, so equal windows keep the same seed).  Shards group the 64-bit
+    hashes of the seeds of all chunks; a seed that occurs twice makes the
+    windows around it candidates, which the exact pass compares as a whole.
     """
 
     send = "n int, suffixes binary"

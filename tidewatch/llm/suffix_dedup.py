@@ -1,10 +1,9 @@
-"""Sparse suffix-array de-duplication.
+"""Suffix de-duplication, with hashed seeds in place of a suffix array.
 
-Keeps the suffixes at content-selected minimiser positions only (about one
-word position in fourteen), sorts them shard by shard, compares neighbours,
-and extends matching neighbours left and right to whole windows, which are
-confirmed exactly.  Any repeat of ``window`` words or more contains a kept
-suffix at the same offset in both places, so none is lost.  See `repeats` for
+Keeps seeds at content-selected minimiser positions only (about one word
+position in fourteen) and groups their hashes shard by shard; the windows
+around repeated seeds are compared exactly.  Any repeat of ``window`` words or
+more contains a kept seed at the same offset in both places, so none is lost.  See `repeats` for
 the plan, the rule and the treatment of nulls, ties and repeated rows.
 """
 
