@@ -31,10 +31,14 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark, self.paths = spark, []
 
-    def stored(self, df: DataFrame, name: str) -> DataFrame:
-        path = scratch_path(self.spark, name)
-        self.paths.append(path)
-        df.write.option("compression", "zstd").parquet(path)
+    def path(self, name: str) -> str:
+        self.paths.append(scratch_path(self.spark, name))
+        return self.paths[-1]
+
+    def stored(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """by: a column that has a folder for each of its values."""
+        path = self.path(name)
+        df.write.option("compression", "zstd").parquet(path, partitionBy=by)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def __enter__(self) -> Scratch:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import ann_tree, decontaminate, jaccard_join, language_id, license_scan, maxent_lm, mixing, substring_dedup, suffix_dedup, url_filter
+from tidewatch.llm import ann_tree, centroid_clusters, decontaminate, jaccard_join, language_id, lexical_search, license_scan, line_dedup, maxent_lm, mixing, substring_dedup, suffix_dedup, url_filter
 from tidewatch.llm.frames import table
-from tidewatch.llm.sql import mixing_sql, url_filter_sql
+from tidewatch.llm.sql import centroid_clusters_sql, lexical_search_sql, line_dedup_sql, mixing_sql, url_filter_sql
 
 #: rules of op6: host, path, verdict
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
@@ -85,9 +85,27 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(substring_dedup.remove_repeats(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_license_scan, op3_decontaminate, op4_ann_tree, op5_maxent_lm, op6_url_filter, op7_mixing, op8_jaccard_join, op9_language_id, op10_substring_dedup)}
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical_search.search(docs, table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters.cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10)
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = line_dedup.drop_lines(docs, min_chars=40, min_docs=5)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_license_scan, op3_decontaminate, op4_ann_tree, op5_maxent_lm, op6_url_filter, op7_mixing, op8_jaccard_join, op9_language_id, op10_substring_dedup, op11_lexical_search, op12_centroid_clusters, op13_line_dedup)}
 
 ORACLE: dict[str, str] = {
     "op6_url_filter": url_filter_sql(URL_RULES, url_filter.ORDER, url_filter.ALPHABET, url_filter.HELD_OUT),
     "op7_mixing": mixing_sql(**MIX),
+    "op11_lexical_search": lexical_search_sql(k=10),
+    "op12_centroid_clusters": centroid_clusters_sql(k=8, rounds=10),
+    "op13_line_dedup": line_dedup_sql(min_chars=40, min_docs=5),
 }

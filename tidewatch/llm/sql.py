@@ -88,3 +88,64 @@ def url_filter_sql(rules: list[tuple[str, str, str]], order: int, alphabet: int,
             ORDER BY low * tr + (tr - gone) * ta, abs(score), score LIMIT 1), 0) AS bar)
         SELECT page_id, host, path, rule, coalesce(rows_.label, CASE WHEN score >= bar THEN 'allow' ELSE 'block' END) AS verdict,
           score, bar::BIGINT AS bar FROM rows_ JOIN (SELECT s, score FROM scored) USING (s) CROSS JOIN bar"""
+
+
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def line_dedup_sql(min_chars: int, min_docs: int) -> str:
+    """Lines by key; keys of enough documents stay in the last one only."""
+    return f"""
+        WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents),
+        lines AS (SELECT doc_id, unnest(s) AS line, unnest(range(1, len(s) + 1)) AS i FROM d),
+        keyed AS (SELECT *, translate(regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g'), {_LOWER}) AS k FROM lines),
+        often AS (SELECT k, max(doc_id) AS last FROM keyed WHERE length(k) >= {min_chars}
+          GROUP BY k HAVING count(DISTINCT doc_id) >= {min_docs}),
+        told AS (SELECT keyed.*, last IS NOT NULL AND doc_id <> last AS goes FROM keyed LEFT JOIN often USING (k))
+        SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (goes)::BIGINT AS n_dropped,
+          sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT goes), '')) AS kept_sha256
+        FROM told GROUP BY doc_id"""
+
+
+def lexical_search_sql(k: int) -> str:
+    """Every document's score for every item, then the best of each item."""
+    terms = "regexp_extract_all(text, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+    return f"""
+        WITH t AS (SELECT doc_id, translate(unnest({terms}), {_LOWER}) AS term FROM documents),
+        q AS (SELECT item_id, term, count(*)::BIGINT AS times FROM
+          (SELECT item_id, translate(unnest({terms}), {_LOWER}) AS term FROM benchmark) GROUP BY ALL),
+        lengths AS (SELECT doc_id, count(*)::BIGINT AS n FROM t GROUP BY doc_id),
+        whole AS (SELECT count(*)::BIGINT AS nd, sum(n)::BIGINT AS nt FROM lengths),
+        post AS (SELECT term, doc_id, count(*)::BIGINT AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+        w AS (SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+          FROM (SELECT term, count(*)::BIGINT AS df FROM post GROUP BY term), whole),
+        scores AS (SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nd) // nt))))::BIGINT AS score
+          FROM q JOIN post USING (term) JOIN w USING (term) JOIN lengths USING (doc_id), whole GROUP BY item_id, doc_id)
+        SELECT item_id, rank::INT AS rank, doc_id, score FROM
+          (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+        WHERE rank <= {k}"""
+
+
+def centroid_clusters_sql(k: int, rounds: int) -> str:
+    """One assignment and one set of centroids a round, on long rows."""
+    steps = ""
+    for r in range(rounds + 1):
+        steps += f"""
+        a{r} AS MATERIALIZED (SELECT vec_id, arg_min(c, (distance, c)) AS c, min(distance) AS distance FROM
+          (SELECT vec_id, c, sum((long.x - m.x) * (long.x - m.x))::BIGINT AS distance FROM long JOIN m{r} m USING (j) GROUP BY vec_id, c)
+          GROUP BY vec_id),"""
+        if r < rounds:
+            steps += f"""
+        m{r + 1} AS MATERIALIZED (SELECT m.c, m.j, coalesce(n.x, m.x) AS x FROM m{r} m LEFT JOIN
+          (SELECT c, j, ((sum(x) - ((sum(x) % count(*) + count(*)) % count(*))) // count(*))::BIGINT AS x
+            FROM a{r} JOIN long USING (vec_id) GROUP BY c, j) n ON m.c = n.c AND m.j = n.j),"""
+    return f"""
+        WITH kept AS (SELECT vec_id, embedding FROM embeddings WHERE len(embedding) = 64
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        long AS MATERIALIZED (SELECT vec_id, unnest(range(64)) AS j, floor(1024 * unnest(embedding)::DOUBLE)::BIGINT AS x FROM kept),
+        first AS (SELECT vec_id, (row_number() OVER (ORDER BY sha256('3:' || vec_id::VARCHAR)) - 1)::INT AS c FROM kept
+          QUALIFY c < {k}),
+        m0 AS MATERIALIZED (SELECT c, j, x FROM first JOIN long USING (vec_id)),{steps}
+        digest AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY j)) AS sha FROM m{rounds} GROUP BY c)
+        SELECT vec_id, c AS cluster, distance, sum(distance) OVER (PARTITION BY c)::BIGINT AS cluster_inertia,
+          sum(distance) OVER ()::BIGINT AS inertia, sha AS centroid_sha256 FROM a{rounds} JOIN digest USING (c)"""
