@@ -25,7 +25,8 @@ def test_query_matches_oracle(spark, con, name):
     assert type_mismatches(dict(df.dtypes), con, E.oracle_sql()[name]) == []
 
 
-MODEL = ["model_dashboard_scores", "rf_auc", "rf_cv", "rf_cv_summary", "rf_evaluation", "rf_importance", "rf_scores", "rf_threshold"]
+MODEL = ["forest_table_importance", "forest_table_scores", "model_dashboard_scores", "rf_auc", "rf_cv", "rf_cv_summary",
+         "rf_evaluation", "rf_importance", "rf_scores", "rf_threshold", "stream_model_scores"]
 
 
 def test_only_the_forest_has_no_oracle():
@@ -46,6 +47,8 @@ def test_forest_queries(spark):
     assert got["rf_cv_summary"][0].accuracy_mean == pytest.approx(sum(folds) / 5, abs=1e-4)
     assert sum(r.support for r in got["rf_evaluation"]) == len(got["rf_scores"])
     assert all(0 <= r["Probabilitas (%)"] <= 100 for r in got["model_dashboard_scores"])
+    ranks = lambda n: [(r["rank"], r.feature, round(r.importance, 12)) for r in got[n]]
+    assert ranks("forest_table_importance") == ranks("rf_importance")
 
 
 def test_reloaded_forest_gives_the_same_scores(spark, tmp_path):

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from tidewatch import schemas as S
 from tidewatch.operators import evaluation as EV
 from tidewatch.operators import feed as FD
+from tidewatch.operators import forest as FR
 from tidewatch.operators import ingest, kpi, ranking, report
 from tidewatch.operators import timeseries as TS
 from tidewatch.operators import scoring as SCR
@@ -28,9 +29,10 @@ from tidewatch.session import materialize, scratch_path
 from tidewatch.sources import archive as AR
 from tidewatch.sources import publish as PB
 from tidewatch.sources import testbind as TB
+from tidewatch.sources import versions as V
 from tidewatch.sources.districts import DISTRICT_COUNT, districts
 from tidewatch.streaming import ingest as ST
-from tidewatch.streaming.scoring import publish_latest_scores, score_weather_stream
+from tidewatch.streaming.scoring import publish_latest_scores, publish_model_scores, read_model_scores, score_weather_stream
 
 # (topic, key, value) records as read back from a JSON topic sink
 _TOPIC_RECORD = T.StructType([T.StructField("topic", T.StringType()),
@@ -818,17 +820,21 @@ _MODELS: dict = {}
 
 
 def trained_forest(spark, sf_dir):
-    """M3 + M7: fit the forest on the chronological training dates, save the
-    pipeline under the shared folder and load it back.  Queries of one session
-    share the fit while the training rows stay the same."""
+    return _forest(spark, sf_dir)[0]
+
+
+def _forest(spark, sf_dir):
+    """M3 + M7: fit the forest on the chronological training dates, publish the
+    pipeline under the shared folder and load it back: (model, model folder).
+    Queries of one session share the fit while the training rows stay the same."""
     split = materialize(TS.chronological_split(matrix(spark, sf_dir)))
     rows = split.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*sorted(split.columns)).cast("decimal(38,0)"))).first()
     key = (spark.sparkContext.applicationId, tuple(rows))
     if key not in _MODELS:
         model = TR.fit_forest(split.where(F.col("role") == "train").drop("role"))
         path = scratch_path(spark, "forest")
-        TR.save_model(model, path)
-        _MODELS[key] = TR.load_model(path)
+        version = TR.publish_model(spark, model, path)
+        _MODELS[key] = TR.load_model(f"{path}/v={version}"), path
     return _MODELS[key]
 
 
@@ -839,8 +845,8 @@ def rf_scores(spark, sf_dir):
     split = TS.chronological_split(matrix(spark, sf_dir))
     test = split.where(F.col("role") == "test").drop("role")
     scored = TR.model_probability(trained_forest(spark, sf_dir), test)
-    cut = rf_threshold(spark, sf_dir).first()["threshold"]
-    out = EV.predict(scored.withColumn("p", F.col("model_prob") / 100.0), threshold=cut, score="p")
+    cut = rf_threshold(spark, sf_dir).select(F.col("threshold").alias("_cut"))  # one row
+    out = scored.join(F.broadcast(cut)).withColumn("pred", (F.col("model_prob") / 100.0 >= F.col("_cut")).cast("int"))
     return out.select(_day(), "district", "label", "model_prob", "pred")
 
 
@@ -876,6 +882,61 @@ def model_dashboard_scores(spark, sf_dir):
     return SCR.dashboard_result(risk)
 
 
+@register("forest_table_scores")
+def forest_table_scores(spark, sf_dir):
+    """The saved forest read as a node table and walked for every
+    scenario and district, without the model object."""
+    path = V.current_path(spark, _forest(spark, sf_dir)[1])
+    rows = TR.live_features(spark, event_scenarios(spark, sf_dir))
+    return FR.forest_probability(rows, ["scenario_id", "district"], TR.FEATURES, FR.read_nodes(spark, path), FR.max_depth(spark, path))
+
+
+@register("forest_agreement", "SELECT count(*) * 15 AS scored, 0::BIGINT AS differing FROM events")
+def forest_agreement(spark, sf_dir):
+    """M2: rows that the node table and the model score differently (by more
+    than 1e-10 of a percent), over all scenarios and districts."""
+    keys = ["scenario_id", "district"]
+    rows = TR.live_features(spark, event_scenarios(spark, sf_dir))
+    model = TR.model_probability(trained_forest(spark, sf_dir), rows).select(*keys, F.col("model_prob").alias("other"))
+    both = forest_table_scores(spark, sf_dir).join(model, keys, "full")
+    same = F.coalesce(F.abs(F.col("model_prob") - F.col("other")) <= F.lit(1e-10), F.lit(False))
+    return both.agg(F.count(F.lit(1)).alias("scored"), F.count_if(~same).alias("differing"))
+
+
+@register("forest_table_importance")
+def forest_table_importance(spark, sf_dir):
+    """M5 from the node table (12 rows)."""
+    path = V.current_path(spark, _forest(spark, sf_dir)[1])
+    return FR.forest_importance(FR.read_nodes(spark, path), TR.FEATURES)
+
+
+def _stream_model_scores(spark, sf_dir) -> DataFrame:
+    weather = TB.events_to_weather(_stream_of(spark, sf_dir, "events"))
+    out, ck = scratch_path(spark, "model-scores"), scratch_path(spark, "model-scores-ck")
+    ST.run_to_end(publish_model_scores(spark, weather, _forest(spark, sf_dir)[1], out, ck, month_col="month",
+                                       partitions=spark.sparkContext.defaultParallelism))
+    return read_model_scores(spark, out).drop("v", "model_version")
+
+
+@register("stream_model_scores")
+def stream_model_scores(spark, sf_dir):
+    """Every streamed weather event scored with the classifier of a
+    versioned model folder."""
+    return _stream_model_scores(spark, sf_dir)
+
+
+@register("stream_model_agreement", "SELECT count(*) * 15 AS scored, 0::BIGINT AS differing FROM events")
+def stream_model_agreement(spark, sf_dir):
+    """Rows of the stream's scores that the batch job lacks."""
+    stream, batch = _stream_model_scores(spark, sf_dir), model_dashboard_scores(spark, sf_dir)
+    batch = batch.withColumn("_batch", F.lit(True))
+    same = F.lit(True)
+    for c in stream.columns:
+        same &= stream[c].eqNullSafe(batch[c])
+    both = stream.join(batch, (stream["scenario_id"] == batch["scenario_id"]) & (stream["Kecamatan"] == batch["Kecamatan"]), "full")
+    return both.agg(F.count(F.lit(1)).alias("scored"), F.count_if(~same).alias("differing"))
+
+
 # ------------------------------------------------ archive scan and publish ---
 
 _WEATHER_COLS = ["timestamp", "suhu_c", "kelembaban_pct", "curah_hujan_mm", "kecepatan_angin_ms", "lokasi"]

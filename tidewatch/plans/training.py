@@ -20,6 +20,7 @@ from tidewatch.operators import hydrology as H
 from tidewatch.operators import timeseries as TS
 from tidewatch.operators.joins import attach_dimension
 from tidewatch.sources.districts import DISTRICT_COUNT, districts
+from tidewatch.sources.versions import commit_version
 
 # ---- fixed values: model feature order of the reference --------------------
 FEATURES = ["curah_hujan_mm", "curah_hujan_3hari", "kelembaban_pct", "suhu_c",
@@ -136,6 +137,12 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def publish_model(spark: SparkSession, model: PipelineModel, path: str, keep: int = 4) -> int:
+    """M7: save the pipeline as the next version of a model folder; readers
+    (``versions.committed``) see it once it is whole."""
+    return commit_version(spark, path, lambda to: save_model(model, to), keep=keep)
+
+
 def live_features(spark: SparkSession, scenarios: DataFrame) -> DataFrame:
     """P10 for scoring: the 12 ordered features of every scenario and district."""
     from tidewatch.operators import scoring

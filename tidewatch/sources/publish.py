@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from tidewatch import schemas as S
 from tidewatch.functions.text import dataset_of_topic, link_hash
+from tidewatch.sources.versions import commit_version, current_path
 
 # ---- fixed values: message keys of the reference ---------------------------
 WEATHER_KEY = "SBY"
@@ -80,24 +81,28 @@ def write_archive(records: DataFrame, path: str, fmt: str = "json") -> None:
 
 
 def write_results(result: DataFrame, path: str) -> None:
-    """Replace the result table as JSON lines."""
-    result.write.mode("overwrite").json(path)
+    """Replace the result table, JSON lines.  The new table is written
+    beside the published one and becomes it by one commit; ``read_results``
+    follows the commits."""
+    commit_version(result.sparkSession, path, lambda to: result.write.json(to))
 
 
 def read_results(spark: SparkSession, path: str, keep: str = "") -> DataFrame:
     """``keep``: DDL of key columns written before the result's own."""
     schema = T.StructType((T.StructType.fromDDL(keep).fields if keep else []) + S.BATCH_RESULT.fields)
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).json(current_path(spark, path))
 
 
 def write_documents(docs: DataFrame, path: str, doc_col: str = "document", key: str | None = None) -> None:
-    """One JSON document per line (per scenario); with ``key`` that
-    column becomes a first field of the document."""
+    """One JSON document per line (per scenario), replaced as in
+    ``write_results``; with ``key`` that column becomes a first field of the
+    document."""
     doc = F.struct(F.col(key), F.col(f"{doc_col}.*")) if key else F.col(doc_col)
-    docs.select(F.to_json(doc).alias("value")).write.mode("overwrite").text(path)
+    lines = docs.select(F.to_json(doc).alias("value"))
+    commit_version(docs.sparkSession, path, lambda to: lines.write.text(to))
 
 
 def read_documents(spark: SparkSession, path: str, keep: str = "") -> DataFrame:
     """Documents read back with their schema (``keep``: DDL of the key)."""
     schema = T.StructType((T.StructType.fromDDL(keep).fields if keep else []) + S.RESULT_DOCUMENT.fields)
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).json(current_path(spark, path))
