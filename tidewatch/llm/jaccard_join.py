@@ -54,7 +54,7 @@ PACK = 128
 #: signatures that a task collects before it sorts and sends them
 FLUSH = 600_000
 #: signatures of a hash shard
-SHARD = 4_000_000
+SHARD = 1_000_000
 #: rows of a table small enough to broadcast (two longs a row)
 BROADCAST_ROWS = 500_000
 
@@ -349,8 +349,9 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     the intermediate ones are removed.
     """
     _, size = text_size(docs, text)
-    # some four million signatures a shard, of about a quarter as many as words
-    shards = max(8, ceil(size / 6 / 4 / SHARD))
+    # a set sends a signature for each class of two bands, some 2.5 times the
+    # shingles in which linked sets of its size may differ
+    shards = max(8, ceil(size / 6 * 2.5 * (den - num) / num / SHARD))
     base = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     with Scratch(docs.sparkSession) as scratch:
         return stored(_components(base, k, num, den, shards, doc_id, scratch.stored), "linked")
