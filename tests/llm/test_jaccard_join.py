@@ -52,6 +52,17 @@ def test_edited_copies(spark, monkeypatch, k, num, family, here):
     assert len({c for _, c in got.values()}) > 20
 
 
+def test_large_unlinked_family_ends(spark, monkeypatch):
+    """Texts that share a passage but do not link, in blocks of few pivots:
+    every round takes new ones until none is left."""
+    for name, value in (("FAMILY", 20), ("FIRST_BLOCK", 4), ("LARGEST_BLOCK", 4), ("COMMON", 0)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    rng = random.Random(3)
+    shared = [f"s{i}" for i in range(40)]
+    rows = [(i, " ".join(shared + [f"w{rng.randrange(10**6)}" for _ in range(8)])) for i in range(60)]
+    check(spark.createDataFrame(rows, "doc_id long, text string"), rows, k=3, num=90, den=100)
+
+
 def test_region_links_are_all_pairs():
     rng = np.random.default_rng(1)
     base = [rng.choice(500, 60, replace=False) for _ in range(6)]

@@ -55,6 +55,8 @@ PACK = 128
 FLUSH = 600_000
 #: signatures of a hash shard
 SHARD = 1_000_000
+#: classes of copies with more than this share of all rows are broadcast
+HOT_SHARE = 1000
 #: rows of a table small enough to broadcast (two longs a row)
 BROADCAST_ROWS = 500_000
 
@@ -364,12 +366,16 @@ def _components(base: DataFrame, k: int, num: int, den: int, shards: int, doc_id
     found = store(base.mapInArrow(task, ddl), "shingles")
     rows = found.where("kind = 0").select("id", "n", "fp0", "fp1")
 
-    # exact copies of a set: the smallest id stands for the class
-    lead = rows.where("n > 0 and id is not null").groupBy("fp0", "fp1").agg(
-        F.min("id").alias("rep"), F.max("id").alias("last"))
-    member = rows.where("n > 0 and id is not null").join(
-        lead.where("rep <> last").drop("last"), ["fp0", "fp1"]).select("id", "rep").distinct()
-    member = store(member, "copies")
+    # exact copies of a set: the smallest id stands for the class.  Classes of
+    # more than a thousandth of the rows, so at most a thousand, are broadcast
+    known = rows.where("n > 0 and id is not null").select("id", "fp0", "fp1")
+    lead = known.groupBy("fp0", "fp1").agg(F.min("id").alias("rep"), F.max("id").alias("last"), F.count(F.lit(1)).alias("m"))
+    lead = store(lead.where("rep <> last").drop("last"), "classes")
+    many = F.col("m") > known.count() / HOT_SHARE
+    hot, fp = F.broadcast(lead.where(many).drop("m")), ["fp0", "fp1"]
+    member = known.join(hot, fp).unionByName(
+        known.join(hot.select(fp), fp, "left_anti").join(lead.where(~many).drop("m"), fp))
+    member = store(member.select("id", "rep").distinct(), "copies")
 
     # candidate families
     pair_ddl, pair = "a long, b long", _arrow("a long, b long")
@@ -483,7 +489,7 @@ def _large_links(members: DataFrame, k: int, num: int, den: int, store) -> DataF
             b.append(root)
         return pa.Table.from_arrays([pa.array(x) for x in roots(np.concatenate(a), np.concatenate(b))], schema=pair)
 
-    links, done, width = None, None, FIRST_BLOCK
+    links, done, width, round_ = None, None, FIRST_BLOCK, 0
     while True:
         open_ = who
         if links is not None:   # documents outside the largest component of their family
@@ -497,8 +503,11 @@ def _large_links(members: DataFrame, k: int, num: int, den: int, store) -> DataF
         if not count.head(1):
             return links
         # about `width` pivots of each family: a cut by hash, so that no task
-        # sorts a family; they travel in packs
-        hash_ = F.pmod(F.xxhash64("id", F.lit(width)), F.lit(1 << 30))
+        # sorts a family; they travel in packs.  Each round has hashes of its
+        # own: with the hashes of the round before, all that are open would lie
+        # above the cut
+        round_ += 1
+        hash_ = F.pmod(F.xxhash64("id", F.lit(round_)), F.lit(1 << 30))
         packs = F.ceil(F.least(F.col("n"), F.lit(width)) / PACK).cast("int")
         pivots = store(open_.join(count, "family").where(hash_ * F.col("n") <= F.lit(width << 30))
                         .select("id", "family", F.pmod(F.xxhash64("id"), packs).cast("int").alias("pack")), "pivots")
