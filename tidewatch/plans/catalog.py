@@ -32,6 +32,8 @@ from tidewatch.sources import testbind as TB
 from tidewatch.sources import versions as V
 from tidewatch.sources.districts import DISTRICT_COUNT, districts
 from tidewatch.streaming import ingest as ST
+from tidewatch.streaming import rain as SR
+from tidewatch.streaming import reports as RP
 from tidewatch.streaming.scoring import publish_latest_scores, publish_model_scores, read_model_scores, score_weather_stream
 
 # (topic, key, value) records as read back from a JSON topic sink
@@ -814,6 +816,39 @@ def stream_latest_scores(spark, sf_dir):
     return PB.read_results(spark, f"{out}/results/v={newest}")
 
 
+#: parts that a replayed history arrives in, in order
+_REPLAY_ARRIVALS = 8
+
+
+@register("stream_rain_3day", f"""
+SELECT location, {_sday()}, rain_mm, rain_3day_mm, confirmed, flood FROM ({Q.LABELLED}) l
+WHERE date <= (SELECT max(date) FROM ({Q.DAILY}) d) - INTERVAL 3 DAY""")
+def stream_rain_3day(spark, sf_dir):
+    """W2, J5, H23 on a stream: the station's days arrive in date order, a few
+    files a trigger; closed windows (here all but the last three days, as rain
+    may be two days late) with their 3-day total and flood label."""
+    feed, out, ck = (scratch_path(spark, x) for x in ("rain-feed", "rain", "rain-ck"))
+    daily = TB.daily_weather(spark, sf_dir)
+    TB.write_replay(daily, feed, "date", _REPLAY_ARRIVALS)
+    stream = ST.files_stream(spark, feed, daily.schema, max_files_per_trigger=3)
+    days = SR.labelled_stream(stream, TB.confirmed_flood_dates(spark, sf_dir), TB.FLOOD_DATE_COUNT)
+    ST.run_to_end(ST.start(days, sink="parquet", path=out, checkpoint=ck))
+    return spark.read.parquet(out).select("location", _day(), "rain_mm", "rain_3day_mm", "confirmed", "flood")
+
+
+@register("stream_new_reports", ORACLE["feed_new_only"])
+def stream_new_reports(spark, sf_dir):
+    """E2, O6, T6, J3, P3 as one stream: replayed polls, first five items of
+    each, links not seen before (keyed state that expires by age)."""
+    feed, out, ck = (scratch_path(spark, x) for x in ("polls", "reports", "reports-ck"))
+    TB.write_replay(RP.polls_of(TB.feed_items(spark, sf_dir)), feed, "poll_id", _REPLAY_ARRIVALS)
+    polls = ST.files_stream(spark, feed, RP.POLL, max_files_per_trigger=3)
+    new = RP.new_reports_stream(polls, max_age_s=400 * 86400)
+    ST.run_to_end(RP.with_rocksdb(spark, lambda: ST.start(new, sink="parquet", path=out, checkpoint=ck)))
+    rows = spark.read.schema(RP.OUT).parquet(out).withColumn("polled_at", F.col("polled_at").cast("timestamp_ntz"))
+    return _report_events(rows.drop("link_md5"))
+
+
 # ----------------------------------------------------------- Spark ML model ---
 
 _MODELS: dict = {}

@@ -257,3 +257,14 @@ def rain_month_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("rain") * 3).cast("double").alias("rain_3day_mm"),
         F.lit(0.0).alias("sunshine_h"),
     )
+
+
+def write_replay(df: DataFrame, path: str, order_col: str, arrivals: int) -> None:
+    """Write a history as so many arrivals in the order of a column, one after
+    the other: a file stream takes files by their modification time, and the
+    files of one write have no order."""
+    parts = f"{path}-parts"
+    df.repartitionByRange(arrivals, order_col).withColumn("_arrival", F.spark_partition_id()).write.partitionBy("_arrival").parquet(parts)
+    stored = df.sparkSession.read.parquet(parts)
+    for i in range(arrivals):
+        stored.where(F.col("_arrival") == i).drop("_arrival").write.mode("append").parquet(path)
