@@ -54,9 +54,7 @@ PACK = 128
 #: signatures that a task collects before it sorts and sends them
 FLUSH = 600_000
 #: signatures of a hash shard
-SHARD = 1_000_000
-#: shards that a task works off
-LOT = 4
+SHARD = 4_000_000
 #: classes of copies with more than this share of all rows are broadcast
 HOT_SHARE = 1000
 #: rows of a table small enough to broadcast (two longs a row)
@@ -392,11 +390,7 @@ def _components(base: DataFrame, k: int, num: int, den: int, shards: int, doc_id
                 yield pa.RecordBatch.from_arrays([pa.array(A.unpack(r["sigs"], r["size"], np.int64)),
                                                   pa.array(A.unpack(r["ids"], r["size"], np.int64))], schema=pair)
 
-    # some shards to a task, one after the other, whose stars are contracted
-    # together: a task holds one shard, and a document has a link a lot
-    lots = min(shards, max(8, ceil(shards / LOT)))
-    dealt = found.where("kind = 1").select((F.col("shard") % lots).alias("lot"), "shard", "size", "sigs", "ids").repartition(lots, "lot")
-    near = dealt.groupBy("lot", "shard").applyInArrow(stars, pair_ddl) \
+    near = found.where("kind = 1").select("shard", "size", "sigs", "ids").groupBy("shard").applyInArrow(stars, pair_ddl) \
         .union(found.where("kind = 2").select("size", "sigs", "ids").mapInArrow(here, pair_ddl))
     same = member.select(F.col("id").alias("a"), F.col("rep").alias("b"))
     family = connected_components(near.union(same), store)
