@@ -8,6 +8,7 @@ Queries without an oracle entry get the driver's weaker rows-only check.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from tidewatch.plans import sqlparts as Q
 from tidewatch.plans import training as TR
 from tidewatch.session import materialize, scratch_path
 from tidewatch.sources import archive as AR
+from tidewatch.sources import dated as DA
 from tidewatch.sources import publish as PB
 from tidewatch.sources import testbind as TB
 from tidewatch.sources import versions as V
@@ -760,6 +762,56 @@ def stream_archive(spark, sf_dir):
     return spark.read.parquet(out).select("event_id", "topic", "dataset", "key")
 
 
+def _dated_archive(spark, sf_dir) -> tuple[str, T.StructType]:
+    """The event records archived by dataset and day in several micro-batches,
+    then compacted."""
+    replay, out, ck = (scratch_path(spark, n) for n in ("dated-replay", "dated", "dated-ck"))
+    records = _event_records(spark, sf_dir)
+    TB.write_replay(records, replay, "key", 4)
+    stream = ST.files_stream(spark, replay, records.schema, max_files_per_trigger=1)
+    ST.run_to_end(DA.archive_stream(stream, out, ck))
+    DA.compact(spark, out, records.schema)
+    return out, records.schema
+
+
+@register("dated_archive", """
+SELECT event_id, 'tidewatch-' || event_type AS topic, event_type AS dataset,
+       strftime(ts, '%Y-%m-%d') AS "day", CAST(event_id AS VARCHAR) AS key
+FROM events""")
+def dated_archive(spark, sf_dir):
+    """A stream archived by dataset and day, compacted under a commit
+    manifest, read back."""
+    out, schema = _dated_archive(spark, sf_dir)
+    return DA.read(spark, out, schema).select("event_id", "topic", "dataset", "day", "key")
+
+
+@register("dated_archive_latest", """
+SELECT event_type AS dataset, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS event_time,
+       CAST(arg_max(event_id, ts) AS VARCHAR) AS key
+FROM events GROUP BY event_type""")
+def dated_archive_latest(spark, sf_dir):
+    """O1: the newest record of every dataset, from the files of its newest day."""
+    out, schema = _dated_archive(spark, sf_dir)
+    names = sorted({DA._place(u)[0] for u in DA.manifest(spark, out)[1]["units"]})
+    rows = [DA.latest(spark, out, schema, n) for n in names]
+    every = reduce(DataFrame.unionByName, rows) if rows else DA.read(spark, out, schema)
+    return every.select("dataset", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_time"), "key")
+
+
+@register("report_snapshot", f"""
+SELECT pkey, created_at, source, status, flood_depth, kecamatan, text, lon, lat
+FROM ({ORACLE['report_flatten']}) r
+WHERE doc_id IN (SELECT max(doc_id) FROM documents GROUP BY source)""")
+def report_snapshot(spark, sf_dir):
+    """The newest nested report document of every source, published as a file
+    of multi-line JSON, read back by the tolerant snapshot reader and flattened."""
+    path = scratch_path(spark, "report-snapshot")
+    newest = TB.table(spark, sf_dir, "documents").groupBy("source").agg(F.max("doc_id").alias("doc_id"))
+    docs = AR.parse_report_documents(TB.report_documents(spark, sf_dir).join(newest, "doc_id"), "json")
+    PB.write_snapshots(docs.select(F.col("source").alias("dataset"), F.to_json("doc", {"pretty": "true"}).alias("value")), path)
+    return ingest.flatten_reports(AR.read_report_snapshot(spark, path))
+
+
 @register("stream_snapshot", ORACLE["latest_per_topic"])
 def stream_snapshot(spark, sf_dir):
     """Newest record per topic kept by an idempotent foreachBatch sink."""
