@@ -18,7 +18,7 @@ from tidewatch import schemas as S
 from tidewatch.operators import evaluation as EV
 from tidewatch.operators import feed as FD
 from tidewatch.operators import forest as FR
-from tidewatch.operators import ingest, kpi, ranking, report
+from tidewatch.operators import ingest, kpi, ranking, rejects, report
 from tidewatch.operators import timeseries as TS
 from tidewatch.operators import scoring as SCR
 from tidewatch.operators.hydrology import BATCH, DASHBOARD
@@ -30,10 +30,12 @@ from tidewatch.session import materialize, scratch_path
 from tidewatch.sources import archive as AR
 from tidewatch.sources import dated as DA
 from tidewatch.sources import publish as PB
+from tidewatch.sources import seen as SN
 from tidewatch.sources import testbind as TB
 from tidewatch.sources import versions as V
 from tidewatch.sources.districts import DISTRICT_COUNT, districts
 from tidewatch.streaming import ingest as ST
+from tidewatch.streaming import latest as SL
 from tidewatch.streaming import rain as SR
 from tidewatch.streaming import reports as RP
 from tidewatch.streaming.scoring import publish_latest_scores, publish_model_scores, read_model_scores, score_weather_stream
@@ -868,6 +870,8 @@ def stream_latest_scores(spark, sf_dir):
     return PB.read_results(spark, f"{out}/results/v={newest}")
 
 
+#: buckets of the table of seen links
+SHUFFLE_BUCKETS = 16
 #: parts that a replayed history arrives in, in order
 _REPLAY_ARRIVALS = 8
 
@@ -901,6 +905,48 @@ def stream_new_reports(spark, sf_dir):
     return _report_events(rows.drop("link_md5"))
 
 
+@register("stream_latest_state", ORACLE["latest_per_topic"])
+def stream_latest_state(spark, sf_dir):
+    """Newest record per topic in the state store, records arriving out of
+    order in several batches, upserted into the published table."""
+    feed, out, ck = (scratch_path(spark, x) for x in ("latest-feed", "latest", "latest-ck"))
+    records = _event_records(spark, sf_dir)
+    TB.write_replay(records, feed, "key", _REPLAY_ARRIVALS)
+    stream = ST.files_stream(spark, feed, records.schema, max_files_per_trigger=3)
+    ST.run_to_end(RP.with_rocksdb(spark, lambda: SL.publish_latest(stream, out, ck, order_col="ts")))
+    return SL.read_latest(spark, out).select(
+        "topic", "dataset", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_time"), "key")
+
+
+@register("stream_reject_counts", """
+SELECT count(*) AS n_read,
+       count(*) FILTER (WHERE event_type <> 'error' AND event_id % 7 <> 0 AND value IS NOT NULL) AS n_ok,
+       count(*) FILTER (WHERE event_type = 'error') AS n_status,
+       count(*) FILTER (WHERE false) AS n_body,
+       count(*) FILTER (WHERE event_type <> 'error' AND (event_id % 7 = 0 OR value IS NULL)) AS n_rain
+FROM events""")
+def stream_reject_counts(spark, sf_dir):
+    """Streamed API responses stored by outcome and counted in the
+    same pass, the counts kept with the batch id and added up."""
+    feed, out, ck = (scratch_path(spark, x) for x in ("raw-feed", "judged", "judged-ck"))
+    raw = TB.raw_weather_responses(spark, sf_dir)
+    TB.write_replay(raw, feed, "event_id", _REPLAY_ARRIVALS)
+    ST.run_to_end(rejects.store_stream(ST.files_stream(spark, feed, raw.schema, max_files_per_trigger=3), out, ck))
+    return rejects.read_counts(spark, out).agg(*[F.sum(c).alias(c) for c in rejects.COUNTS])
+
+
+@register("feed_exclude_bucketed", ORACLE["feed_exclude_published"])
+def feed_exclude_bucketed(spark, sf_dir):
+    """J3 against an archive of seen links that is bucketed by the link's hash:
+    only the new items are shuffled."""
+    items = TB.feed_items(spark, sf_dir)
+    half = items.agg(F.expr("(max(poll_id) + 1) div 2").alias("half"))
+    early = items.join(F.broadcast(half), F.col("poll_id") < F.col("half"), "left_semi")
+    seen = SN.create(spark, scratch_path(spark, "seen"), buckets=SHUFFLE_BUCKETS)
+    SN.add(FD.new_reports(early), seen)
+    return _report_events(SN.unseen(FD.new_reports(items), seen))
+
+
 # ----------------------------------------------------------- Spark ML model ---
 
 _MODELS: dict = {}
