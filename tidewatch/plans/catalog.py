@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch import schemas as S
+from tidewatch.operators import drift
 from tidewatch.operators import evaluation as EV
 from tidewatch.operators import feed as FD
 from tidewatch.operators import forest as FR
@@ -482,6 +483,23 @@ def report_flatten(spark, sf_dir):
     return ingest.flatten_reports(docs.drop("json"), doc_col="doc")
 
 
+@register("report_variant", ORACLE["report_flatten"])
+def report_variant(spark, sf_dir):
+    """Report documents as VARIANT, every field read by its path."""
+    return drift.flatten(drift.reports(TB.report_documents(spark, sf_dir)))
+
+
+@register("report_field_types", f"""
+SELECT field, type, count(*) AS n
+FROM ({ORACLE['report_flatten']}) r, (VALUES ('pkey', 'STRING'), ('created_at', 'STRING'), ('source', 'STRING'),
+  ('status', 'STRING'), ('tags', 'OBJECT'), ('text', 'STRING'), ('tags.flood_depth', 'BIGINT'),
+  ('tags.kecamatan', 'STRING')) f(field, type)
+WHERE field <> 'source' OR source IS NOT NULL GROUP BY field, type""")
+def report_field_types(spark, sf_dir):
+    """The fields and types that reports hold, by exploded VARIANTs."""
+    return drift.field_types(drift.reports(TB.report_documents(spark, sf_dir)))
+
+
 _DOC_SQL = f"""
 SELECT scenario_id, CAST(row_number() OVER (PARTITION BY scenario_id ORDER BY probability_r1 DESC, district) AS INTEGER) AS position,
   observed_text AS waktu, rain_mm AS curah_hujan, temp_c AS suhu, wind_ms AS angin,
