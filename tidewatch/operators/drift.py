@@ -33,23 +33,16 @@ def flatten(rows: DataFrame, report_col: str = "report") -> DataFrame:
     return rows.select(*keep, *[F.try_variant_get(F.col(report_col), path, kind).alias(name) for name, path, kind in FIELDS])
 
 
-def _members(rows: DataFrame, value: Column, prefix: Column) -> DataFrame:
-    """(field, value) of every member of an object."""
-    session = rows.sparkSession
-    own = rows.select(value.alias("__object"), prefix.alias("__prefix"))
-    each = own.lateralJoin(session.tvf.variant_explode(F.col("__object").outer()))
-    return each.where("key is not null").select(F.concat("__prefix", "key").alias("field"), "value")
-
-
 def field_types(rows: DataFrame, report_col: str = "report") -> DataFrame:
     """(field, type, n): how many reports hold a property, or a tag, with a value of
-    a type.  Objects count as such and their members one by one; counts are
-    pre-aggregated in each task."""
-    def typed(members: DataFrame) -> DataFrame:
-        kind = F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0)
-        return members.select("field", kind.alias("type"))
-
-    properties = F.try_variant_get(F.col(report_col), "$.properties", "variant")
-    tags = F.try_variant_get(F.col(report_col), "$.properties.tags", "variant")
-    both = typed(_members(rows, properties, F.lit(""))).unionAll(typed(_members(rows, tags, F.lit("tags."))))
-    return both.groupBy("field", "type").agg(F.count(F.lit(1)).alias("n"))
+    a type.  Objects count as such and their members one by one; one pass, counts
+    are pre-aggregated in each task."""
+    def members(path: str, prefix: str) -> Column:
+        return F.struct(F.lit(prefix).alias("prefix"), F.try_variant_get(F.col(report_col), path, "variant").alias("object"))
+
+    both = F.array(members("$.properties", ""), members("$.properties.tags", "tags."))
+    each = rows.select(F.explode(both).alias("m")).select("m.prefix", "m.object")
+    each = each.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col("object").outer())).where("key is not null")
+    return each.select(F.concat("prefix", "key").alias("field"),
+                       F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0).alias("type")) \
+        .groupBy("field", "type").agg(F.count(F.lit(1)).alias("n"))
