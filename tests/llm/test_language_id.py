@@ -67,3 +67,14 @@ def test_empty_tables(spark):
     assert L.identify(none, model(spark)).collect() == []
     df = spark.createDataFrame([("abc",)], "text string")
     assert [(r.lang_pred, r.score) for r in L.identify(df, m).collect()] == [("und", 0.0)]
+
+
+def test_more_languages_than_a_model_holds(spark, monkeypatch):
+    monkeypatch.setattr(L, "MAX_LANGUAGES", 4)
+    rows = [(f"l{i:02d}", " ".join(chr(97 + i) * 3 + chr(97 + (i + j) % 26) for j in range(5 + i))) for i in range(12)]
+    df = spark.createDataFrame(rows + [("l00", None), (None, "zzz")], "lang string, text string")
+    model = L.learn(df)
+    assert model.langs == ["l08", "l09", "l10", "l11"] and model.left_out == 8
+    got = {r.text: r.lang_pred for r in L.identify(df.select("text"), model).collect()}
+    assert all(got[t] == n for n, t in rows if n in model.langs) and set(got.values()) <= {*model.langs, "und"}
+    assert L.learn(df.where("lang > 'l08'")).left_out == 0

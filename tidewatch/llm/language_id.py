@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidewatch.llm import arrays as A
+from tidewatch.llm.frames import stored
 from tidewatch.llm.repeats import _arrow
 
 BUCKETS = 1 << 16
@@ -114,10 +115,11 @@ def _blocks(texts: list):
 
 
 class Model:
-    """langs; score[bucket, lang]: log-probability of a trigram; usable[script, lang]."""
+    """langs; score[bucket, lang]: log-probability of a trigram; usable[script, lang];
+    left_out: languages of the corpus that the model does not have."""
 
-    def __init__(self, langs: list[str], grams: np.ndarray, scripts: np.ndarray):
-        self.langs = langs
+    def __init__(self, langs: list[str], grams: np.ndarray, scripts: np.ndarray, left_out: int = 0):
+        self.langs, self.left_out = langs, left_out
         total = grams.sum(axis=0) + SMOOTH * BUCKETS
         self.score = np.log((grams + SMOOTH) / total).astype(np.float32) if langs else grams.astype(np.float32)
         share = scripts / np.maximum(scripts.sum(axis=0), 1)
@@ -126,7 +128,9 @@ class Model:
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
-    """Model of all rows with text and lang.  No rows give a model without languages."""
+    """Model of all rows with text and lang.  No rows give a model without languages.
+    Beyond MAX_LANGUAGES values of lang, as in a column of junk, the model has the
+    ones with most letters (ties: first by name) and says how many it left out."""
     base = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     ddl = "lang string, bucket int, n long"
@@ -155,13 +159,18 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     total = base.mapInArrow(count, ddl).groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     # at most BUCKETS + N_SCRIPTS rows a language reach the driver
     names = sorted(r[0] for r in base.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
+    left_out = 0
     if len(names) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+        total = stored(total, "grams")
+        size = total.groupBy("lang").agg(F.sum("n").alias("n"))
+        names = sorted(r[0] for r in size.orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect())
+        left_out = base.select("lang").distinct().count() - len(names)
+        total = total.join(F.broadcast(base.sparkSession.createDataFrame([(n,) for n in names], "lang string")), "lang", "left_semi")
     got = total.toArrow()
     full = np.zeros((BUCKETS + N_SCRIPTS, len(names)))
     col = {n: i for i, n in enumerate(names)}
     full[got.column("bucket").to_numpy(), [col[x] for x in got.column("lang").to_pylist()]] = got.column("n").to_numpy()
-    return Model(names, full[:BUCKETS], full[BUCKETS:])
+    return Model(names, full[:BUCKETS], full[BUCKETS:], left_out)
 
 
 def viterbi(score: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
