@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.operators import forest as FR
+from tidewatch.operators import timeseries as TS
 from tidewatch.plans import catalog as C
 from tidewatch.plans import scoring_plans as SP
 from tidewatch.plans import training as TR
@@ -96,3 +97,10 @@ def test_stream_swaps_models_between_batches(spark, tmp_path, forests):
     for f in ("commits/1", "commits/.1.crc"):
         (tmp_path / "ck" / f).unlink(missing_ok=True)
     assert sorted(map(str, run().collect())) == before
+
+
+def test_folds_fitted_at_once_equal_folds_fitted_in_turn(spark):
+    folds = TS.time_series_folds(C.matrix(spark, SF)).cache()
+    one, five = (sorted(map(tuple, TR.cv_test_scores(folds, parallel=n, num_trees=3, max_depth=3).collect())) for n in (1, 5))
+    assert one == five and {r[0] for r in one} == {1, 2, 3, 4, 5}
+    folds.unpersist()

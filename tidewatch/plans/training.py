@@ -8,6 +8,10 @@ assembly, forest), trained and scored as distributed jobs.
 
 from __future__ import annotations
 
+from functools import reduce
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -84,18 +88,23 @@ def fold_metrics(matrix: DataFrame, folds: int = TS.CV_FOLDS,
         .select("fold", "auc", "accuracy", "f1")
 
 
-def cv_test_scores(folds: DataFrame, n_folds: int = TS.CV_FOLDS, **kw) -> DataFrame:
+def cv_test_scores(folds: DataFrame, n_folds: int = TS.CV_FOLDS, parallel: int = TS.CV_FOLDS, **kw) -> DataFrame:
     """M4: (fold, y, score) of every fold's test rows under a forest fitted on
     that fold's training rows, with the final model's settings.  ``folds``:
-    matrix rows with tile, fold and role, stored (each fit reads it)."""
-    out = None
-    for k in range(1, n_folds + 1):
+    matrix rows with tile, fold and role, stored (each fit reads it);
+    ``parallel``: folds fitted at once, each by jobs of its own."""
+
+    def fold(k: int) -> DataFrame:
         own = folds.where(F.col("fold") == k)
         model = fit_forest(own.where(F.col("role") == "train").drop("tile", "fold", "role"), **kw)
         test = model_probability(model, own.where(F.col("role") == "test").drop("tile", "fold", "role"))
-        test = test.select(F.lit(k).alias("fold"), F.col(LABEL).alias("y"), (F.col("model_prob") / 100.0).alias("score"))
-        out = test if out is None else out.unionByName(test)
-    return out
+        return test.select(F.lit(k).alias("fold"), F.col(LABEL).alias("y"), (F.col("model_prob") / 100.0).alias("score"))
+
+    # a fit is a chain of short jobs, one a tree level: chains of several folds
+    # fill the cores that one leaves idle, and the tail of each job
+    run = inheritable_thread_target(folds.sparkSession)(fold)
+    with ThreadPool(min(n_folds, parallel)) as pool:
+        return reduce(DataFrame.unionByName, pool.map(run, range(1, n_folds + 1)))
 
 
 def forest_pipeline(num_trees: int = 100, max_depth: int = 8, seed: int = 42) -> Pipeline:
