@@ -73,3 +73,36 @@ def test_probabilities_sum_to_one(spark):
 
 def test_empty_table(spark):
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string"), RULES).collect() == []
+
+
+HARD = [(h, p, v) for h, v in (("net", "block"), ("org", "allow"), ("", "block"), ("net.", "allow"), ("x.b.net", "allow"))
+        for p in ("/", "", "/p1", "/p", "/en", "/é", "/{n}")] + RULES + [("bad.net", "/p1", "allow"), ("bad.net/p", "1", "block"), ("net", "/", "allow")]
+
+
+def test_rules_as_a_table(spark):
+    """The joined table and the expression judge alike: nested domains, many
+    paths of one domain, ties, empty hosts and trailing dots."""
+    urls = ODD + MANY + [(500, "http://net./en"), (501, "http://x.b.net/p1é"), (502, "http://b.net/é"), (503, "http://./p"), (504, "nothing"), (505, "http://a..net/p")]
+    df = spark.createDataFrame(urls, "page_id long, url string")
+    host, path = url_filter.parts(df["url"])
+    rows = df.select("page_id", host.alias("host"), path.alias("path"))
+    table = url_filter.judged_by_table(rows, url_filter.rule_table(spark, HARD))
+    rule, label = url_filter.rule_columns(rows["host"], rows["path"], HARD)
+    want = rows.withColumn("rule", rule).withColumn("label", label)
+    assert table.columns == want.columns and rows.count() == table.count()
+    assert table.exceptAll(want).collect() == [] and len({r.rule for r in table.collect()}) > 10
+
+
+def test_more_rules_than_one_expression_holds(spark):
+    """1,500 rules, a third of them on one domain, against a plain loop."""
+    rules = RULES + [("example.net", f"/en/p{i}", "block" if i % 3 else "allow") for i in range(500)] \
+        + [(f"d{i}.example.net", "/", "allow" if i % 2 else "block") for i in range(997)]
+    urls = [(i, f"http://d{i % 40}.example.net/en/p{i}/x") for i in range(60)] + [(i, f"http://www.d{i}.example.net/q") for i in range(60, 90)] + ODD
+    got = url_filter.judge(spark.createDataFrame(urls, "page_id long, url string"), rules).collect()
+    assert len(rules) > 1500 > url_filter.INLINE_RULES and len(got) == len(urls)
+    for r in got:
+        fits = [(-len(h + p), h + p, i, v) for i, (h, p, v) in enumerate(rules)
+                if (r.host == h or r.host.endswith("." + h)) and r.path.startswith(p)]
+        assert r.rule == (min(fits)[1] if fits else None)
+        assert not fits or r.verdict == min(fits)[3]
+    assert any(r.rule and r.rule.startswith("d") for r in got) and any(r.rule and "/en/p" in r.rule for r in got)

@@ -18,7 +18,9 @@ that results do not depend on the order of summation.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidewatch.llm.frames import stored
 
@@ -32,7 +34,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HELD_OUT = "012"
 
 Rule = tuple[str, str, str]     # host, path, verdict
-MAX_RULES = 1000
+#: rules up to which one expression tells the rule; more are a table
+INLINE_RULES = 200
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -43,9 +46,8 @@ def parts(url: Column) -> tuple[Column, Column]:
 
 
 def rule_columns(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, Column]:
-    """Text and verdict of the longest rule that fits (ties: first by text)."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
+    """Text and verdict of the longest rule that fits (ties: first by text,
+    then in the order given)."""
     text = verdict = None
     for h, p, v in sorted(rules, key=lambda r: (-len(r[0] + r[1]), r[0] + r[1])):
         fits = ((host == h) | host.endswith("." + h)) & path.startswith(p)
@@ -55,6 +57,40 @@ def rule_columns(host: Column, path: Column, rules: list[Rule]) -> tuple[Column,
     return (none, none) if text is None else (text, verdict)
 
 
+def rule_table(spark: SparkSession, rules: list[Rule]) -> DataFrame:
+    """The rules as rows: position, host, path, verdict."""
+    listed = json.dumps([{"position": i, "host": h, "path": p, "verdict": v} for i, (h, p, v) in enumerate(rules)])
+    kind = "array<struct<position:int,host:string,path:string,verdict:string>>"
+    return spark.range(1).select(F.inline(F.from_json(F.lit(listed), kind)))
+
+
+def judged_by_table(rows: DataFrame, rules: DataFrame) -> DataFrame:
+    """rows (with host and path) with ``rule`` and ``label`` as `rule_columns`
+    gives them, by joins, for any number of rules.
+
+    Each distinct host and path asks for its domains, one a label of the host,
+    and of each domain's rules only for the lengths of path that occur there:
+    equal domain and equal start of path is then a plain equi-join, so neither
+    many rules of one domain nor many URLs of one host meet as all pairs.
+    Rows of one host and path are one row until the verdict comes back.
+    """
+    rules = rules.select(F.col("host").alias("domain"), F.col("path").alias("start"), "verdict", "position")
+    lengths = rules.groupBy("domain").agg(F.collect_set(F.length("start")).alias("lengths"))
+    # the host, and what follows each of its dots
+    labels = F.split("host", "[.]")
+    domains = F.transform(F.sequence(F.lit(1), F.size(labels)),
+                          lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    asked = rows.select("host", "path").distinct().withColumn("domain", F.explode(domains)).join(lengths, "domain") \
+        .withColumn("size", F.explode("lengths")).where(F.length("path") >= F.col("size")) \
+        .withColumn("start", F.substring("path", F.lit(1), F.col("size")))
+    text = F.concat("domain", "start")
+    best = F.min_by(F.struct(text.alias("rule"), F.col("verdict").alias("label")),
+                    F.struct(-F.length(text), text, "position"))
+    found = asked.join(rules, ["domain", "start"]).groupBy("host", "path").agg(best.alias("best"))
+    return rows.join(found, ["host", "path"], "left") \
+        .select(*rows.columns, F.col("best.rule").alias("rule"), F.col("best.label").alias("label"))
+
+
 def _grams(urls: DataFrame) -> DataFrame:
     """One row for each character of ``s`` and its end: ORDER characters
     before it and itself."""
@@ -105,7 +141,8 @@ def judge(pages: DataFrame, rules: list[Rule], url: str = "url") -> DataFrame:
     of a nat per character) and bar; input columns of these names are replaced.
 
     A rule's verdict stands; other URLs are accepted when their score reaches
-    the bar.  URLs that rules judge are the models' training rows.  Null URLs
+    the bar.  Up to INLINE_RULES rules are one expression, more are joined as a
+    table; their number is not limited.  URLs that rules judge are the models' training rows.  Null URLs
     and those without ``://`` have an empty host and path and are scored as
     the empty string.  Repeated rows get the same verdict; without any
     labelled row every score and the bar are 0, and the verdict is allow.
@@ -114,8 +151,12 @@ def judge(pages: DataFrame, rules: list[Rule], url: str = "url") -> DataFrame:
     pages = pages.drop(*made)
     host, path = parts(F.col(url))
     rows = pages.select(F.struct(*pages.columns).alias("row"), host.alias("host"), path.alias("path"))
-    rule, label = rule_columns(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumn("rule", rule).withColumn("label", label).withColumn("s", F.concat("host", "path"))
+    if len(rules) > INLINE_RULES:
+        rows = judged_by_table(rows, rule_table(pages.sparkSession, rules))
+    else:
+        rule, label = rule_columns(F.col("host"), F.col("path"), rules)
+        rows = rows.withColumn("rule", rule).withColumn("label", label)
+    rows = rows.withColumn("s", F.concat("host", "path"))
     urls = stored(rows.groupBy("s", "label").agg(F.count(F.lit(1)).alias("n")), "urls")
 
     held = F.md5("s").substr(1, 1).isin(list(HELD_OUT))
