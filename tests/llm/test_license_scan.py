@@ -80,3 +80,32 @@ def test_short_notices_inside_long_lines(spark, model):
     assert all(len([x for x in r.licences if x.family == r.want]) <= 1 for r in got)
     plain = [(" ".join(prose[50 * i:50 * i + 150]),) for i in range(40)]
     assert sum(bool(r.licences) for r in S.scan(spark.createDataFrame(plain, "text string").coalesce(1), model).collect()) <= 2
+
+
+def test_body_paragraphs_of_every_family(spark, model):
+    """Paragraphs of the licences' bodies, alone on their line, are found."""
+    rows = [(f, f"intro line\n{t}\nlast line") for f, texts in S.BODIES.items() for t in texts]
+    got = S.scan(spark.createDataFrame(rows, "want string, text string").coalesce(1), model).collect()
+    missed = [(r.want, [x.family for x in r.licences], r.text[:60]) for r in got if r.want not in {x.family for x in r.licences}]
+    assert not missed, missed
+    # as projects wrap them: upper and lower case, comment marks
+    wrapped = [(f, "# " + t.lower().replace(", ", ",  ")) for f, t in rows]
+    got = S.scan(spark.createDataFrame([(f, t.replace("\n", " ")) for f, t in wrapped], "want string, text string").coalesce(1), model).collect()
+    assert sum(r.want in {x.family for x in r.licences} for r in got) >= len(rows) - 2
+
+
+def test_spdx_tags(spark, model):
+    cases = {"// SPDX-License-Identifier: Apache-2.0": ["Apache-2.0"], "SPDX-License-Identifier: (MIT OR GPL-2.0+)": ["GPL", "MIT"],
+             "/* spdx-license-identifier:\tGPL-2.0-only WITH Classpath-exception-2.0 */": ["GPL"], "SPDX-License-Identifier: LicenseRef-Grand": [S.UNKNOWN],
+             "SPDX-License-Identifier: NONE": [], "SPDX-License-Identifier: ": [], "SPDX-License-Identifier": [], "SPDX-License-Identifier: MIT-0": [S.UNKNOWN],
+             "SPDX-License-Identifier: BSD-3-Clause\nSPDX-License-Identifier: ISC.": ["BSD", "ISC"], "SPDX-License-Identifier: CC-BY-NC-SA-4.0": ["CC-BY-NC"]}
+    got = {r.text: r.licences for r in S.scan(spark.createDataFrame([(t,) for t in cases], "text string").coalesce(1), model).collect()}
+    for text, want in cases.items():
+        exact = [x for x in got[text] if x.probability == 1.0 and x.similarity == 1.0]
+        assert sorted({x.family for x in exact}) == want, (text, got[text])
+    tag = "one two\nthree SPDX-License-Identifier: LGPL-2.1-or-later four"
+    row = S.scan(spark.createDataFrame([(tag,)], "text string"), model).first()
+    assert [(x.family, x.start, x.end) for x in row.licences] == [("LGPL", 3, 11)]
+    # a tag at the end of one text and an identifier at the start of the next do not meet
+    p = S.Paragraphs(pa.array(["x SPDX-License-Identifier:", " MIT", None, "SPDX-License-Identifier: MIT"]))
+    assert [[x["family"] for x in found] for found in S._declared(p, 4)] == [[], [], [], ["MIT"]]

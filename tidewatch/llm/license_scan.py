@@ -17,10 +17,14 @@ reach.  A paragraph above the first bar is a candidate; it gets its family if
 it is above the second one and shares enough word pairs with a template of
 that family; else it is ``unknown`` if it shares some with any template, and
 no licence otherwise.  Scoring reads every paragraph of every text.
+
+SPDX tags (``SPDX-License-Identifier:`` and an expression) need no model: their
+identifiers are read exactly, those of no family here as ``unknown``.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -73,8 +77,50 @@ TEMPLATES = {
     "Unlicense": ["This is free and unencumbered software released into the public domain.", "Released under the Unlicense."],
     "Proprietary": ["All rights reserved.", "Copyright (c) the authors. All rights reserved. No part of this publication may be reproduced without permission."],
 }
+# Paragraphs of the licences' bodies and notices, by family.
+BODIES = {
+    "MIT": ["including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+            "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+            "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."],
+    "Apache-2.0": ["See the License for the specific language governing permissions and limitations under the License.",
+                   "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form.",
+                   "each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable (except as stated in this section) patent license to make, have made, use, offer to sell, sell, import, and otherwise transfer the Work",
+                   "You must give any other recipients of the Work or Derivative Works a copy of this License; and You must cause any modified files to carry prominent notices stating that You changed the files"],
+    "GPL": ["This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+            "The GNU General Public License is a free, copyleft license for software and other kinds of works.",
+            "The licenses for most software and other practical works are designed to take away your freedom to share and change the works. By contrast, the GNU General Public License is intended to guarantee your freedom to share and change all versions of a program",
+            "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."],
+    "LGPL": ["This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.",
+             "You should have received a copy of the GNU Lesser General Public License along with this library; if not, write to the Free Software Foundation"],
+    "AGPL": ["You should have received a copy of the GNU Affero General Public License along with this program.",
+             "The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, specifically designed to ensure cooperation with the community in the case of network server software."],
+    "BSD": ["Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+            "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+            "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
+            "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY"],
+    "MPL-2.0": ["This Source Code Form is \"Incompatible With Secondary Licenses\", as defined by the Mozilla Public License, v. 2.0.",
+                "Covered Software is provided under this License on an \"as is\" basis, without warranty of any kind, either expressed, implied, or statutory, including, without limitation, warranties that the Covered Software is free of defects, merchantable, fit for a particular purpose or non-infringing."],
+    "ISC": ["THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.",
+            "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."],
+    "CC0": ["You can copy, modify, distribute and perform the work, even for commercial purposes, all without asking permission."],
+    "Unlicense": ["Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+                  "In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain."],
+}
+TEMPLATES = {f: texts + BODIES.get(f, []) for f, texts in TEMPLATES.items()}
 FAMILIES = sorted(TEMPLATES)
 
+# SPDX identifiers (lower case) by family.
+SPDX = {
+    "MIT": r"mit", "Apache-2.0": r"apache-2\.0", "GPL": r"gpl-[123]\.0(-only|-or-later)?", "LGPL": r"lgpl-(2\.0|2\.1|3\.0)(-only|-or-later)?",
+    "AGPL": r"agpl-[13]\.0(-only|-or-later)?", "BSD": r"bsd-[1234]-clause", "MPL-2.0": r"mpl-2\.0(-no-copyleft-exception)?", "ISC": r"isc",
+    "CC-BY": r"cc-by-[0-9.]+", "CC-BY-SA": r"cc-by-sa-[0-9.]+", "CC-BY-NC": r"cc-by-nc(-sa|-nd)?-[0-9.]+", "CC0": r"cc0-1\.0", "Unlicense": r"unlicense",
+}
+SPDX_TAG = b"spdx-license-identifier:"
+SPDX_TERM = rb"\(*[a-z0-9](?:[a-z0-9.+-]*[a-z0-9+])?\)*"
+SPDX_EXPRESSION = re.compile(SPDX_TAG + rb"[ \t]*(" + SPDX_TERM + rb"(?:[ \t]+(?:and|or|with)[ \t]+" + SPDX_TERM + rb")*)")
+#: values that state no licence
+SPDX_NOTHING = {"none", "noassertion"}
+
 
 class Paragraphs:
     """Paragraphs of a block of texts: word spans and hashed n-grams."""
@@ -259,8 +305,9 @@ FOUND = "array<struct<family:string,start:int,end:int,probability:double,similar
 
 def scan(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """docs with ``licences``: for each licence paragraph its family or
-    ``unknown``, its words (from, to), probability and template similarity;
-    overlapping windows of a family are one.
+    ``unknown``, its words (from, to), probability and template similarity
+    (both 1 where an SPDX tag declares it); overlapping windows of a family are one.
+    Very long texts are read whole, window by window; an empty table stays empty.
     Null and empty texts have none; each row is judged on its own; an input
     column named licences is replaced."""
     docs = docs.drop("licences")
@@ -297,8 +344,33 @@ def _merged(found: list[dict]) -> list[dict]:
     return sorted(out, key=lambda x: (x["start"], x["end"], x["family"]))
 
 
-def _judge(p: Paragraphs, m: Model, rows: int) -> list[list]:
+def spdx_family(identifier: str) -> str:
+    """Family of an SPDX identifier (any case; a trailing + is allowed)."""
+    name = identifier.lower().removesuffix("+")
+    return next((f for f, pattern in SPDX.items() if re.fullmatch(pattern, name)), UNKNOWN)
+
+
+def _declared(p: Paragraphs, rows: int) -> list[list]:
+    """Licences that SPDX tags declare: one entry for each identifier of the
+    expression (an exception after ``with`` is none), over the tag's words."""
     out: list[list] = [[] for _ in range(rows)]
+    w, data = p.words, p.words.data.tobytes()
+    at = data.find(SPDX_TAG)
+    while at >= 0:
+        text = int(np.searchsorted(w.offs, at, "right")) - 1
+        match = SPDX_EXPRESSION.match(data, at, int(w.offs[text + 1]))
+        if match:
+            terms = match.group(1).decode().replace("(", "").replace(")", "").split()
+            names = [t for before, t in zip(["", *terms], terms) if t not in ("and", "or", "with") and before != "with"]
+            a, b = (int(x) for x in np.searchsorted(w.start, [match.start(), match.end()]) - w.first[text])
+            out[text] += [{"family": f, "start": a, "end": b, "probability": 1.0, "similarity": 1.0}
+                          for f in sorted({spdx_family(n) for n in names if n not in SPDX_NOTHING})]
+        at = data.find(SPDX_TAG, at + 1)
+    return out
+
+
+def _judge(p: Paragraphs, m: Model, rows: int) -> list[list]:
+    out = _declared(p, rows)
     prob = m.probabilities(p)
     if not len(prob):
         return out
