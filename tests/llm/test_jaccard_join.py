@@ -104,3 +104,15 @@ def test_keep_one_keeps_different_texts_of_a_doc_id(spark):
     kept = [(r.doc_id, r.text) for r in got[0]]
     want = [(7, t) for t in text if t != text[5]] + [(3, text[5]), (8, "other words " * 20), (None, text[0]), (7, None), (9, "")]
     assert sorted(kept, key=repr) == sorted(want, key=repr)
+
+
+def test_keep_one_keeps_columns_of_any_name(spark):
+    """With and without repeated ids, as each has a plan of its own."""
+    text = [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(3)]
+    for rows in ([(1, text[0]), (1, text[1]), (2, text[0]), (3, text[2])], [(1, text[0]), (2, text[0]), (3, text[2])]):
+        df = spark.createDataFrame([(d, t, d * 10, "r", "o", -1, 0.5) for d, t in rows],
+                                   "doc_id long, text string, `__row` long, row string, row_ string, component_id int, `__kept` double")
+        got = jaccard_join.keep_one(df)
+        assert got.columns == df.columns
+        want = [r for r in map(tuple, df.collect()) if r[:2] != (2, text[0])]
+        assert sorted(map(tuple, got.collect())) == sorted(want)

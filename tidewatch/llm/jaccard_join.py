@@ -410,7 +410,8 @@ def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     doc_id.  Rows equal in doc_id and text count once (kept: the row whose
     other columns have the smallest hash); rows that share a doc_id but hold
     different texts are documents of their own.  Rows without doc_id or
-    without words stay."""
+    without words stay; an empty table stays empty, texts of any length are
+    compared whole, and input columns keep their values whatever their names."""
     known = docs.where(F.col(doc_id).isNotNull())
     if not known.groupBy(doc_id).count().where("count > 1").head(1):
         return _without_linked(docs, components(docs, k, num, den, doc_id, text), doc_id).select(docs.columns)
@@ -418,9 +419,12 @@ def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     others = [c for c in docs.columns if c not in (doc_id, text)]
     hashes = [F.xxhash64(*others), F.xxhash64(F.reverse(F.to_json(F.struct(*others))))] if others else [F.lit(0)]
     one = known.groupBy(doc_id, text).agg(F.min_by(F.struct(*docs.columns), F.struct(*hashes)).alias("__kept"))
-    rows = one.select("__kept.*").orderBy(doc_id, F.xxhash64(text), text).withColumn("__row", F.monotonically_increasing_id())
+    row = "row"
+    while row in {c.lower() for c in docs.columns}:
+        row += "_"
+    rows = one.select("__kept.*").orderBy(doc_id, F.xxhash64(text), text).withColumn(row, F.monotonically_increasing_id())
     rows = stored(rows, "rows")
-    left = _without_linked(rows, components(rows, k, num, den, "__row", text), "__row").select(docs.columns)
+    left = _without_linked(rows, components(rows, k, num, den, row, text), row).select(docs.columns)
     return left.unionByName(docs.where(F.col(doc_id).isNull()))
 
 

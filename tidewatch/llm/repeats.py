@@ -197,8 +197,10 @@ def repeated_words(docs: DataFrame, n: int, prefilter, doc_id: str = "doc_id", t
     Texts without removed words stay as they are (null stays null); in others
     the kept words are joined by one space.  Input columns named n_words,
     n_removed or spans are replaced.  Rows that share a doc_id count as
-    documents of their own, in the order of a hash of their texts; a null
-    doc_id is smaller than any other.
+    documents of their own, in a fixed order that their content gives (chunks,
+    dealt by a hash of it, in turn; within a chunk by text); a null doc_id is
+    smaller than any other.  An empty table stays empty; a very long text is
+    read whole, by one task, and its size bounds that task's memory.
     """
     docs = docs.drop("n_words", "n_removed", "spans")
     _, size = text_size(docs, text)

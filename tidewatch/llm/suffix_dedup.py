@@ -19,6 +19,7 @@ WINDOW = 50
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with all but the first copy of repeats of at least ``window``
-    words removed from ``text``; adds n_words, n_removed and spans."""
+    words removed from ``text``; adds n_words, n_removed and spans.  Null, empty
+    and very long texts, repeated rows and empty tables as in `repeated_words`."""
     seed = max(1, window // 2)
     return repeated_words(docs, window, lambda _: SparseSuffixes(window, seed), doc_id, text)
