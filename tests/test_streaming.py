@@ -56,6 +56,16 @@ def test_stream_dedup_keys(spark):
     assert sorted(r.link_md5 for r in got.collect()) == exp
 
 
+def test_streams_read_tables_stored_as_folders(spark, tmp_path):
+    """Tables of several part files are streamed whole, as single files are."""
+    for name in ("pages", "events"):
+        TB.table(spark, SF, name).repartition(3).write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = C.QUERIES["stream_dedup"](spark, str(tmp_path))
+    assert sorted(r.link_md5 for r in got.collect()) == FD_keys(spark)
+    scores = [C.QUERIES["stream_scores"](spark, d) for d in (str(tmp_path), SF)]
+    assert scores[0].count() == scores[1].count() > 0 and scores[0].exceptAll(scores[1]).count() == 0
+
+
 def FD_keys(spark):
     items = TB.feed_items(spark, SF)
     return sorted(r[0] for r in items.select(F.md5("link")).distinct().collect())
