@@ -59,6 +59,34 @@ def test_null_feature_gives_null(spark, tmp_path, forests):
     assert [r.model_prob for r in got] == [None] * 3
 
 
+def test_blocks_of_trees_vote_as_the_model(spark, tmp_path, forests, monkeypatch):
+    """Several blocks, trees of more than 64 leaves, NaN and values outside the
+    trained range; tasks judge whole blocks, so rows meet blocks, not trees."""
+    rows, _ = forests
+    rows = rows.withColumn("label", (F.xxhash64("date", "district") % 2 == 0).cast("int"))
+    model = TR.fit_forest(rows, num_trees=5, max_depth=10, seed=3)
+    TR.save_model(model, str(tmp_path / "m"))
+    nodes = FR.read_nodes(spark, str(tmp_path / "m"))
+    assert nodes.where("feature < 0").groupBy("tree").count().where("count > 64").count() > 0
+    odd = rows.withColumn("suhu_c", F.when(F.day("date") % 3 == 0, float("nan")).otherwise(F.col("suhu_c") * 3 - 60))
+    monkeypatch.setattr(FR, "TREES", 2)
+    scored = FR.forest_probability(odd, ["date", "district"], TR.FEATURES, nodes, 10)
+    assert "ArrowEvalPython" in scored._jdf.queryExecution().executedPlan().toString()
+    mean = TR.VectorAssembler(inputCols=TR.FEATURES, outputCol="features", handleInvalid="keep")
+    want = model.stages[-1].transform(mean.transform(model.stages[0].transform(odd.drop("kecamatan_enc")))) \
+        .select("date", "district", (TR.vector_to_array("probability").getItem(1) * 100.0).alias("want"))
+    far = scored.join(want, ["date", "district"], "full").agg(F.count(F.lit(1)), F.max(F.abs(F.col("model_prob") - F.col("want"))),
+                                                              F.count_if(F.col("want").isNull() | F.col("model_prob").isNull())).first()
+    assert far[0] == rows.count() and far[1] < 1e-10 and far[2] == 0
+
+
+def test_forest_scores_deal_scenarios_before_the_fan_out(spark):
+    """The rows of one split of a scan are not scored by one task."""
+    for name in ("model_dashboard_scores", "forest_table_scores"):
+        plan = C.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "REPARTITION_BY_NUM" in plan
+
+
 def test_planted_signal_is_the_top_feature(spark, forests):
     """M3, M5: a label that only the temperature decides."""
     middle = forests[0].approxQuantile("suhu_c", [0.5], 0.0)[0]

@@ -1,22 +1,22 @@
 """A saved random forest as a table.
 
 ``read_nodes`` reads the node table that Spark ML saves; ``forest_probability``
-walks all trees for every row by column expressions.  A row meets each tree
-once (a broadcast of some hundred trees, bounded by the model), with the tree's
-nodes in arrays.  Splits
-by category become numeric ones first, on a further feature for each set of
-categories, and leaves lead to themselves; so a level of the walk is one short
-comparison, and all levels fit one method of whole-stage code that the JVM
-compiles.  A grouped sum adds up the trees' votes.  This needs no model object,
-so the scores can be audited, and run where only SQL is at hand.
+finds the leaf of every tree for every row.  A row meets each block of trees
+once (a broadcast of a few blocks, bounded by the model); inside a task the
+block's splits are judged for many rows at once by bit operations.  A grouped
+sum adds up the blocks' votes.  This needs no model object, so the scores can
+be audited.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewatch.operators.joins import fits_broadcast
+#: trees of a block, rows judged at once, categories that a split may name
+TREES, ROWS, CATEGORIES = 128, 512, 63
 
 _STAGE = "stages/*_RandomForestClassifier_*"
 _NODES = ("treeID INT, nodeData STRUCT<id: INT, impurityStats: ARRAY<DOUBLE>, gain: DOUBLE, leftChild: INT, rightChild: INT, "
@@ -50,72 +50,135 @@ def max_depth(spark: SparkSession, path: str) -> int:
     return int(said.first()[0])
 
 
-def category_sets(nodes: DataFrame) -> DataFrame:
-    """(feature, left_set, set_no) of the distinct splits by category; at most
-    one a node of the forest, ranked in one task."""
-    sets = nodes.where("left_set is not null").select("feature", "left_set").distinct()
-    return sets.withColumn("set_no", F.row_number().over(Window.orderBy("feature", "left_set")) - 1)
-
-
-def outside_flags(sets: DataFrame) -> DataFrame:
-    """(_category, _flags): for each category one number a set, 0.0 if the set
-    holds it and else 1.0, in the sets' order; one row a category."""
-    one = sets.select("set_no", "left_set", F.explode(F.sequence(F.lit(0), F.lit(62))).alias("_category"))
-    holds = F.call_function("shiftright", F.col("left_set"), F.col("_category")).bitwiseAND(F.lit(1).cast("bigint")) == 1
-    return one.groupBy("_category").agg(F.array_sort(F.collect_list(F.struct(
-        "set_no", F.when(holds, 0.0).otherwise(1.0).alias("flag")))).alias("_f")).select("_category", F.col("_f")["flag"].alias("_flags"))
-
-
-def tree_arrays(nodes: DataFrame, sets: DataFrame, features: int) -> DataFrame:
-    """One row a tree: arrays by node number of ``_feature, _threshold, _left,
-    _right, _positive``, at most ``2 ** (depth + 1) - 1`` long.  Category sets
-    are features behind the ``features`` numeric ones; a leaf has itself as
-    both children."""
-    leaf = F.col("feature") < 0
-    plain = nodes.join(F.broadcast(sets) if fits_broadcast(sets) else sets, ["feature", "left_set"], "left").select(
-        "tree", "node",
-        F.when(leaf, 0).when(F.col("set_no").isNotNull(), F.col("set_no") + features).otherwise(F.col("feature")).alias("feature"),
-        F.when(leaf, 0.0).when(F.col("set_no").isNotNull(), 0.5).otherwise(F.col("threshold")).alias("threshold"),
-        F.when(leaf, F.col("node")).otherwise(F.col("left")).alias("left"),
-        F.when(leaf, F.col("node")).otherwise(F.col("right")).alias("right"), "positive")
-    cols = ["node", "feature", "threshold", "left", "right", "positive"]
-    return plain.groupBy("tree").agg(F.array_sort(F.collect_list(F.struct(*cols))).alias("_n")).select(
-        "tree", *[F.col("_n")[c].alias(f"_{c}") for c in cols[1:]])
+class TreeBlock:
+    """The votes of a block of trees on many rows at once.
+
+    A tree's leaves are numbered from left to right, one bit each.  A split
+    that sends a row right rules out the leaves under its left child, so the
+    row's leaf is the first one that no split rules out.  What a feature's
+    splits rule out depends only on the interval between their thresholds (or
+    the category) that its value lies in: ``allowed`` has those words for each
+    feature and interval, for all trees of the block side by side."""
+
+    def __init__(self, nodes: list, features: int):
+        trees: dict = {}
+        for r in nodes:
+            trees.setdefault(r["tree"], {})[r["node"]] = r
+        self.trees = len(trees)
+        spans, leaves = [], []                      # leaf numbers of each split: first, first under the right child
+        for own in trees.values():
+            found, splits, todo = [], [], [(0, False)]
+            at: dict = {}
+            while todo:                             # depth first, left child first
+                node, seen = todo.pop()
+                r = own[node]
+                if r["feature"] < 0:
+                    at[node] = len(found)
+                    found.append(r["positive"])
+                elif not seen:
+                    todo += [(node, True), (r["right"], False), (r["left"], False)]
+                else:
+                    at[node] = at[r["left"]]
+                    splits.append((r, at[node], at[r["right"]]))
+            spans.append(splits)
+            leaves.append(found)
+        self.words = max(-(-len(f) // 64) for f in leaves)
+        self.values = np.zeros((self.trees, 64 * self.words))
+        self.empty = all(v is None for f in leaves for v in f)
+        for t, f in enumerate(leaves):
+            self.values[t, :len(f)] = [v or 0.0 for v in f]
+        by = [[(t, *x) for t, splits in enumerate(spans) for x in splits if x[0]["feature"] == f] for f in range(features)]
+        self.thresholds, self.allowed = [], []
+        for splits in by:
+            sets = any(r["left_set"] is not None for _, r, _, _ in splits)
+            cuts = None if sets else np.unique([r["threshold"] for _, r, _, _ in splits])
+            table = np.full((CATEGORIES + 1 if sets else len(cuts) + 1, self.trees, self.words), ~np.uint64(0))
+            for t, r, first, right in splits:
+                out = np.array([((1 << right) - (1 << first)) >> 64 * w & (1 << 64) - 1 for w in range(self.words)], np.uint64)
+                if sets:
+                    goes = [c for c in range(CATEGORIES + 1) if c == CATEGORIES or not r["left_set"] >> c & 1]
+                else:
+                    goes = slice(int(np.searchsorted(cuts, r["threshold"])) + 1, None)
+                table[goes, t] &= ~out
+            self.thresholds.append(cuts)
+            self.allowed.append(table if splits else None)
+
+    def arrays(self) -> tuple:
+        return self.values, self.thresholds, self.allowed
+
+
+def voter(rows: int = ROWS, categories: int = CATEGORIES):
+    """votes(arrays of a block, columns): sum of the trees' shares of class 1
+    for each row.  The function holds all it needs, so that tasks can run it
+    where this package is not installed."""
+    def votes(block: tuple, columns: list) -> np.ndarray:
+        values, thresholds, allowed = block
+        trees, words = len(values), values.shape[1] // 64
+        place = []
+        for x, cuts, table in zip(columns, thresholds, allowed):
+            if table is None:
+                place.append(None)
+            elif cuts is None:
+                whole = np.trunc(np.nan_to_num(x, nan=-1.0))
+                place.append(np.where((whole >= 0) & (whole < categories), whole, categories).astype(np.int64))
+            else:
+                place.append(np.searchsorted(cuts, x))
+        out = np.empty(len(columns[0]))
+        every = np.arange(trees)
+        for a in range(0, len(out), rows):
+            b = slice(a, a + rows)
+            bits = np.full((len(out[b]), trees, words), ~np.uint64(0))
+            for p, table in zip(place, allowed):
+                if table is not None:
+                    bits &= table[p[b]]
+            # the lowest bit left is a power of two, whose exponent is its number
+            low = bits & (~bits + np.uint64(1))
+            leaf = (low.astype(np.float64).view(np.int64) >> 52) - 1023
+            first = leaf[:, :, 0]
+            for w in range(1, words):
+                first = np.where(first < 0, leaf[:, :, w] + 64 * w, first)
+            out[b] = values[every, first].sum(axis=1)
+        return out
+
+    return votes
 
 
 def forest_probability(rows: DataFrame, keys: list[str], features: list[str], nodes: DataFrame, depth: int,
                        out: str = "model_prob") -> DataFrame:
     """``keys`` and P(class 1) x 100 of every row.  ``keys`` must identify a
-    row; a row that has a null feature gets NULL."""
-    sets = category_sets(nodes)
-    trees = tree_arrays(nodes, sets, len(features))
-    if fits_broadcast(nodes):
-        trees = F.broadcast(trees)
-    known = F.lit(True)
+    row; a row that has a null feature gets NULL.  Rows that are partitioned by
+    some of the keys are not shuffled.  ``depth``: levels of the forest, which
+    the blocks know by themselves."""
+    spark = rows.sparkSession
+    # the model's own size: at most 2 ** (depth + 1) nodes a tree
+    dealt = nodes.withColumn("_block", F.floor(F.col("tree") / TREES).cast("int")).orderBy("tree", "node").collect()
+    own: dict = {}
+    for r in dealt:
+        own.setdefault(r["_block"], []).append(r)
+    built = {i: TreeBlock(n, len(features)) for i, n in own.items()}
+    sent, votes_of = spark.sparkContext.broadcast({i: b.arrays() for i, b in built.items()}), voter()
+
+    @F.arrow_udf("double")
+    def vote(block: pa.Array, *columns: pa.Array) -> pa.Array:
+        number = block.to_numpy()
+        x = [c.to_numpy(zero_copy_only=False) for c in columns]
+        votes = np.empty(len(number))
+        for i in np.unique(number):
+            at = np.flatnonzero(number == i)
+            votes[at] = votes_of(sent.value[i], x if len(at) == len(number) else [c[at] for c in x])
+        return pa.array(votes)
+
+    known = F.lit(not all(b.empty for b in built.values()))
     for c in features:
         known &= F.col(c).isNotNull()
-    x = F.when(known, F.array(*[F.col(c).cast("double") for c in features]))
-
-    long = rows.select(*keys, x.alias("_x"))
-    at = F.col("_at")
-    number = F.get(F.col("_feature"), at)
-    value = [F.get(F.col("_x"), number)]  # NULL behind the end of an array
-    kinds = sets.groupBy("feature").agg(F.min("set_no").alias("first")).orderBy("feature").collect()  # features with categories
-    for r in kinds:
-        flags = outside_flags(sets.where(F.col("feature") == r.feature)).withColumnsRenamed(
-            {"_category": f"_category{r.feature}", "_flags": f"_flags{r.feature}"})
-        long = long.join(F.broadcast(flags), F.get(F.col("_x"), F.lit(r.feature)).cast("int") == F.col(f"_category{r.feature}"), "left")
-        place = number - F.lit(len(features) + r["first"])
-        value.append(F.get(F.col(f"_flags{r.feature}"), place))
-    # every tree votes on every row: the loop over the trees runs inside the
-    # stage, where arrays are read in place
-    long = long.withColumn("_at", F.lit(0)).join(trees)
-    for _ in range(depth):
-        goes_left = F.coalesce(*value) <= F.get(F.col("_threshold"), at)
-        long = long.withColumn("_at", F.when(goes_left, F.get(F.col("_left"), at)).otherwise(F.get(F.col("_right"), at)))
-    vote = F.when(F.col("_x").isNotNull(), F.get(F.col("_positive"), at))
-    return long.select(*keys, vote.alias("_vote")).groupBy(*keys).agg(
-        (F.sum("_vote") / F.count(F.lit(1)) * F.lit(100.0)).alias(out))
+    # every block of trees votes on every row
+    blocks = spark.createDataFrame([(i, b.trees) for i, b in built.items()], "_block int, _trees int")
+    long = rows.select(*keys, *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(features)], known.alias("_known")) \
+        .join(F.broadcast(blocks))
+    x = [F.col(f"_x{i}") for i in range(len(features))]
+    voted = long.withColumn("_sum", vote(F.col("_block"), *x))
+    return voted.select(*keys, F.when(F.col("_known"), F.col("_sum")).alias("_vote"), "_trees").groupBy(*keys).agg(
+        (F.sum("_vote") / F.sum("_trees") * F.lit(100.0)).alias(out))
 
 
 def forest_importance(nodes: DataFrame, features: list[str]) -> DataFrame:
