@@ -1,5 +1,7 @@
 """Published tables are replaced by one commit."""
 
+import gzip
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,3 +53,28 @@ def test_a_version_is_committed_once(spark, tmp_path):
         V.commit_version(spark, path, slow, version=8)
     assert V.get_text(spark, f"{path}/_commits/9") is None
     assert V.put_text(spark, f"{path}/note", "ü") and V.get_text(spark, f"{path}/note") == "ü"
+
+
+def test_compressed_tables_read_back_the_same(spark, tmp_path, monkeypatch):
+    """Compressed lines take a fraction of the plain ones, in files of bounded length."""
+    def size(path):
+        return sum(f.stat().st_size for f in tmp_path.glob(f"{path}/v=*/part-*"))
+
+    for name, read in (("result_roundtrip", PB.read_results), ("result_document", PB.read_documents)):
+        paths = []
+
+        def scratch(_, what):
+            paths.append(f"{what}{len(paths)}")
+            return str(tmp_path / paths[-1])
+
+        monkeypatch.setattr(C, "scratch_path", scratch)
+        monkeypatch.setattr(PB, "RESULTS_PER_FILE", 700)
+        monkeypatch.setattr(PB, "DOCUMENTS_PER_FILE", 50)
+        rows = C.QUERIES[name](spark, "/root/testdata/sf0.001")
+        back = read(spark, str(tmp_path / paths[0]), keep="scenario_id long")
+        plain = str(tmp_path / f"{name}-plain")
+        back.write.json(f"{plain}/v=0")
+        files = list(tmp_path.glob(f"{paths[0]}/v=*/part-*"))
+        assert rows.count() > 0 and back.count() == sum(sum(1 for _ in gzip.open(f)) for f in files)
+        assert max(sum(1 for _ in gzip.open(f)) for f in files) <= (700 if name == "result_roundtrip" else 50)
+        assert 0 < size(paths[0]) * 4 < size(f"{name}-plain")

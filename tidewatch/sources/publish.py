@@ -18,6 +18,8 @@ from tidewatch.sources.versions import commit_version, current_path
 
 # ---- fixed values: message keys of the reference ---------------------------
 WEATHER_KEY = "SBY"
+# lines of a compressed file: some 10 MB of either
+RESULTS_PER_FILE, DOCUMENTS_PER_FILE = 1_000_000, 100_000
 # -----------------------------------------------------------------------------
 
 
@@ -80,11 +82,18 @@ def write_archive(records: DataFrame, path: str, fmt: str = "json") -> None:
     with_dataset(records).write.mode("append").partitionBy("dataset").format(fmt).save(path)
 
 
-def write_results(result: DataFrame, path: str) -> None:
+def _lines(df: DataFrame, compression: str | None, rows: int):
+    """Writer of lines.  Compressed files cannot be split, so each holds a
+    bounded number of lines and is read by a task of its own."""
+    return df.write.options(compression=compression, maxRecordsPerFile=rows) if compression else df.write
+
+
+def write_results(result: DataFrame, path: str, compression: str | None = None) -> None:
     """Replace the result table, JSON lines.  The new table is written
     beside the published one and becomes it by one commit; ``read_results``
-    follows the commits."""
-    commit_version(result.sparkSession, path, lambda to: result.write.json(to))
+    follows the commits.  ``compression``: a codec such as gzip for a table of
+    many scenarios; the dashboard's own file stays plain."""
+    commit_version(result.sparkSession, path, lambda to: _lines(result, compression, RESULTS_PER_FILE).json(to))
 
 
 def read_results(spark: SparkSession, path: str, keep: str = "") -> DataFrame:
@@ -93,13 +102,14 @@ def read_results(spark: SparkSession, path: str, keep: str = "") -> DataFrame:
     return spark.read.schema(schema).json(current_path(spark, path))
 
 
-def write_documents(docs: DataFrame, path: str, doc_col: str = "document", key: str | None = None) -> None:
+def write_documents(docs: DataFrame, path: str, doc_col: str = "document", key: str | None = None,
+                    compression: str | None = None) -> None:
     """One JSON document per line (per scenario), replaced as in
-    ``write_results``; with ``key`` that column becomes a first field of the
+    ``write_results`` (and compressed as there); with ``key`` that column becomes a first field of the
     document."""
     doc = F.struct(F.col(key), F.col(f"{doc_col}.*")) if key else F.col(doc_col)
     lines = docs.select(F.to_json(doc).alias("value"))
-    commit_version(docs.sparkSession, path, lambda to: lines.write.text(to))
+    commit_version(docs.sparkSession, path, lambda to: _lines(lines, compression, DOCUMENTS_PER_FILE).text(to))
 
 
 def read_documents(spark: SparkSession, path: str, keep: str = "") -> DataFrame:
