@@ -1,11 +1,13 @@
 import random
+import tracemalloc
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm import brute
-from tidewatch.llm import jaccard_join, queries
+from tidewatch.llm import arrays as A, jaccard_join, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -116,3 +118,32 @@ def test_keep_one_keeps_columns_of_any_name(spark):
         assert got.columns == df.columns
         want = [r for r in map(tuple, df.collect()) if r[:2] != (2, text[0])]
         assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_stars_of_a_shard_in_ranges_of_bounded_memory(monkeypatch):
+    """Same stars whatever the ranges; besides a shard's unpacked signatures
+    and ids (16 bytes each) only a range of them is held."""
+    def shard(rng, rows, size, values, ids):
+        pool = rng.integers(0, 2**64, values, dtype=np.uint64)
+        held = [(np.sort(rng.choice(pool, size)), rng.integers(-9, ids, size)) for _ in range(rows)]
+        table = pa.Table.from_pylist([{"size": size, "sigs": A.pack_sorted(s), "ids": A.pack(d)} for s, d in held])
+        return table, np.concatenate([s for s, _ in held]), np.concatenate([d for _, d in held])
+
+    rng = np.random.default_rng(5)
+    for args in ((1, 1, 1, 9), (6, 5, 12, 90), (9, 40, 700, 5000)):
+        table, s, d = shard(rng, *args)
+        least = {}
+        for x, i in zip(s.tolist(), d.tolist()):
+            least[x] = min(i, least.get(x, i))
+        links = [(i, least[x]) for x, i in zip(s.tolist(), d.tolist()) if i != least[x]]
+        want = jaccard_join.roots(*np.array(links, np.int64).reshape(-1, 2).T)
+        for size in (100_000, 50, 3):
+            monkeypatch.setattr(jaccard_join, "RANGE", size)
+            assert [x.tolist() for x in jaccard_join._stars(table)] == [x.tolist() for x in want]
+    monkeypatch.undo()
+    table, s, _ = shard(rng, 25, 40_000, 2_000_000, 100_000)
+    tracemalloc.start()
+    jaccard_join._stars(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * len(s), peak / len(s)

@@ -55,6 +55,8 @@ PACK = 128
 FLUSH = 600_000
 #: signatures of a hash shard
 SHARD = 4_000_000
+#: signatures of a shard that are grouped at once
+RANGE = 100_000
 #: classes of copies with more than this share of all rows are broadcast
 HOT_SHARE = 1000
 #: rows of a table small enough to broadcast (two longs a row)
@@ -323,15 +325,28 @@ def _collect(k: int, num: int, den: int, shards: int, common):
 
 
 def _stars(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """(id, smallest id linked through this shard's signatures)."""
-    rows = table.to_pylist()
-    s = np.concatenate([A.unpack_sorted(r["sigs"], r["size"], np.uint64) for r in rows])
-    d = np.concatenate([A.unpack(r["ids"], r["size"], np.int64) for r in rows])
-    order = np.lexsort((d, s))
-    s, d = s[order], d[order]
-    new = np.diff(s, prepend=~s[:1]) != 0
-    lead = d[new][np.cumsum(new) - 1]
-    return roots(d[d != lead], lead[d != lead])
+    """(id, smallest id linked through this shard's signatures).  The packed
+    rows are sorted, so that the shard is grouped range by range of its
+    signatures, and only these are ever copied and sorted."""
+    held = [(A.unpack_sorted(s.as_py(), n.as_py(), np.uint64), A.unpack(d.as_py(), n.as_py(), np.int64))
+            for n, s, d in zip(table.column("size"), table.column("sigs"), table.column("ids"))]
+    total = sum(len(s) for s, _ in held)
+    least, most = min(int(s[0]) for s, _ in held), max(int(s[-1]) for s, _ in held)
+    ranges = max(1, ceil(total / RANGE))
+    bounds = np.array([least + (most - least) * i // ranges for i in range(1, ranges)], np.uint64)
+    cuts = [np.concatenate(([0], np.searchsorted(s, bounds), [len(s)])) for s, _ in held]
+    node, root = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for i in range(ranges):
+        s = np.concatenate([x[c[i]:c[i + 1]] for (x, _), c in zip(held, cuts)])
+        if not len(s):
+            continue
+        d = np.concatenate([x[c[i]:c[i + 1]] for (_, x), c in zip(held, cuts)])
+        order, new = A.groups(s)
+        d = d[order]
+        at = np.flatnonzero(new)
+        lead = np.repeat(np.minimum.reduceat(d, at), np.diff(np.append(at, len(d))))
+        node, root = roots(np.concatenate([node, d[d != lead]]), np.concatenate([root, lead[d != lead]]))
+    return node, root
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
