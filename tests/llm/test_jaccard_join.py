@@ -147,3 +147,31 @@ def test_stars_of_a_shard_in_ranges_of_bounded_memory(monkeypatch):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 40 * len(s), peak / len(s)
+
+
+def test_blocks_share_bands_and_hashes_are_looked_up_once(monkeypatch):
+    """Signatures do not depend on how large the block's largest set is; the
+    listed hashes are met once a block, not once a band."""
+    text = " ".join(f"w{i % 37}x{i}" for i in range(300))
+    blocks = [[text, "a b c d e f", None], [text, "a b c d e f", "b " + text]]
+    common = np.sort(jaccard_join.Shingles(pa.array([text]), 5).value[::3])
+    calls = []
+    holds = jaccard_join._holds
+    monkeypatch.setattr(jaccard_join, "_holds", lambda *a: calls.append(1) or holds(*a))
+    jaccard_join.bands.cache_clear()
+    first = []
+    for b in blocks:
+        sh = jaccard_join.Shingles(pa.array(b), 5)
+        assert [(np.diff(sh.set(i)) > 0).all() for i in range(3)] == [True] * 3      # unsigned, ascending
+        s, d = sh.signatures(80, 100, common)
+        first.append([sorted(s[d == i].tolist()) for i in (0, 1)])
+    assert first[0] == first[1] and len(calls) == 2 and jaccard_join.bands.cache_info().misses == 1
+
+
+def test_listed_hashes():
+    rng = np.random.default_rng(2)
+    v = rng.integers(0, 2**64, 5000, dtype=np.uint64)
+    for listed in (np.zeros(0, np.uint64), np.sort(v[:1]), np.sort(np.concatenate([v[:900], rng.integers(0, 2**64, 800, dtype=np.uint64)])),
+                   np.array([0, 2**64 - 1], np.uint64)):
+        assert (jaccard_join._holds(listed, v) == np.isin(v, listed)).all()
+        assert jaccard_join._holds(listed, listed).all() and not len(jaccard_join._holds(listed, v[:0]))

@@ -97,6 +97,20 @@ def bands(num: int, den: int, largest: int) -> tuple[np.ndarray, np.ndarray, np.
     return np.array(low[:-1]), np.array(tau), np.array(classes)
 
 
+def _holds(listed: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Whether each hash is in the sorted list.  The upper bits tell that most
+    are not; only the others are looked up."""
+    bits = max(len(listed), 1).bit_length() + 4
+    some = np.zeros(1 << bits, bool)
+    some[listed >> np.uint64(64 - bits)] = True
+    out = some[v >> np.uint64(64 - bits)]
+    maybe = np.flatnonzero(out)
+    if len(maybe):
+        own = v[maybe]
+        out[maybe] = listed[np.minimum(np.searchsorted(listed, own), len(listed) - 1)] == own
+    return out
+
+
 class Shingles:
     """Distinct shingle hashes of each text of a block."""
 
@@ -116,8 +130,14 @@ class Shingles:
                 owner.append(short)
         v = np.concatenate(values) if values else np.zeros(0, np.uint64)
         o = np.concatenate(owner)
-        order, new = A.groups(o, v)
-        self.value, self.doc = v[order][new], o[order][new]
+        # by value, then by text: two plain sorts cost a third of a lexsort
+        order = np.argsort(v)
+        own = o[order]
+        order = order[np.argsort(own.astype(np.uint16) if len(w.count) <= 1 << 16 else own, kind="stable")]
+        v, o = v[order], o[order]
+        new = np.ones(len(v), bool)
+        new[1:] = (v[1:] != v[:-1]) | (o[1:] != o[:-1])
+        self.value, self.doc = v[new], o[new]
         self.size = np.bincount(self.doc, minlength=len(w.count))
         self.first = np.concatenate(([0], np.cumsum(self.size)))
 
@@ -141,8 +161,10 @@ class Shingles:
         either set has fewer weak classes than that; only sets with as many
         send their weak classes too.  No link is lost, whatever counts as
         common, and texts that merely share a passage do not meet."""
-        low, tau, classes = bands(num, den, max(int(self.size.max(initial=1)), 1) * 2)
+        # rounded up, so that blocks share their bands
+        low, tau, classes = bands(num, den, 2 << int(self.size.max(initial=1)).bit_length())
         own = np.searchsorted(low, self.size, side="right") - 1
+        uncommon = ~_holds(common, self.value)
         sigs, docs = [], []
         for back in (0, 1):
             band = own - back
@@ -155,7 +177,7 @@ class Shingles:
             cls = A.mix(v + b * np.uint64(0x9E3779B97F4A7C15)) % count[d].astype(np.uint64)
             sums = np.zeros(base[-1], np.uint64)
             np.add.at(sums, base[d] + cls.astype(np.int64), A.mix(v ^ np.uint64(0x5DEECE66D)))
-            rare = ~np.isin(v, common, kind="sort") if len(common) else np.ones(len(v), bool)
+            rare = uncommon[sel]
             strong = np.zeros(base[-1], bool)
             strong[(base[d] + cls.astype(np.int64))[rare]] = True
             owner = np.repeat(np.arange(len(count)), count)
@@ -271,10 +293,10 @@ def _collect(k: int, num: int, den: int, shards: int, common):
 
     def flush(sigs, ids):
         s, d = np.concatenate(sigs), np.concatenate(ids)
-        order, new = A.groups(s, d.view(np.uint64) ^ np.uint64(2**63))
+        order = np.argsort(s)
         s, d = s[order], d[order]
         new = np.diff(s, prepend=~s[:1]) != 0
-        first = d[new]
+        first = np.minimum.reduceat(d, np.flatnonzero(new))
         lead = first[np.cumsum(new) - 1]
         node, root = roots(d[d != lead], lead[d != lead])
         out = []
@@ -341,9 +363,9 @@ def _stars(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         if not len(s):
             continue
         d = np.concatenate([x[c[i]:c[i + 1]] for (_, x), c in zip(held, cuts)])
-        order, new = A.groups(s)
-        d = d[order]
-        at = np.flatnonzero(new)
+        order = np.argsort(s)
+        s, d = s[order], d[order]
+        at = np.flatnonzero(np.diff(s, prepend=~s[:1]) != 0)
         lead = np.repeat(np.minimum.reduceat(d, at), np.diff(np.append(at, len(d))))
         node, root = roots(np.concatenate([node, d[d != lead]]), np.concatenate([root, lead[d != lead]]))
     return node, root
