@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.operators import forest as FR
+from tidewatch.operators import joins as J
 from tidewatch.operators import timeseries as TS
 from tidewatch.plans import catalog as C
 from tidewatch.plans import scoring_plans as SP
@@ -132,3 +133,36 @@ def test_folds_fitted_at_once_equal_folds_fitted_in_turn(spark):
     one, five = (sorted(map(tuple, TR.cv_test_scores(folds, parallel=n, num_trees=3, max_depth=3).collect())) for n in (1, 5))
     assert one == five and {r[0] for r in one} == {1, 2, 3, 4, 5}
     folds.unpersist()
+
+
+def test_row_agreement_counts_as_a_full_join(spark):
+    """Repeated and null keys, nulls that change places, rows of one side, and
+    values that differ; only such groups are asked for and joined."""
+    same = [(i, k, i / 2, None if i % 3 else "x", "y") for i in range(40) for k in "abc"]
+    odd = [(50, "a", 1.0, "p", None), (51, "a", 1.0, "p", "q"), (52, "a", 0.0, "p", "q"), (53, "a", float("nan"), "p", "q"),
+           (54, "a", 1.0, "p", "q"), (54, "a", 1.0, "p", "q"), (54, "b", 1.0, "p", "q"), (55, "a", 1.0, "p", "q"), (55, "a", 1.0, "p", "q"),
+           (None, "a", 1.0, "p", "q"), (56, None, 1.0, "p", "q"), (57, "a", 1.0, "p", "q"), (58, "a", 1.0, "p", "q"), (58, "a", 2.0, "p", "q")]
+    changed = {50: (50, "a", 1.0, None, "p"), 51: (51, "a", 1.0, "p", "r"), 52: (52, "a", -0.0, "p", "q"), 57: (60, "a", 1.0, "p", "q")}
+    schema = "id long, place string, v double, s string, t string"
+    left = spark.createDataFrame(same + odd, schema)
+    asked = []
+    for rows in (same + odd, same + [changed.get(r[0], r) for r in odd][:-1], same, []):
+        right = spark.createDataFrame(rows, schema)
+
+        def only(ids):
+            asked.append(sorted(r.id for r in ids.collect() if r.id is not None))
+            ids = ids.withColumnRenamed("id", "_id")
+            return tuple(x.join(ids, F.col("id").eqNullSafe(F.col("_id")), "left_semi") for x in (left, right))
+
+        equal = F.lit(True)
+        for c in left.columns:
+            equal &= left[c].eqNullSafe(right[c])
+        want = left.join(right, (left["id"] == right["id"]) & (left["place"] == right["place"]), "full") \
+            .agg(F.count(F.lit(1)).alias("scored"), F.count_if(~equal).alias("differing")).first()
+        got = J.row_agreement(left, right, "id", "place", ["a", "b", "c"], only).first()
+        assert tuple(got) == tuple(want) and got.differing > 0
+    assert all(i >= 50 for i in asked[0]) and 54 in asked[0] and 52 not in asked[1]
+    whole = spark.createDataFrame(same, schema)
+    assert tuple(J.row_agreement(whole, whole.repartition(3), "id", "place", ["c", "b", "a"], None).first()) == (120, 0)
+    empty = whole.limit(0)
+    assert tuple(J.row_agreement(empty, empty, "id", "place", ["c", "b", "a"], None).first()) == (0, 0)
